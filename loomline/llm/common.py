@@ -40,6 +40,24 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
 
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """Columns ``key`` and ``mark``, never null, that tell all rows apart but repeated ones."""
+    return [F.coalesce(F.col(id_col).cast("string"), F.lit("none")).alias("key"), F.xxhash64(F.col(text_col)).alias("mark")]
+
+
+def picked(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose key and mark are in ``keep``, with its further columns; repeated rows once.
+
+    ``keep`` has each pair of key and mark once, its further columns start with an underscore.
+    """
+    keyed = docs.select("*", *(c.alias(f"_{k}") for k, c in enumerate(row_key(id_col, text_col))))
+    again = docs.select(*row_key(id_col, text_col)).groupBy("key", "mark").count().where("count > 1")
+    found = keyed.join(keep.withColumnsRenamed({"key": "_0", "mark": "_1"}), ["_0", "_1"])
+    if not again.isEmpty():
+        found = found.dropDuplicates(["_0", "_1"])
+    return found.drop("_0", "_1")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b: long); root is the smallest node that can be reached.
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import as_bytes, components, map_batches
+from loomline.llm.common import as_bytes, components, map_batches, picked, row_key
 from loomline.session import cut, ship
 
 SHINGLE = 3
@@ -49,7 +49,7 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     prints = np.array([fingerprint(x) for x in as_bytes(batch.column("text"))], np.uint64)
-    return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "fp"])
+    return pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("id", "key", "mark")), pa.array(prints.view(np.int64))], ["id", "key", "mark", "fp"])
 
 
 def shared_bytes(x: np.ndarray) -> np.ndarray:
@@ -137,6 +137,17 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(_postings, "a long, b long")
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, key, mark, fp) of each row and (fp, root, component_id) of each fingerprint, both written."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
+    prints = cut(map_batches(rows, _fingerprints, "id long, key string, mark long, fp long"))
+    first = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
+    roots = components(near_links(first.select("fp"))).select(F.col("node").alias("fp"), "root")
+    both = cut(first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    smallest = cut(both.groupBy("root").agg(F.min("first").alias("component_id")))
+    return prints, cut(both.join(smallest, "root").select("fp", "root", "component_id"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Row by row: doc_id, fingerprint (16 hex digits) and component_id (smallest id that links reach).
 
@@ -144,24 +155,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     and a component, whose id is null if no row of it has one. Repeated rows come back as often as they came in;
     equal fingerprints are compared once, so exact copies cost nothing. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    prints = cut(map_batches(rows, _fingerprints, "id long, fp long"))
-    first = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
-    roots = components(near_links(first.select("fp"))).select(F.col("node").alias("fp"), "root")
-    both = cut(first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    smallest = cut(both.groupBy("root").agg(F.min("first").alias("component_id")))
-    named = cut(both.join(smallest, "root").select("fp", "component_id"))
+    prints, named = grouped(docs, id_col, text_col)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fp").select(F.col("id").alias("doc_id"), hexed, "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their group: the smallest id of each component, once.
+    """One row of ``docs`` for each component: that of the smallest id, or of none where no row has one.
 
-    Rows without an id can't be told apart by one; they take no part and stay.
+    Of rows that share this id, the one with the smallest hash of the text; of repeated rows, one.
     """
-    known = docs.where(F.col(id_col).isNotNull())
-    found = simhash_components(known, id_col, text_col)
-    keep = cut(found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct())
-    alone = known.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return alone.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    prints, named = grouped(docs, id_col, text_col)
+    order = F.struct(F.col("id").isNull().alias("no"), "id", "mark", "key").alias("row")
+    stays = prints.join(named, "fp").groupBy("root").agg(F.min(order).alias("row"))
+    return picked(docs, cut(stays.select("row.key", "row.mark")), id_col, text_col).select(docs.columns)
