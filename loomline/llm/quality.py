@@ -102,7 +102,7 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 @lru_cache(maxsize=4)
-def _vocabulary(path: str):
+def vocabulary_model(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -130,7 +130,7 @@ def fits(band: Band, n: int, chars: float, fallback: float, bits: float) -> bool
 
 def judge(texts: list[bytes], langs: list[str], path: str, bands: Mapping[str, Band]) -> list[tuple]:
     """A tuple in the order of COLUMNS for each text."""
-    model, fallback = _vocabulary(path)
+    model, fallback = vocabulary_model(path)
     out = []
     for text, lang in zip(texts, langs, strict=True):
         whole = text.decode("utf-8", "replace")
