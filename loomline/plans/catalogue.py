@@ -1,4 +1,4 @@
-"""The queries on the driver's tables."""
+"""All queries on the driver's tables, and the DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomline.plans import chains, documents, graphs, tables
+
+MODULES = (chains, documents, graphs, tables)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}
