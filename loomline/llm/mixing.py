@@ -17,8 +17,9 @@ from loomline.session import cut
 #: Most times that a document may be taken; the k-th time costs k, so that every source takes new words first.
 REPEATS = 3
 WEIGHTS = (1, 2, 3)
-#: Buckets of the seeded order, and the number of source sets that the flow takes at most.
-BUCKET_DIGITS = 4
+#: Leading hexadecimal digits of the seeded order that make a coarse and a fine bucket.
+BUCKET_DIGITS = (2, 5)
+#: The number of source sets that the flow takes at most.
 MAX_SETS = 200_000
 
 Source = str | None
@@ -169,13 +170,18 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     plan = spark.createDataFrame(shares, "sources array<string>, source_size long, target double, rounds long, rest long")
     shared = sized.join(F.broadcast(plan), sized["sources"].eqNullSafe(plan["sources"])).drop(plan["sources"])
 
-    # The last round: prefix sums over the buckets of the seeded order, then exactly within the bucket at the edge.
-    bucket = F.substring("drawn", 1, BUCKET_DIGITS)
-    buckets = shared.where("rest > 0 and size > 0").groupBy("sources", bucket.alias("bucket"), "rest").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    edges = buckets.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0))).where("before < rest and before + words >= rest")
-    edges = cut(edges.select("sources", F.col("bucket").alias("edge"), "before"))  # one row for each set
-    edged = shared.join(F.broadcast(edges.withColumnRenamed("sources", "of")), shared["sources"].eqNullSafe(F.col("of")), "left").drop("of")
+    # The last round: prefix sums over the buckets of the seeded order, first the coarse ones, then the fine ones
+    # within the coarse one at the edge, then row by row within the fine one at the edge.
+    edged = shared.withColumns({"edge": F.lit(""), "before": F.lit(0).cast("long")})
+    for digits in BUCKET_DIGITS:
+        bucket = F.substring("drawn", 1, digits)
+        at_edge = edged.where((F.col("rest") > 0) & (F.col("size") > 0) & F.col("drawn").startswith(F.col("edge")))
+        buckets = at_edge.groupBy("sources", bucket.alias("bucket"), "rest", "before").agg(F.sum("size").alias("words"))
+        upto = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = buckets.withColumn("before", F.col("before") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
+        found = cut(sums.where("before < rest and before + words >= rest").select(F.col("sources").alias("of"), F.col("bucket").alias("edge"), "before"))
+        # one row for each set
+        edged = shared.join(F.broadcast(found), shared["sources"].eqNullSafe(F.col("of")), "left").drop("of")
     inside = edged.where((bucket == F.col("edge")) & (F.col("size") > 0))
     running = Window.partitionBy("sources").orderBy("drawn", "size", "id").rowsBetween(Window.unboundedPreceding, -1)
     sums = inside.withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(running), F.lit(0)))
