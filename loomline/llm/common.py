@@ -26,14 +26,23 @@ def as_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+#: Rows of an Arrow batch that become Python objects at a time.
+ROWS = 1024
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, without copying them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``work`` on each Arrow batch (at most 64 MB by Spark's default) of ``df``."""
+    """``work`` on slices of each Arrow batch (at most 64 MB by Spark's default) of ``df``."""
     ship(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+        yield from map(work, slices(batches))
 
     return df.mapInArrow(run, schema)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomline.llm.common import as_texts
+from loomline.llm.common import as_texts, slices
 from loomline.llm.files import attempt_name, create, open_at
 from loomline.llm.quality import vocabulary_model
 from loomline.session import cut, ship
@@ -43,7 +43,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END,
             arrays = [pa.array([path]), pa.array([n - len(ids)], pa.int64()), pa.array([ids], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(arrays, ["path", "first", "doc_ids"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text")), strict=True):
                 if out is None:
                     path = attempt_name(folder, ".tokens")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomline.llm.common import slices
 from loomline.llm.files import attempt_name, create, open_at
 from loomline.session import cut, ship
 
@@ -70,7 +71,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, n, size, done = None, "", 0, 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for row in batch.to_pylist():
                 if out is None:
                     path = attempt_name(folder, ".warc.gz")
