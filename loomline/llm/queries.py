@@ -98,7 +98,7 @@ parts AS (
   FROM pages),
 fits AS (
   SELECT page_id, arg_max(name, (rank, length(name), name)) AS name, arg_max(verdict, (rank, length(name), name)) AS verdict, max(rank) AS rank
-  FROM parts JOIN rules ON regexp_matches(host || ' ' || path, pattern) GROUP BY page_id)
+  FROM parts JOIN rules ON regexp_matches(host || '?' || path || '?', pattern) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, CASE WHEN f.rank = 1 THEN f.name END AS rule, coalesce(f.verdict, 'allow') AS verdict, CASE WHEN f.rank = 0 THEN f.name END AS pattern
 FROM parts p LEFT JOIN fits f USING (page_id)"""
 

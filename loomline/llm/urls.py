@@ -18,8 +18,9 @@ ALLOW, BLOCK = "allow", "block"
 
 @dataclass(frozen=True)
 class Rule:
-    """A verdict for urls that ``pattern`` matches, searched in "host path"; ``tokens`` are literal tokens that every
-    url it matches has in full. Of the rules that match, those of the highest rank decide, then the longest name."""
+    """A verdict for urls that ``pattern`` matches, searched in "host?path?" (neither part has a question mark);
+    ``tokens`` are literal tokens that every url it matches has in full. Of the rules that match, those of the highest
+    rank decide, then the longest name."""
 
     name: str
     verdict: str
@@ -32,12 +33,12 @@ def host_rule(host: str, path: str, verdict: str) -> Rule:
     """A host with all its subdomains, and the start of a path. Literal tokens are the host's labels and whatever
     lies between separators of the path; its last token may go on in the url, and is none."""
     whole = TOKEN.findall(host) + TOKEN.findall(path)[: None if re.search(r"[^A-Za-z0-9]$", path) else -1]
-    return Rule(host + path, verdict, rf"^(?:[^ ]*\.)?{re.escape(host)} {re.escape(path)}", tuple(x for x in whole if x == x.lower()), 1)
+    return Rule(host + path, verdict, rf"^(?:[^?]*\.)?{re.escape(host)}\?{re.escape(path)}", tuple(x for x in whole if x == x.lower()), 1)
 
 
 def host_words(verdict: str, *words: str) -> list[Rule]:
     """Hosts with these words side by side in a label, joined by hyphens."""
-    pattern = r"^(?:[^ ]*[^a-z0-9 ])?{}(?:[^a-z0-9 ][^ ]*)? "
+    pattern = r"^(?:[^?]*[^a-z0-9?])?{}(?:[^a-z0-9?][^?]*)?\?"
     return [Rule("-".join(x.split()), verdict, pattern.format("-".join(map(re.escape, x.split()))), tuple(x.split())) for x in words]
 
 
@@ -52,11 +53,11 @@ BASE_RULES = (
 #: Spam by words of the host, and paths of trackers and shops; no list of sites.
 PATTERN_RULES = (
     *host_words(BLOCK, "casino win", "casino", "free bets", "bets", "cheap pills", "pills", "poker online", "payday loans", "adult dating", "replica watches"),
-    Rule("path:ads", BLOCK, r" (?:/[^/ ]+)*/ads?/", ("ads",)),
-    Rule("path:adserver", BLOCK, r" (?:/[^/ ]+)*/adserver(?:/|$)", ("adserver",)),
-    Rule("path:affiliate", BLOCK, r" (?:/[^/ ]+)*/affiliate/", ("affiliate",)),
-    Rule("path:cgi", BLOCK, r" /cgi-bin/", ("cgi", "bin")),
-    Rule("path:calendar", BLOCK, r" (?:/[^/ ]+)*/calendar/[0-9]{4}/[0-9]{1,2}(?:/|$)", ("calendar",)),
+    Rule("path:ads", BLOCK, r"\?(?:/[^/?]+)*/ads/", ("ads",)),
+    Rule("path:adserver", BLOCK, r"\?(?:/[^/?]+)*/adserver[/?]", ("adserver",)),
+    Rule("path:affiliate", BLOCK, r"\?(?:/[^/?]+)*/affiliate/", ("affiliate",)),
+    Rule("path:cgi", BLOCK, r"\?/cgi-bin/", ("cgi", "bin")),
+    Rule("path:calendar", BLOCK, r"\?(?:/[^/?]+)*/calendar/[0-9]{4}/[0-9]{1,2}[/?]", ("calendar",)),
 )
 DEFAULT_RULES = BASE_RULES + PATTERN_RULES
 
@@ -84,7 +85,7 @@ def rarest(rules: Sequence[Rule], counts: Mapping[str, int]) -> tuple[dict[str,
 
 
 def decide(url: str, rules: Sequence[Rule], compiled: Sequence[re.Pattern], index: Mapping[str, list[int]], always: Iterable[int]) -> Rule | None:
-    """The rule that decides on "host path"; only the candidates that the url's tokens fetch are run."""
+    """The rule that decides on "host?path?"; only the candidates that the url's tokens fetch are run."""
     candidates = {k for token in set(TOKEN.findall(url)) for k in index.get(token, ())} | set(always)
     found = [rules[k] for k in candidates if compiled[k].search(url)]
     return max(found, key=lambda x: (x.rank, len(x.name), x.name), default=None)
@@ -99,7 +100,7 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, default:
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     wanted = sorted({x for rule in rules for x in rule.tokens})
-    whole = F.concat_ws(" ", "host", "path")
+    whole = F.concat_ws("?", "host", "path")
     tokens = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(whole, F.lit("([a-z0-9]+)"), 1))).alias("token"))
     # as many rows as the rules have tokens
     counts = {x["token"]: x["count"] for x in tokens.where(F.col("token").isin(wanted)).groupBy("token").count().collect()}
@@ -109,7 +110,7 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, default:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         compiled = [re.compile(x) for x in patterns]
         hosts, paths = as_texts(batch.column("host")), as_texts(batch.column("path"))
-        found = [decide(f"{host} {path}", rules, compiled, index, always) for host, path in zip(hosts, paths, strict=True)]
+        found = [decide(f"{host}?{path}?", rules, compiled, index, always) for host, path in zip(hosts, paths, strict=True)]
         columns = [[x.verdict if x else default for x in found], [x.name if x else None for x in found], [x.rank if x else None for x in found]]
         kinds = [pa.string(), pa.string(), pa.int32()]
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], [*batch.schema.names, "verdict", "rule", "rank"])
