@@ -31,8 +31,8 @@ class BitSliced:
         padded[: self.rows] = values - self.low
         bits = (padded[:, :, None] >> np.arange(self.bits)) & 1
         packed = np.packbits(bits.astype(np.uint8).transpose(1, 2, 0), axis=-1, bitorder="little")
-        self.slices = packed.view(np.uint64)  # attribute, bit, words
-        self.words = self.slices.shape[2]
+        self.slices = np.ascontiguousarray(packed).view(np.uint64)  # attribute, bit, words
+        self.words = len(padded) // 64
         self.all = np.packbits(np.arange(self.words * 64) < self.rows, bitorder="little").view(np.uint64)
 
     def sums(self, query: np.ndarray) -> list[np.ndarray]:
@@ -126,7 +126,7 @@ def _meet(key: tuple, index: pd.DataFrame, asked: pd.DataFrame, top: int) -> pd.
             out["number"] += [number] * len(rows)
             out["id"] += ids[rows].tolist()
             out["score"] += (values[rows] @ q).tolist()
-    return pd.DataFrame(out)
+    return pd.DataFrame(out, dtype=np.int64)
 
 
 def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
