@@ -88,9 +88,9 @@ def to_training_rows(rows: DataFrame) -> DataFrame:
     kept = [c for c in ("question", "entity_refs", "required_tools", "chain", "verification", "coverage") if c in rows.columns]
     origin = F.col("provenance.source").alias("origin")
     rest = [F.col(f"provenance.{f.name}").alias(f.name) for f in rows.schema["provenance"].dataType.fields if f.name not in {"source", *kept}]
-    detail = F.to_json(F.struct(F.lit("bridge").alias("source"), origin, *kept, *rest), {"ignoreNullFields": "false"})
+    detail = F.to_json(F.struct(F.lit("generated").alias("source"), origin, *kept, *rest), {"ignoreNullFields": "false"})
     messages = chat_messages(F.col("question"), F.col("answer_draft"), F.col("required_tools"), F.col("chain"))
-    return rows.select("key", messages.alias("messages"), F.lit("bridge").alias("source"), detail.alias("provenance"))
+    return rows.select("key", messages.alias("messages"), F.lit("generated").alias("source"), detail.alias("provenance"))
 
 
 def external_rows(rows: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def assemble(pairs: DataFrame, external: DataFrame | None = None, config: MixCon
     for (source, _), n in by.items():
         sources[source] = sources.get(source, 0) + n
     report = {
-        **counts.asDict(), "n_external_in": sources.get("external", 0), "n_dupes_removed": counts["n_after_cutoffs"] - sources.get("bridge", 0),
+        **counts.asDict(), "n_external_in": sources.get("external", 0), "n_dupes_removed": counts["n_after_cutoffs"] - sources.get("generated", 0),
         "n_records_total": sum(by.values()), "n_train": sum(n for (_, x), n in by.items() if x == "train"), "n_valid": sum(n for (_, x), n in by.items() if x == "valid"), "sources": sources,
     }
     return mixed, report
