@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions import redaction
 from loomline.functions.text import canon, clipped, estimate_tokens, normalize_question, truncate
-from loomline.operators import corpus, credentials, metrics, mix, release, traces
+from loomline.operators import corpus, credentials, metrics, mix, release, search, traces
 from loomline.session import table
 
 SEED = 42
@@ -172,11 +172,26 @@ def corpus_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.corpus_chunks(files).select(F.col("path").alias("doc_id"), "pos", F.length("chunk").alias("chars"), F.md5("chunk").alias("hash"))
 
 
+def kb_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents, titled by their source and language, of three queries."""
+    docs = _docs(spark, sf_dir)
+    articles = docs.select(F.col("doc_id").alias("article_id"), F.concat_ws(" ", "source", "lang").alias("title"), F.col("text").alias("body"), F.lit("").alias("tags"), F.col("lang").alias("category"))
+    return search.search(articles, ["license token src1 en", "The password of src2", "de una"]).select("query", "place", "article_id", "category", F.round("score", 6).alias("score"), F.md5("snippet").alias("snippet"))
+
+
+def agreement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality labels against toxicity labels, as two judges; a made-up latency comes from the id."""
+    verdict = lambda good: F.when(good, "accept").otherwise("reject")
+    runs = F.array(F.lit(0.5), F.col("doc_id") % 10 / 10, F.lit(0.6))
+    labels = table(spark, sf_dir, "labels")
+    return search.agreement(labels.select(verdict(F.col("quality") == 1).alias("first"), verdict(F.col("toxic") == 0).alias("second"), runs.alias("runs"), (F.col("doc_id") % 97).alias("latency_ms")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         first_wins_dedupe, dedupe_report, quality_gate, mix_split, mix_sources_report, sft_messages, external_messages, eval_rows, token_length_stats, text_shapes, redact_email, redact_all,
-        pii_hit_counts, secret_scan, holdout_leak, release_verdict, entity_grounding, parametric_flags, corpus_chunks,
+        pii_hit_counts, secret_scan, holdout_leak, release_verdict, entity_grounding, parametric_flags, corpus_chunks, kb_search, agreement_report,
     )
 }
 
@@ -229,7 +244,18 @@ g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array
 bg AS (SELECT DISTINCT unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i : i + 7], ' '))) AS gram FROM bw WHERE len(w) >= 8),
 leaks AS (SELECT DISTINCT doc_id FROM g JOIN bg USING (gram))"""
 
+_WORDS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
+
 ORACLE_SQL = {
+    "kb_search": f"""WITH q(query) AS (VALUES ('license token src1 en'), ('The password of src2'), ('de una')), qw AS (SELECT query, {_WORDS_SQL.format("query")} AS w FROM q),
+      d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {_WORDS_SQL.format("source || ' ' || lang")} AS t, {_WORDS_SQL.format("source || ' ' || lang || ' ' || coalesce(text, '')")} AS h FROM documents),
+      s AS (SELECT query, doc_id, lang, text, (len(list_intersect(w, h)) + len(list_intersect(w, t))) / CAST(len(w) + 1 AS DOUBLE) AS score FROM d, qw),
+      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS INTEGER) AS place FROM s WHERE score > 0)
+      SELECT query, place, doc_id AS article_id, lang AS category, round(score, 6) AS score, md5(CASE WHEN length(text) > 220 THEN left(text, 220) || '...' ELSE text END) AS snippet FROM r WHERE place <= 5""",
+    "agreement_report": """WITH j AS (SELECT quality = 1 AS a, toxic = 0 AS b, doc_id % 10 / 10.0::DOUBLE AS p, doc_id % 97 AS l FROM labels)
+      SELECT count(*) AS n, round(avg(CASE WHEN a = b THEN 1.0 ELSE 0 END), 4) AS agreement, count(*) FILTER (WHERE a) AS first_accepts, count(*) FILTER (WHERE b) AS second_accepts,
+        round(coalesce(avg(greatest(p, 0.6) - least(p, 0.5)) FILTER (WHERE a), 0), 3) AS mean_spread, count(*) FILTER (WHERE a AND p < 0.5) AS flips, max(l) AS latency_max,
+        (SELECT l FROM j ORDER BY l LIMIT 1 OFFSET (SELECT count(*) // 2 FROM j)) AS latency_p50 FROM j""",
     "first_wins_dedupe": f"SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY {_NORM_SQL} ORDER BY doc_id) AS k FROM documents) WHERE k = 1",
     "dedupe_report": f"SELECT CAST(sum(n) AS BIGINT) AS n_in, count(*) AS n_unique, CAST(sum(n) - count(*) AS BIGINT) AS n_dupes, max(n) AS largest FROM (SELECT {_NORM_SQL} AS k, count(*) AS n FROM documents GROUP BY 1)",
     "quality_gate": f"WITH {_JUDGED_SQL} SELECT doc_id, passes FROM judged",

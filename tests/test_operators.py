@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from loomline.operators import composability, corpus, credentials, graph, metrics, mix, probe, refine, release, sampling, traces, verify
+from loomline.operators import composability, corpus, credentials, graph, metrics, mix, probe, refine, release, sampling, search, traces, verify
 
 STEP = "array<struct<tool:string,tool_input:string,result_preview:string>>"
 SCHEMA = '{"properties": {%s}}'
@@ -515,3 +515,18 @@ def test_scores_and_splits(spark):
     assert {x["fold"] for x in probe.split_rows(tickets(spark, 5), "id").collect()} == {"both"}
     folds = [x["fold"] for x in probe.split_rows(tickets(spark, 50), "id").collect()]
     assert folds.count("train") == math.floor(0.8 * 50)
+
+
+def test_search(spark):
+    rows = [("KB-1", "Printer jam", "Open the tray. " * 40, "paper", "hw"), ("KB-2", "VPN", "the printer is not here", None, "net"), ("KB-3", None, None, "none", "x")]
+    articles = spark.createDataFrame(rows, "article_id string, title string, body string, tags string, category string")
+    found = search.search(articles, ["PRINTER tray!", "", "vpn"], 2).orderBy("query", "place").collect()
+    assert [(x["query"], x["place"], x["article_id"], round(x["score"], 4)) for x in found] == [("PRINTER tray!", 1, "KB-1", 1.0), ("PRINTER tray!", 2, "KB-2", 0.3333), ("vpn", 1, "KB-2", 1.0)]
+    assert len(found[0]["snippet"]) == 223 and found[0]["snippet"].endswith("...")
+    assert search.search(articles, ["printer"], 0).count() == 1
+
+
+def test_agreement(spark):
+    rows = [("accept", "accept", [0.8, 0.4, 0.9], 5), ("accept", "reject", [0.3], 1), ("reject", "reject", [], 9), ("reject", "accept", [None], 7)]
+    x = search.agreement(spark.createDataFrame(rows, "first string, second string, runs array<double>, latency_ms long")).first()
+    assert (x["n"], x["agreement"], x["first_accepts"], x["second_accepts"], x["mean_spread"], x["flips"], x["latency_p50"], x["latency_max"]) == (4, 0.5, 2, 2, 0.25, 1, 7, 9)
