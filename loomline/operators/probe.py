@@ -38,7 +38,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, most: int = 5)
     """(pos, name, type, cardinality, missing_frac, min, max, mean, top_values) of each column.
 
     Numbers have least, greatest and mean; other columns have their most frequent values, ties by text. Scalars come from
-    one pass over the table, top values from a second one.
+    one pass over the table; the values of all columns are counted in a second one, whose exchange serves both the
+    cardinalities and the top values.
     """
     columns = list(columns or df.columns)
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -47,25 +48,23 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, most: int = 5)
     aggregates = [F.count("*").alias("_rows")]
     for k, c in enumerate(columns):
         of = F.col(f"`{c}`")
-        aggregates += [
-            F.count(of).alias(f"n{k}"), F.countDistinct(of).alias(f"d{k}"), is_numeric(of, kinds[c]).alias(f"k{k}"),
-            F.min(number(c)).alias(f"a{k}"), F.max(number(c)).alias(f"b{k}"), F.avg(number(c)).alias(f"m{k}"),
-        ]
+        aggregates += [F.count(of).alias(f"n{k}"), is_numeric(of, kinds[c]).alias(f"k{k}"), F.min(number(c)).alias(f"a{k}"), F.max(number(c)).alias(f"b{k}"), F.avg(number(c)).alias(f"m{k}")]
     missing = lambda k: F.when(F.col("_rows") > 0, F.round(1 - F.col(f"n{k}") / F.col("_rows"), 4)).otherwise(0.0)
     shown = lambda k, x: F.when(F.col(f"k{k}"), F.col(f"{x}{k}"))
     rows = F.array(*(
-        F.struct(F.lit(k).alias("pos"), F.lit(c).alias("name"), F.when(F.col(f"k{k}"), NUMERIC).otherwise(CATEGORICAL).alias("type"), F.col(f"d{k}").alias("cardinality"), missing(k).alias("missing_frac"), shown(k, "a").alias("min"), shown(k, "b").alias("max"), F.round(shown(k, "m"), 4).alias("mean"))
+        F.struct(F.lit(k).alias("pos"), F.lit(c).alias("name"), F.when(F.col(f"k{k}"), NUMERIC).otherwise(CATEGORICAL).alias("type"), missing(k).alias("missing_frac"), shown(k, "a").alias("min"), shown(k, "b").alias("max"), F.round(shown(k, "m"), 4).alias("mean"))
         for k, c in enumerate(columns)
     ))
     scalars = cut(typed.agg(*aggregates).select(F.explode(rows).alias("x")).select("x.*"))
-    named = F.array(*(F.struct(F.lit(k).alias("pos"), F.col(f"`{c}`").cast("string").alias("value")) for k, c in enumerate(columns)))
-    cells = typed.select(F.explode(named).alias("x")).select("x.*").where("value is not null")
-    texts = scalars.where(F.col("type") == CATEGORICAL).select("pos")
-    counted = cells.join(F.broadcast(texts), "pos").groupBy("pos", "value").agg(F.count("*").alias("count"))
+    text = lambda c: (F.col(f"`{c}`") + F.lit(0.0)).cast("string") if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else F.col(f"`{c}`").cast("string")
+    cells = typed.select(F.explode(F.array(*(F.struct(F.lit(k).alias("pos"), text(c).alias("value")) for k, c in enumerate(columns)))).alias("x")).select("x.*")
+    counted = cells.where("value is not null").groupBy("pos", "value").agg(F.count("*").alias("count"))
+    cardinality = counted.groupBy("pos").agg(F.count("*").alias("cardinality"))
     place = F.row_number().over(Window.partitionBy("pos").orderBy(F.desc("count"), "value"))
     top = counted.withColumn("place", place).where(F.col("place") <= most).groupBy("pos")
-    listed = top.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "count"))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias("top_values"))
-    return scalars.join(listed, "pos", "left")
+    listed = top.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "count"))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias("listed"))
+    joined = scalars.join(cardinality, "pos", "left").join(listed, "pos", "left")
+    return joined.select("pos", "name", "type", F.coalesce("cardinality", F.lit(0)).alias("cardinality"), "missing_frac", "min", "max", "mean", F.when(F.col("type") == CATEGORICAL, F.col("listed")).alias("top_values"))
 
 
 def auto_targets(profiled: DataFrame, least: int = 2, most: int = 10, first: int = 3) -> DataFrame:
