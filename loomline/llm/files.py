@@ -14,8 +14,8 @@ from pyarrow import fs
 
 
 def resolved(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of ``uri`` and the path within it; file:/a and /a mean file:///a."""
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+|^/+", "file:///", uri))
+    """The file system of ``uri`` and the path within it; file:/a and /a mean file:///a, s3a: means s3:."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+|^/+", "file:///", uri)))
 
 
 def attempt_name(folder: str, suffix: str) -> str:
