@@ -50,9 +50,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Arrow batches between the JVM and Python, where the session has Spark's defaults: a batch of long texts takes its
+#: size several times over, in both processes and for each core.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "4096"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(8 << 20))}
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once for each context."""
+    """Sends this package to the Python workers, once for each context, and bounds the session's Arrow batches."""
     sc = spark.sparkContext
+    for key, (default, bound) in BATCHES.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, bound)
     if getattr(sc, "_loomline_shipped", False):
         return
     target = Path(tempfile.mkdtemp(prefix="loomline-")) / "loomline_package.zip"
