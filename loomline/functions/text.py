@@ -39,6 +39,12 @@ def first_filled(*candidates: Column, default: str = "") -> Column:
     return F.coalesce(*(F.nullif(c, F.lit("")) for c in candidates), F.lit(default))
 
 
+def filled(template: str, *values: Column) -> Column:
+    """``template`` with a value in each place that is marked {}."""
+    first, *rest = template.split("{}")
+    return F.concat(F.lit(first), *(x for value, text in zip(values, rest, strict=True) for x in (value.cast("string"), F.lit(text))))
+
+
 def normalize_question(text: Column) -> Column:
     """Lower case without punctuation, words one space apart."""
     bare = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\s]", "")

@@ -9,13 +9,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.functions.text import estimate_tokens
+from loomline.functions.text import estimate_tokens, filled
 from loomline.operators.traces import grounded, parse_reply, prompt_column, with_model
 from loomline.operators.verify import coverage, verify
 from loomline.session import cut
 
 KEYS = ["sample_id", "chain_pos"]
 
+# The wording of a critique, with a place for each value.
+MISSING_TOOL = "The chain calls tool '{}' which is not available. Rewrite the question so it only needs available tools, or fix the tool name."
+BAD_ARGUMENTS = "Step {} ({}) has invalid arguments: {}. Correct the tool arguments."
+FAILED_STEP = "Step {} ({}) failed when executed: {}. Adjust the chain usage."
+LOW_COVERAGE = "Only {} of consecutive tool pairs are composable according to the ToolKG (minimum {}). Prefer tool sequences whose outputs feed the next tool's inputs."
+UNGROUNDED = "The question is not anchored to any knowledge-graph entity."
+NAME_ONE_OF = " Name one of these exact KG entities in the question: {}."
+NAME_ANY = " Name a real entity from the KG context in the question."
+EMPTY_ANSWER = "The answer draft is empty. Write an answer that the tool chain results support."
+CRITIQUE_HEAD = "\n\n## Critique of your previous attempt\nAddress EVERY point below in your regenerated QUESTION and ANSWER:\n"
+
 
 @dataclass(frozen=True)
 class RefineConfig:
@@ -52,24 +63,22 @@ def _percent(x: Column) -> Column:
 
 def critique(config: RefineConfig = RefineConfig()) -> Column:
     """What to mend in a scored row, in order: tools, arguments, failures, coverage, grounding, answer."""
-    v = F.col("verification")
-    quoted = lambda x: F.concat(F.lit("'"), x, F.lit("'"))
-    missing = F.transform(v["missing_tools"], lambda t: F.concat(F.lit("The chain calls tool "), quoted(t), F.lit(" which is not available. Rewrite the question so it only needs available tools, or fix the tool name.")))
-    bad = F.transform(v["schema_mismatches"], lambda m: F.concat(F.lit("Step "), m["step"].cast("string"), F.lit(" ("), m["tool"], F.lit(") has invalid arguments: "), F.array_join(m["problems"], "; "), F.lit(". Correct the tool arguments.")))
+    v, none = F.col("verification"), F.array().cast("array<string>")
+    missing = F.transform(v["missing_tools"], lambda tool: filled(MISSING_TOOL, tool))
+    bad = F.transform(v["schema_mismatches"], lambda m: filled(BAD_ARGUMENTS, m["step"], m["tool"], F.array_join(m["problems"], "; ")))
     broken = F.filter(v["executed_steps"], lambda s: ~s["ok"] & s["error"].isNotNull() & ~F.contains(s["error"], F.lit("missing tool")))
-    failed = F.transform(broken, lambda s: F.concat(F.lit("Step "), s["step"].cast("string"), F.lit(" ("), s["tool"], F.lit(") failed when executed: "), s["error"], F.lit(". Adjust the chain usage.")))
-    none = F.array().cast("array<string>")
+    failed = F.transform(broken, lambda s: filled(FAILED_STEP, s["step"], s["tool"], s["error"]))
     steps = F.when(v["chain_valid"], none).otherwise(F.concat(*(F.coalesce(x, none) for x in (missing, bad, failed))))
-    thin = F.when(F.col("coverage") < config.min_coverage, F.concat(F.lit("Only "), _percent(F.col("coverage")), F.lit(f" of consecutive tool pairs are composable according to the ToolKG (minimum {config.min_coverage:.0%}). Prefer tool sequences whose outputs feed the next tool's inputs.")))
-    name = F.when(F.size("entity_refs") > 0, F.concat(F.lit(" Name one of these exact KG entities in the question: "), F.array_join("entity_refs", ", "), F.lit("."))).otherwise(" Name a real entity from the KG context in the question.")
-    loose = F.when(F.lit(config.require_entities) & ~F.col("entity_grounded"), F.concat(F.lit("The question is not anchored to any knowledge-graph entity."), name))
-    empty = F.when(F.trim(F.coalesce("answer_draft", F.lit(""))) == "", "The answer draft is empty. Write an answer that the tool chain results support.")
+    thin = F.when(F.col("coverage") < config.min_coverage, filled(LOW_COVERAGE, _percent(F.col("coverage")), F.lit(f"{config.min_coverage:.0%}")))
+    name = F.when(F.size("entity_refs") > 0, filled(NAME_ONE_OF, F.array_join("entity_refs", ", "))).otherwise(NAME_ANY)
+    loose = F.when(F.lit(config.require_entities) & ~F.col("entity_grounded"), F.concat(F.lit(UNGROUNDED), name))
+    empty = F.when(F.trim(F.coalesce("answer_draft", F.lit(""))) == "", EMPTY_ANSWER)
     return F.concat(steps, F.filter(F.array(thin, loose, empty), lambda x: x.isNotNull()))
 
 
 def critique_block(issues: Column) -> Column:
     """The critique as the end of a prompt."""
-    return F.concat(F.lit("\n\n## Critique of your previous attempt\nAddress EVERY point below in your regenerated QUESTION and ANSWER:\n"), F.array_join(F.transform(issues, lambda x: F.concat(F.lit("- "), x)), "\n"), F.lit("\n"))
+    return F.concat(F.lit(CRITIQUE_HEAD), F.array_join(F.transform(issues, lambda x: F.concat(F.lit("- "), x)), "\n"), F.lit("\n"))
 
 
 def semantic_filter(rows: DataFrame, keep: Callable[[dict], bool] | None) -> DataFrame:

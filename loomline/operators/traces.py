@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomline.functions.facts import ANSWER_FALLBACK, expected_outcome, request_verb
-from loomline.functions.text import clipped
+from loomline.functions.text import clipped, filled
 from loomline.session import ship
 
 #: A sample as JSON: dynamic keys as a map, each step a pair of an action and a result as they are written.
@@ -19,8 +19,15 @@ ACTION_SCHEMA = "struct<tool:string, tool_input:string, log:string, tool_call_id
 STEP = "struct<tool:string, tool_input:string, result_preview:string>"
 PREVIEW_CHARS = 300
 
+# The wording of messages and of drafts, with a place for each value.
 SYSTEM_PROMPT = "You are a helpful assistant that answers questions by calling tools. Use the tools listed; do not rely on general knowledge."
 
+USER_MESSAGE = "{}\n\nAvailable tools: {}"
+ASSISTANT_MESSAGE = "Executed chain:\n{}\n\nAnswer: {}"
+STEP_LINE = "{}. {}({}) -> {}"
+QUESTION = "Use the {}{} to {} the following: {}."
+ANSWER = ANSWER_FALLBACK + " Chain: {} ({}). Key result: {}"
+
 
 def extract_chains(samples: DataFrame) -> DataFrame:
     """(sample_id, chain_pos, chain_id, description, chain): one row for each chain with a step that names a tool.
@@ -73,11 +80,11 @@ def template_question(chain: Column, refs: Column) -> Column:
     tools = tools_of(chain)
     anchor = F.when(F.size(refs) > 0, F.array_join(refs, ", ")).otherwise("the data")
     noun = F.when(F.size(tools) > 1, " tools").otherwise(" tool")
-    return F.concat(F.lit("Use the "), F.array_join(tools, ", "), noun, F.lit(" to "), request_verb(F.get(tools, 0)), F.lit(" the following: "), anchor, F.lit("."))
+    return filled(QUESTION, F.array_join(tools, ", "), noun, request_verb(F.get(tools, 0)), anchor)
 
 
 def template_answer(chain_id: Column, description: Column, chain: Column) -> Column:
-    return F.concat(F.lit(f"{ANSWER_FALLBACK} Chain: "), chain_id, F.lit(" ("), description, F.lit("). Key result: "), F.get(chain, 0)["result_preview"])
+    return filled(ANSWER, chain_id, description, F.get(chain, 0)["result_preview"])
 
 
 def parse_reply(text: Column) -> Column:
@@ -113,7 +120,7 @@ def with_model(df: DataFrame, prompt_col: str, out_col: str, model: Callable[[st
 
 def chain_text(chain_id: Column, description: Column, chain: Column) -> Column:
     """A chain as the prompt shows it."""
-    lines = F.transform(chain, lambda x, i: F.concat(F.lit("  "), (i + 1).cast("string"), F.lit(". "), x["tool"], F.lit("("), x["tool_input"], F.lit(") -> "), x["result_preview"]))
+    lines = F.transform(chain, lambda x, i: filled("  " + STEP_LINE, i + 1, x["tool"], x["tool_input"], x["result_preview"]))
     return F.concat(F.lit("Chain "), chain_id, F.lit(": "), description, F.lit("\n"), F.array_join(lines, "\n"))
 
 
@@ -188,9 +195,9 @@ def generation_stats(samples: DataFrame, rows: DataFrame) -> DataFrame:
 def chat_messages(question: Column, answer: Column, tools: Column, chain: Column) -> Column:
     """System, user and assistant messages; the assistant's shows the executed steps before the answer."""
     message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    lines = F.transform(chain, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x["tool"], F.lit("("), x["tool_input"], F.lit(") -> "), x["result_preview"]))
-    asked = F.concat(question, F.lit("\n\nAvailable tools: "), F.array_join(tools, ", "))
-    told = F.concat(F.lit("Executed chain:\n"), F.array_join(lines, "\n"), F.lit("\n\nAnswer: "), answer)
+    lines = F.transform(chain, lambda x, i: filled(STEP_LINE, i + 1, x["tool"], x["tool_input"], x["result_preview"]))
+    asked = filled(USER_MESSAGE, question, F.array_join(tools, ", "))
+    told = filled(ASSISTANT_MESSAGE, F.array_join(lines, "\n"), answer)
     return F.array(message("system", F.lit(SYSTEM_PROMPT)), message("user", asked), message("assistant", told))
 
 
