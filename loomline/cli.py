@@ -29,7 +29,9 @@ def init(args: argparse.Namespace) -> int:
 
 def validate_config(args: argparse.Namespace) -> int:
     config = load(args.config)
-    print(f"config OK: {config.name}; catalogs: {', '.join(x.name for x in config.catalogs)}; kg_source: {config.domain.kg_source}; output: {config.output.dir}")
+    print(
+        f"config OK: {config.name}; catalogs: {', '.join(x.name for x in config.catalogs)}; kg_source: {config.domain.kg_source}; output: {config.output.dir}"
+    )
     return 0
 
 

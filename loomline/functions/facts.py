@@ -7,7 +7,26 @@ from pyspark.sql import functions as F
 
 # Keys by which a fact is preferred, and verbs of tools that change what they act on.
 SALIENT_KEYS = ("status", "state", "id", "name", "title", "number", "key", "result", "count", "priority", "severity")
-MUTATING_VERBS = ("create", "open", "add", "file", "update", "modify", "set", "append", "delete", "remove", "close", "assign", "escalate", "approve", "reject", "resolve", "submit", "cancel")
+MUTATING_VERBS = (
+    "create",
+    "open",
+    "add",
+    "file",
+    "update",
+    "modify",
+    "set",
+    "append",
+    "delete",
+    "remove",
+    "close",
+    "assign",
+    "escalate",
+    "approve",
+    "reject",
+    "resolve",
+    "submit",
+    "cancel",
+)
 #: Verbs of a request by the tool's verb.
 REQUEST_VERBS = {
     "create": "create", "open": "open", "add": "add", "file": "file", "get": "look up", "fetch": "fetch", "retrieve": "retrieve",
@@ -36,7 +55,9 @@ def _scalars(json: Column) -> Column:
         # the raw JSON of the value tells its type: a string keeps its quotes
         path = F.concat(F.lit("$['"), key, F.lit("']"))
         value = F.call_function("get_json_object", json, path)
-        kind = F.schema_of_variant(F.call_function("try_variant_get", F.try_parse_json(json), F.concat(F.lit('$["'), key, F.lit('"]')), F.lit("variant")))
+        kind = F.schema_of_variant(
+            F.call_function("try_variant_get", F.try_parse_json(json), F.concat(F.lit('$["'), key, F.lit('"]')), F.lit("variant"))
+        )
         text = F.when(kind == "BOOLEAN", F.initcap(value)).when(kind.isin("STRING", "BIGINT"), value)
         return F.struct(key.alias("key"), text.alias("value"))
 
@@ -57,7 +78,10 @@ def salient_fact(preview: Column) -> Column:
     """(key, value) that a JSON object reports, at its top or else in an object directly below; null if none."""
     sound = F.when(F.try_parse_json(preview).isNotNull() & F.ltrim(preview).startswith("{"), preview)
     keys = F.json_object_keys(sound)
-    nested = F.filter(F.transform(keys, lambda key: F.call_function("get_json_object", sound, F.concat(F.lit("$['"), key, F.lit("']")))), lambda x: x.isNotNull() & x.startswith("{"))
+    nested = F.filter(
+        F.transform(keys, lambda key: F.call_function("get_json_object", sound, F.concat(F.lit("$['"), key, F.lit("']")))),
+        lambda x: x.isNotNull() & x.startswith("{"),
+    )
     below = F.filter(F.transform(nested, lambda x: _preferred(_scalars(x))), lambda x: x.isNotNull())
     return F.coalesce(_preferred(_scalars(sound)), F.try_element_at(below, F.lit(1))).cast(_FACT)
 
@@ -69,7 +93,9 @@ def expected_outcome(tool: Column, preview: Column) -> Column:
     told = F.concat(fact["key"], F.lit("="), fact["value"])
     applied = F.concat(tool, F.when(mutating, F.lit(" applied: ")).otherwise(F.lit(" observed: ")), told)
     return F.struct(
-        F.when(fact.isNotNull(), F.concat(tool, F.lit(" result reports "), told)).otherwise(F.concat(tool, F.lit(" completed with the recorded result"))).alias("description"),
+        F.when(fact.isNotNull(), F.concat(tool, F.lit(" result reports "), told)).otherwise(F.concat(tool, F.lit(" completed with the recorded result"))).alias(
+            "description"
+        ),
         F.coalesce(fact["value"], F.trim(F.substring(preview, 1, 60))).alias("assertion"),
         F.when(fact.isNotNull(), applied).when(mutating, F.concat(tool, F.lit(" applied"))).alias("state_after"),
     )

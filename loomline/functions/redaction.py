@@ -17,7 +17,11 @@ PATTERNS: tuple[Pattern, ...] = (
     ("openrouter_key", r"sk-or-[A-Za-z0-9\-_]{16,}", "[REDACTED_KEY]"),
     ("aws_access_key", r"AKIA[0-9A-Z]{16}", "[REDACTED_AWS_KEY]"),
     ("private_key_block", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----", "[REDACTED_PRIVATE_KEY]"),
-    ("api_key_assignment", r"(?i)\b(api[_-]?key|secret|client[_-]?secret|access[_-]?token)\b\s*[:=]\s*['\"]?[\w\-.]{12,}['\"]?", "[REDACTED_CREDENTIAL]"),
+    (
+        "api_key_assignment",
+        r"(?i)\b(api[_-]?key|secret|client[_-]?secret|access[_-]?token)\b\s*[:=]\s*['\"]?[\w\-.]{12,}['\"]?",
+        "[REDACTED_CREDENTIAL]",
+    ),
     ("bearer_token", r"(?i)bearer\s+[A-Za-z0-9\-._~+/]{16,}={0,2}", "[REDACTED_TOKEN]"),
     ("phone", r"(?<!\d)(?:\+?1[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?)?\d{3}[-.\s]?\d{4}(?!\d)", "[REDACTED_PHONE]"),
     ("ssn", r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)", "[REDACTED_SSN]"),
@@ -42,7 +46,9 @@ def with_redaction(df: DataFrame, text_col: str, out_col: str | None = None, hit
     for k, (_, pattern, replacement) in enumerate(patterns):
         now = F.col(f"_t{k}")
         count = F.when(now.rlike(pattern), F.regexp_count(now, F.lit(pattern))).otherwise(0).cast("long")
-        step = step.withColumns({f"_n{k}": F.coalesce(count, F.lit(0).cast("long")), f"_t{k + 1}": F.regexp_replace(now, pattern, replacement)})
+        step = step.withColumns(
+            {f"_n{k}": F.coalesce(count, F.lit(0).cast("long")), f"_t{k + 1}": F.regexp_replace(now, pattern, replacement)}
+        )
     pairs = F.array(*(F.struct(F.lit(label).alias("key"), F.col(f"_n{k}").alias("value")) for k, (label, _, _) in enumerate(patterns)))
     hits = F.map_from_entries(F.filter(pairs, lambda x: x["value"] > 0))
     done = step.withColumn(hits_col, hits).withColumn(out_col or text_col, F.col(f"_t{len(patterns)}"))
@@ -52,5 +58,11 @@ def with_redaction(df: DataFrame, text_col: str, out_col: str | None = None, hit
 def hit_totals(df: DataFrame, text_col: str, patterns: Sequence[Pattern] = PATTERNS) -> DataFrame:
     """(label, hits): replacements by label over all rows, labels without any included."""
     found = with_redaction(df.select(text_col), text_col, patterns=patterns)
-    sums = found.agg(*(F.coalesce(F.sum(F.try_element_at("pii_redactions", F.lit(label))), F.lit(0)).cast("long").alias(label) for label, _, _ in patterns))
-    return sums.select(F.explode(F.array(*(F.struct(F.lit(label).alias("label"), F.col(label).alias("hits")) for label, _, _ in patterns))).alias("x")).select("x.*")
+    sums = found.agg(
+        *(
+            F.coalesce(F.sum(F.try_element_at("pii_redactions", F.lit(label))), F.lit(0)).cast("long").alias(label) for label, _, _ in patterns
+        )
+    )
+    return sums.select(F.explode(F.array(*(F.struct(F.lit(label).alias("label"), F.col(label).alias("hits")) for label, _, _ in patterns))).alias("x")).select(
+        "x.*"
+    )

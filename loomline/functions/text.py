@@ -61,7 +61,9 @@ def singular(token: Column) -> Column:
     size = F.length(token)
     ies = (size > 4) & token.endswith("ies")
     plural = (size > 3) & token.endswith("s") & ~token.endswith("ss") & ~token.endswith("us")
-    return F.when(ies, F.concat(F.substring(token, F.lit(1), size - 3), F.lit("y"))).when(plural, F.substring(token, F.lit(1), size - 1)).otherwise(token)
+    return F.when(ies, F.concat(F.substring(token, F.lit(1), size - 3), F.lit("y"))).when(plural, F.substring(token, F.lit(1), size - 1)).otherwise(
+        token
+    )
 
 
 def name_tokens(name: Column) -> Column:

@@ -10,7 +10,30 @@ from loomline.functions.text import name_tokens, normalize_type, types_compatibl
 # Threshold, bonus, tokens that say nothing alone, and outputs that a description suggests (in order).
 THRESHOLD = 0.34
 TYPE_BONUS = 0.15
-GENERIC = ("id", "ids", "title", "name", "names", "status", "state", "type", "kind", "description", "desc", "info", "data", "value", "result", "results", "item", "items", "list", "count", "total", "summary")
+GENERIC = (
+    "id",
+    "ids",
+    "title",
+    "name",
+    "names",
+    "status",
+    "state",
+    "type",
+    "kind",
+    "description",
+    "desc",
+    "info",
+    "data",
+    "value",
+    "result",
+    "results",
+    "item",
+    "items",
+    "list",
+    "count",
+    "total",
+    "summary",
+)
 SUGGESTED_OUTPUTS = (
     (("path", "filepath", "file"), "path", "path"),
     (("directory", "folder"), "path", "path"),
@@ -26,7 +49,9 @@ PROPS = "array<struct<name:string,type:string>>"
 def suggested_outputs(description: Column) -> Column:
     """Outputs by the words of a description; of several of one name, the first."""
     tokens = name_tokens(F.coalesce(description, F.lit("")))
-    rules = [F.when(F.arrays_overlap(tokens, F.array(*map(F.lit, words))), F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"))) for words, name, kind in SUGGESTED_OUTPUTS]
+    rules = [
+        F.when(F.arrays_overlap(tokens, F.array(*map(F.lit, words))), F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"))) for words, name, kind in SUGGESTED_OUTPUTS
+    ]
     return F.array_distinct(F.filter(F.array(*rules), lambda x: x.isNotNull())).cast(PROPS)
 
 
@@ -38,7 +63,9 @@ def input_properties(schema: Column) -> Column:
     def prop(key: Column) -> Column:
         spec = F.call_function("get_json_object", properties, F.concat(F.lit("$['"), key, F.lit("']")))
         of = lambda field: F.when(spec.startswith("{"), F.get_json_object(spec, f"$.{field}"))
-        return F.struct(key.alias("name"), normalize_type(of("type")).alias("type"), F.coalesce(of("description"), F.lit("")).alias("description"))
+        return F.struct(
+            key.alias("name"), normalize_type(of("type")).alias("type"), F.coalesce(of("description"), F.lit("")).alias("description")
+        )
 
     return F.transform(keys, prop)
 
@@ -70,7 +97,13 @@ def pair_scores(given: DataFrame, wanted: DataFrame) -> DataFrame:
     """
 
     def tokens(df: DataFrame, prefix: str) -> DataFrame:
-        own = df.select(F.col("tool").alias(prefix), F.col("pos").alias(f"{prefix}_pos"), F.col("name").alias(f"{prefix}_name"), F.col("type").alias(f"{prefix}_type"), name_tokens(F.col("name")).alias("tokens"))
+        own = df.select(
+            F.col("tool").alias(prefix),
+            F.col("pos").alias(f"{prefix}_pos"),
+            F.col("name").alias(f"{prefix}_name"),
+            F.col("type").alias(f"{prefix}_type"),
+            name_tokens(F.col("name")).alias("tokens"),
+        )
         return own.select("*", F.size("tokens").alias(f"{prefix}_n"), F.explode("tokens").alias("token")).drop("tokens")
 
     met = tokens(given, "src").join(tokens(wanted, "dst"), "token").where("src <> dst")
@@ -79,7 +112,15 @@ def pair_scores(given: DataFrame, wanted: DataFrame) -> DataFrame:
     plain = 2.0 * F.col("shared") / (F.col("src_n") + F.col("dst_n"))
     fits = types_compatible(F.col("src_type"), F.col("dst_type"))
     score = F.when(F.col("generic"), plain * 0.5).when(fits, F.least(F.lit(1.0), plain + TYPE_BONUS)).otherwise(plain)
-    return shared.select("src", "dst", F.col("src_pos").alias("out_pos"), F.col("src_name").alias("out_name"), F.col("dst_pos").alias("in_pos"), F.col("dst_name").alias("in_name"), score.alias("score"))
+    return shared.select(
+        "src",
+        "dst",
+        F.col("src_pos").alias("out_pos"),
+        F.col("src_name").alias("out_name"),
+        F.col("dst_pos").alias("in_pos"),
+        F.col("dst_name").alias("in_name"),
+        score.alias("score"),
+    )
 
 
 def composability_edges(tools: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -92,7 +133,9 @@ def composability_edges(tools: DataFrame, threshold: float = THRESHOLD) -> DataF
     order = F.struct("score", -F.col("out_pos"), -F.col("in_pos"))
     via = F.concat_ws("->", "out_name", "in_name")
     best = pair_scores(given, wanted).groupBy("src", "dst").agg(F.max("score").alias("score"), F.max_by(via, order).alias("via"))
-    return best.where(F.col("score") >= threshold).select("src", "dst", F.lit("composable").alias("relation"), F.round("score", 3).alias("score"), "via")
+    return best.where(F.col("score") >= threshold).select(
+        "src", "dst", F.lit("composable").alias("relation"), F.round("score", 3).alias("score"), "via"
+    )
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame, node_col: str = "tool") -> DataFrame:
@@ -117,4 +160,6 @@ def neighborhood_density(edges: DataFrame, groups: DataFrame) -> DataFrame:
     a, b = members.withColumnRenamed("tool", "src"), members.withColumnRenamed("tool", "dst")
     sums = edges.where("src <> dst").join(a, "src").join(b, ["group", "dst"]).groupBy("group").agg(F.sum("score").alias("total"))
     n = F.col("n")
-    return sizes.join(sums, "group", "left").select("group", "n", F.when(n < 2, 0.0).otherwise(F.coalesce("total", F.lit(0.0)) / (n * (n - 1))).alias("density"))
+    return sizes.join(sums, "group", "left").select(
+        "group", "n", F.when(n < 2, 0.0).otherwise(F.coalesce("total", F.lit(0.0)) / (n * (n - 1))).alias("density")
+    )

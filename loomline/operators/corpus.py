@@ -46,10 +46,15 @@ def parse_extraction(reply: Column) -> Column:
     """The object between a reply's first { and last }; an error where there is none."""
     found = F.regexp_extract(F.coalesce(reply, F.lit("")), r"(?s)\{.*\}", 0)
     sound = F.when(F.try_parse_json(found).isNotNull() & found.startswith("{"), found)
-    return F.from_json(F.coalesce(sound, F.raise_error(F.concat(F.lit("no JSON object in the reply: "), F.substring(reply, 1, 200))).cast("string")), EXTRACTED)
+    return F.from_json(
+        F.coalesce(sound, F.raise_error(F.concat(F.lit("no JSON object in the reply: "), F.substring(reply, 1, 200))).cast("string")),
+        EXTRACTED,
+    )
 
 
-def corpus_graph(files: DataFrame, model: Callable[[str], str] | None, max_entities: int = 200, max_chunks: int = MAX_CHUNKS) -> tuple[DataFrame, DataFrame]:
+def corpus_graph(files: DataFrame, model: Callable[[str], str] | None, max_entities: int = 200, max_chunks: int = MAX_CHUNKS) -> tuple[
+    DataFrame, DataFrame
+]:
     """(nodes, edges) that ``model`` finds in the first ``max_chunks`` chunks, in the order of paths and places.
 
     The limit on calls of the model is taken before it is called. Errors without a model and without chunks.
@@ -62,8 +67,17 @@ def corpus_graph(files: DataFrame, model: Callable[[str], str] | None, max_entit
     replies = with_model(chunks.withColumn("prompt", F.concat(F.lit(PROMPT), "chunk")), "prompt", "reply", model)
     found = cut(replies.select("ord", parse_extraction(F.col("reply")).alias("x")))
     place = (F.col("ord") * 1000 + F.col("pos")).alias("ord")
-    entities = found.select("ord", F.posexplode("x.entities").alias("pos", "e")).where("trim(e.name) <> ''").select(place, "e.name", F.coalesce("e.type", F.lit("concept")).alias("type"), "e.description")
-    relations = found.select("ord", F.posexplode("x.relations").alias("pos", "r")).where("r.head <> '' and r.relation <> '' and r.tail <> ''").select(place, "r.head", "r.relation", "r.tail", "r.description")
-    ends = relations.select((F.col("ord") + 1_000_000_000).alias("ord"), F.explode(F.array("head", "tail")).alias("name"), F.lit("concept").alias("type"), F.lit("").alias("description"))
+    entities = found.select("ord", F.posexplode("x.entities").alias("pos", "e")).where("trim(e.name) <> ''").select(
+        place, "e.name", F.coalesce("e.type", F.lit("concept")).alias("type"), "e.description"
+    )
+    relations = found.select("ord", F.posexplode("x.relations").alias("pos", "r")).where("r.head <> '' and r.relation <> '' and r.tail <> ''").select(
+        place, "r.head", "r.relation", "r.tail", "r.description"
+    )
+    ends = relations.select(
+        (F.col("ord") + 1_000_000_000).alias("ord"),
+        F.explode(F.array("head", "tail")).alias("name"),
+        F.lit("concept").alias("type"),
+        F.lit("").alias("description"),
+    )
     new = ends.join(entities.select(F.trim("name").alias("name")), "name", "left_anti").select("ord", "name", "type", "description")
     return cap_entities(merge_entities(entities.unionByName(new)), merge_relations(relations), max_entities)

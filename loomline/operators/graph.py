@@ -47,7 +47,9 @@ def merge_entities(entities: DataFrame) -> DataFrame:
         F.min_by("description", "ord").alias("first"),
     )
     # a name that stands in for an empty first description gives way to longer ones only
-    kept = F.when(F.col("first") != "", F.col("longest")).when(F.length("longest") > F.length("id"), F.col("longest")).otherwise(F.col("id"))
+    kept = F.when(F.col("first") != "", F.col("longest")).when(F.length("longest") > F.length("id"), F.col("longest")).otherwise(
+        F.col("id")
+    )
     return merged.select("id", F.col("id").alias("entity_name"), F.array_join("types", "+").alias("entity_type"), kept.alias("description"))
 
 
@@ -58,7 +60,9 @@ def merge_relations(relations: DataFrame) -> DataFrame:
     """
     rows = relations.where((F.col("head") != F.col("tail")) & (F.trim("relation") != ""))
     described = first_filled(F.col("description"), F.concat_ws(" ", "head", "relation", "tail"))
-    row = F.struct("ord", F.col("head").alias("src"), F.col("tail").alias("dst"), F.trim("relation").alias("relation"), described.alias("description"))
+    row = F.struct(
+        "ord", F.col("head").alias("src"), F.col("tail").alias("dst"), F.trim("relation").alias("relation"), described.alias("description")
+    )
     first = rows.groupBy(F.least("head", "tail").alias("a"), F.greatest("head", "tail").alias("b")).agg(F.min(row).alias("row"))
     return first.select("row.src", "row.dst", "row.relation", "row.description")
 
@@ -78,7 +82,9 @@ def top_nodes(nodes: DataFrame, edges: DataFrame, most: int) -> DataFrame:
 def cap_entities(nodes: DataFrame, edges: DataFrame, most: int = 200) -> tuple[DataFrame, DataFrame]:
     """The graph that the ``most`` best connected nodes induce."""
     kept = cut(top_nodes(nodes, edges, most).select("id"))
-    inner = edges.join(kept.withColumnRenamed("id", "src"), "src", "left_semi").join(kept.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    inner = edges.join(kept.withColumnRenamed("id", "src"), "src", "left_semi").join(
+        kept.withColumnRenamed("id", "dst"), "dst", "left_semi"
+    )
     return nodes.join(kept, "id", "left_semi"), inner.select(edges.columns)
 
 
@@ -114,7 +120,9 @@ def ranked_triples(nodes: DataFrame, edges: DataFrame, config: ExportConfig = Ex
     named = best.select("rank", "src", "dst", relation.alias("relation"), truncate(described, config.max_desc_chars).alias("description"))
     name = nodes.select("id", _attribute(nodes, NAME_KEYS).alias("name"))
     heads = named.join(name.select(F.col("id").alias("src"), F.col("name").alias("head")), "src")
-    return heads.join(name.select(F.col("id").alias("dst"), F.col("name").alias("tail")), "dst").select("rank", "head", "relation", "tail", "description")
+    return heads.join(name.select(F.col("id").alias("dst"), F.col("name").alias("tail")), "dst").select(
+        "rank", "head", "relation", "tail", "description"
+    )
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -127,7 +135,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     labels = cut(nodes.select("id", F.col("id").alias("component")))
     while True:
         around = links.join(labels, links["dst"] == labels["id"]).groupBy("src").agg(F.min("component").alias("around"))
-        nearer = labels.join(around, labels["id"] == around["src"], "left").select("id", F.least("component", F.coalesce("around", "component")).alias("component"))
+        nearer = labels.join(around, labels["id"] == around["src"], "left").select(
+            "id", F.least("component", F.coalesce("around", "component")).alias("component")
+        )
         nearer = cut(nearer)
         jump = nearer.select(F.col("id").alias("component"), F.col("component").alias("farther"))
         now = cut(nearer.join(jump, "component", "left").select("id", F.coalesce("farther", "component").alias("component")))
@@ -147,22 +157,50 @@ def communities(nodes: DataFrame, edges: DataFrame, config: ExportConfig = Expor
     place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("degree"), "node"))
     first = inside.withColumn("place", place).where(F.col("place") <= config.members)
     name = nodes.select(F.col("id").alias("node"), _attribute(nodes, NAME_KEYS).alias("name"))
-    members = first.join(name, "node").groupBy("id", "size").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda x: x["name"]).alias("members"))
+    members = first.join(name, "node").groupBy("id", "size").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "name"))), lambda x: x["name"]).alias("members")
+    )
     more = F.when(F.size("members") > 5, F.lit(", …")).otherwise(F.lit(""))
-    summary = F.concat(F.lit("Topic cluster of "), F.col("size").cast("string"), F.lit(" entities, centered on "), F.array_join(F.slice("members", 1, 5), ", "), more, F.lit("."))
+    summary = F.concat(
+        F.lit("Topic cluster of "),
+        F.col("size").cast("string"),
+        F.lit(" entities, centered on "),
+        F.array_join(F.slice("members", 1, 5), ", "),
+        more,
+        F.lit("."),
+    )
     return members.select("id", "size", "members", summary.alias("summary"))
 
 
 def entity_line(name: Column, kind: Column, description: Column) -> Column:
-    return F.concat(F.lit("- "), name, F.lit(" ("), kind, F.lit(")"), F.when(description != "", F.concat(F.lit(": "), description)).otherwise(""))
+    return F.concat(
+        F.lit("- "), name, F.lit(" ("), kind, F.lit(")"), F.when(description != "", F.concat(F.lit(": "), description)).otherwise("")
+    )
 
 
 def triple_line(head: Column, relation: Column, tail: Column, description: Column) -> Column:
-    return F.concat(F.lit("- "), head, F.lit(" --"), relation, F.lit("--> "), tail, F.when(description != "", F.concat(F.lit(" — "), description)).otherwise(""))
+    return F.concat(
+        F.lit("- "),
+        head,
+        F.lit(" --"),
+        relation,
+        F.lit("--> "),
+        tail,
+        F.when(description != "", F.concat(F.lit(" — "), description)).otherwise(""),
+    )
 
 
 def community_line(id_: Column, size: Column, members: Column, summary: Column) -> Column:
-    return F.concat(F.lit("- Cluster "), id_.cast("string"), F.lit(" ("), size.cast("string"), F.lit(" entities): "), F.array_join(members, ", "), F.lit(". "), summary)
+    return F.concat(
+        F.lit("- Cluster "),
+        id_.cast("string"),
+        F.lit(" ("),
+        size.cast("string"),
+        F.lit(" entities): "),
+        F.array_join(members, ", "),
+        F.lit(". "),
+        summary,
+    )
 
 
 #: Characters of the three headings, of the blank lines between the sections and of the line ends around them.
@@ -173,8 +211,12 @@ def context_lines(entities: DataFrame, triples: DataFrame, clusters: DataFrame)
     """(section, rank, line): what the rendered context has besides its headings; sections 0, 1 and 2."""
     c = F.col
     first = entities.select(F.lit(0).alias("section"), "rank", entity_line(c("name"), c("entity_type"), c("description")).alias("line"))
-    second = triples.select(F.lit(1).alias("section"), "rank", triple_line(c("head"), c("relation"), c("tail"), c("description")).alias("line"))
-    third = clusters.select(F.lit(2).alias("section"), (c("id") + 1).alias("rank"), community_line(c("id"), c("size"), c("members"), c("summary")).alias("line"))
+    second = triples.select(
+        F.lit(1).alias("section"), "rank", triple_line(c("head"), c("relation"), c("tail"), c("description")).alias("line")
+    )
+    third = clusters.select(
+        F.lit(2).alias("section"), (c("id") + 1).alias("rank"), community_line(c("id"), c("size"), c("members"), c("summary")).alias("line")
+    )
     return first.unionByName(second).unionByName(third)
 
 
@@ -193,7 +235,9 @@ def fit_budget(lines: DataFrame, max_tokens: int, fixed: int = sum(map(len, HEAD
 def render(lines: DataFrame) -> DataFrame:
     """One row: the context as text."""
     titles = ("Domain entities:", "Key relationships:", "Topic clusters:")
-    heads = lines.sparkSession.createDataFrame([(k, 0, ("\n" if k else "") + title) for k, title in enumerate(titles)], "section int, rank int, line string")
+    heads = lines.sparkSession.createDataFrame(
+        [(k, 0, ("\n" if k else "") + title) for k, title in enumerate(titles)], "section int, rank int, line string"
+    )
     every = lines.select("section", "rank", "line").unionByName(heads)
     ordered = F.array_sort(F.collect_list(F.struct("section", "rank", "line")))
     return every.agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("text"))
@@ -221,7 +265,9 @@ def export_context(nodes: DataFrame, edges: DataFrame, directed: bool = False, c
     sizes = nodes.agg(F.count("*").alias("n")).join(edges.agg(F.count("*").alias("m"))).first()
     tokens = max(1, len(context_text(context)) // 4)
     context["meta"] = {
-        "node_count": sizes["n"], "edge_count": sizes["m"], "directed": directed, "exported_entities": len(entities), "exported_triples": len(triples),
+        "node_count": sizes["n"], "edge_count": sizes["m"], "directed": directed, "exported_entities": len(entities), "exported_triples": len(
+            triples
+        ),
         "exported_communities": len(clusters), "estimated_tokens": tokens, "max_tokens": config.max_tokens,
     }
     return context
@@ -233,7 +279,10 @@ def context_text(context: dict) -> str:
     sections = [
         ["Domain entities:", *(f"- {x['name']} ({x['entity_type']}){told(x, ': ')}" for x in context["entities"])],
         ["Key relationships:", *(f"- {x['head']} --{x['relation']}--> {x['tail']}{told(x, ' — ')}" for x in context["triples"])],
-        ["Topic clusters:", *(f"- Cluster {x['id']} ({x['size']} entities): {', '.join(x['members'])}. {x['summary']}" for x in context["communities"])],
+        [
+            "Topic clusters:",
+            *(f"- Cluster {x['id']} ({x['size']} entities): {', '.join(x['members'])}. {x['summary']}" for x in context["communities"]),
+        ],
     ]
     return "\n\n".join("\n".join(x) for x in sections)
 
@@ -243,44 +292,111 @@ def tool_graph(catalog: DataFrame, max_entities: int = 200, max_params: int = 25
     properties = F.get_json_object("input_schema", "$.properties")
     keys = F.slice(F.coalesce(F.json_object_keys(properties), F.array().cast("array<string>")), 1, max_params)
     required = F.coalesce(F.from_json(F.get_json_object("input_schema", "$.required"), "array<string>"), F.array().cast("array<string>"))
-    tools = catalog.select("ord", F.trim("name").alias("tool"), F.substring(F.coalesce("description", F.lit("")), 1, 500).alias("description"), properties.alias("properties"), keys.alias("keys"), required.alias("required"))
+    tools = catalog.select(
+        "ord",
+        F.trim("name").alias("tool"),
+        F.substring(F.coalesce("description", F.lit("")), 1, 500).alias("description"),
+        properties.alias("properties"),
+        keys.alias("keys"),
+        required.alias("required"),
+    )
     spec = F.call_function("get_json_object", "properties", F.concat(F.lit("$['"), F.col("param"), F.lit("']")))
     of = lambda field, default: F.coalesce(F.when(spec.startswith("{"), F.get_json_object(spec, f"$.{field}")), F.lit(default))
-    params = cut(tools.select("ord", "tool", "properties", "required", F.posexplode("keys").alias("pos", "param")).select("ord", "pos", "tool", "param", of("type", "string").alias("type"), F.substring(of("description", ""), 1, 300).alias("description"), F.array_contains("required", F.col("param")).alias("required")))
+    params = cut(
+        tools.select("ord", "tool", "properties", "required", F.posexplode("keys").alias("pos", "param")).select(
+            "ord",
+            "pos",
+            "tool",
+            "param",
+            of("type", "string").alias("type"),
+            F.substring(of("description", ""), 1, 300).alias("description"),
+            F.array_contains("required", F.col("param")).alias("required"),
+        )
+    )
     place = F.col("ord") * (max_params + 1)
     node = F.concat_ws(".", "tool", "param")
     entities = tools.select(place.alias("ord"), F.col("tool").alias("name"), F.lit("tool").alias("type"), "description")
-    entities = entities.unionByName(params.select((place + F.col("pos") + 1).alias("ord"), node.alias("name"), F.lit("parameter").alias("type"), "description"))
-    takes = F.concat(F.col("tool"), F.lit(" takes parameter "), F.col("param"), F.lit(" ("), F.col("type"), F.lit(")"), F.when(F.col("required"), " [required]").otherwise(""))
-    owned = params.select(F.struct(F.lit(0).alias("a"), F.lit("").alias("b"), F.lit("").alias("c"), (place + F.col("pos")).alias("d")).alias("ord"), F.col("tool").alias("head"), F.lit("has_parameter").alias("relation"), node.alias("tail"), takes.alias("description"))
+    entities = entities.unionByName(
+        params.select((place + F.col("pos") + 1).alias("ord"), node.alias("name"), F.lit("parameter").alias("type"), "description")
+    )
+    takes = F.concat(
+        F.col("tool"),
+        F.lit(" takes parameter "),
+        F.col("param"),
+        F.lit(" ("),
+        F.col("type"),
+        F.lit(")"),
+        F.when(F.col("required"), " [required]").otherwise(""),
+    )
+    owned = params.select(
+        F.struct(F.lit(0).alias("a"), F.lit("").alias("b"), F.lit("").alias("c"), (place + F.col("pos")).alias("d")).alias("ord"),
+        F.col("tool").alias("head"),
+        F.lit("has_parameter").alias("relation"),
+        node.alias("tail"),
+        takes.alias("description"),
+    )
     both = F.concat(F.lit("both take "), F.col("param"), F.lit(" ("), F.col("type"), F.lit(")"))
-    shared = shared_parameters(params).select(F.struct(F.lit(1).alias("a"), F.col("param").alias("b"), F.col("type").alias("c"), F.lit(0).cast("long").alias("d")).alias("ord"), F.col("a").alias("head"), F.lit("shares_parameter_with").alias("relation"), F.col("b").alias("tail"), both.alias("description"))
+    shared = shared_parameters(params).select(
+        F.struct(F.lit(1).alias("a"), F.col("param").alias("b"), F.col("type").alias("c"), F.lit(0).cast("long").alias("d")).alias("ord"),
+        F.col("a").alias("head"),
+        F.lit("shares_parameter_with").alias("relation"),
+        F.col("b").alias("tail"),
+        both.alias("description"),
+    )
     return cap_entities(merge_entities(entities), merge_relations(owned.unionByName(shared)), max_entities)
 
 
 def shared_parameters(params: DataFrame) -> DataFrame:
     """(a, b, param, type): tools a < b that take a parameter of the same name and type; ``params`` has (tool, param, type)."""
     own = params.select("tool", "param", "type").distinct()
-    return own.withColumnRenamed("tool", "a").join(own.withColumnRenamed("tool", "b"), ["param", "type"]).where("a < b").select("a", "b", "param", "type")
+    return own.withColumnRenamed("tool", "a").join(own.withColumnRenamed("tool", "b"), ["param", "type"]).where("a < b").select(
+        "a", "b", "param", "type"
+    )
 
 
 def spec_graph(entities: DataFrame, relations: DataFrame, max_entities: int = 200) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of an explicit spec: entities (ord, name, type, description), relations (ord, head, relation, tail,
     description). Ends that no entity names become concepts; a relation without a part is an error."""
-    broken = (F.coalesce(F.col("head"), F.lit("")) == "") | (F.coalesce(F.col("relation"), F.lit("")) == "") | (F.coalesce(F.col("tail"), F.lit("")) == "")
-    sound = relations.withColumn("head", F.when(broken, F.raise_error(F.lit("relation needs head, relation and tail"))).otherwise(F.col("head")).cast("string"))
-    given = entities.select(F.struct(F.lit(0).alias("k"), F.col("ord").cast("long").alias("n")).alias("place"), "name", F.coalesce("type", F.lit("concept")).alias("type"), F.substring(F.coalesce("description", F.lit("")), 1, 1000).alias("description"))
+    broken = (F.coalesce(F.col("head"), F.lit("")) == "") | (F.coalesce(F.col("relation"), F.lit("")) == "") | (
+        F.coalesce(F.col("tail"), F.lit("")) == ""
+    )
+    sound = relations.withColumn(
+        "head", F.when(broken, F.raise_error(F.lit("relation needs head, relation and tail"))).otherwise(F.col("head")).cast("string")
+    )
+    given = entities.select(
+        F.struct(F.lit(0).alias("k"), F.col("ord").cast("long").alias("n")).alias("place"),
+        "name",
+        F.coalesce("type", F.lit("concept")).alias("type"),
+        F.substring(F.coalesce("description", F.lit("")), 1, 1000).alias("description"),
+    )
     ends = sound.select("ord", F.posexplode(F.array("head", "tail")).alias("end", "name"))
     known = entities.select(F.trim("name").alias("name"))
-    new = ends.join(known, "name", "left_anti").select(F.struct(F.lit(1).alias("k"), (F.col("ord") * 2 + F.col("end")).cast("long").alias("n")).alias("place"), "name", F.lit("concept").alias("type"), F.lit("").alias("description"))
+    new = ends.join(known, "name", "left_anti").select(
+        F.struct(F.lit(1).alias("k"), (F.col("ord") * 2 + F.col("end")).cast("long").alias("n")).alias("place"),
+        "name",
+        F.lit("concept").alias("type"),
+        F.lit("").alias("description"),
+    )
     every = given.unionByName(new)
     ordered = every.withColumn("ord", F.row_number().over(Window.partitionBy(F.trim("name")).orderBy("place")))
-    linked = sound.select("ord", F.col("head"), "relation", "tail", F.substring(F.coalesce("description", F.lit("")), 1, 500).alias("description"))
+    linked = sound.select(
+        "ord", F.col("head"), "relation", "tail", F.substring(F.coalesce("description", F.lit("")), 1, 500).alias("description")
+    )
     return cap_entities(merge_entities(ordered.drop("place")), merge_relations(linked), max_entities)
 
 
-def union_graphs(first: tuple[DataFrame, DataFrame], second: tuple[DataFrame, DataFrame], max_entities: int = 200) -> tuple[DataFrame, DataFrame]:
+def union_graphs(first: tuple[DataFrame, DataFrame], second: tuple[DataFrame, DataFrame], max_entities: int = 200) -> tuple[
+    DataFrame, DataFrame
+]:
     """Two graphs as one: the second's nodes and edges are added to the first's."""
-    nodes = [g[0].select(F.lit(k).alias("ord"), F.col("id").alias("name"), F.explode(F.split("entity_type", r"\+")).alias("type"), "description") for k, g in enumerate((first, second))]
-    edges = [g[1].select(F.lit(k).alias("ord"), F.col("src").alias("head"), "relation", F.col("dst").alias("tail"), "description") for k, g in enumerate((first, second))]
+    nodes = [
+        g[0].select(F.lit(k).alias("ord"), F.col("id").alias("name"), F.explode(F.split("entity_type", r"\+")).alias("type"), "description") for k, g in enumerate(
+            (first, second)
+        )
+    ]
+    edges = [
+        g[1].select(F.lit(k).alias("ord"), F.col("src").alias("head"), "relation", F.col("dst").alias("tail"), "description") for k, g in enumerate(
+            (first, second)
+        )
+    ]
     return cap_entities(merge_entities(nodes[0].unionByName(nodes[1])), merge_relations(edges[0].unionByName(edges[1])), max_entities)

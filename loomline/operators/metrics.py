@@ -33,9 +33,15 @@ def top_values(rows: DataFrame, array_col: str, most: int = 5, order_col: str =
 
 def tool_diversity(rows: DataFrame) -> DataFrame:
     """One row: distinct_tools, total_steps and mean_steps_per_pair."""
-    items = rows.select(F.explode("required_tools").alias("tool")).agg(F.countDistinct("tool").alias("distinct_tools"), F.count("*").alias("total_steps"))
+    items = rows.select(F.explode("required_tools").alias("tool")).agg(
+        F.countDistinct("tool").alias("distinct_tools"), F.count("*").alias("total_steps")
+    )
     n = rows.agg(F.count("*").alias("n"))
-    return items.join(n).select("distinct_tools", "total_steps", F.when(F.col("n") > 0, F.col("total_steps") / F.col("n")).otherwise(0.0).alias("mean_steps_per_pair"))
+    return items.join(n).select(
+        "distinct_tools",
+        "total_steps",
+        F.when(F.col("n") > 0, F.col("total_steps") / F.col("n")).otherwise(0.0).alias("mean_steps_per_pair"),
+    )
 
 
 def parametric_flags(rows: DataFrame, context: str, least: int = LEAST_ANSWER_CHARS) -> DataFrame:
@@ -49,7 +55,9 @@ def evaluate(rows: DataFrame, entities: DataFrame | None = None, edges: DataFram
     """All metrics as one document. ``rows`` has ord, question, answer_draft, required_tools, chain, entity_refs and,
     where it was measured, verification."""
     names = F.array().cast("array<string>") if entities is None else F.col("_names")
-    own = rows.withColumn("question_tokens", estimate_tokens(F.col("question"))).withColumn("answer_tokens", estimate_tokens(F.col("answer_draft")))
+    own = rows.withColumn("question_tokens", estimate_tokens(F.col("question"))).withColumn(
+        "answer_tokens", estimate_tokens(F.col("answer_draft"))
+    )
     if entities is not None:
         own = own.join(F.broadcast(entities.agg(F.collect_set("name").alias("_names"))))
     if edges is not None:
@@ -62,14 +70,18 @@ def evaluate(rows: DataFrame, entities: DataFrame | None = None, edges: DataFram
         (F.coalesce(valid, F.lit(0.0)) if measured else valid).alias("fraction_chain_verified"),
         (F.avg("coverage") if edges is not None else F.lit(None).cast("double")).alias("mean_toolkg_coverage"),
         (F.count_if(F.col("coverage").isNull()) if edges is not None else F.lit(0).cast("long")).alias("toolkg_coverage_not_applicable"),
-        F.coalesce(F.avg(grounded(F.col("entity_refs"), names, F.col("question")).cast("double")), F.lit(0.0)).alias("entity_grounding_rate"),
+        F.coalesce(F.avg(grounded(F.col("entity_refs"), names, F.col("question")).cast("double")), F.lit(0.0)).alias(
+            "entity_grounding_rate"
+        ),
         F.count_if("flagged").alias("flagged"),
         *stats(F.col("question_tokens"), "question_tokens"),
         *stats(F.col("answer_tokens"), "answer_tokens"),
     )
     metrics = found.first().asDict()
     metrics["flagged_fraction"] = metrics["flagged"] / metrics["n"] if metrics["n"] else 0.0
-    metrics["tool_diversity"] = tool_diversity(rows).first().asDict() | {"most_common": [(x["value"], x["n"]) for x in top_values(rows, "required_tools").collect()]}
+    metrics["tool_diversity"] = tool_diversity(rows).first().asDict() | {
+        "most_common": [(x["value"], x["n"]) for x in top_values(rows, "required_tools").collect()]
+    }
     if not measured:
         metrics["verification_note"] = "rows carry no verification; chain validity not measured"
     if edges is None:

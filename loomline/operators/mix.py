@@ -54,11 +54,17 @@ def ranked(rows: DataFrame, key: str, seed: int) -> DataFrame:
 
     Ranks come from counts of the hash's first two bytes plus the rank within them, so no task sorts all rows.
     """
-    hashed = rows.withColumn("_hash", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))).withColumn("_bucket", F.substring("_hash", 1, 4))
+    hashed = rows.withColumn("_hash", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))).withColumn(
+        "_bucket", F.substring("_hash", 1, 4)
+    )
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))  # 65536 rows at most
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop(
+        "_n"
+    )
     inner = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
-    return hashed.withColumn("_inner", inner).join(F.broadcast(before), "_bucket").withColumn("_rank", F.col("_before") + F.col("_inner")).drop("_hash", "_bucket", "_before", "_inner")
+    return hashed.withColumn("_inner", inner).join(F.broadcast(before), "_bucket").withColumn("_rank", F.col("_before") + F.col("_inner")).drop(
+        "_hash", "_bucket", "_before", "_inner"
+    )
 
 
 def valid_count(n: Column, frac: float) -> Column:
@@ -80,14 +86,18 @@ def exact_valid_count(n: int, train_split: float) -> int:
 def split(rows: DataFrame, key: str, config: MixConfig = MixConfig()) -> DataFrame:
     """``rows`` with ``split``: the first of the seeded order validate, the others train."""
     size = rows.agg(F.count("*").alias("_all"))
-    return ranked(rows, key, config.seed).join(F.broadcast(size)).withColumn("split", F.when(F.col("_rank") <= valid_count(F.col("_all"), config.valid_frac), "valid").otherwise("train")).drop("_rank", "_all")
+    return ranked(rows, key, config.seed).join(F.broadcast(size)).withColumn("split", F.when(F.col("_rank") <= valid_count(F.col("_all"), config.valid_frac), "valid").otherwise("train")).drop(
+        "_rank", "_all"
+    )
 
 
 def to_training_rows(rows: DataFrame) -> DataFrame:
     """(key, messages, source, provenance: JSON) of question-answer rows; ``key`` tells rows apart."""
     kept = [c for c in ("question", "entity_refs", "required_tools", "chain", "verification", "coverage") if c in rows.columns]
     origin = F.col("provenance.source").alias("origin")
-    rest = [F.col(f"provenance.{f.name}").alias(f.name) for f in rows.schema["provenance"].dataType.fields if f.name not in {"source", *kept}]
+    rest = [
+        F.col(f"provenance.{f.name}").alias(f.name) for f in rows.schema["provenance"].dataType.fields if f.name not in {"source", *kept}
+    ]
     detail = F.to_json(F.struct(F.lit("generated").alias("source"), origin, *kept, *rest), {"ignoreNullFields": "false"})
     messages = chat_messages(F.col("question"), F.col("answer_draft"), F.col("required_tools"), F.col("chain"))
     return rows.select("key", messages.alias("messages"), F.lit("generated").alias("source"), detail.alias("provenance"))
@@ -101,12 +111,17 @@ def external_rows(rows: DataFrame) -> DataFrame:
     names = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
     turned = F.lit(None)
     if "conversations" in rows.columns:
-        turned = F.transform("conversations", lambda t: F.struct(F.coalesce(F.try_element_at(names, t["from"]), t["from"]).alias("role"), t["value"].alias("content")))
+        turned = F.transform(
+            "conversations",
+            lambda t: F.struct(F.coalesce(F.try_element_at(names, t["from"]), t["from"]).alias("role"), t["value"].alias("content")),
+        )
     own = F.col("messages") if "messages" in rows.columns else F.lit(None)
     extra = [c for c in rows.columns if c not in ("messages", "conversations", "key")]
     detail = F.to_json(F.struct(F.lit("external").alias("source"), *extra), {"ignoreNullFields": "false"})
     shape = "array<struct<role:string,content:string>>"
-    messages = F.coalesce(own.cast(shape), turned.cast(shape), F.raise_error(F.lit("a row with neither messages nor conversations")).cast(shape))
+    messages = F.coalesce(
+        own.cast(shape), turned.cast(shape), F.raise_error(F.lit("a row with neither messages nor conversations")).cast(shape)
+    )
     return rows.select("key", messages.alias("messages"), F.lit("external").alias("source"), detail.alias("provenance"))
 
 
@@ -127,7 +142,9 @@ def assemble(pairs: DataFrame, external: DataFrame | None = None, config: MixCon
     for (source, _), n in by.items():
         sources[source] = sources.get(source, 0) + n
     report = {
-        **counts.asDict(), "n_external_in": sources.get("external", 0), "n_dupes_removed": counts["n_after_cutoffs"] - sources.get("generated", 0),
+        **counts.asDict(), "n_external_in": sources.get("external", 0), "n_dupes_removed": counts["n_after_cutoffs"] - sources.get(
+            "generated", 0
+        ),
         "n_records_total": sum(by.values()), "n_train": sum(n for (_, x), n in by.items() if x == "train"), "n_valid": sum(n for (_, x), n in by.items() if x == "valid"), "sources": sources,
     }
     return mixed, report

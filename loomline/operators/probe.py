@@ -48,23 +48,53 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, most: int = 5)
     aggregates = [F.count("*").alias("_rows")]
     for k, c in enumerate(columns):
         of = F.col(f"`{c}`")
-        aggregates += [F.count(of).alias(f"n{k}"), is_numeric(of, kinds[c]).alias(f"k{k}"), F.min(number(c)).alias(f"a{k}"), F.max(number(c)).alias(f"b{k}"), F.avg(number(c)).alias(f"m{k}")]
+        aggregates += [
+            F.count(of).alias(f"n{k}"),
+            is_numeric(of, kinds[c]).alias(f"k{k}"),
+            F.min(number(c)).alias(f"a{k}"),
+            F.max(number(c)).alias(f"b{k}"),
+            F.avg(number(c)).alias(f"m{k}"),
+        ]
     missing = lambda k: F.when(F.col("_rows") > 0, F.round(1 - F.col(f"n{k}") / F.col("_rows"), 4)).otherwise(0.0)
     shown = lambda k, x: F.when(F.col(f"k{k}"), F.col(f"{x}{k}"))
     rows = F.array(*(
-        F.struct(F.lit(k).alias("pos"), F.lit(c).alias("name"), F.when(F.col(f"k{k}"), NUMERIC).otherwise(CATEGORICAL).alias("type"), missing(k).alias("missing_frac"), shown(k, "a").alias("min"), shown(k, "b").alias("max"), F.round(shown(k, "m"), 4).alias("mean"))
+        F.struct(
+            F.lit(k).alias("pos"),
+            F.lit(c).alias("name"),
+            F.when(F.col(f"k{k}"), NUMERIC).otherwise(CATEGORICAL).alias("type"),
+            missing(k).alias("missing_frac"),
+            shown(k, "a").alias("min"),
+            shown(k, "b").alias("max"),
+            F.round(shown(k, "m"), 4).alias("mean"),
+        )
         for k, c in enumerate(columns)
     ))
     scalars = cut(typed.agg(*aggregates).select(F.explode(rows).alias("x")).select("x.*"))
     text = lambda c: (F.col(f"`{c}`") + F.lit(0.0)).cast("string") if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else F.col(f"`{c}`").cast("string")
-    cells = typed.select(F.explode(F.array(*(F.struct(F.lit(k).alias("pos"), text(c).alias("value")) for k, c in enumerate(columns)))).alias("x")).select("x.*")
+    cells = typed.select(F.explode(F.array(*(F.struct(F.lit(k).alias("pos"), text(c).alias("value")) for k, c in enumerate(columns)))).alias("x")).select(
+        "x.*"
+    )
     counted = cells.where("value is not null").groupBy("pos", "value").agg(F.count("*").alias("count"))
     cardinality = counted.groupBy("pos").agg(F.count("*").alias("cardinality"))
     place = F.row_number().over(Window.partitionBy("pos").orderBy(F.desc("count"), "value"))
     top = counted.withColumn("place", place).where(F.col("place") <= most).groupBy("pos")
-    listed = top.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "count"))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias("listed"))
+    listed = top.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "value", "count"))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias(
+            "listed"
+        )
+    )
     joined = scalars.join(cardinality, "pos", "left").join(listed, "pos", "left")
-    return joined.select("pos", "name", "type", F.coalesce("cardinality", F.lit(0)).alias("cardinality"), "missing_frac", "min", "max", "mean", F.when(F.col("type") == CATEGORICAL, F.col("listed")).alias("top_values"))
+    return joined.select(
+        "pos",
+        "name",
+        "type",
+        F.coalesce("cardinality", F.lit(0)).alias("cardinality"),
+        "missing_frac",
+        "min",
+        "max",
+        "mean",
+        F.when(F.col("type") == CATEGORICAL, F.col("listed")).alias("top_values"),
+    )
 
 
 def auto_targets(profiled: DataFrame, least: int = 2, most: int = 10, first: int = 3) -> DataFrame:
@@ -143,7 +173,13 @@ def probe_target(df: DataFrame, key: str, target: str, features: Sequence[str],
     baseline = majority_baseline(over, target).first()["baseline"] if task == "classification" else 0.0
     dropped = {f: score(estimator.predict(permuted(testing(folds), f, key, seed + 1)), target, task).first()["score"] for f in features}
     found = [{"feature": f, "importance": round(base - x, 4)} for f, x in dropped.items()]
-    return {"column": target, "task": task, "holdout_score": base, "baseline_score": baseline, "importances": sorted(found, key=lambda x: (-x["importance"], x["feature"]))}
+    return {
+        "column": target,
+        "task": task,
+        "holdout_score": base,
+        "baseline_score": baseline,
+        "importances": sorted(found, key=lambda x: (-x["importance"], x["feature"])),
+    }
 
 
 def probe_table(name: str, df: DataFrame, key: str, targets: Sequence[str] | None = None, estimator_for=lambda target, features: MajorityByKey(features[0]), max_rows: int = 1000, seed: int = 42) -> dict:
@@ -175,7 +211,11 @@ def probe_table(name: str, df: DataFrame, key: str, targets: Sequence[str] | Non
 def probe_tables(tables: dict[str, tuple[DataFrame, str]], targets: dict[str, str] | None = None, **how) -> dict:
     """Findings of all tables (name: frame and key) in the order of their names."""
     chosen = targets or {}
-    return {"tables": [probe_table(name, df, key, [chosen[name]] if name in chosen else None, **how) for name, (df, key) in sorted(tables.items())]}
+    return {
+        "tables": [
+            probe_table(name, df, key, [chosen[name]] if name in chosen else None, **how) for name, (df, key) in sorted(tables.items())
+        ]
+    }
 
 
 def parity(real: DataFrame, synthetic: DataFrame, key: str, target: str, feature: str, seed: int = 42, task: str = "classification") -> dict:
@@ -186,7 +226,13 @@ def parity(real: DataFrame, synthetic: DataFrame, key: str, target: str, feature
         raise ProbeError("parity needs real and synthetic rows with the target set")
     own = score(MajorityByKey(feature).fit(training(folds), target).predict(testing(folds)), target, task).first()["score"]
     theirs = score(MajorityByKey(feature).fit(other, target).predict(testing(folds)), target, task).first()["score"]
-    return {"target": target, "task": task, "real_score": own, "synth_trained_score": theirs, "parity": round(theirs / own, 4) if own > 0 else None}
+    return {
+        "target": target,
+        "task": task,
+        "real_score": own,
+        "synth_trained_score": theirs,
+        "parity": round(theirs / own, 4) if own > 0 else None,
+    }
 
 
 def findings_markdown(found: dict) -> str:
@@ -226,7 +272,9 @@ def findings_graph(spark, findings: dict) -> tuple[DataFrame, DataFrame]:
             for x in target["importances"][:5]:
                 if x["importance"] > 0:
                     told = f"{x['feature']} predicts {target['column']} (permutation importance {x['importance']}, holdout {metric} {target['holdout_score']} vs baseline {target['baseline_score']})"
-                    relations.append((len(relations), f"{table['table']}.{x['feature']}", "predicts", f"{table['table']}.{target['column']}", told))
+                    relations.append(
+                        (len(relations), f"{table['table']}.{x['feature']}", "predicts", f"{table['table']}.{target['column']}", told)
+                    )
     return (
         spark.createDataFrame(entities, "ord long, name string, type string, description string"),
         spark.createDataFrame(relations, "ord long, head string, relation string, tail string, description string"),

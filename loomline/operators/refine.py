@@ -69,7 +69,9 @@ def critique(config: RefineConfig = RefineConfig()) -> Column:
     broken = F.filter(v["executed_steps"], lambda s: ~s["ok"] & s["error"].isNotNull() & ~F.contains(s["error"], F.lit("missing tool")))
     failed = F.transform(broken, lambda s: filled(FAILED_STEP, s["step"], s["tool"], s["error"]))
     steps = F.when(v["chain_valid"], none).otherwise(F.concat(*(F.coalesce(x, none) for x in (missing, bad, failed))))
-    thin = F.when(F.col("coverage") < config.min_coverage, filled(LOW_COVERAGE, _percent(F.col("coverage")), F.lit(f"{config.min_coverage:.0%}")))
+    thin = F.when(
+        F.col("coverage") < config.min_coverage, filled(LOW_COVERAGE, _percent(F.col("coverage")), F.lit(f"{config.min_coverage:.0%}"))
+    )
     name = F.when(F.size("entity_refs") > 0, filled(NAME_ONE_OF, F.array_join("entity_refs", ", "))).otherwise(NAME_ANY)
     loose = F.when(F.lit(config.require_entities) & ~F.col("entity_grounded"), F.concat(F.lit(UNGROUNDED), name))
     empty = F.when(F.trim(F.coalesce("answer_draft", F.lit(""))) == "", EMPTY_ANSWER)
@@ -116,21 +118,42 @@ def decide(rows: DataFrame, decider: Callable[[str], dict], threshold: float, co
             if not 0.0 <= p <= 1.0:
                 raise ValueError(f"probability out of range: {p}")
             known = (answers.get("grounded") or {}).get("noul")
-            return {"verdict": "accept" if p >= threshold else "reject", "confidence": p, "grounded": None if known is None else float(known), "source": "model", "error": None}
+            return {
+                "verdict": "accept" if p >= threshold else "reject",
+                "confidence": p,
+                "grounded": None if known is None else float(known),
+                "source": "model",
+                "error": None,
+            }
         except Exception as e:  # the gates decide instead
-            return {"verdict": "accept" if gates else "reject", "confidence": None, "grounded": None, "source": "heuristic_fallback", "error": f"{type(e).__name__}: {e}"}
+            return {
+                "verdict": "accept" if gates else "reject",
+                "confidence": None,
+                "grounded": None,
+                "source": "heuristic_fallback",
+                "error": f"{type(e).__name__}: {e}",
+            }
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for requests, gates in batches:
-            yield pd.DataFrame([one(r, bool(g)) for r, g in zip(requests, gates, strict=True)], columns=[x.split()[0] for x in fields.split(", ")])
+            yield pd.DataFrame(
+                [one(r, bool(g)) for r, g in zip(requests, gates, strict=True)], columns=[x.split()[0] for x in fields.split(", ")]
+            )
 
     return rows.withColumn("decision", F.pandas_udf(run, fields)(decision_request(), passes(config)))
 
 
 def decision_request() -> Column:
     """What the decision model is asked about a scored row, as JSON."""
-    steps = F.transform("chain", lambda x: F.struct(x["tool"].alias("tool"), (F.coalesce(x["result_preview"], F.lit("")) != "ERROR").alias("ok")))
-    scores = F.struct(F.col("verification.chain_valid").alias("chain_valid"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"), "entity_grounded", "entity_refs")
+    steps = F.transform(
+        "chain", lambda x: F.struct(x["tool"].alias("tool"), (F.coalesce(x["result_preview"], F.lit("")) != "ERROR").alias("ok"))
+    )
+    scores = F.struct(
+        F.col("verification.chain_valid").alias("chain_valid"),
+        F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
+        "entity_grounded",
+        "entity_refs",
+    )
     return F.to_json(F.struct(F.struct("question", "answer_draft", steps.alias("chain"), scores.alias("keyless_scores")).alias("state")))
 
 
@@ -148,7 +171,9 @@ def iteration_metrics() -> Column:
     )
 
 
-def refine(rows: DataFrame, catalog: DataFrame, edges: DataFrame | None, entities: DataFrame, model: Callable[[str], str] | None = None, keep: Callable[[dict], bool] | None = None, config: RefineConfig = RefineConfig(), context: str = "", tools: str = "(no tool catalog graph)", **how) -> tuple[DataFrame, dict]:
+def refine(rows: DataFrame, catalog: DataFrame, edges: DataFrame | None, entities: DataFrame, model: Callable[[str], str] | None = None, keep: Callable[[dict], bool] | None = None, config: RefineConfig = RefineConfig(), context: str = "", tools: str = "(no tool catalog graph)", **how) -> tuple[
+    DataFrame, dict
+]:
     """The rows that pass, with their scores, and the ledger of the rounds.
 
     Each round scores, gates and filters; what the gates reject is drafted anew with its critique, and what the filter
@@ -178,7 +203,13 @@ def refine(rows: DataFrame, catalog: DataFrame, edges: DataFrame | None, entitie
         described = issues if "description" in issues.columns else issues.withColumn("description", F.lit(""))
         text = F.concat(prompt_column(context, tools), critique_block(F.col("critique")))
         drafted = with_model(described.withColumn("prompt", text), "prompt", "text", model).withColumn("reply", parse_reply(F.col("text")))
-        again = drafted.withColumns({"question": F.col("reply.question"), "answer_draft": F.col("reply.answer"), "refinement_attempt": F.col("refinement_attempt") + 1})
+        again = drafted.withColumns(
+            {
+                "question": F.col("reply.question"),
+                "answer_draft": F.col("reply.answer"),
+                "refinement_attempt": F.col("refinement_attempt") + 1,
+            }
+        )
         metrics["num_refined"] = found["num_pairs"] - found["num_kept"] - found["num_semantic_filtered"]
         now = cut(done.select(columns).unionByName(again.select(columns)))
     ledger["stopped_reason"] = "max_iterations"

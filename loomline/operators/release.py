@@ -63,14 +63,24 @@ def scenario_packages(rows: DataFrame) -> DataFrame:
     has = lambda name, other: F.coalesce(F.col(name), other) if name in rows.columns else other
     texts = F.array().cast("array<string>")
     category = has("category", F.lit("normal"))
-    checked = F.when(category.isin(*CATEGORIES), category).otherwise(F.raise_error(F.concat(F.lit("unknown category: "), category))).cast("string")
+    checked = F.when(category.isin(*CATEGORIES), category).otherwise(F.raise_error(F.concat(F.lit("unknown category: "), category))).cast(
+        "string"
+    )
     ran = has("verification.execution_completed", F.lit(False)) if "verification" in rows.columns else F.lit(False)
-    evidence = [F.coalesce(F.col(f"verification.{name}"), F.lit(False)).alias(name) if "verification" in rows.columns else F.lit(False).alias(name) for name in (*CHECKS, "safe_to_review")]
+    evidence = [
+        F.coalesce(F.col(f"verification.{name}"), F.lit(False)).alias(name) if "verification" in rows.columns else F.lit(False).alias(name) for name in (
+            *CHECKS, "safe_to_review"
+        )
+    ]
     done = F.coalesce(F.col("verification.execution_completed"), F.lit(False)) if "verification" in rows.columns else ran
     return rows.select(
-        F.coalesce(F.nullif(has("scenario_id", F.lit(None).cast("string")), F.lit("")), F.col("provenance.chain_id"), F.lit("scenario-0")).alias("scenario_id"),
+        F.coalesce(F.nullif(has("scenario_id", F.lit(None).cast("string")), F.lit("")), F.col("provenance.chain_id"), F.lit("scenario-0")).alias(
+            "scenario_id"
+        ),
         F.col("question").alias("intent"),
-        F.coalesce(F.nullif(has("intent_type", F.lit(None).cast("string")), F.lit("")), intent_label(F.col("question"))).alias("intent_type"),
+        F.coalesce(F.nullif(has("intent_type", F.lit(None).cast("string")), F.lit("")), intent_label(F.col("question"))).alias(
+            "intent_type"
+        ),
         checked.alias("category"),
         F.coalesce("entity_refs", texts).alias("entities"),
         has("business_rules", texts).alias("business_rules"),

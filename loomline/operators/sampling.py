@@ -18,7 +18,9 @@ SPREAD = 1_000_003
 MAX_EDGES = 1_000_000
 
 
-def walk(successors: dict[str, dict[str, float]], nodes: Sequence[str], n: int, rng: random.Random, start: str | None = None, restart: float = RESTART) -> list[str]:
+def walk(successors: dict[str, dict[str, float]], nodes: Sequence[str], n: int, rng: random.Random, start: str | None = None, restart: float = RESTART) -> list[
+    str
+]:
     """``n`` different tools: from one to an unvisited successor by score, or, by chance or at a dead end, to any.
 
     Errors for no tools asked for, more than there are, an empty graph and an unknown start.
@@ -62,15 +64,28 @@ def sample_walks(walks: DataFrame, nodes: DataFrame, edges: DataFrame, n: int, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(r["walk_id"], k, t) for r in batch.to_pylist() for k, t in enumerate(walk(successors, names, n, random.Random(r["seed"]), r["start"], restart))]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out])], ["walk_id", "pos", "tool"])
+            out = [
+                (r["walk_id"], k, t) for r in batch.to_pylist() for k, t in enumerate(
+                    walk(successors, names, n, random.Random(r["seed"]), r["start"], restart)
+                )
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out])],
+                ["walk_id", "pos", "tool"],
+            )
 
-    return walks.select(F.col("walk_id").cast("long"), F.col("seed").cast("long"), F.col("start").cast("string")).mapInArrow(run, "walk_id long, pos int, tool string")
+    return walks.select(F.col("walk_id").cast("long"), F.col("seed").cast("long"), F.col("start").cast("string")).mapInArrow(
+        run, "walk_id long, pos int, tool string"
+    )
 
 
 def call_seeds(calls: DataFrame, seed: int) -> DataFrame:
     """``calls`` (call_no) as walks: each call of a sampler has a seed of its own."""
-    return calls.select(F.col("call_no").alias("walk_id"), (F.lit(seed) * SPREAD + F.col("call_no")).alias("seed"), F.lit(None).cast("string").alias("start"))
+    return calls.select(
+        F.col("call_no").alias("walk_id"),
+        (F.lit(seed) * SPREAD + F.col("call_no")).alias("seed"),
+        F.lit(None).cast("string").alias("start"),
+    )
 
 
 def uniform_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:

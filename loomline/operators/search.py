@@ -29,7 +29,14 @@ def search(articles: DataFrame, queries: list[str], top_k: int = 5) -> DataFrame
     The queries are given, so each article meets all of them where it is, and only the best of each task move on.
     """
     hay = words(F.concat_ws(" ", "title", "body", "tags"))
-    ready = articles.select("article_id", "title", "category", clipped(F.coalesce("body", F.lit("")), SNIPPET_CHARS).alias("snippet"), words(F.col("title")).alias("_title"), hay.alias("_hay"))
+    ready = articles.select(
+        "article_id",
+        "title",
+        "category",
+        clipped(F.coalesce("body", F.lit("")), SNIPPET_CHARS).alias("snippet"),
+        words(F.col("title")).alias("_title"),
+        hay.alias("_hay"),
+    )
     asked = F.array(*(F.struct(F.lit(q).alias("query"), words(F.lit(q)).alias("words")) for q in queries))
     met = ready.withColumn("_q", F.explode(asked))
     scored = met.withColumn("score", relevance(F.col("_q.words"), F.col("_title"), F.col("_hay"))).where("score > 0")
@@ -48,7 +55,9 @@ def agreement(judged: DataFrame) -> DataFrame:
     found = judged.agg(
         n.alias("n"), F.round(F.avg((F.col("first") == F.col("second")).cast("double")), 4).alias("agreement"),
         F.count_if(F.col("first") == "accept").alias("first_accepts"), F.count_if(F.col("second") == "accept").alias("second_accepts"),
-        F.round(F.coalesce(F.avg(spread), F.lit(0.0)), 3).alias("mean_spread"), F.coalesce(F.sum(flips), F.lit(0)).cast("long").alias("flips"), F.max("latency_ms").alias("latency_max"),
+        F.round(F.coalesce(F.avg(spread), F.lit(0.0)), 3).alias("mean_spread"), F.coalesce(F.sum(flips), F.lit(0)).cast("long").alias("flips"), F.max("latency_ms").alias(
+            "latency_max"
+        ),
     )
     # the upper median: the value at place n div 2 from 0 on, from counts by value, so that no list is built
     counts = judged.groupBy("latency_ms").agg(F.count("*").alias("k"))

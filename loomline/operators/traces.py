@@ -40,10 +40,20 @@ def extract_chains(samples: DataFrame) -> DataFrame:
     def step(pair: Column) -> Column:
         action = F.from_json(F.get(pair, 0), ACTION_SCHEMA)
         given = F.when(F.ltrim(action["tool_input"]).startswith("{"), action["tool_input"]).otherwise("{}")
-        return F.struct(action["tool"].alias("tool"), given.alias("tool_input"), clipped(F.coalesce(F.get(pair, 1), F.lit("null")), PREVIEW_CHARS).alias("result_preview"))
+        return F.struct(
+            action["tool"].alias("tool"),
+            given.alias("tool_input"),
+            clipped(F.coalesce(F.get(pair, 1), F.lit("null")), PREVIEW_CHARS).alias("result_preview"),
+        )
 
     steps = F.filter(F.transform(F.col("entry.value.intermediate_steps"), step), lambda x: F.coalesce(x["tool"], F.lit("")) != "")
-    rows = pairs.select("sample_id", "chain_pos", F.col("entry.key").alias("chain_id"), F.coalesce("entry.value.description", F.lit("")).alias("description"), steps.cast(f"array<{STEP}>").alias("chain"))
+    rows = pairs.select(
+        "sample_id",
+        "chain_pos",
+        F.col("entry.key").alias("chain_id"),
+        F.coalesce("entry.value.description", F.lit("")).alias("description"),
+        steps.cast(f"array<{STEP}>").alias("chain"),
+    )
     return rows.where(F.size("chain") > 0)
 
 
@@ -65,15 +75,21 @@ def ground_entities(chains: DataFrame, entities: DataFrame, chain_col: str = "ch
 
     The entities are those of an exported context, whose caps bound them, so they go along as one array.
     """
-    names = entities.where(F.coalesce("name", F.lit("")) != "").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("_names"))
+    names = entities.where(F.coalesce("name", F.lit("")) != "").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("_names")
+    )
     found = F.filter("_names", lambda n: F.contains(F.col("_hay"), F.lower(n)))
-    return chains.join(F.broadcast(names)).withColumn("_hay", haystack(F.col(chain_col))).withColumn("entity_refs", found).drop("_names", "_hay")
+    return chains.join(F.broadcast(names)).withColumn("_hay", haystack(F.col(chain_col))).withColumn("entity_refs", found).drop(
+        "_names", "_hay"
+    )
 
 
 def grounded(refs: Column, names: Column, question: Column) -> Column:
     """Whether there are references, all of them are known, and the question names one."""
     asked = F.lower(F.coalesce(question, F.lit("")))
-    return (F.size(F.coalesce(refs, F.array().cast("array<string>"))) > 0) & F.forall(refs, lambda r: F.array_contains(names, r)) & F.exists(refs, lambda r: F.contains(asked, F.lower(r)))
+    return (F.size(F.coalesce(refs, F.array().cast("array<string>"))) > 0) & F.forall(refs, lambda r: F.array_contains(names, r)) & F.exists(
+        refs, lambda r: F.contains(asked, F.lower(r))
+    )
 
 
 def template_question(chain: Column, refs: Column) -> Column:
@@ -97,14 +113,21 @@ def parse_reply(text: Column) -> Column:
 
     def fold(state: Column, line: Column) -> Column:
         upper, rest = F.upper(F.trim(line)), F.trim(F.regexp_replace(line, r"^[^:]*:", ""))
-        q = F.when(upper.startswith("QUESTION:"), rest).when(~upper.startswith("ANSWER:") & (state["q"] != "") & (state["a"] == ""), F.concat(state["q"], F.lit(" "), F.trim(line))).otherwise(state["q"])
+        q = F.when(upper.startswith("QUESTION:"), rest).when(~upper.startswith("ANSWER:") & (state["q"] != "") & (state["a"] == ""), F.concat(state["q"], F.lit(" "), F.trim(line))).otherwise(
+            state["q"]
+        )
         more = ~upper.startswith("QUESTION:") & (state["a"] != "")
-        a = F.when(upper.startswith("ANSWER:") & ~upper.startswith("QUESTION:"), rest).when(more, F.concat(state["a"], F.lit(" "), F.trim(line))).otherwise(state["a"])
+        a = F.when(upper.startswith("ANSWER:") & ~upper.startswith("QUESTION:"), rest).when(more, F.concat(state["a"], F.lit(" "), F.trim(line))).otherwise(
+            state["a"]
+        )
         return F.struct(q.alias("q"), a.alias("a"))
 
     out = F.aggregate(lines, start, fold)
     first = F.trim(F.get(F.split(F.trim(text), r"\r\n|\n|\r"), 0))
-    return F.struct(F.when(out["q"] != "", out["q"]).otherwise(F.coalesce(first, F.lit(""))).alias("question"), F.when(out["a"] != "", out["a"]).otherwise(ANSWER_FALLBACK).alias("answer"))
+    return F.struct(
+        F.when(out["q"] != "", out["q"]).otherwise(F.coalesce(first, F.lit(""))).alias("question"),
+        F.when(out["a"] != "", out["a"]).otherwise(ANSWER_FALLBACK).alias("answer"),
+    )
 
 
 def with_model(df: DataFrame, prompt_col: str, out_col: str, model: Callable[[str], str]) -> DataFrame:
@@ -154,21 +177,35 @@ def qa_rows(samples: DataFrame, entities: DataFrame, tracers: DataFrame | None =
     chains = ground_entities(extract_chains(samples), entities)
     c = F.col
     if model is None:
-        drafted = chains.withColumn("reply", F.struct(template_question(c("chain"), c("entity_refs")).alias("question"), template_answer(c("chain_id"), c("description"), c("chain")).alias("answer")))
+        drafted = chains.withColumn(
+            "reply",
+            F.struct(
+                template_question(c("chain"), c("entity_refs")).alias("question"),
+                template_answer(c("chain_id"), c("description"), c("chain")).alias("answer"),
+            ),
+        )
     else:
         drafted = with_model(chains.withColumn("prompt", prompt_column(context, tools)), "prompt", "text", model)
         drafted = drafted.withColumn("reply", parse_reply(c("text")))
-    seeded = drafted.join(tracers.select("sample_id", c("seed").alias("trace_seed")), "sample_id", "left") if tracers is not None else drafted.withColumn("trace_seed", F.lit(None).cast("long"))
+    seeded = drafted.join(tracers.select("sample_id", c("seed").alias("trace_seed")), "sample_id", "left") if tracers is not None else drafted.withColumn(
+        "trace_seed", F.lit(None).cast("long")
+    )
     if edges is None:
         counted = seeded.withColumn("edges_used", F.lit(0).cast("long"))
     else:
         used = edges_used(seeded.select("sample_id", "chain_pos", "chain"), edges, ["sample_id", "chain_pos"])
-        counted = seeded.join(used, ["sample_id", "chain_pos"], "left").withColumn("edges_used", F.coalesce("edges_used", F.lit(0)).cast("long"))
+        counted = seeded.join(used, ["sample_id", "chain_pos"], "left").withColumn(
+            "edges_used", F.coalesce("edges_used", F.lit(0)).cast("long")
+        )
     known = entities.where(F.coalesce("name", F.lit("")) != "").agg(F.count("*").alias("kg_entity_count"))
-    source = F.struct(F.lit("executed_trace").alias("source"), "chain_id", "trace_seed", c("edges_used").alias("toolkg_edges_used"), "kg_entity_count")
+    source = F.struct(
+        F.lit("executed_trace").alias("source"), "chain_id", "trace_seed", c("edges_used").alias("toolkg_edges_used"), "kg_entity_count"
+    )
     outcomes = F.transform("chain", lambda x: expected_outcome(x["tool"], x["result_preview"]))
     rows = counted.join(F.broadcast(known)).select(
-        "sample_id", "chain_pos", "chain_id", c("reply.question").alias("question"), c("reply.answer").alias("answer_draft"), tools_of(c("chain")).alias("required_tools"),
+        "sample_id", "chain_pos", "chain_id", c("reply.question").alias("question"), c("reply.answer").alias("answer_draft"), tools_of(c("chain")).alias(
+            "required_tools"
+        ),
         "chain", "entity_refs", outcomes.alias("expected_outcomes"), source.alias("provenance"),
     )
     return rows if copies <= 1 else rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
@@ -177,19 +214,31 @@ def qa_rows(samples: DataFrame, entities: DataFrame, tracers: DataFrame | None =
 def consecutive(chains: DataFrame, keys: list[str], chain_col: str = "chain") -> DataFrame:
     """(keys, src, dst) of each pair of neighbours among the steps that name a tool."""
     names = F.filter(tools_of(F.col(chain_col)), lambda x: F.coalesce(x, F.lit("")) != "")
-    pairs = F.arrays_zip(F.slice(names, F.lit(1), F.greatest(F.size(names) - 1, F.lit(0))).alias("src"), F.slice(names, F.lit(2), F.greatest(F.size(names) - 1, F.lit(0))).alias("dst"))
+    pairs = F.arrays_zip(
+        F.slice(names, F.lit(1), F.greatest(F.size(names) - 1, F.lit(0))).alias("src"),
+        F.slice(names, F.lit(2), F.greatest(F.size(names) - 1, F.lit(0))).alias("dst"),
+    )
     return chains.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.src", "p.dst")
 
 
 def edges_used(chains: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, edges_used): how many neighbours of a chain are edges."""
-    return consecutive(chains, keys).join(edges.select("src", "dst").distinct(), ["src", "dst"], "left_semi").groupBy(*keys).agg(F.count("*").alias("edges_used"))
+    return consecutive(chains, keys).join(edges.select("src", "dst").distinct(), ["src", "dst"], "left_semi").groupBy(*keys).agg(
+        F.count("*").alias("edges_used")
+    )
 
 
 def generation_stats(samples: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: num_samples, num_chains, num_chains_empty (samples without a chain) and num_qa_pairs."""
-    per = samples.select("sample_id").join(rows.groupBy("sample_id").agg(F.countDistinct("chain_pos").alias("chains"), F.count("*").alias("pairs")), "sample_id", "left").na.fill(0)
-    return per.agg(F.count("*").alias("num_samples"), F.coalesce(F.sum("chains"), F.lit(0)).alias("num_chains"), F.count_if(F.col("chains") == 0).alias("num_chains_empty"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("num_qa_pairs"))
+    per = samples.select("sample_id").join(rows.groupBy("sample_id").agg(F.countDistinct("chain_pos").alias("chains"), F.count("*").alias("pairs")), "sample_id", "left").na.fill(
+        0
+    )
+    return per.agg(
+        F.count("*").alias("num_samples"),
+        F.coalesce(F.sum("chains"), F.lit(0)).alias("num_chains"),
+        F.count_if(F.col("chains") == 0).alias("num_chains_empty"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("num_qa_pairs"),
+    )
 
 
 def chat_messages(question: Column, answer: Column, tools: Column, chain: Column) -> Column:
@@ -203,8 +252,13 @@ def chat_messages(question: Column, answer: Column, tools: Column, chain: Column
 
 def ordered_chain(events: DataFrame, key: str, order: list[str], tool: str, tool_input: str, result: str) -> DataFrame:
     """(key, chain) from rows of single steps."""
-    step = F.struct(*order, F.col(tool).alias("tool"), F.col(tool_input).alias("tool_input"), F.col(result).cast("string").alias("result_preview"))
-    steps = F.transform(F.array_sort(F.collect_list(step)), lambda x: F.struct(x["tool"].alias("tool"), x["tool_input"].alias("tool_input"), x["result_preview"].alias("result_preview")))
+    step = F.struct(
+        *order, F.col(tool).alias("tool"), F.col(tool_input).alias("tool_input"), F.col(result).cast("string").alias("result_preview")
+    )
+    steps = F.transform(
+        F.array_sort(F.collect_list(step)),
+        lambda x: F.struct(x["tool"].alias("tool"), x["tool_input"].alias("tool_input"), x["result_preview"].alias("result_preview")),
+    )
     return events.groupBy(key).agg(steps.alias("chain"))
 
 

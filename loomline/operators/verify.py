@@ -30,14 +30,18 @@ def value_name(json: Column, key: Column) -> Column:
     raw = F.call_function("try_variant_get", F.try_parse_json(json), F.concat(F.lit('$["'), key, F.lit('"]')), F.lit("variant"))
     kind = F.schema_of_variant(raw)
     named = F.create_map(*(F.lit(x) for pair in VALUE_NAMES.items() for x in pair))
-    return F.when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "dict").when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float").otherwise(F.coalesce(F.try_element_at(named, kind), F.lit("NoneType")))
+    return F.when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "dict").when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float").otherwise(
+        F.coalesce(F.try_element_at(named, kind), F.lit("NoneType"))
+    )
 
 
 def schema_problems(tool_input: Column, schema: Column) -> Column:
     """What is wrong with an input: required properties it lacks, then values of another type than declared."""
     keys = F.json_object_keys(tool_input)
     required = F.coalesce(F.from_json(F.get_json_object(schema, "$.required"), "array<string>"), F.array().cast("array<string>"))
-    missing = F.transform(F.filter(required, lambda x: ~F.array_contains(keys, x)), lambda x: F.concat(F.lit("missing required property '"), x, F.lit("'")))
+    missing = F.transform(
+        F.filter(required, lambda x: ~F.array_contains(keys, x)), lambda x: F.concat(F.lit("missing required property '"), x, F.lit("'"))
+    )
 
     def wrong(key: Column) -> Column:
         want = F.call_function("get_json_object", schema, F.concat(F.lit("$.properties['"), key, F.lit("'].type")))
@@ -63,16 +67,23 @@ def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: Da
     functions of ``registry``; with neither, it counts as well. A failed step doesn't stop later ones.
     """
     steps = explode_steps(rows, keys).join(catalog.select("tool", "input_schema", F.lit(True).alias("known")), "tool", "left")
-    checked = steps.withColumn("missing", F.col("known").isNull()).withColumn("problems", F.when(F.col("missing"), F.array().cast("array<string>")).otherwise(schema_problems(F.col("tool_input"), F.col("input_schema"))))
+    checked = steps.withColumn("missing", F.col("known").isNull()).withColumn(
+        "problems",
+        F.when(F.col("missing"), F.array().cast("array<string>")).otherwise(schema_problems(F.col("tool_input"), F.col("input_schema"))),
+    )
     if replay is not None:
         ran = checked.join(replay.select("tool", "tool_input", F.col("error").alias("ran")), ["tool", "tool_input"], "left")
     elif registry is not None:
         sound = ~F.col("missing") & (F.size("problems") == 0)
         # only steps that passed the gates are executed
-        ran = checked.where(sound).withColumn("ran", executed(registry)("tool", "tool_input")).unionByName(checked.where(~sound).withColumn("ran", F.lit(None).cast("string")))
+        ran = checked.where(sound).withColumn("ran", executed(registry)("tool", "tool_input")).unionByName(
+            checked.where(~sound).withColumn("ran", F.lit(None).cast("string"))
+        )
     else:
         ran = checked.withColumn("ran", F.lit(None).cast("string"))
-    error = F.when(F.col("missing"), F.concat(F.lit("missing tool: '"), F.coalesce("tool", F.lit("None")), F.lit("'"))).when(F.size("problems") > 0, F.array_join("problems", "; ")).otherwise(F.col("ran"))
+    error = F.when(F.col("missing"), F.concat(F.lit("missing tool: '"), F.coalesce("tool", F.lit("None")), F.lit("'"))).when(F.size("problems") > 0, F.array_join("problems", "; ")).otherwise(
+        F.col("ran")
+    )
     return ran.select(*keys, "step", "tool", "missing", "problems", error.isNull().alias("ok"), error.alias("error"))
 
 
@@ -104,7 +115,9 @@ def coverage(rows: DataFrame, edges: DataFrame | None, keys: list[str]) -> DataF
     if edges is None:
         counted = sized.withColumn("hits", F.lit(0))
     else:
-        hits = consecutive(rows, keys).join(edges.select("src", "dst").distinct(), ["src", "dst"], "left_semi").groupBy(*keys).agg(F.count("*").alias("hits"))
+        hits = consecutive(rows, keys).join(edges.select("src", "dst").distinct(), ["src", "dst"], "left_semi").groupBy(*keys).agg(
+            F.count("*").alias("hits")
+        )
         counted = sized.join(hits, keys, "left")
     share = F.coalesce("hits", F.lit(0)) / (F.col("n") - 1)
     return counted.select(*keys, F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, None).otherwise(share).alias("coverage"))
@@ -140,13 +153,22 @@ def verify(rows: DataFrame, catalog: DataFrame, keys: list[str], **how) -> DataF
     mismatch = F.when(F.size("problems") > 0, F.struct("step", "tool", "problems"))
     per = steps.groupBy(*keys).agg(
         F.every("ok").alias("all_ok"),
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("missing"), F.struct("step", "tool")))), lambda x: x["tool"]).alias("missing_tools"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("missing"), F.struct("step", "tool")))), lambda x: x["tool"]).alias(
+            "missing_tools"
+        ),
         F.array_sort(F.collect_list(mismatch)).alias("schema_mismatches"),
         F.array_sort(F.collect_list(record)).alias("executed_steps"),
     )
     joined = rows.join(per, keys, "left").withColumn("_done", F.coalesce("all_ok", F.lit(False)))
     checks = [c.alias(name) for name, c in business_checks(joined, F.col("_done")).items()]
-    report = F.struct(F.col("_done").alias("chain_valid"), F.col("_done").alias("execution_completed"), "missing_tools", "schema_mismatches", "executed_steps", *checks)
+    report = F.struct(
+        F.col("_done").alias("chain_valid"),
+        F.col("_done").alias("execution_completed"),
+        "missing_tools",
+        "schema_mismatches",
+        "executed_steps",
+        *checks,
+    )
     return joined.withColumn("verification", report).select(*rows.columns, "verification")
 
 

@@ -14,18 +14,29 @@ from loomline.plans.literals import EDGES, EVENT_TOOLS, OUTPUTS, PARAMS, relatio
 from loomline.session import table
 
 #: The input that each tool takes: a number below 90, by the catalog's schema a string for the page tools.
-SCHEMAS = tuple((tool, '{"properties": {"k": {"type": "%s"}}, "required": ["k"]}' % ("string" if tool == "open_link" else "integer")) for _, tool in EVENT_TOOLS if tool != "close_session")
+SCHEMAS = tuple(
+    (tool, '{"properties": {"k": {"type": "%s"}}, "required": ["k"]}' % ("string" if tool == "open_link" else "integer")) for _, tool in EVENT_TOOLS if tool != "close_session"
+)
 
 
 def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, step, event_id, tool, tool_input, value) of each event."""
     tools = F.create_map(*(F.lit(x) for pair in EVENT_TOOLS for x in pair))
     events = table(spark, sf_dir, "events").withColumn("tool", F.try_element_at(tools, F.col("event_type")))
-    return traces.numbered(events.select("user_id", "ts", "event_id", "tool", F.col("props").alias("tool_input"), "value"), "user_id", ["ts", "event_id"])
+    return traces.numbered(
+        events.select("user_id", "ts", "event_id", "tool", F.col("props").alias("tool_input"), "value"), "user_id", ["ts", "event_id"]
+    )
 
 
 def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traces.ordered_chain(_steps(spark, sf_dir).withColumn("result", F.concat(F.lit('{"status": "'), F.col("tool"), F.lit('"}'))), "user_id", ["step"], "tool", "tool_input", "result")
+    return traces.ordered_chain(
+        _steps(spark, sf_dir).withColumn("result", F.concat(F.lit('{"status": "'), F.col("tool"), F.lit('"}'))),
+        "user_id",
+        ["step"],
+        "tool",
+        "tool_input",
+        "result",
+    )
 
 
 def _edges(spark: SparkSession) -> DataFrame:
@@ -49,7 +60,9 @@ def chain_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _coverage(spark, sf_dir).agg(
-        F.count("*").alias("n"), F.count_if(F.col("coverage").isNull()).alias("not_applicable"), F.round(F.avg("coverage"), 6).alias("mean_coverage"), F.round(F.max("coverage"), 6).alias("max_coverage")
+        F.count("*").alias("n"), F.count_if(F.col("coverage").isNull()).alias("not_applicable"), F.round(F.avg("coverage"), 6).alias("mean_coverage"), F.round(F.max("coverage"), 6).alias(
+            "max_coverage"
+        )
     )
 
 
@@ -59,7 +72,9 @@ def chain_coverage_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tool_effect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _steps(spark, sf_dir).groupBy(tool_effect(F.col("tool")).alias("effect")).agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    return _steps(spark, sf_dir).groupBy(tool_effect(F.col("tool")).alias("effect")).agg(
+        F.count("*").alias("n"), F.countDistinct("user_id").alias("users")
+    )
 
 
 def tool_diversity_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,18 +92,35 @@ def intent_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     tools = _chains(spark, sf_dir).select("user_id", traces.tools_of(F.col("chain")).alias("tools"))
     both = asked.join(tools, F.col("conv_id") == F.col("user_id"), "left")
     text = F.concat(F.lit("show me or open "), F.coalesce("text", F.lit("")))
-    return both.select("conv_id", "turn", F.coalesce(question_intent(F.col("text")), F.lit("NONE")).alias("intent"), question_intent(text).alias("asked_intent"), intent_aligned(text, F.col("tools")).alias("aligned"))
+    return both.select(
+        "conv_id",
+        "turn",
+        F.coalesce(question_intent(F.col("text")), F.lit("NONE")).alias("intent"),
+        question_intent(text).alias("asked_intent"),
+        intent_aligned(text, F.col("tools")).alias("aligned"),
+    )
 
 
 def chain_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = _steps(spark, sf_dir).withColumn("preview", F.concat(F.lit('{"value": 1.5, "state": "'), F.col("tool"), F.lit('", "id": '), F.get_json_object("tool_input", "$.k"), F.lit("}")))
+    steps = _steps(spark, sf_dir).withColumn(
+        "preview",
+        F.concat(F.lit('{"value": 1.5, "state": "'), F.col("tool"), F.lit('", "id": '), F.get_json_object("tool_input", "$.k"), F.lit("}")),
+    )
     return steps.select("user_id", "step", expected_outcome(F.col("tool"), F.col("preview")).alias("o")).select("user_id", "step", "o.*")
 
 
 def schema_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _chains(spark, sf_dir)
     checked = verify.check_steps(rows, relation(spark, SCHEMAS, "tool string, input_schema string"), ["user_id"])
-    return checked.select("user_id", "step", "tool", "missing", F.array_join("problems", "; ").alias("problems"), "ok", F.coalesce("error", F.lit("")).alias("error"))
+    return checked.select(
+        "user_id",
+        "step",
+        "tool",
+        "missing",
+        F.array_join("problems", "; ").alias("problems"),
+        "ok",
+        F.coalesce("error", F.lit("")).alias("error"),
+    )
 
 
 def _qa(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +131,12 @@ def _qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = chains.withColumn("entity_refs", refs).withColumn("chain", F.slice("chain", 1, 3))
     outcomes = F.transform("chain", lambda x: expected_outcome(x["tool"], x["result_preview"]))
     return kept.select(
-        F.col("user_id").alias("sample_id"), F.lit(0).alias("chain_pos"), F.col("user_id").cast("string").alias("chain_id"), F.lit("").alias("description"),
-        traces.template_question(c("chain"), c("entity_refs")).alias("question"), traces.template_answer(c("user_id").cast("string"), F.lit(""), c("chain")).alias("answer_draft"),
+        F.col("user_id").alias("sample_id"), F.lit(0).alias("chain_pos"), F.col("user_id").cast("string").alias("chain_id"), F.lit("").alias(
+            "description"
+        ),
+        traces.template_question(c("chain"), c("entity_refs")).alias("question"), traces.template_answer(c("user_id").cast("string"), F.lit(""), c("chain")).alias(
+            "answer_draft"
+        ),
         traces.tools_of(c("chain")).alias("required_tools"), "chain", "entity_refs", outcomes.alias("expected_outcomes"),
         F.struct(F.lit("executed_trace").alias("source"), c("user_id").cast("string").alias("chain_id")).alias("provenance"),
     )
@@ -117,7 +153,17 @@ def _entities(spark: SparkSession) -> DataFrame:
 def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = verify.verify(_qa(spark, sf_dir), _catalog(spark), ["sample_id", "chain_pos"])
     v = "verification."
-    return checked.select("sample_id", f"{v}chain_valid", F.size(f"{v}missing_tools").alias("n_missing"), F.size(f"{v}schema_mismatches").alias("n_mismatches"), f"{v}intent_aligned", f"{v}output_assertions_passed", f"{v}state_assertions_passed", f"{v}answer_faithful", f"{v}safe_to_review")
+    return checked.select(
+        "sample_id",
+        f"{v}chain_valid",
+        F.size(f"{v}missing_tools").alias("n_missing"),
+        F.size(f"{v}schema_mismatches").alias("n_mismatches"),
+        f"{v}intent_aligned",
+        f"{v}output_assertions_passed",
+        f"{v}state_assertions_passed",
+        f"{v}answer_faithful",
+        f"{v}safe_to_review",
+    )
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +177,14 @@ def critique_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _scored(spark, sf_dir)
-    return scored.select("sample_id", F.round("coverage", 6).alias("coverage"), "entity_grounded", "question_tokens", "answer_tokens", refine.passes().alias("passes"))
+    return scored.select(
+        "sample_id",
+        F.round("coverage", 6).alias("coverage"),
+        "entity_grounded",
+        "question_tokens",
+        "answer_tokens",
+        refine.passes().alias("passes"),
+    )
 
 
 def refine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +192,10 @@ def refine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, ledger = refine.refine(_qa(spark, sf_dir), _catalog(spark), _edges(spark), _entities(spark))
     row = ledger["iterations"][0]
     keys = ("iteration", "num_pairs", "num_chain_valid", "num_entity_grounded", "num_kept", "num_rejected")
-    return spark.createDataFrame([(*(row[k] for k in keys), round(row["mean_coverage"], 6), ledger["stopped_reason"])], ", ".join(f"{k} long" for k in keys) + ", mean_coverage double, stopped_reason string")
+    return spark.createDataFrame(
+        [(*(row[k] for k in keys), round(row["mean_coverage"], 6), ledger["stopped_reason"])],
+        ", ".join(f"{k} long" for k in keys) + ", mean_coverage double, stopped_reason string",
+    )
 
 
 def call_budget_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,15 +205,25 @@ def call_budget_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     chains = _steps(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("calls")).withColumn("part", F.floor(F.col("user_id") / 100))
     sums = chains.groupBy("part").agg(F.sum("calls").alias("total"))
-    before = sums.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inner = F.coalesce(F.sum("calls").over(Window.partitionBy("part").orderBy("user_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = sums.select(
+        "part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
+    )
+    inner = F.coalesce(
+        F.sum("calls").over(Window.partitionBy("part").orderBy("user_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
     spent = chains.withColumn("inner", inner).join(before, "part").withColumn("spent", F.col("before") + F.col("inner"))
     return spent.where("spent < 5000").select("user_id", "calls", (F.col("spent") + F.col("calls")).alias("total_calls"))
 
 
 def _tools(spark: SparkSession) -> DataFrame:
-    inputs = relation(spark, PARAMS, "tool string, name string, type string").groupBy("tool").agg(F.collect_list(F.struct("name", "type")).alias("inputs"))
-    outputs = relation(spark, OUTPUTS, "tool string, pos int, name string, type string").groupBy("tool").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name", "type"))), lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))).alias("outputs"))
+    inputs = relation(spark, PARAMS, "tool string, name string, type string").groupBy("tool").agg(
+        F.collect_list(F.struct("name", "type")).alias("inputs")
+    )
+    outputs = relation(spark, OUTPUTS, "tool string, pos int, name string, type string").groupBy("tool").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name", "type"))), lambda x: F.struct(x["name"].alias("name"), x["type"].alias("type"))).alias(
+            "outputs"
+        )
+    )
     return inputs.join(outputs, "tool")
 
 
@@ -165,7 +231,9 @@ def toolkg_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = relation(spark, OUTPUTS, "tool string, pos int, name string, type string")
     wanted = relation(spark, tuple((t, k, n, x) for k, (t, n, x) in enumerate(PARAMS)), "tool string, pos int, name string, type string")
     order = F.struct("score", -F.col("out_pos"), -F.col("in_pos"))
-    best = composability.pair_scores(given, wanted).groupBy("src", "dst").agg(F.max("score").alias("score"), F.max_by(F.concat_ws("->", "out_name", "in_name"), order).alias("via"))
+    best = composability.pair_scores(given, wanted).groupBy("src", "dst").agg(
+        F.max("score").alias("score"), F.max_by(F.concat_ws("->", "out_name", "in_name"), order).alias("via")
+    )
     return best.where(F.col("score") >= composability.THRESHOLD).select("src", "dst", F.round("score", 3).alias("score"), "via")
 
 
@@ -177,7 +245,9 @@ def toolkg_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def neighborhood_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Density of the first three tools that each user called."""
     first = _steps(spark, sf_dir).where("step < 3").select(F.col("user_id").alias("group"), "tool")
-    return composability.neighborhood_density(_edges(spark), first).select(F.col("group").alias("user_id"), "n", F.round("density", 6).alias("density"))
+    return composability.neighborhood_density(_edges(spark), first).select(
+        F.col("group").alias("user_id"), "n", F.round("density", 6).alias("density")
+    )
 
 
 def random_walk_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +266,13 @@ def shared_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = estimate_tokens(F.col("text"))
     rows = table(spark, sf_dir, "conversations").select("role", tokens.alias("tokens"))
-    return rows.groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg("tokens"), 6).alias("mean"), F.min("tokens").alias("least"), F.max("tokens").alias("most"), F.round(F.stddev_pop("tokens"), 6).alias("stdev"))
+    return rows.groupBy("role").agg(
+        F.count("*").alias("n"),
+        F.round(F.avg("tokens"), 6).alias("mean"),
+        F.min("tokens").alias("least"),
+        F.max("tokens").alias("most"),
+        F.round(F.stddev_pop("tokens"), 6).alias("stdev"),
+    )
 
 
 _TOOLS_SQL = f"tools(event_type, tool) AS (VALUES {values(EVENT_TOOLS)}), edges(src, dst, score) AS (VALUES {values(EDGES)})"

@@ -119,7 +119,11 @@ def _section(kind: type, raw: Any, at: str) -> Any:
         elif f.name == "catalogs":
             if not isinstance(raw[f.name] or [], list):
                 raise ConfigError([f"{where} must be a list"])
-            given[f.name] = [_section(Catalog, {"name": f"catalog-{k}"} | x if isinstance(x, dict) else x, f"{where}[{k}]") for k, x in enumerate(raw[f.name] or [])]
+            given[f.name] = [
+                _section(Catalog, {"name": f"catalog-{k}"} | x if isinstance(x, dict) else x, f"{where}[{k}]") for k, x in enumerate(
+                    raw[f.name] or []
+                )
+            ]
         else:
             given[f.name] = _value(hints[f.name], raw[f.name], where)
     return kind(**given)

@@ -24,7 +24,9 @@ def first_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.md5(normalize_question(F.coalesce("text", F.lit(""))))
     counts = _docs(spark, sf_dir).groupBy(key.alias("key")).agg(F.count("*").alias("n"))
-    return counts.agg(F.sum("n").alias("n_in"), F.count("*").alias("n_unique"), (F.sum("n") - F.count("*")).alias("n_dupes"), F.max("n").alias("largest"))
+    return counts.agg(
+        F.sum("n").alias("n_in"), F.count("*").alias("n_unique"), (F.sum("n") - F.count("*")).alias("n_dupes"), F.max("n").alias("largest")
+    )
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +34,9 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     docs = _docs(spark, sf_dir).join(labels, "doc_id", "left")
     known = F.when(F.col("quality").isNotNull(), F.struct((F.col("quality") == 1).alias("chain_valid")))
-    return docs.withColumn("verification", known).withColumn("coverage", F.when(F.col("toxic") == 1, 0.25).when(F.col("toxic") == 0, 1.0)).withColumn("entity_refs", F.array("source"))
+    return docs.withColumn("verification", known).withColumn("coverage", F.when(F.col("toxic") == 1, 0.25).when(F.col("toxic") == 0, 1.0)).withColumn(
+        "entity_refs", F.array("source")
+    )
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,13 +82,30 @@ def external_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation rows of the question-answer turns, their scalar columns."""
-    outcomes = F.array(F.struct(F.lit("answered").alias("description"), F.substring("answer", 1, 60).alias("assertion"), F.lit(None).cast("string").alias("state_after")))
+    outcomes = F.array(
+        F.struct(
+            F.lit("answered").alias("description"),
+            F.substring("answer", 1, 60).alias("assertion"),
+            F.lit(None).cast("string").alias("state_after"),
+        )
+    )
     rows = _turns(spark, sf_dir).select(
-        "question", F.col("answer").alias("answer_draft"), F.array().cast(f"array<{traces.STEP}>").alias("chain"), F.array(F.lit("e")).alias("entity_refs"), outcomes.alias("expected_outcomes"),
+        "question", F.col("answer").alias("answer_draft"), F.array().cast(f"array<{traces.STEP}>").alias("chain"), F.array(F.lit("e")).alias("entity_refs"), outcomes.alias(
+            "expected_outcomes"
+        ),
         F.struct(F.concat_ws("-", "conv_id", "turn").alias("chain_id")).alias("provenance"),
     )
     rows = release.evaluation_rows(release.scenario_packages(rows))
-    return rows.select("scenario_id", "category", "prompt", "expected_answer", F.get("expected_outcomes", F.lit(0)).alias("outcome"), "ground_truth.intent_type", "ground_truth.verified", F.size("expected_tool_calls").alias("n_calls"))
+    return rows.select(
+        "scenario_id",
+        "category",
+        "prompt",
+        "expected_answer",
+        F.get("expected_outcomes", F.lit(0)).alias("outcome"),
+        "ground_truth.intent_type",
+        "ground_truth.verified",
+        F.size("expected_tool_calls").alias("n_calls"),
+    )
 
 
 def token_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +117,9 @@ def token_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Truncated and clipped texts, by their hashes."""
     c = F.col("text")
-    return _docs(spark, sf_dir).select("doc_id", F.md5(truncate(c, 300)).alias("truncated"), F.md5(clipped(c, 300)).alias("clipped"), F.md5(canon(c)).alias("canon"))
+    return _docs(spark, sf_dir).select(
+        "doc_id", F.md5(truncate(c, 300)).alias("truncated"), F.md5(clipped(c, 300)).alias("clipped"), F.md5(canon(c)).alias("canon")
+    )
 
 
 def redact_email(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +129,9 @@ def redact_email(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir).select(F.lit("documents").alias("tbl"), F.col("doc_id").alias("id"), "text")
-    return docs.unionByName(table(spark, sf_dir, "pages").select(F.lit("pages").alias("tbl"), F.col("page_id").alias("id"), F.col("html").alias("text")))
+    return docs.unionByName(
+        table(spark, sf_dir, "pages").select(F.lit("pages").alias("tbl"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    )
 
 
 def redact_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,42 +166,66 @@ def release_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_valid = mix.valid_count(F.col("n_accepted"), 0.1)
 
     def facts(accepted: DataFrame, name: str) -> DataFrame:
-        counted = accepted.agg(F.count("*").alias("n_accepted")).join(release.leaked(accepted, leaks).agg(F.count("*").alias("n_leaked"))).join(toxic)
+        counted = accepted.agg(F.count("*").alias("n_accepted")).join(release.leaked(accepted, leaks).agg(F.count("*").alias("n_leaked"))).join(
+            toxic
+        )
         whole = counted.withColumns({"n_validation": n_valid.cast("long"), "n_train": F.col("n_accepted") - n_valid.cast("long")})
-        return whole.withColumns({"name": F.lit(name), "expert_decisions": F.lit(1), "outcome_assertions": F.lit(True), "privacy_clean": F.lit(True)})
+        return whole.withColumns(
+            {"name": F.lit(name), "expert_decisions": F.lit(1), "outcome_assertions": F.lit(True), "privacy_clean": F.lit(True)}
+        )
 
     every = facts(passed, "all").unionByName(facts(passed.join(leaks, "id", "left_anti"), "without leaks"))
     judged = release.assess_release(every)
-    return judged.select("name", "n_accepted", "n_train", "n_validation", "n_leaked", F.array_join("reasons", "; ").alias("reasons"), "status")
+    return judged.select(
+        "name", "n_accepted", "n_train", "n_validation", "n_leaked", F.array_join("reasons", "; ").alias("reasons"), "status"
+    )
 
 
 def entity_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of a few names each document mentions."""
     names = ("the", "entre", "schule", "world", "token", "license")
     entities = spark.createDataFrame(list(enumerate(names)), "pos int, name string")
-    chain = F.array(F.struct(F.lit("read").alias("tool"), F.lit("{}").alias("tool_input"), F.coalesce("text", F.lit("")).alias("result_preview")))
+    chain = F.array(
+        F.struct(F.lit("read").alias("tool"), F.lit("{}").alias("tool_input"), F.coalesce("text", F.lit("")).alias("result_preview"))
+    )
     found = traces.ground_entities(_docs(spark, sf_dir).select("doc_id", chain.alias("chain")), entities)
     return found.select("doc_id", F.array_join("entity_refs", ",").alias("refs"))
 
 
 def parametric_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers that stand in the context, which here are the opening texts of the user turns."""
-    rows = _turns(spark, sf_dir).withColumn("answer_draft", F.concat(F.col("answer"), F.lit(""))).withColumn("ord", F.col("conv_id") * 1000 + F.col("turn"))
+    rows = _turns(spark, sf_dir).withColumn("answer_draft", F.concat(F.col("answer"), F.lit(""))).withColumn(
+        "ord", F.col("conv_id") * 1000 + F.col("turn")
+    )
     flagged = metrics.parametric_flags(rows, "domain entities: the and of in")
-    return flagged.agg(F.count("*").alias("n"), F.count_if("flagged").alias("flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("fraction"))
+    return flagged.agg(
+        F.count("*").alias("n"),
+        F.count_if("flagged").alias("flagged"),
+        F.round(F.avg(F.col("flagged").cast("double")), 6).alias("fraction"),
+    )
 
 
 def corpus_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a blank line after each line, packed into chunks."""
     files = _docs(spark, sf_dir).select(F.col("doc_id").alias("path"), F.regexp_replace("text", "\n", "\n\n").alias("text"))
-    return corpus.corpus_chunks(files).select(F.col("path").alias("doc_id"), "pos", F.length("chunk").alias("chars"), F.md5("chunk").alias("hash"))
+    return corpus.corpus_chunks(files).select(
+        F.col("path").alias("doc_id"), "pos", F.length("chunk").alias("chars"), F.md5("chunk").alias("hash")
+    )
 
 
 def kb_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best documents, titled by their source and language, of three queries."""
     docs = _docs(spark, sf_dir)
-    articles = docs.select(F.col("doc_id").alias("article_id"), F.concat_ws(" ", "source", "lang").alias("title"), F.col("text").alias("body"), F.lit("").alias("tags"), F.col("lang").alias("category"))
-    return search.search(articles, ["license token src1 en", "The password of src2", "de una"]).select("query", "place", "article_id", "category", F.round("score", 6).alias("score"), F.md5("snippet").alias("snippet"))
+    articles = docs.select(
+        F.col("doc_id").alias("article_id"),
+        F.concat_ws(" ", "source", "lang").alias("title"),
+        F.col("text").alias("body"),
+        F.lit("").alias("tags"),
+        F.col("lang").alias("category"),
+    )
+    return search.search(articles, ["license token src1 en", "The password of src2", "de una"]).select(
+        "query", "place", "article_id", "category", F.round("score", 6).alias("score"), F.md5("snippet").alias("snippet")
+    )
 
 
 def agreement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +233,14 @@ def agreement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = lambda good: F.when(good, "accept").otherwise("reject")
     runs = F.array(F.lit(0.5), F.col("doc_id") % 10 / 10, F.lit(0.6))
     labels = table(spark, sf_dir, "labels")
-    return search.agreement(labels.select(verdict(F.col("quality") == 1).alias("first"), verdict(F.col("toxic") == 0).alias("second"), runs.alias("runs"), (F.col("doc_id") % 97).alias("latency_ms")))
+    return search.agreement(
+        labels.select(
+            verdict(F.col("quality") == 1).alias("first"),
+            verdict(F.col("toxic") == 0).alias("second"),
+            runs.alias("runs"),
+            (F.col("doc_id") % 97).alias("latency_ms"),
+        )
+    )
 
 
 QUERIES = {
@@ -204,7 +260,9 @@ _TURNS_SQL = "turns AS (SELECT DISTINCT u.conv_id, u.turn, u.text AS question, a
 _TEXTS_SQL = "texts AS (SELECT 'documents' AS tbl, doc_id AS id, text FROM documents UNION ALL SELECT 'pages', page_id, html FROM pages)"
 #: Rules without look-around, which the oracle lacks: a digit's absence at both ends is written as a character that
 #: stays, and the replacement runs twice, as neighbouring hits share such a character.
-_GUARDED = {"phone": r"(?:\+?1[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?)?\d{3}[-.\s]?\d{4}", "ssn": r"\d{3}-\d{2}-\d{4}", "credit_card": r"(?:\d[ -]?){13,16}"}
+_GUARDED = {
+    "phone": r"(?:\+?1[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?)?\d{3}[-.\s]?\d{4}", "ssn": r"\d{3}-\d{2}-\d{4}", "credit_card": r"(?:\d[ -]?){13,16}"
+}
 
 
 def _redacted_sql() -> tuple[str, list[str]]:
@@ -227,14 +285,20 @@ def _hits_sql() -> str:
     ctes = [_TEXTS_SQL, "t0 AS (SELECT coalesce(text, '') AS text FROM texts)"]
     for k, (label, pattern, _) in enumerate(redaction.PATTERNS):
         quoted = (_GUARDED.get(label) or pattern).replace("'", "''")
-        now, longer = (f"regexp_replace(regexp_replace(text, '(^|[^0-9])({quoted})([^0-9]|$)', '\\1{m}\\3', 'g'), '(^|[^0-9])({quoted})([^0-9]|$)', '\\1{m}\\3', 'g')" if label in _GUARDED else f"regexp_replace(text, '{quoted}', '{m}', 'g')" for m in ("<" + label.upper() + ">", "<" + label.upper() + "+>"))
+        now, longer = (
+            f"regexp_replace(regexp_replace(text, '(^|[^0-9])({quoted})([^0-9]|$)', '\\1{m}\\3', 'g'), '(^|[^0-9])({quoted})([^0-9]|$)', '\\1{m}\\3', 'g')" if label in _GUARDED else f"regexp_replace(text, '{quoted}', '{m}', 'g')" for m in (
+                "<" + label.upper() + ">", "<" + label.upper() + "+>"
+            )
+        )
         ctes.append(f"t{k + 1} AS (SELECT {now} AS text, length({longer}) - length({now}) AS hits FROM t{k})")
         parts.append(f"SELECT '{label}' AS label, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits FROM t{k + 1}")
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
 
 
 def _kinds_sql() -> str:
-    cases = " UNION ALL ".join(f"""SELECT path, line_no, '{kind}' AS kind FROM lines WHERE regexp_matches(line, '{pattern.replace("'", "''")}')""" for kind, pattern in credentials.KINDS)
+    cases = " UNION ALL ".join(
+        f"""SELECT path, line_no, '{kind}' AS kind FROM lines WHERE regexp_matches(line, '{pattern.replace("'", "''")}')""" for kind, pattern in credentials.KINDS
+    )
     return f"WITH {_TEXTS_SQL}, split AS (SELECT tbl || '/' || id AS path, string_split(text, chr(10)) AS parts FROM texts), lines AS (SELECT path, unnest(range(1, len(parts) + 1)) AS line_no, unnest(parts) AS line FROM split) {cases}"
 
 

@@ -48,7 +48,17 @@ class FactoryRun:
     them that says how the stage ended, and by which code.
     """
 
-    def __init__(self, spark: SparkSession, config: RunConfig, workdir: str | None = None, model: Callable[[str], str] | None = None, connector: Callable | None = None, generate: Callable | None = None, registry: dict[str, Callable] | None = None, keep: Callable[[dict], bool] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: RunConfig,
+        workdir: str | None = None,
+        model: Callable[[str], str] | None = None,
+        connector: Callable | None = None,
+        generate: Callable | None = None,
+        registry: dict[str, Callable] | None = None,
+        keep: Callable[[dict], bool] | None = None,
+    ):
         self.spark, self.config, self.model, self.connector, self.generate, self.registry, self.keep = spark, config, model, connector, generate, registry, keep
         self.workdir = (workdir or config.output.dir).rstrip("/")
         self.summaries: dict[str, dict] = {}
@@ -110,8 +120,14 @@ class FactoryRun:
             elif self.connector is None:
                 raise RunFailed(f"catalog {x.name}: no connector for {x.transport}")
             else:
-                tools = [(k, t["name"], t.get("description") or "", json.dumps(t.get("input_schema") or {}), x.name) for k, t in enumerate(self.connector(x))]
-                catalogs.append(self.spark.createDataFrame(tools, "ord long, name string, description string, input_schema string, server string"))
+                tools = [
+                    (k, t["name"], t.get("description") or "", json.dumps(t.get("input_schema") or {}), x.name) for k, t in enumerate(
+                        self.connector(x)
+                    )
+                ]
+                catalogs.append(
+                    self.spark.createDataFrame(tools, "ord long, name string, description string, input_schema string, server string")
+                )
         tools = self.save("catalog", readers.merge_catalogs(catalogs))
         return {"num_tools": tools.count(), "servers": [x.name for x in self.config.catalogs]}
 
@@ -149,7 +165,9 @@ class FactoryRun:
         return graph.union_graphs(structural, told, d.max_entities)
 
     def run_toolkg(self) -> dict:
-        rows = [(tool, k, prop, kind) for tool, props in self.config.generation.output_hints.items() for k, (prop, kind) in enumerate(props)]
+        rows = [
+            (tool, k, prop, kind) for tool, props in self.config.generation.output_hints.items() for k, (prop, kind) in enumerate(props)
+        ]
         hints = self.spark.createDataFrame(rows, "tool string, pos int, output_prop string, output_type string") if rows else None
         tools = self.save("tools", composability.normalize_tools(self.table("catalog"), hints))
         edges = self.save("tool_edges", composability.composability_edges(tools))
@@ -183,9 +201,13 @@ class FactoryRun:
         text = graph.context_text(context)
         rows = self.save("drafted", traces.qa_rows(samples, entities, edges=edges, model=self.model, context=text, tools=summaries))
         catalog = self.table("catalog").select(F.col("name").alias("tool"), "input_schema")
-        config = refine.RefineConfig(q.max_iterations, q.min_coverage, q.require_chain_valid, q.require_entities, self.config.generation.seed)
+        config = refine.RefineConfig(
+            q.max_iterations, q.min_coverage, q.require_chain_valid, q.require_entities, self.config.generation.seed
+        )
         how = {"registry": self.registry} if self.registry else {}
-        kept, ledger = refine.refine(rows, catalog, edges, entities, self.model, self.keep if q.semantic_filter else None, config, text, summaries, **how)
+        kept, ledger = refine.refine(
+            rows, catalog, edges, entities, self.model, self.keep if q.semantic_filter else None, config, text, summaries, **how
+        )
         hits: dict[str, int] = {}
         if q.pii_redact:
             counted = with_redaction(with_redaction(kept, "question", "_q", "_hq"), "answer_draft", "_a", "_ha")
@@ -194,7 +216,12 @@ class FactoryRun:
             kept = mix.redacted_rows(kept)
         kept = self.save("kept", kept)
         documents.write_json(self.spark, self.path("ledger.json"), ledger)
-        return {"stopped_reason": ledger["stopped_reason"], "num_kept": kept.count(), "iterations": len(ledger["iterations"]), "redaction_hits": hits}
+        return {
+            "stopped_reason": ledger["stopped_reason"],
+            "num_kept": kept.count(),
+            "iterations": len(ledger["iterations"]),
+            "redaction_hits": hits,
+        }
 
     def _keyed(self) -> DataFrame:
         """The kept rows with the key and the order that mix and metrics need."""
@@ -203,7 +230,12 @@ class FactoryRun:
 
     def run_package(self) -> dict:
         q, o = self.config.quality, self.config.output
-        config = mix.MixConfig(mix.valid_frac_of(o.train_split), self.config.generation.seed, require_chain_valid=q.require_chain_valid, require_entities=q.require_entities)
+        config = mix.MixConfig(
+            mix.valid_frac_of(o.train_split),
+            self.config.generation.seed,
+            require_chain_valid=q.require_chain_valid,
+            require_entities=q.require_entities,
+        )
         rows, report = mix.assemble(self._keyed(), None, config)
         rows = self.save("mix", rows)
         for part in ("train", "valid"):
@@ -234,7 +266,9 @@ class FactoryRun:
                 break
         stats = self.model.stats() if hasattr(self.model, "stats") else {"calls": 0}
         report = {
-            "status": "failed" if failed else "ok", "failed_stage": failed, "run_name": self.config.name, "config": asdict(self.config), "config_fingerprint": fingerprint(self.config),
+            "status": "failed" if failed else "ok", "failed_stage": failed, "run_name": self.config.name, "config": asdict(self.config), "config_fingerprint": fingerprint(
+                self.config
+            ),
             "duration_s": round(time.monotonic() - began, 1), "stages": self.summaries, "llm": stats, "eval": self.found.get("metrics"), "mix": self.found.get("mix"), "finished_at": now(),
         }
         documents.write_json(self.spark, self.path("run_report.json"), report)

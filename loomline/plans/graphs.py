@@ -14,12 +14,46 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges): customers belong to nations, nations to regions; customers of odd numbers stand apart, in pairs."""
     region, nation, customer = (table(spark, sf_dir, x) for x in ("region", "nation", "customer"))
     odd = F.col("c_custkey") % 2 == 1
-    nodes = region.select(F.concat_ws(":", F.lit("region"), "r_regionkey").alias("id"), F.col("r_name").alias("entity_name"), F.lit("region").alias("entity_type"), F.lit("A region").alias("description"))
-    nodes = nodes.unionByName(nation.select(F.concat_ws(":", F.lit("nation"), "n_nationkey").alias("id"), F.col("n_name").alias("entity_name"), F.lit("nation").alias("entity_type"), F.lit("").alias("description")))
-    nodes = nodes.unionByName(customer.select(F.concat_ws(":", F.lit("customer"), "c_custkey").alias("id"), F.col("c_name").alias("entity_name"), F.lit("customer").alias("entity_type"), F.col("c_mktsegment").alias("description")))
-    edges = nation.select(F.concat_ws(":", F.lit("nation"), "n_nationkey").alias("src"), F.concat_ws(":", F.lit("region"), "n_regionkey").alias("dst"), F.lit("in_region").alias("relation"), F.lit("").alias("description"))
-    even = customer.where(~odd).select(F.concat_ws(":", F.lit("customer"), "c_custkey").alias("src"), F.concat_ws(":", F.lit("nation"), "c_nationkey").alias("dst"), F.lit("").alias("relation"), F.col("c_mktsegment").alias("description"))
-    pairs = customer.where(odd & (F.col("c_custkey") % 4 == 3)).select(F.concat_ws(":", F.lit("customer"), "c_custkey").alias("src"), F.concat_ws(":", F.lit("customer"), F.col("c_custkey") - 2).alias("dst"), F.lit("knows").alias("relation"), F.lit("").alias("description"))
+    nodes = region.select(
+        F.concat_ws(":", F.lit("region"), "r_regionkey").alias("id"),
+        F.col("r_name").alias("entity_name"),
+        F.lit("region").alias("entity_type"),
+        F.lit("A region").alias("description"),
+    )
+    nodes = nodes.unionByName(
+        nation.select(
+            F.concat_ws(":", F.lit("nation"), "n_nationkey").alias("id"),
+            F.col("n_name").alias("entity_name"),
+            F.lit("nation").alias("entity_type"),
+            F.lit("").alias("description"),
+        )
+    )
+    nodes = nodes.unionByName(
+        customer.select(
+            F.concat_ws(":", F.lit("customer"), "c_custkey").alias("id"),
+            F.col("c_name").alias("entity_name"),
+            F.lit("customer").alias("entity_type"),
+            F.col("c_mktsegment").alias("description"),
+        )
+    )
+    edges = nation.select(
+        F.concat_ws(":", F.lit("nation"), "n_nationkey").alias("src"),
+        F.concat_ws(":", F.lit("region"), "n_regionkey").alias("dst"),
+        F.lit("in_region").alias("relation"),
+        F.lit("").alias("description"),
+    )
+    even = customer.where(~odd).select(
+        F.concat_ws(":", F.lit("customer"), "c_custkey").alias("src"),
+        F.concat_ws(":", F.lit("nation"), "c_nationkey").alias("dst"),
+        F.lit("").alias("relation"),
+        F.col("c_mktsegment").alias("description"),
+    )
+    pairs = customer.where(odd & (F.col("c_custkey") % 4 == 3)).select(
+        F.concat_ws(":", F.lit("customer"), "c_custkey").alias("src"),
+        F.concat_ws(":", F.lit("customer"), F.col("c_custkey") - 2).alias("dst"),
+        F.lit("knows").alias("relation"),
+        F.lit("").alias("description"),
+    )
     return nodes, edges.unionByName(even).unionByName(pairs)
 
 
@@ -47,8 +81,18 @@ def kg_entity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers of a number as one entity, and a nation's comment from whoever has the longest."""
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     key = lambda c: F.concat(F.lit(" party "), F.col(c).cast("string"))
-    first = customer.select(F.col("c_custkey").alias("ord"), key("c_custkey").alias("name"), F.lit("customer").alias("type"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("description"))
-    second = supplier.select((F.col("s_suppkey") + 1_000_000_000).alias("ord"), key("s_suppkey").alias("name"), F.lit("supplier").alias("type"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("description"))
+    first = customer.select(
+        F.col("c_custkey").alias("ord"),
+        key("c_custkey").alias("name"),
+        F.lit("customer").alias("type"),
+        F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("description"),
+    )
+    second = supplier.select(
+        (F.col("s_suppkey") + 1_000_000_000).alias("ord"),
+        key("s_suppkey").alias("name"),
+        F.lit("supplier").alias("type"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("description"),
+    )
     return graph.merge_entities(first.unionByName(second))
 
 
@@ -57,7 +101,13 @@ def kg_relation_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     head, tail = F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
     turn = F.col("l_linenumber") % 2 == 0
-    rows = line.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("ord"), F.when(turn, tail).otherwise(head).alias("head"), F.when(turn, "sold to").otherwise("ordered from").alias("relation"), F.when(turn, head).otherwise(tail).alias("tail"), F.lit("").alias("description"))
+    rows = line.select(
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("ord"),
+        F.when(turn, tail).otherwise(head).alias("head"),
+        F.when(turn, "sold to").otherwise("ordered from").alias("relation"),
+        F.when(turn, head).otherwise(tail).alias("tail"),
+        F.lit("").alias("description"),
+    )
     return graph.merge_relations(rows)
 
 
@@ -73,11 +123,31 @@ def kg_from_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows: dict[str, list[str]] = {}
     for tool, param, kind in PARAMS:
         rows.setdefault(tool, []).append(f'"{param}": {{"type": "{kind}", "description": "{param} of {tool}"}}')
-    catalog = relation(spark, tuple((k, tool, f"Calls {tool}", '{"properties": {' + ", ".join(x) + '}, "required": ["user_id"]}') for k, (tool, x) in enumerate(rows.items())), "ord long, name string, description string, input_schema string")
+    catalog = relation(
+        spark,
+        tuple(
+            (k, tool, f"Calls {tool}", '{"properties": {' + ", ".join(x) + '}, "required": ["user_id"]}') for k, (tool, x) in enumerate(
+                rows.items()
+            )
+        ),
+        "ord long, name string, description string, input_schema string",
+    )
     return graph.tool_graph(catalog)[1]
 
 
-QUERIES = {f.__name__: f for f in (kg_degree_topk, kg_entities_ranked, kg_triples_ranked, kg_components, kg_communities, kg_entity_merge, kg_relation_merge, kg_budget_prefix, kg_from_tools)}
+QUERIES = {
+    f.__name__: f for f in (
+        kg_degree_topk,
+        kg_entities_ranked,
+        kg_triples_ranked,
+        kg_components,
+        kg_communities,
+        kg_entity_merge,
+        kg_relation_merge,
+        kg_budget_prefix,
+        kg_from_tools,
+    )
+}
 
 _GRAPH_SQL = """nodes AS (
   SELECT 'region:' || r_regionkey AS id, r_name AS entity_name, 'region' AS entity_type, 'A region' AS description FROM region

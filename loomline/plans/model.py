@@ -28,7 +28,11 @@ class ModelClient:
     sleep: Callable[[float], None] = time.sleep
     clock: Callable[[], float] = time.monotonic
     rng: random.Random = field(default_factory=random.Random)
-    counts: dict[str, int] = field(default_factory=lambda: dict.fromkeys(("calls", "retries", "transient_failures", "fatal_failures", "est_input_tokens", "est_output_tokens"), 0))
+    counts: dict[str, int] = field(
+        default_factory=lambda: dict.fromkeys(
+            ("calls", "retries", "transient_failures", "fatal_failures", "est_input_tokens", "est_output_tokens"), 0
+        )
+    )
     _last: float | None = None
 
     @property

@@ -21,7 +21,17 @@ def _profile(name: str, columns: list[str]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = probe.profile(table(spark, sf_dir, name).select(columns), columns)
         shown = F.array_join(F.transform("top_values", lambda x: F.concat_ws(":", x["value"], x["count"].cast("string"))), ",")
-        return found.select("pos", "name", "type", "cardinality", "missing_frac", "min", "max", F.round("mean", 2).alias("mean"), F.coalesce(shown, F.lit("")).alias("top_values"))
+        return found.select(
+            "pos",
+            "name",
+            "type",
+            "cardinality",
+            "missing_frac",
+            "min",
+            "max",
+            F.round("mean", 2).alias("mean"),
+            F.coalesce(shown, F.lit("")).alias("top_values"),
+        )
 
     query.__name__ = f"column_profile_{name}"
     return query
@@ -34,14 +44,18 @@ def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auto_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-    return probe.auto_targets(probe.profile(table(spark, sf_dir, "part").select(names), names), most=30).select("pos", "name", "cardinality")
+    return probe.auto_targets(probe.profile(table(spark, sf_dir, "part").select(names), names), most=30).select(
+        "pos", "name", "cardinality"
+    )
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a segment of price, which predicts nothing, and a class that follows from the status for most."""
     segment = F.floor(F.col("o_totalprice") / 50000).cast("string")
     grade = F.when(F.col("o_orderkey") % 7 == 0, "other").otherwise(F.concat(F.lit("grade-"), "o_orderstatus"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", segment.alias("segment"), grade.alias("grade"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", segment.alias("segment"), grade.alias("grade")
+    )
 
 
 def majority_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,23 +66,45 @@ def memorising_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = probe.split_rows(_orders(spark, sf_dir), "o_orderkey")
     estimator = probe.MajorityByKey("o_orderstatus").fit(probe.training(folds), "grade")
     predicted = estimator.predict(probe.testing(folds))
-    return predicted.agg(F.count("*").alias("n_test"), F.round(F.avg((F.col("grade") == F.col("predicted")).cast("double")), 4).alias("score"))
+    return predicted.agg(
+        F.count("*").alias("n_test"), F.round(F.avg((F.col("grade") == F.col("predicted")).cast("double")), 4).alias("score")
+    )
 
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = probe.probe_target(_orders(spark, sf_dir), "o_orderkey", "grade", ["o_orderstatus", "segment"], probe.MajorityByKey("o_orderstatus"))
-    return spark.createDataFrame([(x["feature"], float(x["importance"]), float(found["holdout_score"]), float(found["baseline_score"])) for x in found["importances"]], "feature string, importance double, holdout_score double, baseline_score double")
+    found = probe.probe_target(
+        _orders(spark, sf_dir), "o_orderkey", "grade", ["o_orderstatus", "segment"], probe.MajorityByKey("o_orderstatus")
+    )
+    return spark.createDataFrame(
+        [
+            (x["feature"], float(x["importance"]), float(found["holdout_score"]), float(found["baseline_score"])) for x in found[
+                "importances"
+            ]
+        ],
+        "feature string, importance double, holdout_score double, baseline_score double",
+    )
 
 
 def tstr_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic rows are those of odd keys with their status moved on by one."""
     orders = _orders(spark, sf_dir)
     moved = F.translate("o_orderstatus", "FOP", "FPO")
-    found = probe.parity(orders, orders.where("o_orderkey % 2 = 1").withColumn("grade", F.concat(F.lit("grade-"), moved)), "o_orderkey", "grade", "o_orderstatus")
-    return spark.createDataFrame([(float(found["real_score"]), float(found["synth_trained_score"]), float(found["parity"]))], "real_score double, synth_trained_score double, parity double")
-
-
-QUERIES = {f"column_profile_{name}": _profile(name, columns) for name, columns in PROFILED.items()} | {f.__name__: f for f in (top_values, auto_targets, majority_baseline, memorising_probe, permutation_importance, tstr_parity)}
+    found = probe.parity(
+        orders,
+        orders.where("o_orderkey % 2 = 1").withColumn("grade", F.concat(F.lit("grade-"), moved)),
+        "o_orderkey",
+        "grade",
+        "o_orderstatus",
+    )
+    return spark.createDataFrame(
+        [(float(found["real_score"]), float(found["synth_trained_score"]), float(found["parity"]))],
+        "real_score double, synth_trained_score double, parity double",
+    )
+
+
+QUERIES = {f"column_profile_{name}": _profile(name, columns) for name, columns in PROFILED.items()} | {
+    f.__name__: f for f in (top_values, auto_targets, majority_baseline, memorising_probe, permutation_importance, tstr_parity)
+}
 
 
 def _profile_sql(name: str, columns: list[str]) -> str:
@@ -77,8 +113,12 @@ def _profile_sql(name: str, columns: list[str]) -> str:
         text = c in ("o_orderstatus", "o_orderpriority", "c_mktsegment", "p_brand", "p_type", "l_returnflag", "l_linestatus")
         value = f"nullif(trim({c}), '')" if text else c
         top = f"(SELECT string_agg(v || ':' || n, ',' ORDER BY n DESC, v) FROM (SELECT {value} AS v, count(*) AS n FROM {name} WHERE {value} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5))" if text else "''"
-        low, high, mean = ("CAST(NULL AS DOUBLE)",) * 3 if text else (f"CAST(min({c}) AS DOUBLE)", f"CAST(max({c}) AS DOUBLE)", f"round(avg({c}), 2)")
-        parts.append(f"SELECT {k} AS pos, '{c}' AS name, '{'categorical' if text else 'numeric'}' AS type, count(DISTINCT {value}) AS cardinality, round(1 - count({value}) / CAST(count(*) AS DOUBLE), 4) AS missing_frac, {low} AS min, {high} AS max, {mean} AS mean, {top} AS top_values FROM {name}")
+        low, high, mean = ("CAST(NULL AS DOUBLE)",) * 3 if text else (
+            f"CAST(min({c}) AS DOUBLE)", f"CAST(max({c}) AS DOUBLE)", f"round(avg({c}), 2)"
+        )
+        parts.append(
+            f"SELECT {k} AS pos, '{c}' AS name, '{'categorical' if text else 'numeric'}' AS type, count(DISTINCT {value}) AS cardinality, round(1 - count({value}) / CAST(count(*) AS DOUBLE), 4) AS missing_frac, {low} AS min, {high} AS max, {mean} AS mean, {top} AS top_values FROM {name}"
+        )
     return " UNION ALL ".join(parts)
 
 

@@ -52,7 +52,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 #: Arrow batches between the JVM and Python, where the session has Spark's defaults: a batch of long texts takes its
 #: size several times over, in both processes and for each core.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "4096"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(8 << 20))}
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "4096"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(8 << 20)),
+}
 
 
 def ship(spark: SparkSession) -> None:

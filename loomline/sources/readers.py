@@ -30,7 +30,11 @@ def coerce(df: DataFrame) -> DataFrame:
     trimmed = df.select(*(cell(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns))
     plain = lambda c: F.col(f"`{c}`").rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
     facts = trimmed.agg(*(F.struct(F.count(f"`{c}`").alias("n"), F.count_if(plain(c)).alias("numbers"), F.count(F.col(f"`{c}`").try_cast("long")).alias("whole")).alias(c) for c in texts)).first()
-    kinds = {c: "long" if facts[c]["whole"] == facts[c]["n"] else "double" for c in texts if facts[c]["n"] and facts[c]["numbers"] == facts[c]["n"]}
+    kinds = {
+        c: "long" if facts[c]["whole"] == facts[c]["n"] else "double" for c in texts if facts[c]["n"] and facts[c]["numbers"] == facts[c][
+            "n"
+        ]
+    }
     return trimmed.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns))
 
 
@@ -97,9 +101,13 @@ def read_tool_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
         nodes, edges = read_graphml(spark, path)
         return nodes.withColumnRenamed("id", "tool"), edges.withColumn("score", F.col("score").cast("double")) if "score" in edges.columns else edges
     if path.endswith(".json"):
-        whole = spark.read.schema("nodes array<struct<id:string,description:string>>, links array<struct<source:string,target:string,relation:string,score:double,via:string>>").json(path, multiLine=True)
+        whole = spark.read.schema("nodes array<struct<id:string,description:string>>, links array<struct<source:string,target:string,relation:string,score:double,via:string>>").json(
+            path, multiLine=True
+        )
         nodes = whole.select(F.explode("nodes").alias("x")).select(F.col("x.id").alias("tool"), "x.description")
-        return nodes, whole.select(F.explode("links").alias("x")).select(F.col("x.source").alias("src"), F.col("x.target").alias("dst"), "x.relation", "x.score", "x.via")
+        return nodes, whole.select(F.explode("links").alias("x")).select(
+            F.col("x.source").alias("src"), F.col("x.target").alias("dst"), "x.relation", "x.score", "x.via"
+        )
     raise ValueError(f"neither .graphml nor .json: {path}")
 
 
@@ -130,8 +138,14 @@ def spec_frames(spark: SparkSession, spec: Mapping) -> tuple[DataFrame, DataFram
             raise ValueError(f"relations[{k}] needs head, relation and tail")
     text = lambda x, key, default="": str(x.get(key, default))
     return (
-        spark.createDataFrame([(k, text(x, "name"), text(x, "type", "concept"), text(x, "description")) for k, x in enumerate(entities)], "ord long, name string, type string, description string"),
-        spark.createDataFrame([(k, text(x, "head"), text(x, "relation"), text(x, "tail"), text(x, "description")) for k, x in enumerate(relations)], "ord long, head string, relation string, tail string, description string"),
+        spark.createDataFrame(
+            [(k, text(x, "name"), text(x, "type", "concept"), text(x, "description")) for k, x in enumerate(entities)],
+            "ord long, name string, type string, description string",
+        ),
+        spark.createDataFrame(
+            [(k, text(x, "head"), text(x, "relation"), text(x, "tail"), text(x, "description")) for k, x in enumerate(relations)],
+            "ord long, head string, relation string, tail string, description string",
+        ),
     )
 
 
@@ -140,7 +154,13 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema(CATALOG_SCHEMA).json(path, multiLine=True)
     schema = F.when(F.ltrim("input_schema").startswith("{"), F.col("input_schema")).otherwise('{"type": "object", "properties": {}}')
     rows = cut(raw.withColumn("ord", F.monotonically_increasing_id()))
-    return rows.select("ord", "name", F.coalesce("description", F.lit("")).alias("description"), schema.alias("input_schema"), F.coalesce("server", F.lit("")).alias("server"))
+    return rows.select(
+        "ord",
+        "name",
+        F.coalesce("description", F.lit("")).alias("description"),
+        schema.alias("input_schema"),
+        F.coalesce("server", F.lit("")).alias("server"),
+    )
 
 
 def merge_catalogs(catalogs: list[DataFrame]) -> DataFrame:

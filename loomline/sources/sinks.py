@@ -24,18 +24,31 @@ def write_tool_graph(nodes: DataFrame, edges: DataFrame, path: str) -> str:
     tools = [x.asDict() for x in nodes.select("tool", "description").orderBy("tool").collect()]
     links = [x.asDict() for x in edges.select("src", "dst", "relation", "score", "via").orderBy("src", "dst").collect()]
     if path.endswith(".json"):
-        value = {"directed": True, "multigraph": False, "graph": {}, "nodes": [{"id": x["tool"], "description": x["description"]} for x in tools], "links": [{"source": x.pop("src"), "target": x.pop("dst"), **x} for x in links]}
+        value = {
+            "directed": True,
+            "multigraph": False,
+            "graph": {},
+            "nodes": [{"id": x["tool"], "description": x["description"]} for x in tools],
+            "links": [{"source": x.pop("src"), "target": x.pop("dst"), **x} for x in links],
+        }
         return write_json(spark, path, value)
     if not path.endswith(".graphml"):
         raise ValueError(f"neither .graphml nor .json: {path}")
-    keys = [("d0", "node", "description", "string"), ("d1", "edge", "relation", "string"), ("d2", "edge", "score", "double"), ("d3", "edge", "via", "string")]
+    keys = [
+        ("d0", "node", "description", "string"),
+        ("d1", "edge", "relation", "string"),
+        ("d2", "edge", "score", "double"),
+        ("d3", "edge", "via", "string"),
+    ]
     data = lambda key, value: f'<data key="{key}">{escape(str(value))}</data>' if value is not None else ""
     quoted = lambda x: escape(x, {'"': "&quot;"})
     lines = ['<?xml version="1.0" encoding="utf-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">']
     lines += [f'<key id="{k}" for="{of}" attr.name="{name}" attr.type="{kind}"/>' for k, of, name, kind in keys]
     lines += ['<graph edgedefault="directed">']
     lines += [f'<node id="{quoted(x["tool"])}">{data("d0", x["description"])}</node>' for x in tools]
-    lines += [f'<edge source="{quoted(x["src"])}" target="{quoted(x["dst"])}">{data("d1", x["relation"])}{data("d2", x["score"])}{data("d3", x["via"])}</edge>' for x in links]
+    lines += [
+        f'<edge source="{quoted(x["src"])}" target="{quoted(x["dst"])}">{data("d1", x["relation"])}{data("d2", x["score"])}{data("d3", x["via"])}</edge>' for x in links
+    ]
     return write_text(spark, path, "\n".join([*lines, "</graph>", "</graphml>"]) + "\n")
 
 

@@ -27,5 +27,7 @@ def first_by_text(stream: DataFrame, text_col: str, time_col: str, within: str)
 
 def windowed_effects(stream: DataFrame, time_col: str, kind_col: str, size: str, within: str) -> DataFrame:
     """(start, kind, n): rows by kind in tumbling windows, as far as the watermark has closed them."""
-    windows = stream.withWatermark(time_col, within).groupBy(F.window(time_col, size), F.col(kind_col).alias("kind")).agg(F.count("*").alias("n"))
+    windows = stream.withWatermark(time_col, within).groupBy(F.window(time_col, size), F.col(kind_col).alias("kind")).agg(
+        F.count("*").alias("n")
+    )
     return windows.select(F.col("window.start").alias("start"), "kind", "n")

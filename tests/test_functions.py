@@ -24,7 +24,12 @@ def test_truncation(spark):
 
 
 def test_first_filled(spark):
-    found = values(spark, [("", None, "c"), (None, "b", "c"), ("", "", "")], "a string, b string, c string", text.first_filled(F.col("a"), F.col("b"), F.col("c"), default="none"))
+    found = values(
+        spark,
+        [("", None, "c"), (None, "b", "c"), ("", "", "")],
+        "a string, b string, c string",
+        text.first_filled(F.col("a"), F.col("b"), F.col("c"), default="none"),
+    )
     assert found == [("c",), ("b",), ("none",)]
 
 
@@ -35,20 +40,51 @@ def test_normalised_question(spark, given, want):
 
 @pytest.mark.parametrize(
     ("name", "tokens"),
-    [("filePath", ["file", "path"]), ("directories", ["directory"]), ("ticket_ids", ["ticket", "ids"]), ("status", ["status"]), ("class", ["class"]), ("bus", ["bus"]), ("ties", ["tie"]), ("a.b-c a", ["a", "b", "c"]), ("HTTPServer2Name", ["httpserver2", "name"]), ("", [])],
+    [
+        ("filePath", ["file", "path"]),
+        ("directories", ["directory"]),
+        ("ticket_ids", ["ticket", "ids"]),
+        ("status", ["status"]),
+        ("class", ["class"]),
+        ("bus", ["bus"]),
+        ("ties", ["tie"]),
+        ("a.b-c a", ["a", "b", "c"]),
+        ("HTTPServer2Name", ["httpserver2", "name"]),
+        ("", []),
+    ],
 )
 def test_name_tokens(spark, name, tokens):
     assert one(spark, name, text.name_tokens) == tokens
 
 
-@pytest.mark.parametrize(("kind", "want"), [("int", "integer"), (" Text ", "string"), ("float", "number"), ("weird", "string"), (None, "string"), ("filepath", "path"), ("map", "object")])
+@pytest.mark.parametrize(
+    ("kind", "want"),
+    [
+        ("int", "integer"),
+        (" Text ", "string"),
+        ("float", "number"),
+        ("weird", "string"),
+        (None, "string"),
+        ("filepath", "path"),
+        ("map", "object"),
+    ],
+)
 def test_types(spark, kind, want):
     assert one(spark, kind, text.normalize_type) == want
 
 
 def test_compatible_types(spark):
-    pairs = [("string", "path", True), ("integer", "number", True), ("content", "string", True), ("path", "content", False), ("array", "array", True), ("array", "string", False)]
-    assert [x[0] for x in values(spark, pairs, "a string, b string, w boolean", text.types_compatible(F.col("a"), F.col("b")))] == [p[2] for p in pairs]
+    pairs = [
+        ("string", "path", True),
+        ("integer", "number", True),
+        ("content", "string", True),
+        ("path", "content", False),
+        ("array", "array", True),
+        ("array", "string", False),
+    ]
+    assert [x[0] for x in values(spark, pairs, "a string, b string, w boolean", text.types_compatible(F.col("a"), F.col("b")))] == [
+        p[2] for p in pairs
+    ]
 
 
 def test_dice(spark):
@@ -56,12 +92,33 @@ def test_dice(spark):
     assert values(spark, rows, "a array<string>, b array<string>", text.dice(F.col("a"), F.col("b"))) == [(0.5,), (0.0,), (1.0,)]
 
 
-@pytest.mark.parametrize(("tool", "effect"), [("get_ticket", "READ"), ("Create_x", "CREATE"), ("close", "DELETE"), ("set_state", "UPDATE"), ("frob_x", "UNKNOWN"), (None, "UNKNOWN"), ("lookup_user", "READ")])
+@pytest.mark.parametrize(
+    ("tool", "effect"),
+    [
+        ("get_ticket", "READ"),
+        ("Create_x", "CREATE"),
+        ("close", "DELETE"),
+        ("set_state", "UPDATE"),
+        ("frob_x", "UNKNOWN"),
+        (None, "UNKNOWN"),
+        ("lookup_user", "READ"),
+    ],
+)
 def test_effects(spark, tool, effect):
     assert one(spark, tool, intent.tool_effect) == effect
 
 
-@pytest.mark.parametrize(("question", "want"), [("What is the status of T-1?", "READ"), ("look up and close it", "READ"), ("Close and file it", "DELETE"), ("please OPEN one", "CREATE"), ("reopened filing", None), (None, None)])
+@pytest.mark.parametrize(
+    ("question", "want"),
+    [
+        ("What is the status of T-1?", "READ"),
+        ("look up and close it", "READ"),
+        ("Close and file it", "DELETE"),
+        ("please OPEN one", "CREATE"),
+        ("reopened filing", None),
+        (None, None),
+    ],
+)
 def test_intents(spark, question, want):
     assert one(spark, question, intent.question_intent) == want
     assert one(spark, question, intent.intent_label) == (want or "unknown").lower()
@@ -70,8 +127,12 @@ def test_intents(spark, question, want):
 @pytest.mark.parametrize(
     ("question", "tools", "want"),
     [
-        ("What is the status of T-1?", ["create_ticket"], False), ("What is the status of T-1?", ["create_ticket", "get_ticket"], True), ("Create a ticket", ["create_ticket"], True),
-        ("Close it", ["get_ticket"], False), ("Hello there", ["create_ticket"], True), ("Create a ticket", [], False), ("Create a ticket", None, False), ("show me", ["update_x"], True), ("show me", ["", None], False),
+        ("What is the status of T-1?", ["create_ticket"], False), ("What is the status of T-1?", ["create_ticket", "get_ticket"], True), (
+            "Create a ticket", ["create_ticket"], True
+        ),
+        ("Close it", ["get_ticket"], False), ("Hello there", ["create_ticket"], True), ("Create a ticket", [], False), ("Create a ticket", None, False), ("show me", ["update_x"], True), (
+            "show me", ["", None], False
+        ),
     ],
 )
 def test_alignment(spark, question, tools, want):

@@ -16,8 +16,12 @@ def tool(name, description, **types):
 
 
 FILES = [
-    tool("list_directory", "", path="string"), tool("read_text_file", "", path="string"), tool("move_file", "", source="string", destination="string"),
-    tool("read_multiple_files", "", paths="array"), tool("search_files", "", path="string", pattern="string"), tool("upload", "", file_path="path"),
+    tool("list_directory", "", path="string"), tool("read_text_file", "", path="string"), tool(
+        "move_file", "", source="string", destination="string"
+    ),
+    tool("read_multiple_files", "", paths="array"), tool("search_files", "", path="string", pattern="string"), tool(
+        "upload", "", file_path="path"
+    ),
 ]
 HINTS = [("list_directory", 0, "path", "path"), ("search_files", 0, "path", "path"), ("read_text_file", 0, "content", "content")]
 
@@ -41,17 +45,26 @@ def test_composable_tools(spark):
 
 def test_generic_tokens_count_half(spark):
     tools = [tool("get_ticket", "", ticket_id="string"), tool("get_article", "", article_id="string")]
-    scored = composability.pair_scores(spark.createDataFrame([("a", 0, "id", "string")], "tool string, pos int, name string, type string"), spark.createDataFrame([("b", 0, "id", "string")], "tool string, pos int, name string, type string"))
+    scored = composability.pair_scores(
+        spark.createDataFrame([("a", 0, "id", "string")], "tool string, pos int, name string, type string"),
+        spark.createDataFrame([("b", 0, "id", "string")], "tool string, pos int, name string, type string"),
+    )
     assert scored.first()["score"] == 0.5
     found = edges(spark, tools, [("get_ticket", 0, "ticket_id", "string")])[1].collect()
     assert not found  # only "id" is shared: 0.5 * 0.5
 
 
 def test_outputs_by_description_and_stats(spark):
-    tools = [tool("a", "Lists the contents of a directory", path="string"), tool("b", "Returns file metadata and a summary", x="string"), tool("c", "", y="string")]
+    tools = [
+        tool("a", "Lists the contents of a directory", path="string"),
+        tool("b", "Returns file metadata and a summary", x="string"),
+        tool("c", "", y="string"),
+    ]
     normal, found = edges(spark, tools, None)
     outputs = {x["tool"]: [tuple(o) for o in x["outputs"]] for x in normal.collect()}
-    assert outputs == {"a": [("path", "path"), ("content", "content"), ("listing", "array")], "b": [("path", "path"), ("metadata", "object")], "c": []}
+    assert outputs == {
+        "a": [("path", "path"), ("content", "content"), ("listing", "array")], "b": [("path", "path"), ("metadata", "object")], "c": []
+    }
     stats = composability.graph_stats(normal, found).first()
     assert (stats["num_tools"], stats["num_edges"], stats["density"], stats["isolated"]) == (3, 1, 0.167, ["c"])
 
@@ -64,23 +77,45 @@ def test_neighbourhood_density(spark):
 
 
 def test_entities_merge(spark):
-    rows = [(0, " a ", "x", ""), (1, "a", "y", "long description"), (2, "a", "x", "LONG DESCRIPTION"), (3, "b", "x", "b!"), (4, "a", "", "short"), (5, "name", "t", ""), (6, "name", "t", "abc")]
-    found = {x["id"]: (x["entity_type"], x["description"]) for x in graph.merge_entities(spark.createDataFrame(rows, "ord long, name string, type string, description string")).collect()}
+    rows = [
+        (0, " a ", "x", ""),
+        (1, "a", "y", "long description"),
+        (2, "a", "x", "LONG DESCRIPTION"),
+        (3, "b", "x", "b!"),
+        (4, "a", "", "short"),
+        (5, "name", "t", ""),
+        (6, "name", "t", "abc"),
+    ]
+    found = {
+        x["id"]: (x["entity_type"], x["description"]) for x in graph.merge_entities(spark.createDataFrame(rows, "ord long, name string, type string, description string")).collect()
+    }
     assert found == {"a": ("x+y", "long description"), "b": ("x", "b!"), "name": ("t", "name")}
     with pytest.raises(Exception, match="empty name"):
         graph.merge_entities(spark.createDataFrame([(0, "  ", "x", "")], "ord long, name string, type string, description string")).collect()
 
 
 def test_relations_merge(spark):
-    rows = [(0, "a", "r ", "b", ""), (1, "b", "s", "a", "other"), (2, "a", "r", "a", ""), (3, "a", " ", "c", ""), (4, "c", "t", "a", "told")]
-    found = sorted(tuple(x) for x in graph.merge_relations(spark.createDataFrame(rows, "ord long, head string, relation string, tail string, description string")).collect())
+    rows = [
+        (0, "a", "r ", "b", ""), (1, "b", "s", "a", "other"), (2, "a", "r", "a", ""), (3, "a", " ", "c", ""), (4, "c", "t", "a", "told")
+    ]
+    found = sorted(
+        tuple(x) for x in graph.merge_relations(spark.createDataFrame(rows, "ord long, head string, relation string, tail string, description string")).collect()
+    )
     assert found == [("a", "b", "r", "a r  b"), ("c", "a", "t", "told")]
 
 
 def domain(spark):
-    nodes = [("hub", "Hub", "system", "The hub"), ("a", "A", "thing", ""), ("b", None, None, "b" * 400), ("c", "C", "thing", "c"), ("lone", "", "thing", None)]
+    nodes = [
+        ("hub", "Hub", "system", "The hub"),
+        ("a", "A", "thing", ""),
+        ("b", None, None, "b" * 400),
+        ("c", "C", "thing", "c"),
+        ("lone", "", "thing", None),
+    ]
     links = [("hub", "a", "feeds", ""), ("hub", "b", None, "carries b"), ("c", "hub", "", ""), ("a", "b", None, "near")]
-    return spark.createDataFrame(nodes, "id string, entity_name string, entity_type string, description string"), spark.createDataFrame(links, "src string, dst string, relation string, description string")
+    return spark.createDataFrame(nodes, "id string, entity_name string, entity_type string, description string"), spark.createDataFrame(
+        links, "src string, dst string, relation string, description string"
+    )
 
 
 def test_ranking_and_communities(spark):
@@ -114,7 +149,9 @@ def test_context_within_its_budget(spark):
 def test_components_of_random_graphs(spark):
     rng = random.Random(1)
     names = [f"n{k:03}" for k in range(120)]
-    links = [(a, b) for a, b in zip(names[:60], names[1:60], strict=False)] + [(rng.choice(names[60:]), rng.choice(names[60:])) for _ in range(40)]
+    links = [(a, b) for a, b in zip(names[:60], names[1:60], strict=False)] + [
+        (rng.choice(names[60:]), rng.choice(names[60:])) for _ in range(40)
+    ]
     group = {x: x for x in names}
 
     def find(x):
@@ -125,25 +162,44 @@ def test_components_of_random_graphs(spark):
     for a, b in links:
         group[max(find(a), find(b))] = min(find(a), find(b))
     rng.shuffle(links)
-    found = graph.connected_components(spark.createDataFrame([(x,) for x in names], "id string"), spark.createDataFrame(links, "src string, dst string"))
+    found = graph.connected_components(
+        spark.createDataFrame([(x,) for x in names], "id string"), spark.createDataFrame(links, "src string, dst string")
+    )
     assert {x["id"]: x["component"] for x in found.collect()} == {x: find(x) for x in names}
 
 
 def test_tool_graph(spark):
     schema = '{"properties": {"customer_id": {"type": "string", "description": "who"}, "limit": {"type": "integer"}}, "required": ["customer_id"]}'
-    rows = [(0, "get_customer", "Gets one", schema), (1, "list_orders", "Lists", '{"properties": {"customer_id": {"type": "string"}}}'), (2, "ping", None, "{}")]
+    rows = [
+        (0, "get_customer", "Gets one", schema),
+        (1, "list_orders", "Lists", '{"properties": {"customer_id": {"type": "string"}}}'),
+        (2, "ping", None, "{}"),
+    ]
     nodes, links = graph.tool_graph(spark.createDataFrame(rows, "ord long, name string, description string, input_schema string"))
-    assert {x["id"]: x["entity_type"] for x in nodes.collect()} == {"get_customer": "tool", "list_orders": "tool", "ping": "tool", "get_customer.customer_id": "parameter", "get_customer.limit": "parameter", "list_orders.customer_id": "parameter"}
+    assert {x["id"]: x["entity_type"] for x in nodes.collect()} == {
+        "get_customer": "tool",
+        "list_orders": "tool",
+        "ping": "tool",
+        "get_customer.customer_id": "parameter",
+        "get_customer.limit": "parameter",
+        "list_orders.customer_id": "parameter",
+    }
     told = {(x["src"], x["dst"]): (x["relation"], x["description"]) for x in links.collect()}
-    assert told["get_customer", "get_customer.customer_id"] == ("has_parameter", "get_customer takes parameter customer_id (string) [required]")
+    assert told["get_customer", "get_customer.customer_id"] == (
+        "has_parameter", "get_customer takes parameter customer_id (string) [required]"
+    )
     assert told["get_customer", "list_orders"] == ("shares_parameter_with", "both take customer_id (string)")
-    few, inner = graph.tool_graph(spark.createDataFrame(rows, "ord long, name string, description string, input_schema string"), max_entities=2)
+    few, inner = graph.tool_graph(
+        spark.createDataFrame(rows, "ord long, name string, description string, input_schema string"), max_entities=2
+    )
     assert {x["id"] for x in few.collect()} == {"get_customer", "list_orders"} and inner.count() == 1
 
 
 def test_spec_graph(spark):
     entities = spark.createDataFrame([(0, "A", None, "first")], "ord long, name string, type string, description string")
-    relations = spark.createDataFrame([(0, "A", "uses", "B", "")], "ord long, head string, relation string, tail string, description string")
+    relations = spark.createDataFrame(
+        [(0, "A", "uses", "B", "")], "ord long, head string, relation string, tail string, description string"
+    )
     nodes, links = graph.spec_graph(entities, relations)
     assert {x["id"]: (x["entity_type"], x["description"]) for x in nodes.collect()} == {"A": ("concept", "first"), "B": ("concept", "B")}
     assert [tuple(x) for x in links.collect()] == [("A", "B", "uses", "A uses B")]
@@ -153,9 +209,21 @@ def test_spec_graph(spark):
 
 
 SAMPLE = {
-    "c1": {"chain_id": "c1", "description": None, "intermediate_steps": [['{"tool": "get_ticket", "tool_input": {"id": "T-1"}}', '{"status": "open"}'], ['{"tool": "", "tool_input": {}}', "x"], ['{"tool": "note", "tool_input": "text"}', "y" * 400]]},
+    "c1": {
+        "chain_id": "c1",
+        "description": None,
+        "intermediate_steps": [
+            ['{"tool": "get_ticket", "tool_input": {"id": "T-1"}}', '{"status": "open"}'],
+            ['{"tool": "", "tool_input": {}}', "x"],
+            ['{"tool": "note", "tool_input": "text"}', "y" * 400],
+        ],
+    },
     "c2": {"chain_id": "c2", "description": "empty", "intermediate_steps": []},
-    "c3": {"chain_id": None, "description": "third", "intermediate_steps": [['{"tool": "close_ticket", "tool_input": {}}', "closed the Printer"]]},
+    "c3": {
+        "chain_id": None,
+        "description": "third",
+        "intermediate_steps": [['{"tool": "close_ticket", "tool_input": {}}', "closed the Printer"]],
+    },
 }
 
 
@@ -178,7 +246,9 @@ def test_qa_rows(spark):
     assert rows[0]["question"] == "Use the get_ticket, note tools to look up the following: T-1."
     assert rows[1]["question"] == "Use the close_ticket tool to close the following: Printer."
     assert rows[1]["answer_draft"].endswith("Chain: c3 (third). Key result: closed the Printer")
-    assert rows[0]["provenance"].asDict() == {"source": "executed_trace", "chain_id": "c1", "trace_seed": 7, "toolkg_edges_used": 1, "kg_entity_count": 3}
+    assert rows[0]["provenance"].asDict() == {
+        "source": "executed_trace", "chain_id": "c1", "trace_seed": 7, "toolkg_edges_used": 1, "kg_entity_count": 3
+    }
     assert [o["assertion"] for o in rows[0]["expected_outcomes"]] == ["open", "y" * 60]
     stats = traces.generation_stats(samples(spark), traces.qa_rows(samples(spark), entities, copies=2)).first()
     assert tuple(stats) == (2, 2, 1, 4)
@@ -186,7 +256,16 @@ def test_qa_rows(spark):
     assert (drafted["question"], drafted["answer_draft"]) == ("about True more", "yes indeed")
 
 
-@pytest.mark.parametrize(("reply", "want"), [("question: a\nb\nAnswer: c\nd", ("a b", "c d")), ("just a line\nmore", ("just a line", None)), ("", ("", None)), ("ANSWER: x", ("ANSWER: x", "x")), ("QUESTION: q", ("q", None))])
+@pytest.mark.parametrize(
+    ("reply", "want"),
+    [
+        ("question: a\nb\nAnswer: c\nd", ("a b", "c d")),
+        ("just a line\nmore", ("just a line", None)),
+        ("", ("", None)),
+        ("ANSWER: x", ("ANSWER: x", "x")),
+        ("QUESTION: q", ("q", None)),
+    ],
+)
 def test_replies(spark, reply, want):
     found = spark.createDataFrame([(reply,)], "x string").select(traces.parse_reply(F.col("x")).alias("r")).first()["r"]
     assert tuple(found) == (want[0], want[1] or traces.ANSWER_FALLBACK)
@@ -214,9 +293,15 @@ TYPED = '{"properties": {"s": {"type": "string"}, "i": {"type": "integer"}, "n":
 @pytest.mark.parametrize(
     ("given", "problems"),
     [
-        ('{"s": "x", "i": 1}', []), ('{"s": "x", "i": true, "n": 2, "b": false, "a": [], "o": {}, "u": 1.5, "extra": 1}', []), ("{}", ["missing required property 's'", "missing required property 'i'"]),
-        ('{"s": 1, "i": "x"}', ["property 's' should be string, got int", "property 'i' should be integer, got str"]), ('{"s": "x", "i": 1.5}', ["property 'i' should be integer, got float"]),
-        ('{"s": null, "i": 1, "a": {}, "o": []}', ["property 's' should be string, got NoneType", "property 'a' should be array, got dict", "property 'o' should be object, got list"]), ('["x"]', ["tool_input is not an object"]),
+        ('{"s": "x", "i": 1}', []), ('{"s": "x", "i": true, "n": 2, "b": false, "a": [], "o": {}, "u": 1.5, "extra": 1}', []), (
+            "{}", ["missing required property 's'", "missing required property 'i'"]
+        ),
+        ('{"s": 1, "i": "x"}', ["property 's' should be string, got int", "property 'i' should be integer, got str"]), (
+            '{"s": "x", "i": 1.5}', ["property 'i' should be integer, got float"]
+        ),
+        ('{"s": null, "i": 1, "a": {}, "o": []}', ["property 's' should be string, got NoneType", "property 'a' should be array, got dict", "property 'o' should be object, got list"]), (
+            '["x"]', ["tool_input is not an object"]
+        ),
     ],
 )
 def test_schema_problems(spark, given, problems):
@@ -224,9 +309,18 @@ def test_schema_problems(spark, given, problems):
     assert df.select(verify.schema_problems(F.col("i"), F.col("s"))).first()[0] == problems
 
 
-def qa(spark, chains, question="Use the get_ticket tool to look up the following: T-1.", answer="It says ok", outcomes=(("d", "ok", "seen"),)):
-    rows = [("s", k, f"c{k}", question, answer, [t for t, _, _ in chain], chain, ["T-1"], list(outcomes), ("executed_trace", f"c{k}")) for k, chain in enumerate(chains)]
-    return spark.createDataFrame(rows, f"sample_id string, chain_pos int, chain_id string, question string, answer_draft string, required_tools array<string>, chain {STEP}, entity_refs array<string>, expected_outcomes array<struct<description:string,assertion:string,state_after:string>>, provenance struct<source:string,chain_id:string>")
+def qa(
+    spark, chains, question="Use the get_ticket tool to look up the following: T-1.", answer="It says ok", outcomes=(("d", "ok", "seen"),)
+):
+    rows = [
+        ("s", k, f"c{k}", question, answer, [t for t, _, _ in chain], chain, ["T-1"], list(outcomes), ("executed_trace", f"c{k}")) for k, chain in enumerate(
+            chains
+        )
+    ]
+    return spark.createDataFrame(
+        rows,
+        f"sample_id string, chain_pos int, chain_id string, question string, answer_draft string, required_tools array<string>, chain {STEP}, entity_refs array<string>, expected_outcomes array<struct<description:string,assertion:string,state_after:string>>, provenance struct<source:string,chain_id:string>",
+    )
 
 
 CATALOG = [("get_ticket", '{"properties": {"id": {"type": "string"}}, "required": ["id"]}'), ("note", "{}")]
@@ -249,18 +343,31 @@ def test_verification(spark):
     assert [x["verification"]["chain_valid"] for x in tried] == [True, False]
     assert tried[1]["verification"]["executed_steps"][0]["error"].startswith("ZeroDivisionError")
     replay = spark.createDataFrame([("get_ticket", '{"id": "1"}', "TimeoutError: slow")], "tool string, tool_input string, error string")
-    assert not verify.verify(qa(spark, [[good]]), catalog(spark), ["sample_id", "chain_pos"], replay=replay).first()["verification"]["chain_valid"]
+    assert not verify.verify(qa(spark, [[good]]), catalog(spark), ["sample_id", "chain_pos"], replay=replay).first()["verification"][
+        "chain_valid"
+    ]
 
 
 @pytest.mark.parametrize(
     ("how", "failed"),
-    [({"answer": "nothing"}, "answer_faithful"), ({"outcomes": []}, "output_assertions_passed"), ({"outcomes": [("d", "absent", "x")]}, "output_assertions_passed"), ({"outcomes": [("d", "ok", None)]}, "state_assertions_passed"), ({"outcomes": [("d", "ok", "")]}, "state_assertions_passed"), ({"question": "Create it"}, "intent_aligned")],
+    [
+        ({"answer": "nothing"}, "answer_faithful"),
+        ({"outcomes": []}, "output_assertions_passed"),
+        ({"outcomes": [("d", "absent", "x")]}, "output_assertions_passed"),
+        ({"outcomes": [("d", "ok", None)]}, "state_assertions_passed"),
+        ({"outcomes": [("d", "ok", "")]}, "state_assertions_passed"),
+        ({"question": "Create it"}, "intent_aligned"),
+    ],
 )
 def test_business_checks(spark, how, failed):
     rows = verify.verify(qa(spark, [[("get_ticket", '{"id": "1"}', "ok")]], **how), catalog(spark), ["sample_id", "chain_pos"])
     v = rows.first()["verification"]
     assert v["chain_valid"] and not v[failed] and not v["safe_to_review"]
-    policed = verify.verify(qa(spark, [[("get_ticket", '{"id": "1"}', "ok")]]).withColumn("policy_ids", F.array(F.lit("p"))), catalog(spark), ["sample_id", "chain_pos"])
+    policed = verify.verify(
+        qa(spark, [[("get_ticket", '{"id": "1"}', "ok")]]).withColumn("policy_ids", F.array(F.lit("p"))),
+        catalog(spark),
+        ["sample_id", "chain_pos"],
+    )
     assert not policed.first()["verification"]["policy_checks_passed"]
 
 
@@ -272,10 +379,14 @@ def test_scores_gates_and_critique(spark):
     links = spark.createDataFrame([("x", "y")], "src string, dst string")
     good = ("get_ticket", '{"id": "1"}', "ok")
     scored = refine.score(qa(spark, [[good], [good, ("note", "{}", "n")], [("nope", "{}", "")]]), catalog(spark), links, entities(spark)).withColumn("passes", refine.passes()).withColumn("issues", refine.critique()).orderBy("chain_pos").collect()
-    assert [(x["coverage"], x["passes"], x["entity_grounded"]) for x in scored] == [(None, True, True), (0.0, False, True), (None, False, True)]
+    assert [(x["coverage"], x["passes"], x["entity_grounded"]) for x in scored] == [
+        (None, True, True), (0.0, False, True), (None, False, True)
+    ]
     assert scored[0]["issues"] == [] and scored[1]["issues"][0].startswith("Only 0% of consecutive")
     assert scored[2]["issues"][0].startswith("The chain calls tool 'nope'")
-    loose = refine.score(qa(spark, [[good]], question="Tell me", answer=" "), catalog(spark), links, entities(spark)).select(refine.critique().alias("i")).first()["i"]
+    loose = refine.score(qa(spark, [[good]], question="Tell me", answer=" "), catalog(spark), links, entities(spark)).select(refine.critique().alias("i")).first()[
+        "i"
+    ]
     assert "Name one of these exact KG entities in the question: T-1." in loose[0] and loose[1].startswith("The answer draft is empty")
 
 
@@ -286,10 +397,23 @@ def test_refinement(spark):
     vague = qa(spark, [[good], [good]], question="Tell me")
     kept, ledger = refine.refine(vague, catalog(spark), None, entities(spark))
     assert kept.count() == 0 and ledger["stopped_reason"] == "no_llm_refinement" and ledger["iterations"][0]["num_rejected"] == 2
-    kept, ledger = refine.refine(vague, catalog(spark), None, entities(spark), model=lambda p: "QUESTION: show me T-1\nANSWER: It says ok" if "Critique" in p else "?")
+    kept, ledger = refine.refine(
+        vague,
+        catalog(spark),
+        None,
+        entities(spark),
+        model=lambda p: "QUESTION: show me T-1\nANSWER: It says ok" if "Critique" in p else "?",
+    )
     assert ledger["stopped_reason"] == "all_pass" and [x["num_refined"] for x in ledger["iterations"]] == [2, 0]
     assert {(x["question"], x["refinement_attempt"]) for x in kept.collect()} == {("show me T-1", 1)} and kept.first()["critique"]
-    kept, ledger = refine.refine(vague, catalog(spark), None, entities(spark), model=lambda p: "QUESTION: no\nANSWER: no", config=refine.RefineConfig(max_iterations=2))
+    kept, ledger = refine.refine(
+        vague,
+        catalog(spark),
+        None,
+        entities(spark),
+        model=lambda p: "QUESTION: no\nANSWER: no",
+        config=refine.RefineConfig(max_iterations=2),
+    )
     assert kept.count() == 0 and ledger["stopped_reason"] == "max_iterations" and len(ledger["iterations"]) == 2
 
 
@@ -303,7 +427,9 @@ def test_semantic_filter_and_decisions(spark):
     scored = refine.score(rows, catalog(spark), None, entities(spark))
 
     def decider(request):
-        return {"answers": {"verdict": {"probabilities": {"accept": 0.8 if request["state"]["question"] else 0}}, "grounded": {"noul": 0.9}}}
+        return {
+            "answers": {"verdict": {"probabilities": {"accept": 0.8 if request["state"]["question"] else 0}}, "grounded": {"noul": 0.9}}
+        }
 
     x = refine.decide(scored, decider, 0.7).first()["decision"]
     assert (x["verdict"], x["confidence"], x["grounded"], x["source"]) == ("accept", 0.8, 0.9, "model")
@@ -314,9 +440,26 @@ def test_semantic_filter_and_decisions(spark):
 
 
 def mix_rows(spark):
-    rows = [("k1", 1, "What is A?", "a", True, 0.9), ("k2", 2, "what is a", "b", True, None), ("k3", 3, "Other", "c", True, 0.2), ("k4", 4, "Bad", "d", False, 1.0), ("k5", 5, "Last", "e", None, None)]
+    rows = [
+        ("k1", 1, "What is A?", "a", True, 0.9),
+        ("k2", 2, "what is a", "b", True, None),
+        ("k3", 3, "Other", "c", True, 0.2),
+        ("k4", 4, "Bad", "d", False, 1.0),
+        ("k5", 5, "Last", "e", None, None),
+    ]
     df = spark.createDataFrame(rows, "key string, ord int, question string, answer_draft string, valid boolean, coverage double")
-    return df.select("key", "ord", "question", "answer_draft", F.struct(F.col("valid").alias("chain_valid")).alias("verification"), "coverage", F.array(F.lit("e")).alias("entity_refs"), F.array(F.lit("t")).alias("required_tools"), F.array().cast(STEP).alias("chain"), F.struct(F.lit("trace").alias("source"), F.col("key").alias("chain_id")).alias("provenance"))
+    return df.select(
+        "key",
+        "ord",
+        "question",
+        "answer_draft",
+        F.struct(F.col("valid").alias("chain_valid")).alias("verification"),
+        "coverage",
+        F.array(F.lit("e")).alias("entity_refs"),
+        F.array(F.lit("t")).alias("required_tools"),
+        F.array().cast(STEP).alias("chain"),
+        F.struct(F.lit("trace").alias("source"), F.col("key").alias("chain_id")).alias("provenance"),
+    )
 
 
 def test_mix(spark):
@@ -325,11 +468,16 @@ def test_mix(spark):
     assert {x["key"] for x in rows.collect()} == {"k1", "k3"}
     again = {x["key"]: x["split"] for x in mix.assemble(mix_rows(spark))[0].collect()}
     assert again == {x["key"]: x["split"] for x in rows.collect()}
-    external = spark.createDataFrame([("e1", [("human", "hi"), ("gpt", "yo"), ("tool", "x")], "extra")], "key string, conversations array<struct<`from`:string,value:string>>, tag string")
+    external = spark.createDataFrame(
+        [("e1", [("human", "hi"), ("gpt", "yo"), ("tool", "x")], "extra")],
+        "key string, conversations array<struct<`from`:string,value:string>>, tag string",
+    )
     whole, report = mix.assemble(mix_rows(spark), external, mix.MixConfig(min_coverage=0.5))
     assert report["sources"] == {"generated": 1, "external": 1}
     turned = whole.where("source = 'external'").first()
-    assert [(m["role"], m["content"]) for m in turned["messages"]] == [("user", "hi"), ("assistant", "yo"), ("tool", "x")] and '"tag":"extra"' in turned["provenance"]
+    assert [(m["role"], m["content"]) for m in turned["messages"]] == [("user", "hi"), ("assistant", "yo"), ("tool", "x")] and '"tag":"extra"' in turned[
+        "provenance"
+    ]
     with pytest.raises(Exception, match="neither messages"):
         mix.external_rows(spark.createDataFrame([("k", None)], "key string, messages array<struct<role:string,content:string>>")).collect()
 
@@ -347,14 +495,21 @@ def test_ranks_are_dense(spark):
 
 def facts(spark, **how):
     row = {"n_accepted": 100, "n_train": 80, "n_validation": 10, "n_failure_variants": 10, "n_leaked": 0, "expert_decisions": 1, "outcome_assertions": True, "privacy_clean": True} | how
-    return spark.createDataFrame([tuple(row.values())], "n_accepted long, n_train long, n_validation long, n_failure_variants long, n_leaked long, expert_decisions long, outcome_assertions boolean, privacy_clean boolean")
+    return spark.createDataFrame(
+        [tuple(row.values())],
+        "n_accepted long, n_train long, n_validation long, n_failure_variants long, n_leaked long, expert_decisions long, outcome_assertions boolean, privacy_clean boolean",
+    )
 
 
 @pytest.mark.parametrize(
     ("how", "status", "reasons"),
     [
-        ({}, "released", []), ({"n_leaked": 1}, "failed", ["holdout leakage"]), ({"privacy_clean": False}, "failed", ["privacy failure"]), ({"expert_decisions": 0}, "awaiting_review", ["no expert decisions"]),
-        ({"n_train": 1}, "accepted", ["insufficient training rows"]), ({"n_accepted": 0}, "machine_verified", ["insufficient accepted rows"]), ({"n_accepted": 0, "outcome_assertions": False}, "generated", ["no outcome assertions", "insufficient accepted rows"]),
+        ({}, "released", []), ({"n_leaked": 1}, "failed", ["holdout leakage"]), ({"privacy_clean": False}, "failed", ["privacy failure"]), (
+            {"expert_decisions": 0}, "awaiting_review", ["no expert decisions"]
+        ),
+        ({"n_train": 1}, "accepted", ["insufficient training rows"]), ({"n_accepted": 0}, "machine_verified", ["insufficient accepted rows"]), (
+            {"n_accepted": 0, "outcome_assertions": False}, "generated", ["no outcome assertions", "insufficient accepted rows"]
+        ),
     ],
 )
 def test_release(spark, how, status, reasons):
@@ -369,18 +524,28 @@ def test_packages(spark):
     assert row["ground_truth"]["verified"] and row["ground_truth"]["intent_type"] == "read" and row["expected_tool_calls"][0]["tool"] == "get_ticket"
     with pytest.raises(Exception, match="unknown category"):
         release.scenario_packages(rows.withColumn("category", F.lit("odd"))).collect()
-    bare = qa(spark, [[]]).withColumn("provenance", F.struct(F.lit(None).cast("string").alias("chain_id"))).withColumn("scenario_id", F.lit(""))
+    bare = qa(spark, [[]]).withColumn("provenance", F.struct(F.lit(None).cast("string").alias("chain_id"))).withColumn(
+        "scenario_id", F.lit("")
+    )
     assert release.scenario_packages(bare).first()["scenario_id"] == "scenario-0"
 
 
 def test_metrics(spark):
     chains = [[("a", "{}", ""), ("b", "{}", "")], [("a", "{}", "")], [("a", "{}", ""), ("c", "{}", "")]]
-    rows = qa(spark, chains, question="about T-1").withColumn("key", F.col("chain_pos").cast("string")).withColumn("ord", F.col("chain_pos"))
-    rows = rows.withColumn("verification", F.struct((F.col("chain_pos") < 2).alias("chain_valid"))).withColumn("entity_refs", F.when(F.col("chain_pos") < 2, F.col("entity_refs")).otherwise(F.array(F.lit("X"))))
+    rows = qa(spark, chains, question="about T-1").withColumn("key", F.col("chain_pos").cast("string")).withColumn(
+        "ord", F.col("chain_pos")
+    )
+    rows = rows.withColumn("verification", F.struct((F.col("chain_pos") < 2).alias("chain_valid"))).withColumn(
+        "entity_refs", F.when(F.col("chain_pos") < 2, F.col("entity_refs")).otherwise(F.array(F.lit("X")))
+    )
     found = metrics.evaluate(rows, entities(spark), spark.createDataFrame([("a", "b")], "src string, dst string"), "context")
-    assert found["n"] == 3 and found["fraction_chain_verified"] == pytest.approx(2 / 3) and found["entity_grounding_rate"] == pytest.approx(2 / 3)
+    assert found["n"] == 3 and found["fraction_chain_verified"] == pytest.approx(2 / 3) and found["entity_grounding_rate"] == pytest.approx(
+        2 / 3
+    )
     assert found["mean_toolkg_coverage"] == 0.5 and found["toolkg_coverage_not_applicable"] == 1
-    assert found["tool_diversity"] == {"distinct_tools": 3, "total_steps": 5, "mean_steps_per_pair": pytest.approx(5 / 3), "most_common": [("a", 3), ("b", 1), ("c", 1)]}
+    assert found["tool_diversity"] == {
+        "distinct_tools": 3, "total_steps": 5, "mean_steps_per_pair": pytest.approx(5 / 3), "most_common": [("a", 3), ("b", 1), ("c", 1)]
+    }
     assert found["question_tokens_stdev"] == statistics.pstdev([2, 2, 2])
     bare = metrics.evaluate(rows.drop("verification").limit(0))
     assert bare["n"] == 0 and bare["fraction_chain_verified"] is None and "verification_note" in bare and bare["answer_tokens_mean"] == 0.0
@@ -458,7 +623,9 @@ def test_walks(spark):
 def test_uniform_samples(spark):
     rows = spark.range(50)
     first = {x["id"] for x in sampling.uniform_sample(rows, "id", 10, 1).collect()}
-    assert len(first) == 10 and first == {x["id"] for x in sampling.uniform_sample(rows, "id", 10, 1).collect()} and first != {x["id"] for x in sampling.uniform_sample(rows, "id", 10, 2).collect()}
+    assert len(first) == 10 and first == {x["id"] for x in sampling.uniform_sample(rows, "id", 10, 1).collect()} and first != {
+        x["id"] for x in sampling.uniform_sample(rows, "id", 10, 2).collect()
+    }
     for n in (0, 51):
         with pytest.raises(ValueError):
             sampling.uniform_sample(rows, "id", n, 1)
@@ -466,15 +633,23 @@ def test_uniform_samples(spark):
 
 def tickets(spark, n=40):
     rng = random.Random(1)
-    rows = [(k, p := rng.choice(["low", "mid", "high"]), rng.choice(["mail", "phone"]), {"low": "open", "mid": "held", "high": "closed"}[p]) for k in range(n)]
+    rows = [
+        (k, p := rng.choice(["low", "mid", "high"]), rng.choice(["mail", "phone"]), {"low": "open", "mid": "held", "high": "closed"}[p]) for k in range(
+            n
+        )
+    ]
     return spark.createDataFrame(rows, "id int, priority string, channel string, status string")
 
 
 def test_profiles(spark):
     df = spark.createDataFrame([(1, " a ", "1.5"), (2, "", "2"), (3, "b", None), (4, "a", "3")], "n int, t string, m string")
     found = {x["name"]: x for x in probe.profile(df).collect()}
-    assert (found["n"]["type"], found["n"]["min"], found["n"]["max"], found["n"]["mean"], found["n"]["top_values"]) == ("numeric", 1.0, 4.0, 2.5, None)
-    assert (found["t"]["type"], found["t"]["cardinality"], found["t"]["missing_frac"], [tuple(x) for x in found["t"]["top_values"]]) == ("categorical", 2, 0.25, [("a", 2), ("b", 1)])
+    assert (found["n"]["type"], found["n"]["min"], found["n"]["max"], found["n"]["mean"], found["n"]["top_values"]) == (
+        "numeric", 1.0, 4.0, 2.5, None
+    )
+    assert (found["t"]["type"], found["t"]["cardinality"], found["t"]["missing_frac"], [tuple(x) for x in found["t"]["top_values"]]) == (
+        "categorical", 2, 0.25, [("a", 2), ("b", 1)]
+    )
     assert (found["m"]["type"], found["m"]["mean"]) == ("numeric", round(6.5 / 3, 4))
     empty = {x["name"]: x["type"] for x in probe.profile(df.limit(0)).collect()}
     assert empty == {"n": "categorical", "t": "categorical", "m": "categorical"}
@@ -487,7 +662,9 @@ def test_probe_finds_what_determines(spark):
     assert {x["feature"]: x["importance"] for x in target["importances"]}["channel"] == 0.0
     assert "priority" in probe.findings_markdown(found) and "holdout accuracy 1.0" in probe.findings_markdown(found)
     entities_, relations = probe.findings_graph(spark, {"tables": [found]})
-    assert {(x["head"], x["relation"], x["tail"]) for x in relations.where("relation = 'predicts'").collect()} == {("tickets.priority", "predicts", "tickets.status")}
+    assert {(x["head"], x["relation"], x["tail"]) for x in relations.where("relation = 'predicts'").collect()} == {
+        ("tickets.priority", "predicts", "tickets.status")
+    }
     assert entities_.count() == 4
     auto = probe.probe_table("tickets", tickets(spark), "id")
     assert [x["column"] for x in auto["targets"]] == ["priority", "channel", "status"]
@@ -518,15 +695,28 @@ def test_scores_and_splits(spark):
 
 
 def test_search(spark):
-    rows = [("KB-1", "Printer jam", "Open the tray. " * 40, "paper", "hw"), ("KB-2", "VPN", "the printer is not here", None, "net"), ("KB-3", None, None, "none", "x")]
+    rows = [
+        ("KB-1", "Printer jam", "Open the tray. " * 40, "paper", "hw"),
+        ("KB-2", "VPN", "the printer is not here", None, "net"),
+        ("KB-3", None, None, "none", "x"),
+    ]
     articles = spark.createDataFrame(rows, "article_id string, title string, body string, tags string, category string")
     found = search.search(articles, ["PRINTER tray!", "", "vpn"], 2).orderBy("query", "place").collect()
-    assert [(x["query"], x["place"], x["article_id"], round(x["score"], 4)) for x in found] == [("PRINTER tray!", 1, "KB-1", 1.0), ("PRINTER tray!", 2, "KB-2", 0.3333), ("vpn", 1, "KB-2", 1.0)]
+    assert [(x["query"], x["place"], x["article_id"], round(x["score"], 4)) for x in found] == [
+        ("PRINTER tray!", 1, "KB-1", 1.0), ("PRINTER tray!", 2, "KB-2", 0.3333), ("vpn", 1, "KB-2", 1.0)
+    ]
     assert len(found[0]["snippet"]) == 223 and found[0]["snippet"].endswith("...")
     assert search.search(articles, ["printer"], 0).count() == 1
 
 
 def test_agreement(spark):
-    rows = [("accept", "accept", [0.8, 0.4, 0.9], 5), ("accept", "reject", [0.3], 1), ("reject", "reject", [], 9), ("reject", "accept", [None], 7)]
+    rows = [
+        ("accept", "accept", [0.8, 0.4, 0.9], 5),
+        ("accept", "reject", [0.3], 1),
+        ("reject", "reject", [], 9),
+        ("reject", "accept", [None], 7),
+    ]
     x = search.agreement(spark.createDataFrame(rows, "first string, second string, runs array<double>, latency_ms long")).first()
-    assert (x["n"], x["agreement"], x["first_accepts"], x["second_accepts"], x["mean_spread"], x["flips"], x["latency_p50"], x["latency_max"]) == (4, 0.5, 2, 2, 0.25, 1, 7, 9)
+    assert (x["n"], x["agreement"], x["first_accepts"], x["second_accepts"], x["mean_spread"], x["flips"], x["latency_p50"], x["latency_max"]) == (
+        4, 0.5, 2, 2, 0.25, 1, 7, 9
+    )

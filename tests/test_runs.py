@@ -13,7 +13,11 @@ from loomline.sources import documents, readers, sinks
 from loomline.streaming import events
 
 TOOLS = [
-    {"name": "get_ticket", "description": "Returns the ticket text", "input_schema": {"properties": {"ticket_id": {"type": "string"}}, "required": ["ticket_id"]}},
+    {
+        "name": "get_ticket",
+        "description": "Returns the ticket text",
+        "input_schema": {"properties": {"ticket_id": {"type": "string"}}, "required": ["ticket_id"]},
+    },
     {"name": "close_ticket", "description": "Closes", "input_schema": {"properties": {"ticket_id": {"type": "string"}}}},
     {"name": "odd", "input_schema": "none"},
 ]
@@ -21,7 +25,11 @@ SAMPLE = {
     "query": "q",
     "response": "r",
     "api_use_chains": {
-        "c0": {"intermediate_steps": [[{"tool": "get_ticket", "tool_input": {"ticket_id": "get_ticket"}}, {"status": "open", "mail": "a@b.org"}]]},
+        "c0": {
+            "intermediate_steps": [
+                [{"tool": "get_ticket", "tool_input": {"ticket_id": "get_ticket"}}, {"status": "open", "mail": "a@b.org"}]
+            ]
+        },
         "c1": {"intermediate_steps": [[{"tool": "missing", "tool_input": {}}, "x"]]},
     },
 }
@@ -38,7 +46,9 @@ def folder(tmp_path):
 
 def run_config(folder, **how):
     raw = {
-        "name": "test", "catalogs": [{"name": "files", "path": f"{folder}/catalog.json"}], "generation": {"samples_dir": f"{folder}/samples", "output_hints": {"get_ticket": [["ticket_id", "string"]]}},
+        "name": "test", "catalogs": [{"name": "files", "path": f"{folder}/catalog.json"}], "generation": {
+            "samples_dir": f"{folder}/samples", "output_hints": {"get_ticket": [["ticket_id", "string"]]}
+        },
         "output": {"dir": f"{folder}/out"},
     }
     for key, value in how.items():
@@ -57,7 +67,9 @@ def test_a_run_from_catalog_to_card(spark, folder):
     lines = [json.loads(x["value"]) for x in spark.read.text([f"{folder}/out/sft_mix/train", f"{folder}/out/sft_mix/valid"]).collect()]
     assert [m["role"] for m in lines[0]["messages"]] == ["system", "user", "assistant"] and json.loads(lines[0]["provenance"])["source"] == "generated"
     assert "Metrics" in (folder / "out/DATASET_CARD.md").read_text() and json.loads((folder / "out/run_report.json").read_text())["status"] == "ok"
-    assert [json.loads(x)["event"] for x in (folder / "out/events.jsonl").read_text().splitlines()][:3] == ["started", "started", "finished"]
+    assert [json.loads(x)["event"] for x in (folder / "out/events.jsonl").read_text().splitlines()][:3] == [
+        "started", "started", "finished"
+    ]
 
     again = FactoryRun(spark, run_config(folder)).run(resume=True)
     resumed = [json.loads(x)["stage"] for x in (folder / "out/events.jsonl").read_text().splitlines() if "resumed_from_checkpoint" in x]
@@ -84,7 +96,9 @@ def test_credentials_fail_a_run(spark, folder):
 
 
 def test_models_connectors_and_other_graphs(spark, folder):
-    client = ModelClient(lambda prompt: "QUESTION: show me get_ticket\nANSWER: It reports " + '{"status":"open"' if "chain" in prompt else '{"entities": [{"name": "E", "type": "t", "description": "d"}], "relations": []}')
+    client = ModelClient(
+        lambda prompt: "QUESTION: show me get_ticket\nANSWER: It reports " + '{"status":"open"' if "chain" in prompt else '{"entities": [{"name": "E", "type": "t", "description": "d"}], "relations": []}'
+    )
     asked = run_config(folder, domain={"kg_source": "corpus", "corpus_dir": f"{folder}/corpus"})
     asked.catalogs[0].transport = "stdio"
     (folder / "corpus").mkdir()
@@ -100,13 +114,25 @@ def test_models_connectors_and_other_graphs(spark, folder):
     assert run.run()["status"] == "ok"
     assert {(x["src"], x["dst"]) for x in run.table("kg_edges").where("relation = 'predicts'").collect()} == {("t.s", "t.p")}  # two columns are linked once
     (folder / "spec.yaml").write_text("entities:\n  - name: A\nrelations:\n  - {head: A, relation: r, tail: B}\n")
-    spec = FactoryRun(spark, run_config(folder, domain={"kg_source": "spec", "spec_file": f"{folder}/spec.yaml"}), f"{folder}/out5", registry={"get_ticket": lambda ticket_id: ticket_id})
+    spec = FactoryRun(
+        spark,
+        run_config(folder, domain={"kg_source": "spec", "spec_file": f"{folder}/spec.yaml"}),
+        f"{folder}/out5",
+        registry={"get_ticket": lambda ticket_id: ticket_id},
+    )
     assert spec.run()["stages"]["kg"]["node_count"] == 2
 
 
 def test_config_lists_every_problem():
     with pytest.raises(ConfigError) as found:
-        configs.from_dict({"catalogs": [{"name": "a", "transport": "stdio"}, {"name": "a", "transport": "x", "retries": -1}], "domain": {"kg_source": "corpus"}, "quality": {"min_coverage": 2}, "output": {"train_split": 1}})
+        configs.from_dict(
+            {
+                "catalogs": [{"name": "a", "transport": "stdio"}, {"name": "a", "transport": "x", "retries": -1}],
+                "domain": {"kg_source": "corpus"},
+                "quality": {"min_coverage": 2},
+                "output": {"train_split": 1},
+            }
+        )
     assert len(found.value.problems) == 7
     for raw in ({"domain": []}, {"quality": {"pii_redact": "yes"}}, {"generation": {"seed": "x"}}, {"catalogs": {}}, {"catalogs": ["x"]}):
         with pytest.raises(ConfigError):
@@ -122,7 +148,15 @@ def test_command_line(folder, capsys, spark):
     path.write_text("catalogs: []\n")
     assert cli.main(["validate-config", str(path)]) == 1 and "at least one" in capsys.readouterr().err
     assert cli.main(["report", "--run-dir", str(folder / "none")]) == 1
-    path.write_text(json.dumps({"catalogs": [{"path": f"{folder}/catalog.json"}], "generation": {"samples_dir": f"{folder}/samples"}, "output": {"dir": f"{folder}/o"}}))
+    path.write_text(
+        json.dumps(
+            {
+                "catalogs": [{"path": f"{folder}/catalog.json"}],
+                "generation": {"samples_dir": f"{folder}/samples"},
+                "output": {"dir": f"{folder}/o"},
+            }
+        )
+    )
     assert cli.main(["run", "--config", str(path)]) == 0 and cli.main(["report", "--run-dir", f"{folder}/o"]) == 0
     assert "refine" in capsys.readouterr().out
 
@@ -191,18 +225,24 @@ def test_corpus_specs_and_catalogs(spark, tmp_path):
     one = readers.read_catalog(spark, str(tmp_path / "t.json"))
     assert [x["input_schema"] for x in one.orderBy("ord").collect()][2] == '{"type": "object", "properties": {}}'
     merged = readers.merge_catalogs([one.withColumn("server", F.lit("s1")), one.withColumn("server", F.lit("s2"))])
-    assert [x["name"] for x in merged.orderBy("ord").collect()] == ["get_ticket", "close_ticket", "odd", "s2__get_ticket", "s2__close_ticket", "s2__odd"]
+    assert [x["name"] for x in merged.orderBy("ord").collect()] == [
+        "get_ticket", "close_ticket", "odd", "s2__get_ticket", "s2__close_ticket", "s2__odd"
+    ]
 
 
 @pytest.mark.parametrize("ending", ["graphml", "json"])
 def test_tool_graphs_come_back(spark, tmp_path, ending):
     nodes = spark.createDataFrame([("a", 'says "<hi>" & more'), ("b", None)], "tool string, description string")
-    links = spark.createDataFrame([("a", "b", "composable", 0.5, "x->y")], "src string, dst string, relation string, score double, via string")
+    links = spark.createDataFrame(
+        [("a", "b", "composable", 0.5, "x->y")], "src string, dst string, relation string, score double, via string"
+    )
     path = sinks.write_tool_graph(nodes, links, f"{tmp_path}/g.{ending}")
     found, edges = readers.read_tool_graph(spark, path)
     assert sorted(((x["tool"], x["description"]) for x in found.collect())) == [("a", 'says "<hi>" & more'), ("b", None)]
     assert [tuple(x) for x in edges.select(links.columns).collect()] == [tuple(x) for x in links.collect()]
-    for bad in (lambda: sinks.write_tool_graph(nodes, links, f"{tmp_path}/g.txt"), lambda: readers.read_tool_graph(spark, f"{tmp_path}/g.txt")):
+    for bad in (
+        lambda: sinks.write_tool_graph(nodes, links, f"{tmp_path}/g.txt"), lambda: readers.read_tool_graph(spark, f"{tmp_path}/g.txt")
+    ):
         with pytest.raises(ValueError):
             bad()
 
@@ -211,7 +251,28 @@ def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("é", None)], "a string, b int")
     sinks.write_jsonl(rows, f"{tmp_path}/lines")
     assert [x["value"] for x in spark.read.text(f"{tmp_path}/lines").collect()] == ['{"a":"é","b":null}']
-    findings = {"tables": [{"table": "t", "num_rows": 3, "sampled_rows": 2, "columns": [{"name": "c", "type": "numeric", "cardinality": 2, "missing_frac": 0.25, "min": 1, "max": 2, "mean": 1.5, "top_values": None}], "targets": []}]}
+    findings = {
+        "tables": [
+            {
+                "table": "t",
+                "num_rows": 3,
+                "sampled_rows": 2,
+                "columns": [
+                    {
+                        "name": "c",
+                        "type": "numeric",
+                        "cardinality": 2,
+                        "missing_frac": 0.25,
+                        "min": 1,
+                        "max": 2,
+                        "mean": 1.5,
+                        "top_values": None,
+                    }
+                ],
+                "targets": [],
+            }
+        ]
+    }
     written = sinks.write_findings(spark, findings, f"{tmp_path}/f", lambda prompt: "told")
     assert [x.rpartition("/")[2] for x in written] == ["t.md", "t_narrative.md", "findings.json"]
     text = documents.read_text(spark, written[0])
@@ -223,7 +284,9 @@ def test_sinks(spark, tmp_path):
 
 def test_streams(spark, tmp_path):
     rows = [(f"2024-01-01 00:0{k}:00", "click" if k % 2 else "view", "Mail a@b.org" if k < 2 else f"text {k}", 0.1 * k) for k in range(6)]
-    spark.createDataFrame(rows, "ts string, kind string, text string, coverage double").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/in")
+    spark.createDataFrame(rows, "ts string, kind string, text string, coverage double").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(
+        f"{tmp_path}/in"
+    )
     stream = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).parquet(f"{tmp_path}/in")
 
     def drained(df, name, mode="append"):
