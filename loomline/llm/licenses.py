@@ -17,16 +17,37 @@ from loomline.session import cut, ship
 #: Headers and notices by licence.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later"),
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "SPDX-License-Identifier: Apache-2.0"),
-    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "SPDX-License-Identifier: BSD-3-Clause"),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0.",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+        "SPDX-License-Identifier: Apache-2.0",
+    ),
+    "BSD-3-Clause": (
+        "Released under the BSD 3-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-NC-4.0": (
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ),
     "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
     "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    "GPL-3.0": (
+        "This work is licensed under the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
     "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later"),
-    "MIT": ("Released under the MIT License.", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction', "SPDX-License-Identifier: MIT"),
+    "MIT": (
+        "Released under the MIT License.",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+        "SPDX-License-Identifier: MIT",
+    ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"),
 }
 LEAST = 0.8
@@ -102,7 +123,9 @@ def scan_licences(files: DataFrame, templates: Mapping[str, Iterable[str]] = TEM
     Inverse document frequencies are those of the templates' tokens in all files.
     """
     ship(files.sparkSession)
-    rows = files.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text"))
+    rows = files.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text")
+    )
     wanted = frozenset(x for texts in templates.values() for text in texts for x in tokens_of(text.encode()))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +146,9 @@ def scan_licences(files: DataFrame, templates: Mapping[str, Iterable[str]] = TEM
         for batch in batches:
             found = [index.scan(x) or (None, None) for x in as_bytes(batch.column("text"))]
             columns = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("path"), *columns], ["doc_id", "path", "direct", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("path"), *columns], ["doc_id", "path", "direct", "score"]
+            )
 
     return rows.mapInArrow(scan, "doc_id long, path string, direct string, score double")
 
@@ -134,18 +159,33 @@ def inherit(scanned: DataFrame) -> DataFrame:
     A file's own licence comes first. Else it has that of the nearest directory above it (its own included) in which
     a licence file states one; of several there, the one of the highest score, then of the first name.
     """
-    named = cut(scanned.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")).withColumn("name", F.regexp_extract("path", "[^/]*$", 0)))
+    named = cut(
+        scanned.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")).withColumn("name", F.regexp_extract("path", "[^/]*$", 0))
+    )
     licensing = F.col("name").rlike(LICENCE_FILE) & F.col("direct").isNotNull()
     best = F.min(F.struct((-F.round("score", 9)).alias("k"), "direct")).alias("best")
-    of_dir = cut(named.where(licensing).groupBy(F.col("dir").alias("from_dir")).agg(best).select("from_dir", F.col("best.direct").alias("handed")))
+    of_dir = cut(
+        named.where(licensing).groupBy(F.col("dir").alias("from_dir")).agg(best).select("from_dir", F.col("best.direct").alias("handed"))
+    )
     parts = F.split("dir", "/")
-    above = F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")))
+    above = F.concat(
+        F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    )
     ancestors = named.select("dir").distinct().select("dir", F.posexplode(above).alias("depth", "from_dir"))
     nearest = ancestors.join(of_dir, "from_dir").groupBy("dir").agg(F.max(F.struct("depth", "from_dir", "handed")).alias("of"))
     nearest = cut(nearest.select("dir", "of.from_dir", "of.handed"))
     own = F.col("direct").isNotNull()
-    origin = F.when(own & F.col("name").rlike(LICENCE_FILE), "file").when(own, "header").when(F.col("handed").isNotNull(), "inherited").otherwise("none")
-    return named.join(nearest, "dir", "left").select("doc_id", "path", F.coalesce("direct", "handed").alias("licence"), "score", origin.alias("origin"), F.when(~own, F.col("from_dir")).alias("from_dir"))
+    origin = F.when(own & F.col("name").rlike(LICENCE_FILE), "file").when(own, "header").when(F.col("handed").isNotNull(), "inherited").otherwise(
+        "none"
+    )
+    return named.join(nearest, "dir", "left").select(
+        "doc_id",
+        "path",
+        F.coalesce("direct", "handed").alias("licence"),
+        "score",
+        origin.alias("origin"),
+        F.when(~own, F.col("from_dir")).alias("from_dir"),
+    )
 
 
 def licence_scan(files: DataFrame, **how) -> DataFrame:

@@ -147,9 +147,17 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     """
     kind = docs.schema[sources_col].dataType.typeName()
     members = F.col(sources_col) if kind == "array" else F.array(F.col(sources_col).cast("string"))
-    members = F.when(F.coalesce(F.size(members), F.lit(0)) < 1, F.array(F.lit(None).cast("string"))).otherwise(F.array_sort(F.array_distinct(members)))
+    members = F.when(F.coalesce(F.size(members), F.lit(0)) < 1, F.array(F.lit(None).cast("string"))).otherwise(
+        F.array_sort(F.array_distinct(members))
+    )
     drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), *row_key(id_col, text_col), drawn.alias("drawn"), members.alias("sources"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        *row_key(id_col, text_col),
+        drawn.alias("drawn"),
+        members.alias("sources"),
+        F.col(text_col).alias("text"),
+    )
     sized = map_batches(rows, word_counts, "id long, key string, mark long, drawn string, sources array<string>, size long")
     sized = cut(sized.withColumn("row", F.monotonically_increasing_id()))
 
@@ -166,7 +174,9 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     taken = flow(capacities, {x: round(t) for x, t in targets.items()}, repeats)
 
     spark = docs.sparkSession
-    shares = [(list(of), sizes[of[0]], float(targets[of[0]]), taken[of] // size if size else 0, taken[of] % size if size else 0) for of, size in capacities.items()]
+    shares = [
+        (list(of), sizes[of[0]], float(targets[of[0]]), taken[of] // size if size else 0, taken[of] % size if size else 0) for of, size in capacities.items()
+    ]
     plan = spark.createDataFrame(shares, "sources array<string>, source_size long, target double, rounds long, rest long")
     shared = sized.join(F.broadcast(plan), sized["sources"].eqNullSafe(plan["sources"])).drop(plan["sources"])
 
@@ -179,7 +189,11 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
         buckets = at_edge.groupBy("sources", bucket.alias("bucket"), "rest", "before").agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("sources").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = buckets.withColumn("before", F.col("before") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
-        found = cut(sums.where("before < rest and before + words >= rest").select(F.col("sources").alias("of"), F.col("bucket").alias("edge"), "before"))
+        found = cut(
+            sums.where("before < rest and before + words >= rest").select(
+                F.col("sources").alias("of"), F.col("bucket").alias("edge"), "before"
+            )
+        )
         # one row for each set
         edged = shared.join(F.broadcast(found), shared["sources"].eqNullSafe(F.col("of")), "left").drop("of")
     inside = edged.where((bucket == F.col("edge")) & (F.col("size") > 0))
@@ -192,14 +206,29 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     first = cut(inside.select(*shared.columns, "last").unionByName(outside.select(*shared.columns, "last")))
 
     # One document more, or one less, of each set where that brings its words closer to the flow's.
-    gaps = first.groupBy("sources", "rest").agg(F.sum("last").alias("last")).select(F.col("sources").alias("of"), (F.col("rest") - F.col("last")).alias("gap")).where("gap <> 0")
+    gaps = first.groupBy("sources", "rest").agg(F.sum("last").alias("last")).select(F.col("sources").alias("of"), (F.col("rest") - F.col("last")).alias("gap")).where(
+        "gap <> 0"
+    )
     gapped = first.join(F.broadcast(cut(gaps)), first["sources"].eqNullSafe(F.col("of")))  # one row for each set
     miss = F.abs(F.abs("gap") - F.col("size"))
     other = gapped.where((F.col("size") > 0) & (miss < F.abs("gap")) & ((F.col("gap") > 0) == (F.col("last") == 0)) & (F.col("rest") > 0))
-    turned = cut(other.groupBy("sources").agg(F.min(F.struct(miss.alias("miss"), "drawn", "row")).alias("best")).select("best.row", F.lit(True).alias("turn")))
+    turned = cut(
+        other.groupBy("sources").agg(F.min(F.struct(miss.alias("miss"), "drawn", "row")).alias("best")).select(
+            "best.row", F.lit(True).alias("turn")
+        )
+    )
     turn = F.when(F.col("turn"), F.col("size") - F.col("last")).otherwise(F.col("last"))
     done = first.join(F.broadcast(turned), "row", "left")
-    return done.select(F.col("id").alias("doc_id"), "key", "mark", "sources", "size", "source_size", "target", (F.col("rounds") * F.col("size") + turn).alias("taken"))
+    return done.select(
+        F.col("id").alias("doc_id"),
+        "key",
+        "mark",
+        "sources",
+        "size",
+        "source_size",
+        "target",
+        (F.col("rounds") * F.col("size") + turn).alias("taken"),
+    )
 
 
 def mix_sources(docs: DataFrame, *args, **kwargs) -> DataFrame:

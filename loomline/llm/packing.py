@@ -77,7 +77,10 @@ def tokenised(docs: DataFrame, vocabulary: str, ranks: str, capacity: int = CAPA
         for doc, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text")), strict=True):
             ids = np.append(token_ids(text, vocabulary, ranks), np.uint32(END)).astype("<u4")
             out += [(doc, k, a, n, zlib.crc32(ids[a : a + n])) for k, (a, n) in enumerate(pieces_of(ids, capacity))]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if k == 1 else pa.int64()) for k, x in enumerate(zip(*out, strict=True))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int32() if k == 1 else pa.int64()) for k, x in enumerate(zip(*out, strict=True))],
+            ["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(rows, work, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -239,7 +242,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         length, group, number = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("length", "_group", "_number"))
         sequence, offset = slots.place(length, starts[length, group] + number - 1)
-        return pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(x) for x in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"]
+        )
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes[:-1]) + ", sequence_id long, offset long"
     return map_batches(numbered, work, schema)

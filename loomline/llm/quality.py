@@ -49,7 +49,22 @@ BANDS: Mapping[str, Band] = {
     "other": Band((0.15, 8.0), 1.00, 0.7),
 }
 #: First code points of ranges, with the script of each up to the next.
-SCRIPTS = ((0x0, ""), (0x41, "latin"), (0x5B, ""), (0x61, "latin"), (0x7B, ""), (0xC0, "latin"), (0x250, ""), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "other"), (0x600, "arabic"), (0x780, "other"), (0x2E80, "han"), (0xA000, "other"))
+SCRIPTS = (
+    (0x0, ""),
+    (0x41, "latin"),
+    (0x5B, ""),
+    (0x61, "latin"),
+    (0x7B, ""),
+    (0xC0, "latin"),
+    (0x250, ""),
+    (0x370, "greek"),
+    (0x400, "cyrillic"),
+    (0x530, "other"),
+    (0x600, "arabic"),
+    (0x780, "other"),
+    (0x2E80, "han"),
+    (0xA000, "other"),
+)
 
 
 def script_of(text: str) -> str:

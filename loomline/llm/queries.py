@@ -76,7 +76,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_url_filter, op3_simhash_near_dedup, op4_secret_scan, op5_warc_salvage, op6_source_mix, op7_bit_sliced_top_k, op8_best_fit_packing, op9_token_counts, op10_quality_rules)
+    for f in (
+        op1_license_scan,
+        op2_url_filter,
+        op3_simhash_near_dedup,
+        op4_secret_scan,
+        op5_warc_salvage,
+        op6_source_mix,
+        op7_bit_sliced_top_k,
+        op8_best_fit_packing,
+        op9_token_counts,
+        op10_quality_rules,
+    )
 } | {"pipeline": corpus_pipeline.run}
 
 #: The word of all contracts in DuckDB, as the class of one of its characters.

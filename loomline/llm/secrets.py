@@ -41,12 +41,37 @@ class CharClass:
 
 CLASSES = (
     CharClass("hex", re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}(?![0-9A-Za-z])"), 24, 3.0, ("0123456789", "abcdefABCDEF")),
-    CharClass("alphanumeric", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{24,}"), 24, 3.9, ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
-    CharClass("base64", re.compile(r"(?<![0-9A-Za-z+/=_-])[0-9A-Za-z+/=_-]{32,}"), 32, 4.3, ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
+    CharClass(
+        "alphanumeric",
+        re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{24,}"),
+        24,
+        3.9,
+        ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ),
+    CharClass(
+        "base64",
+        re.compile(r"(?<![0-9A-Za-z+/=_-])[0-9A-Za-z+/=_-]{32,}"),
+        32,
+        4.3,
+        ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ),
 )
 
 #: Candidates that contain one of these (letters in either case) are placeholders or public digests, not secrets.
-ALLOWED = ("example", "sample", "placeholder", "changeme", "dummy", "redacted", "xxxxxx", "000000", "123456789", "abcdefgh", "deadbeef", "loremipsum")
+ALLOWED = (
+    "example",
+    "sample",
+    "placeholder",
+    "changeme",
+    "dummy",
+    "redacted",
+    "xxxxxx",
+    "000000",
+    "123456789",
+    "abcdefgh",
+    "deadbeef",
+    "loremipsum",
+)
 #: Text right before a candidate that marks it as a digest, an address or inline data.
 ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|224|256|384|512)[-:]|md5[-:]|integrity=[\"']?|://\S{0,200}|base64,|urn:uuid:)$", re.IGNORECASE)
 #: The same at the start of a candidate.

@@ -49,7 +49,9 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     prints = np.array([fingerprint(x) for x in as_bytes(batch.column("text"))], np.uint64)
-    return pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("id", "key", "mark")), pa.array(prints.view(np.int64))], ["id", "key", "mark", "fp"])
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(x) for x in ("id", "key", "mark")), pa.array(prints.view(np.int64))], ["id", "key", "mark", "fp"]
+    )
 
 
 def shared_bytes(x: np.ndarray) -> np.ndarray:
@@ -131,7 +133,9 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
         dealt = index.select("key", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"), "fp")
     else:
         own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-        each = index.join(hot, "key", "left").na.fill(1, ["blocks"]).select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        each = index.join(hot, "key", "left").na.fill(1, ["blocks"]).select(
+            "key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+        )
         dealt = each.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return dealt.mapInArrow(_postings, "a long, b long")

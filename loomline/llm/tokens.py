@@ -67,7 +67,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END,
 
 def named(counts: DataFrame, files: DataFrame) -> DataFrame:
     """(doc_id, n_tokens) from the counts of files and the rows that ``write_tokens`` returned for them."""
-    listed = files.select("path", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select("path", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
+    listed = files.select("path", "first", F.posexplode("doc_ids").alias("k", "doc_id")).select(
+        "path", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id"
+    )
     return listed.join(counts, ["path", "ordinal"]).select("doc_id", "n_tokens")
 
 
@@ -113,7 +115,9 @@ def count_tokens(files: DataFrame, end: int = END, width: int = WIDTH, block_byt
                     data = file.read(step)
                 n, head, tail, inner = scanned(np.frombuffer(data[: len(data) // width * width], f"<u{width}"), end)
                 values = [path, start // step, n, head, tail, inner.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["path", "block", "ends", "head", "tail", "inner"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["path", "block", "ends", "head", "tail", "inner"]
+                )
 
     counts = cut(blocks.mapInArrow(scan, "path string, block long, ends long, head long, tail long, inner array<long>"))
 
@@ -130,18 +134,30 @@ def count_tokens(files: DataFrame, end: int = END, width: int = WIDTH, block_byt
         return both.withColumn("open", F.coalesce(F.col("last.tail"), F.lit(0)) + F.col("all") - F.coalesce(F.col("last.all"), F.lit(0)))
 
     spans = joined(small, inside)
-    ends = spans.groupBy("path", "span").agg(F.max_by(F.struct(F.col("so_far").alias("ends"), F.col("open").alias("tail")), "block").alias("of"))
+    ends = spans.groupBy("path", "span").agg(
+        F.max_by(F.struct(F.col("so_far").alias("ends"), F.col("open").alias("tail")), "block").alias("of")
+    )
     across = Window.partitionBy("path").orderBy("span")
     upto = joined(ends.select("path", "span", "of.ends", "of.tail"), across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = upto.select("path", "span", *(F.coalesce(F.lag(x).over(across), F.lit(0)).alias(f"span_{x}") for x in ("so_far", "open")))
     before = Window.partitionBy("path", "span").orderBy("block")
     lagged = spans.select("path", "span", "block", *(F.coalesce(F.lag(x).over(before), F.lit(0)).alias(x) for x in ("so_far", "open")))
     offsets = lagged.join(carried, ["path", "span"]).select(
-        "path", "block", (F.col("span_so_far") + F.col("so_far")).alias("before"), F.when(F.col("so_far") > 0, F.col("open")).otherwise(F.col("span_open") + F.col("open")).alias("carry")
+        "path", "block", (F.col("span_so_far") + F.col("so_far")).alias("before"), F.when(F.col("so_far") > 0, F.col("open")).otherwise(F.col("span_open") + F.col("open")).alias(
+            "carry"
+        )
     )
     placed = cut(counts.join(cut(offsets), ["path", "block"]))
-    crossing = placed.where("ends > 0").select("path", F.col("before").alias("ordinal"), (F.col("carry") + F.col("head")).alias("n_tokens"), F.lit(True).alias("ended"))
-    within = placed.where("ends > 1").select("path", "before", F.posexplode("inner").alias("k", "n_tokens")).select("path", (F.col("before") + 1 + F.col("k")).alias("ordinal"), "n_tokens", F.lit(True).alias("ended"))
-    final = placed.groupBy("path").agg(F.max_by(F.struct((F.col("before") + F.col("ends")).alias("ordinal"), F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("carry") + F.col("tail")).alias("n_tokens")), "block").alias("of"))
+    crossing = placed.where("ends > 0").select(
+        "path", F.col("before").alias("ordinal"), (F.col("carry") + F.col("head")).alias("n_tokens"), F.lit(True).alias("ended")
+    )
+    within = placed.where("ends > 1").select("path", "before", F.posexplode("inner").alias("k", "n_tokens")).select(
+        "path", (F.col("before") + 1 + F.col("k")).alias("ordinal"), "n_tokens", F.lit(True).alias("ended")
+    )
+    final = placed.groupBy("path").agg(
+        F.max_by(F.struct((F.col("before") + F.col("ends")).alias("ordinal"), F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("carry") + F.col("tail")).alias("n_tokens")), "block").alias(
+            "of"
+        )
+    )
     open_ = final.where("of.n_tokens > 0").select("path", "of.ordinal", "of.n_tokens", F.lit(False).alias("ended"))
     return crossing.unionByName(within).unionByName(open_)

@@ -146,7 +146,9 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, id_col: str = "v
     queries = rows.where(F.col("id") % every == 0).withColumn("number", number).withColumnRenamed("id", "query")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     index = rows.select("id", "q", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), each(groups).alias("group"))
-    asked = queries.select("query", "number", "q", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"), each(blocks).alias("block"))
+    asked = queries.select(
+        "query", "number", "q", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"), each(blocks).alias("block")
+    )
     met = index.groupBy("block", "group").cogroup(asked.groupBy("block", "group"))
     found = met.applyInPandas(lambda key, a, b: _meet(key, a, b, k), "query long, number int, id long, score long")
     best = F.row_number().over(Window.partitionBy("query", "number").orderBy(F.desc("score"), "id"))

@@ -52,7 +52,19 @@ BASE_RULES = (
 )
 #: Spam by words of the host, and paths of trackers and shops; no list of sites.
 PATTERN_RULES = (
-    *host_words(BLOCK, "casino win", "casino", "free bets", "bets", "cheap pills", "pills", "poker online", "payday loans", "adult dating", "replica watches"),
+    *host_words(
+        BLOCK,
+        "casino win",
+        "casino",
+        "free bets",
+        "bets",
+        "cheap pills",
+        "pills",
+        "poker online",
+        "payday loans",
+        "adult dating",
+        "replica watches",
+    ),
     Rule("path:ads", BLOCK, r"\?(?:/[^/?]+)*/ads/", ("ads",)),
     Rule("path:adserver", BLOCK, r"\?(?:/[^/?]+)*/adserver[/?]", ("adserver",)),
     Rule("path:affiliate", BLOCK, r"\?(?:/[^/?]+)*/affiliate/", ("affiliate",)),
@@ -64,7 +76,9 @@ DEFAULT_RULES = BASE_RULES + PATTERN_RULES
 
 def host_of(url: Column) -> Column:
     """After the first :// up to / ? # or the end, A-Z in lower case; empty where there is none."""
-    return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.translate(
+        F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    )
 
 
 def path_of(url: Column) -> Column:
@@ -98,7 +112,9 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, default:
     urls have. A url without :// has an empty host and path and takes the default, as does a null one. Rows are
     independent: null ids, repeated rows and empty tables need no rule.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    rows = pages.select(
+        F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")
+    )
     wanted = sorted({x for rule in rules for x in rule.tokens})
     whole = F.concat_ws("?", "host", "path")
     tokens = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(whole, F.lit("([a-z0-9]+)"), 1))).alias("token"))
@@ -111,9 +127,14 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, default:
         compiled = [re.compile(x) for x in patterns]
         hosts, paths = as_texts(batch.column("host")), as_texts(batch.column("path"))
         found = [decide(f"{host}?{path}?", rules, compiled, index, always) for host, path in zip(hosts, paths, strict=True)]
-        columns = [[x.verdict if x else default for x in found], [x.name if x else None for x in found], [x.rank if x else None for x in found]]
+        columns = [
+            [x.verdict if x else default for x in found], [x.name if x else None for x in found], [x.rank if x else None for x in found]
+        ]
         kinds = [pa.string(), pa.string(), pa.int32()]
-        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], [*batch.schema.names, "verdict", "rule", "rank"])
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))],
+            [*batch.schema.names, "verdict", "rule", "rank"],
+        )
 
     return map_batches(rows, work, "page_id long, host string, path string, verdict string, rule string, rank int")
 
@@ -121,4 +142,6 @@ def url_filter(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, default:
 def base_verdicts(judged: DataFrame) -> DataFrame:
     """page_id, host, path, rule (of the base rules, else null), verdict, and the pattern rule that decided."""
     base = F.col("rank") == 1
-    return judged.select("page_id", "host", "path", F.when(base, F.col("rule")).alias("rule"), "verdict", F.when(~base, F.col("rule")).alias("pattern"))
+    return judged.select(
+        "page_id", "host", "path", F.when(base, F.col("rule")).alias("rule"), "verdict", F.when(~base, F.col("rule")).alias("pattern")
+    )

@@ -67,7 +67,9 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         tops = joined.where("copied is not null and first")
         numbered = tops.withColumn("first", F.row_number().over(Window.partitionBy("digest").orderBy("uri")) == 1)
         joined = numbered.unionByName(joined.where("copied is null or not first"))
-    kinds = joined.select("page", "uri", "html", F.when(F.col("copied").isNotNull() & ~F.col("first"), "revisit").otherwise("response").alias("kind"), "top")
+    kinds = joined.select(
+        "page", "uri", "html", F.when(F.col("copied").isNotNull() & ~F.col("first"), "revisit").otherwise("response").alias("kind"), "top"
+    )
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, n, size, done = None, "", 0, 0, []
@@ -86,7 +88,9 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         if out is not None:
             out.close()
             done.append((path, n))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.string()), pa.array([x[1] for x in done], pa.int64())], ["path", "records"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in done], pa.string()), pa.array([x[1] for x in done], pa.int64())], ["path", "records"]
+        )
 
     return cut(kinds.mapInArrow(write, "path string, records long"))
 
@@ -228,7 +232,16 @@ def salvage(file: IO[bytes], size: int) -> Iterator[Found]:
 
 
 SCHEMA = "path string, offset long, length long, gap string, headers map<string,string>, payload binary"
-_SCHEMA = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("gap", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])
+_SCHEMA = pa.schema(
+    [
+        ("path", pa.string()),
+        ("offset", pa.int64()),
+        ("length", pa.int64()),
+        ("gap", pa.string()),
+        ("headers", pa.map_(pa.string(), pa.string())),
+        ("payload", pa.binary()),
+    ]
+)
 
 
 def read_warc(paths: DataFrame) -> DataFrame:
@@ -246,7 +259,16 @@ def read_warc(paths: DataFrame) -> DataFrame:
                     rows, size = [], 0
                     for x in salvage(file, file.size()):
                         good = x.headers is not None
-                        rows.append({"path": path, "offset": x.offset, "length": x.length, "gap": None if good else x.reason, "headers": list(x.headers.items()) if good else None, "payload": x.payload if good else None})
+                        rows.append(
+                            {
+                                "path": path,
+                                "offset": x.offset,
+                                "length": x.length,
+                                "gap": None if good else x.reason,
+                                "headers": list(x.headers.items()) if good else None,
+                                "payload": x.payload if good else None,
+                            }
+                        )
                         size += len(x.payload)
                         if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
                             yield pa.RecordBatch.from_pylist(rows, _SCHEMA)

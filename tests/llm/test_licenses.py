@@ -30,13 +30,30 @@ def brute_scan(text, counts, total, least=licenses.LEAST):
                 w = vector(example)
                 dot = sum(x * w[t] for t, x in v.items() if t in w)
                 cosine = dot / math.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in w.values())) if v else 0
-                if cosine >= least and (best is None or (round(cosine, 9), [-ord(c) for c in name]) > (round(best[1], 9), [-ord(c) for c in best[0]])):
+                if cosine >= least and (
+                    best is None or (round(cosine, 9), [-ord(c) for c in name]) > (round(best[1], 9), [-ord(c) for c in best[0]])
+                ):
                     best = (name, cosine)
     return best
 
 
 def rows():
-    texts = [MIT, APACHE, PROSE * 5, PROSE + "\n" + MIT + "\n" + PROSE, PROSE + APACHE, "released under a license", None, "", "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 2.", "This work is licensed under the GNU General Public License, version 3.", "MIT", "// SPDX-License-Identifier: MIT", PROSE * 2000 + "\n# Licensed under the GNU Lesser General Public License, version 3."]
+    texts = [
+        MIT,
+        APACHE,
+        PROSE * 5,
+        PROSE + "\n" + MIT + "\n" + PROSE,
+        PROSE + APACHE,
+        "released under a license",
+        None,
+        "",
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "MIT",
+        "// SPDX-License-Identifier: MIT",
+        PROSE * 2000 + "\n# Licensed under the GNU Lesser General Public License, version 3.",
+    ]
     return [(k, f"d/{k}.txt", x) for k, x in enumerate(texts)]
 
 
@@ -54,11 +71,28 @@ def test_scan_is_that_of_all_passages_and_templates(spark):
 
 
 def test_nearest_directory_hands_its_licence_down(spark):
-    given = [(1, "LICENSE", MIT), (2, "a/LICENSE.txt", APACHE), (3, "a/b/c/x.py", PROSE), (4, "z/y.py", PROSE), (5, "a/own.py", MIT + "\n" + PROSE), (6, "a/b/COPYING", PROSE), (7, "root.py", None), (8, "ab/x.py", PROSE), (9, "a/notice.py", APACHE), (10, None, PROSE)]
-    found = {x["doc_id"]: (x["licence"], x["origin"], x["from_dir"]) for x in licenses.licence_scan(spark.createDataFrame(given, SCHEMA)).collect()}
+    given = [
+        (1, "LICENSE", MIT),
+        (2, "a/LICENSE.txt", APACHE),
+        (3, "a/b/c/x.py", PROSE),
+        (4, "z/y.py", PROSE),
+        (5, "a/own.py", MIT + "\n" + PROSE),
+        (6, "a/b/COPYING", PROSE),
+        (7, "root.py", None),
+        (8, "ab/x.py", PROSE),
+        (9, "a/notice.py", APACHE),
+        (10, None, PROSE),
+    ]
+    found = {
+        x["doc_id"]: (x["licence"], x["origin"], x["from_dir"]) for x in licenses.licence_scan(spark.createDataFrame(given, SCHEMA)).collect()
+    }
     assert found == {
-        1: ("MIT", "file", None), 2: ("Apache-2.0", "file", None), 3: ("Apache-2.0", "inherited", "a"), 4: ("MIT", "inherited", ""), 5: ("MIT", "header", None),
-        6: ("Apache-2.0", "inherited", "a"), 7: ("MIT", "inherited", ""), 8: ("MIT", "inherited", ""), 9: ("Apache-2.0", "file", None), 10: ("MIT", "inherited", ""),
+        1: ("MIT", "file", None), 2: ("Apache-2.0", "file", None), 3: ("Apache-2.0", "inherited", "a"), 4: ("MIT", "inherited", ""), 5: (
+            "MIT", "header", None
+        ),
+        6: ("Apache-2.0", "inherited", "a"), 7: ("MIT", "inherited", ""), 8: ("MIT", "inherited", ""), 9: ("Apache-2.0", "file", None), 10: (
+            "MIT", "inherited", ""
+        ),
     }
 
 

@@ -32,7 +32,11 @@ def brute_pieces(text):
     ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
     n = len(ids)
     cuts = [0, *range(n % 1024 or 1024, n, 1024), n] if n > 1024 else [0, n]
-    return [(k, a, b - a, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[a:b]))) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    return [
+        (k, a, b - a, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[a:b]))) for k, (a, b) in enumerate(
+            zip(cuts, cuts[1:], strict=False)
+        )
+    ]
 
 
 def test_pieces_and_places(spark):

@@ -9,7 +9,11 @@ from loomline.llm import mixing, packing, quality, secrets
 from tests.llm.test_simhash import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-WORDS = [a + b for a in "time year people way day man thing woman life child world school state".split() for b in ("", "s", "like", "less", "ward", "ly")]
+WORDS = [
+    a + b for a in "time year people way day man thing woman life child world school state".split() for b in (
+        "", "s", "like", "less", "ward", "ly"
+    )
+]
 
 
 def corpus():

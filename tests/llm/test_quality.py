@@ -39,7 +39,18 @@ def prose(seed, n=300):
 
 def texts():
     rng = random.Random(0)
-    out = [None, "", " \t\n", "one", "a b c", "x " * 50, "# $ % & | < > * **", prose(1), prose(2) + "\n" + prose(2), "line\nline\n\n\nline \nline"]
+    out = [
+        None,
+        "",
+        " \t\n",
+        "one",
+        "a b c",
+        "x " * 50,
+        "# $ % & | < > * **",
+        prose(1),
+        prose(2) + "\n" + prose(2),
+        "line\nline\n\n\nline \nline",
+    ]
     for seed in range(20):
         some = [rng.choice("abc") for _ in range(rng.randint(1, 60))]
         out.append(rng.choice([" ", "\n", "\t"]).join(some))
@@ -87,14 +98,19 @@ def test_bands():
     assert quality.floor_of(128) < quality.floor_of(200) < quality.floor_of(256)
 
 
-@pytest.mark.parametrize(("text", "script"), [("plain words", "latin"), ("Привет a", "cyrillic"), ("你好世界", "han"), ("αβγ", "greek"), ("123", "other"), ("", "other")])
+@pytest.mark.parametrize(
+    ("text", "script"),
+    [("plain words", "latin"), ("Привет a", "cyrillic"), ("你好世界", "han"), ("αβγ", "greek"), ("123", "other"), ("", "other")],
+)
 def test_scripts(text, script):
     assert quality.script_of(text) == script
 
 
 def test_repeated_junk_goes_and_rows_keep_their_columns(spark):
     junk = " ".join(f"{a} {b}" for a in "abcdefgh" for b in "ijklmnop") + " " + " ".join("zz yy xx".split() * 3)
-    docs = spark.createDataFrame([(1, prose(7), "en", "kept?"), (2, "the " * 300, "en", "x"), (3, None, "en", "y"), (4, junk, "fr", "z")], SCHEMA + ", kept string")
+    docs = spark.createDataFrame(
+        [(1, prose(7), "en", "kept?"), (2, "the " * 300, "en", "x"), (3, None, "en", "y"), (4, junk, "fr", "z")], SCHEMA + ", kept string"
+    )
     kept = quality.keep_quality(docs, PIECES)
     assert kept.columns == docs.columns
     assert 2 not in {x["doc_id"] for x in kept.collect()} and 3 not in {x["doc_id"] for x in kept.collect()}

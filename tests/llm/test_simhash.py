@@ -101,7 +101,9 @@ def test_blocks_of_long_postings_lose_no_link(spark, block):
         near.add(x)
     every = [*near, *map(int, rng.integers(0, 1 << 63, 60, dtype=np.uint64))]
     signed = [x - (1 << 64) if x >> 63 else x for x in every]
-    links = [(x["a"] % (1 << 64), x["b"] % (1 << 64)) for x in simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), block).collect()]
+    links = [
+        (x["a"] % (1 << 64), x["b"] % (1 << 64)) for x in simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), block).collect()
+    ]
     assert all((a ^ b).bit_count() <= 3 for a, b in links)
     group = {x: x for x in every}
 

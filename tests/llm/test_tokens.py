@@ -48,7 +48,9 @@ def test_other_widths_and_a_broken_last_id(spark, tmp_path):
 
 
 def test_documents_get_their_counts(spark):
-    rows = [(k, f"some words {'again ' * (k % 7)} 你好 </s>", k) for k in range(40)] + [(None, "no id", 0), (3, None, 0), (3, "", 0), (4, "long " * 50_000, 0)]
+    rows = [(k, f"some words {'again ' * (k % 7)} 你好 </s>", k) for k in range(40)] + [
+        (None, "no id", 0), (3, None, 0), (3, "", 0), (4, "long " * 50_000, 0)
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ordinal int").repartition(3)
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     files = tokens.write_tokens(docs, fresh_dir(spark, "tokens"), PIECES)

@@ -10,7 +10,11 @@ SCHEMA = "vec_id long, embedding array<float>"
 
 
 def brute(rows, every=50, k=5):
-    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    good = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(
+            x is not None and math.isfinite(x) for x in v
+        )
+    ]
     out = []
     for n, (query, q) in enumerate(good):
         if query % every == 0:
@@ -33,7 +37,22 @@ def test_results_are_those_of_all_pairs(spark, how):
 
 
 def test_odd_rows(spark):
-    rows = [(0, [1.0, -0.5]), (50, None), (100, [float("nan"), 1.0]), (1, [float("inf"), 0.0]), (2, [None, 1.0]), (None, [1.0, 1.0]), (3, [0.0, 0.0]), (4, [-0.1, 0.25]), (0, [1.0, -0.5]), (150, [0.5, 0.5]), (-50, [0.3, 0.3]), (5, [1.0, 2.0, 3.0]), (6, []), (200, [])]
+    rows = [
+        (0, [1.0, -0.5]),
+        (50, None),
+        (100, [float("nan"), 1.0]),
+        (1, [float("inf"), 0.0]),
+        (2, [None, 1.0]),
+        (None, [1.0, 1.0]),
+        (3, [0.0, 0.0]),
+        (4, [-0.1, 0.25]),
+        (0, [1.0, -0.5]),
+        (150, [0.5, 0.5]),
+        (-50, [0.3, 0.3]),
+        (5, [1.0, 2.0, 3.0]),
+        (6, []),
+        (200, []),
+    ]
     assert run(spark, rows) == brute(rows)
 
 

@@ -10,7 +10,13 @@ SCHEMA = "page_id long, url string"
 
 def brute(url):
     """host, path, base rule and its verdict."""
-    base = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+    base = [
+        ("org", "/", "allow"),
+        ("example.org", "/es/", "block"),
+        ("example.org", "/en/1", "block"),
+        ("com", "/fr/", "allow"),
+        ("com", "/de/", "block"),
+    ]
     if url is None or "://" not in url:
         return "", "", None, None
     rest = url.split("://", 1)[1]
@@ -23,8 +29,41 @@ def brute(url):
 
 def addresses():
     rng = random.Random(1)
-    hosts = ["example.org", "a.example.org", "badexample.org", "ORG", "x.com", "com", "WWW.Casino-Win.example.com", "free-bets.com", "my.freebets.net", "é.org", "org.", "a b.org", "x\ny.com", ""]
-    paths = ["", "/", "/es/", "/es", "/en/1", "/en/12/x", "/en/2", "/fr/a", "/de/", "/ads/x", "/x/ad/", "/DE/", "/de?x=/fr/", "#/fr/", "?a://b", "/cgi-bin/x", "/de/\n"]
+    hosts = [
+        "example.org",
+        "a.example.org",
+        "badexample.org",
+        "ORG",
+        "x.com",
+        "com",
+        "WWW.Casino-Win.example.com",
+        "free-bets.com",
+        "my.freebets.net",
+        "é.org",
+        "org.",
+        "a b.org",
+        "x\ny.com",
+        "",
+    ]
+    paths = [
+        "",
+        "/",
+        "/es/",
+        "/es",
+        "/en/1",
+        "/en/12/x",
+        "/en/2",
+        "/fr/a",
+        "/de/",
+        "/ads/x",
+        "/x/ad/",
+        "/DE/",
+        "/de?x=/fr/",
+        "#/fr/",
+        "?a://b",
+        "/cgi-bin/x",
+        "/de/\n",
+    ]
     out = [None, "", "no scheme", "://", "http://", "http:///path", "a://b://c/d", "mailto:x@y.org"]
     return out + [rng.choice(["http", "https", "FTP", ""]) + "://" + rng.choice(hosts) + rng.choice(paths) for _ in range(300)]
 
@@ -56,7 +95,15 @@ def test_index_loses_no_rule():
         assert urls.decide(whole, rules, compiled, index, always) == want
 
 
-@pytest.mark.parametrize(("url", "verdict", "pattern"), [("http://m.casino-win.example.net/x", "block", "casino-win"), ("http://x.net/ads/banner", "block", "path:ads"), ("http://downloads.net/loads/x", "allow", None), ("http://occasino.net/", "allow", None)])
+@pytest.mark.parametrize(
+    ("url", "verdict", "pattern"),
+    [
+        ("http://m.casino-win.example.net/x", "block", "casino-win"),
+        ("http://x.net/ads/banner", "block", "path:ads"),
+        ("http://downloads.net/loads/x", "allow", None),
+        ("http://occasino.net/", "allow", None),
+    ],
+)
 def test_pattern_rules(spark, url, verdict, pattern):
     row = urls.base_verdicts(urls.url_filter(spark.createDataFrame([(1, url)], SCHEMA))).first()
     assert (row["verdict"], row["pattern"], row["rule"]) == (verdict, pattern, None)

@@ -36,7 +36,18 @@ def round_trip(spark, rows):
 
 def test_contract(spark):
     long, other = "<p>é</p>" * 200, "x" * 999
-    rows = [(1, "http://a/", long), (9, "http://b/\r\nX: y", long), (4, None, long), (2, "u", other), (3, "u", other), (5, "", None), (6, "u", ""), (7, "u", "y" * 1000), (8, "u", "y" * 1000), (None, "n", "y" * 1000)]
+    rows = [
+        (1, "http://a/", long),
+        (9, "http://b/\r\nX: y", long),
+        (4, None, long),
+        (2, "u", other),
+        (3, "u", other),
+        (5, "", None),
+        (6, "u", ""),
+        (7, "u", "y" * 1000),
+        (8, "u", "y" * 1000),
+        (None, "n", "y" * 1000),
+    ]
     records, files = round_trip(spark, rows)
     found = sorted((tuple(x) for x in warc.record_digest(records).collect()), key=str)
     assert found == brute(rows)
