@@ -142,6 +142,72 @@ class MajorityByKey:
         return found.withColumn("predicted", F.coalesce("_predicted", "_fallback")).drop("_value", "_predicted", "_fallback")
 
 
+class Encoder:
+    """Features as numbers: categories by code, the most frequent first, and -1 for missing ones and those that training had
+    none of; numbers as doubles, missing ones as the median."""
+
+    def __init__(self, features: Sequence[str]):
+        self.features = list(features)
+
+    def fit(self, train: DataFrame) -> Encoder:
+        from pyspark.ml.feature import Imputer, StringIndexer
+
+        kinds = dict(train.dtypes)
+        self.texts = [c for c in self.features if kinds[c] in ("string", "boolean")]
+        self.numbers = [c for c in self.features if c not in self.texts]
+        wide = self._typed(train)
+        self.indexers = [StringIndexer(inputCol=c, outputCol=f"_code_{c}", handleInvalid="keep").fit(wide) for c in self.texts]
+        imputer = Imputer(inputCols=self.numbers, outputCols=[f"_number_{c}" for c in self.numbers], strategy="median")
+        self.imputer = imputer.fit(wide) if self.numbers else None
+        return self
+
+    def _typed(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("string") for c in self.texts} | {c: F.col(c).cast("double") for c in self.numbers})
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_features``, an array of doubles in the order of the features."""
+        out = self._typed(df)
+        for indexer in self.indexers:
+            code = indexer.getOutputCol()
+            out = indexer.transform(out).withColumn(code, F.when(F.col(code) < len(indexer.labels), F.col(code)).otherwise(-1.0))
+        out = self.imputer.transform(out) if self.imputer else out
+        names = [f"_code_{c}" if c in self.texts else f"_number_{c}" for c in self.features]
+        return out.withColumn("_features", F.array(*names)).drop(*names)
+
+
+class TreeEstimator:
+    """A decision tree on encoded features, with the interface of ``MajorityByKey``."""
+
+    def __init__(self, features: Sequence[str], task: str = "classification", depth: int = 5, seed: int = 42):
+        self.encoder, self.task, self.depth, self.seed = Encoder(features), task, depth, seed
+
+    def fit(self, train: DataFrame, target: str) -> TreeEstimator:
+        from pyspark.ml.classification import DecisionTreeClassifier
+        from pyspark.ml.feature import StringIndexer
+        from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.regression import DecisionTreeRegressor
+
+        rows = self.encoder.fit(train).transform(train).withColumn("_vector", array_to_vector("_features"))
+        if self.task == "classification":
+            self.labels = StringIndexer(inputCol=target, outputCol="_label").fit(rows)
+            tree = DecisionTreeClassifier(featuresCol="_vector", labelCol="_label", maxDepth=self.depth, seed=self.seed)
+            self.model = tree.fit(self.labels.transform(rows))
+        else:
+            tree = DecisionTreeRegressor(featuresCol="_vector", labelCol="_label", maxDepth=self.depth, seed=self.seed)
+            self.model = tree.fit(rows.withColumn("_label", F.col(target).cast("double")))
+        return self
+
+    def predict(self, test: DataFrame) -> DataFrame:
+        """``test`` with ``predicted``."""
+        from pyspark.ml.functions import array_to_vector
+
+        found = self.model.transform(self.encoder.transform(test).withColumn("_vector", array_to_vector("_features")))
+        guess = F.col("prediction")
+        if self.task == "classification":
+            guess = F.get(F.array(*map(F.lit, self.labels.labels)), guess.cast("int"))
+        return found.withColumn("predicted", guess).select(*test.columns, "predicted")
+
+
 def score(predicted: DataFrame, target: str, task: str = "classification") -> DataFrame:
     """One row, ``score``: accuracy, or R2 (zero without variance), to four places."""
     y, p = F.col(target), F.col("predicted")

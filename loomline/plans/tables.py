@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators import probe
-from loomline.session import table
+from loomline.session import cut, table
 
 #: Profiled columns and the key by table.
 PROFILED = {
@@ -102,8 +102,23 @@ def tstr_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments and balances of all customers as numbers, by an encoder that saw those of even keys but machinery."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    seen = customers.where("c_custkey % 2 = 0 and c_mktsegment <> 'MACHINERY'")
+    found = probe.Encoder(["c_mktsegment", "c_acctbal"]).fit(seen).transform(customers)
+    return found.select("c_custkey", F.get("_features", F.lit(0)).alias("segment"), F.get("_features", F.lit(1)).alias("balance"))
+
+
+def tree_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout score of a decision tree on orders."""
+    folds = cut(probe.split_rows(_orders(spark, sf_dir), "o_orderkey"))
+    tree = probe.TreeEstimator(["o_orderstatus", "segment"]).fit(probe.training(folds), "grade")
+    return probe.score(tree.predict(probe.testing(folds)), "grade")
+
+
 QUERIES = {f"column_profile_{name}": _profile(name, columns) for name, columns in PROFILED.items()} | {
-    f.__name__: f for f in (top_values, auto_targets, majority_baseline, memorising_probe, permutation_importance, tstr_parity)
+    f.__name__: f for f in (top_values, auto_targets, majority_baseline, memorising_probe, permutation_importance, tstr_parity, encoded_features, tree_probe)
 }
 
 
@@ -141,6 +156,9 @@ ORACLE_SQL = {f"column_profile_{name}": _profile_sql(name, columns) for name, co
       s AS (SELECT round(avg(CAST(grade = coalesce(u.p, whole.p) AS INTEGER)), 4) AS base, round(avg(CAST(grade = coalesce(w.p, whole.p) AS INTEGER)), 4) AS dropped FROM m CROSS JOIN whole LEFT JOIN best u ON o_orderstatus = u.v LEFT JOIN best w ON moved = w.v),
       g AS (SELECT round(max(n) / CAST(sum(n) AS DOUBLE), 4) AS baseline FROM (SELECT count(*) AS n FROM t GROUP BY grade))
       SELECT 'o_orderstatus' AS feature, round(base - dropped, 4) AS importance, base AS holdout_score, baseline AS baseline_score FROM s, g UNION ALL SELECT 'segment', 0.0, base, baseline FROM s, g""",
+    "encoded_features": """WITH seen AS (SELECT * FROM customer WHERE c_custkey % 2 = 0 AND c_mktsegment <> 'MACHINERY'),
+      codes AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS DOUBLE) AS code FROM seen GROUP BY 1)
+      SELECT c_custkey, coalesce(code, -1.0::DOUBLE) AS segment, c_acctbal AS balance FROM customer LEFT JOIN codes USING (c_mktsegment)""",
     "tstr_parity": f"""WITH {_ORDERS_SQL}, {_FIT_SQL.format(_TRAIN)}, synth AS (SELECT o_orderstatus, 'grade-' || translate(o_orderstatus, 'FOP', 'FPO') AS grade FROM o WHERE o_orderkey % 2 = 1),
       c2 AS (SELECT o_orderstatus AS v, grade AS t, count(*) AS k FROM synth GROUP BY 1, 2), best2 AS (SELECT v, arg_min(t, (-k, t)) AS p FROM c2 GROUP BY v),
       s AS (SELECT round(avg(CAST(grade = best.p AS INTEGER)), 4) AS real_score, round(avg(CAST(grade = best2.p AS INTEGER)), 4) AS synth_trained_score FROM folds LEFT JOIN best ON o_orderstatus = best.v LEFT JOIN best2 ON o_orderstatus = best2.v WHERE fold = 'test')

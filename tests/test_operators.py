@@ -720,3 +720,16 @@ def test_agreement(spark):
     assert (x["n"], x["agreement"], x["first_accepts"], x["second_accepts"], x["mean_spread"], x["flips"], x["latency_p50"], x["latency_max"]) == (
         4, 0.5, 2, 2, 0.25, 1, 7, 9
     )
+
+
+def test_encoders_and_trees(spark):
+    train = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 3.0), (None, 5.0)], "t string, n double")
+    test = spark.createDataFrame([("b", None), ("zz", 2.0), (None, 9.0)], "t string, n double")
+    encoder = probe.Encoder(["n", "t"]).fit(train)
+    assert [x["_features"] for x in encoder.transform(test).collect()] == [[3.0, 1.0], [2.0, -1.0], [9.0, -1.0]]
+    df = tickets(spark, 200)
+    found = probe.probe_target(df, "id", "status", ["priority", "channel"], probe.TreeEstimator(["priority", "channel"]))
+    assert found["holdout_score"] == 1.0 and [x["feature"] for x in found["importances"]] == ["priority", "channel"] and found["importances"][1]["importance"] == 0.0
+    numbers = spark.range(100).select("id", (F.col("id") % 10).alias("x"), ((F.col("id") % 10) * 2.0).alias("y"))
+    found = probe.probe_target(numbers, "id", "y", ["x"], probe.TreeEstimator(["x"], "regression"), task="regression")
+    assert found["holdout_score"] > 0.9 and found["baseline_score"] == 0.0
