@@ -311,6 +311,13 @@ leaks AS (SELECT DISTINCT doc_id FROM g JOIN bg USING (gram))"""
 _WORDS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
 
 ORACLE_SQL = {
+    "corpus_chunks": r"""WITH p AS (SELECT doc_id, string_split(replace(coalesce(text, ''), chr(10), chr(10) || chr(10)), chr(10) || chr(10)) AS parts FROM documents),
+      f AS (SELECT doc_id, list_reduce(list_transform(parts, lambda part: {'done': CAST([] AS VARCHAR[]), 'now': part, 'size': length(part)}),
+        lambda acc, nxt: CASE WHEN acc.size + nxt.size > 4000 THEN {'done': list_append(acc.done, acc.now), 'now': nxt.now, 'size': nxt.size}
+          ELSE {'done': acc.done, 'now': acc.now || chr(10) || chr(10) || nxt.now, 'size': acc.size + nxt.size} END) AS s FROM p),
+      c AS (SELECT doc_id, list_filter(list_append(s.done, s.now), lambda chunk: regexp_matches(chunk, '\S')) AS chunks FROM f),
+      u AS (SELECT doc_id, unnest(chunks) AS chunk, CAST(unnest(range(0, len(chunks))) AS INTEGER) AS pos FROM c)
+      SELECT doc_id, pos, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS hash FROM u""",
     "kb_search": f"""WITH q(query) AS (VALUES ('license token src1 en'), ('The password of src2'), ('de una')), qw AS (SELECT query, {_WORDS_SQL.format("query")} AS w FROM q),
       d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {_WORDS_SQL.format("source || ' ' || lang")} AS t, {_WORDS_SQL.format("source || ' ' || lang || ' ' || coalesce(text, '')")} AS h FROM documents),
       s AS (SELECT query, doc_id, lang, text, (len(list_intersect(w, h)) + len(list_intersect(w, t))) / CAST(len(w) + 1 AS DOUBLE) AS score FROM d, qw),
