@@ -6,12 +6,13 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from math import log, sqrt
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import as_bytes
+from loomline.llm.common import as_bytes, slices
 from loomline.session import cut, ship
 
 #: Headers and notices by licence.
@@ -54,6 +55,12 @@ LEAST = 0.8
 #: Base names of files whose licence holds for their directory.
 LICENCE_FILE = r"(?i)^(?:licen[cs]e|copying|notice)(?:[-._].*)?$"
 
+#: Tokens whose counts a task holds at a time.
+COUNTED = 200_000
+PASSAGES = "array<struct<rank:int,dot:double,known:double,others:array<struct<token:string,tf:double>>>>"
+_OTHERS = pa.list_(pa.struct([("token", pa.string()), ("tf", pa.float64())]))
+_PASSAGES = pa.list_(pa.struct([("rank", pa.int32()), ("dot", pa.float64()), ("known", pa.float64()), ("others", _OTHERS)]))
+
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 else 10 if c == 10 else 32 for c in range(256))
 _SENTENCE = re.compile(rb"(?<=[.!?:;])[ \t]+")
 
@@ -63,10 +70,25 @@ def tokens_of(text: bytes) -> list[bytes]:
     return text.translate(_KEEP).split()
 
 
+class Stated(NamedTuple):
+    """A passage near a template: cosine is dot / sqrt(known + the squares of the others' weights).
+
+    ``rank`` is the first template of the licence; ``others`` are the tokens that no template has, as 1 + log(n).
+    """
+
+    rank: int
+    dot: float
+    known: float
+    others: dict[bytes, float]
+    most: float
+    surely: float
+
+
 class Index:
     """Templates as unit vectors of TF-IDF weights, inverted by token.
 
-    ``counts`` are documents by token, of ``total``; a token that no template has counts as in no document.
+    ``counts`` are documents by token, of ``total``, for the templates' tokens. A token that no template has, but a
+    document, is in 1 to ``total`` documents: that bounds a passage's cosine until its count is known.
     ``prefix`` holds, for each template, its heaviest tokens, so many that what a text without any of them can share
     with the template stays below ``least``: a passage without one needs no scoring.
     """
@@ -88,69 +110,105 @@ class Index:
                     rest -= weights[token] ** 2
                 self.names.append(name)
 
+    def weight(self, token: bytes, n: int) -> float:
+        return (1 + log(n)) * (log((1 + self.total) / (1 + self.counts.get(token, 0))) + 1)
+
     def weights(self, tokens: Iterable[bytes]) -> dict[bytes, float]:
-        return {x: (1 + log(n)) * (log((1 + self.total) / (1 + self.counts.get(x, 0))) + 1) for x, n in Counter(tokens).items()}
+        return {x: self.weight(x, n) for x, n in Counter(tokens).items()}
 
-    def best(self, tokens: list[bytes]) -> tuple[str, float] | None:
-        """The licence of the nearest template and its cosine, if that reaches the least; ties to the first name."""
+    def stated(self, tokens: list[bytes]) -> Stated | None:
+        """The nearest template and what its cosine is made of, unless that can't reach the least; ties to the first name."""
         if self.prefix.isdisjoint(tokens):
             return None
-        weights, dots = self.weights(tokens), Counter()
-        for token, weight in weights.items():
-            for k, other in self.postings.get(token, ()):
-                dots[k] += weight * other
+        known, dots, others = 0.0, Counter(), {}
+        for token, n in Counter(tokens).items():
+            if token in self.postings:
+                weight = self.weight(token, n)
+                known += weight * weight
+                for k, other in self.postings[token]:
+                    dots[k] += weight * other
+            else:
+                others[token] = 1 + log(n)
         k = min(dots, key=lambda x: (-round(dots[x], 9), self.names[x]))
-        cosine = dots[k] / sqrt(sum(x * x for x in weights.values()))
-        return (self.names[k], cosine) if cosine >= self.least else None
+        open_ = sum(x * x for x in others.values())
+        most, surely = dots[k] / sqrt(known + open_), dots[k] / sqrt(known + open_ * (log((1 + self.total) / 2) + 1) ** 2)
+        return Stated(self.names.index(self.names[k]), dots[k], known, others, most, surely) if most >= self.least else None
 
-    def scan(self, text: bytes) -> tuple[str, float] | None:
-        """The best of the whole text, its lines and their sentences."""
+    def passages(self, text: bytes) -> Iterator[list[bytes]]:
+        """Tokens of the whole text, of its lines and of their sentences, where a prefix token is among them."""
         tokens = tokens_of(text)
         if self.prefix.isdisjoint(tokens):
-            return None
-        found = [self.best(tokens)]
+            return
+        yield tokens
         for line in text.split(b"\n"):
             own = tokens_of(line)
             if not self.prefix.isdisjoint(own):
-                found.append(self.best(own))
-                found += [self.best(tokens_of(x)) for x in _SENTENCE.split(line)]
-        return max((x for x in found if x), key=lambda x: (round(x[1], 9), -self.names.index(x[0])), default=None)
+                yield own
+                yield from map(tokens_of, _SENTENCE.split(line))
+
+    def scan(self, text: bytes) -> list[Stated]:
+        """The passages that may be the best of the text; all but one are left out where the counts so far decide."""
+        found = [x for x in map(self.stated, self.passages(text)) if x]
+        surely = max((x.surely for x in found), default=0.0) - 1e-9
+        found = [x for x in found if x.most >= surely]
+        if any(x.others for x in found):
+            return found
+        return sorted(found, key=lambda x: (-round(x.most, 9), x.rank))[:1]
 
 
 def scan_licences(files: DataFrame, templates: Mapping[str, Iterable[str]] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(doc_id, path, direct, score): the licence that each file's own text states, null if none.
 
-    Inverse document frequencies are those of the templates' tokens in all files.
+    Document frequencies are those of all tokens in all files: they are counted in a table, of which the templates'
+    tokens go to the driver. The few passages near a template that hold further tokens are joined with the table.
     """
     ship(files.sparkSession)
     rows = files.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text")
     )
-    wanted = frozenset(x for texts in templates.values() for text in texts for x in tokens_of(text.encode()))
+
+    def listed(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x.decode() for x in counts], pa.string()), pa.array(counts.values(), pa.int64())], ["token", "n"]
+        )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = Counter(), 0
-        for batch in batches:
+        counts = Counter()
+        for batch in slices(batches):
             for text in as_bytes(batch.column("text")):
-                counts.update(wanted.intersection(tokens_of(text)))
-                n += 1
-        items = [("", n), *((x.decode(), k) for x, k in counts.items())]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in items]), pa.array([k for _, k in items], pa.int64())], ["token", "n"])
-
-    # as many rows as the templates have tokens
-    counted = rows.select("text").mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = {x["token"].encode(): x["n"] for x in counted.collect()}
-    index = Index(templates, counts, counts.pop(b"", 0), least)
+                counts.update({b"", *tokens_of(text)})
+                if len(counts) >= COUNTED:
+                    yield listed(counts)
+                    counts = Counter()
+        yield listed(counts)
+
+    # the empty token is in every file
+    counted = cut(rows.select("text").mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    wanted = {x.decode() for texts in templates.values() for text in texts for x in tokens_of(text.encode())}
+    counts = {x["token"].encode(): x["n"] for x in counted.where(F.col("token").isin(["", *sorted(wanted)])).collect()}
+    total = counts.pop(b"", 0)
+    index = Index(templates, counts, total, least)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [index.scan(x) or (None, None) for x in as_bytes(batch.column("text"))]
-            columns = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("path"), *columns], ["doc_id", "path", "direct", "score"]
-            )
-
-    return rows.mapInArrow(scan, "doc_id long, path string, direct string, score double")
+        for batch in slices(batches):
+            passages = [
+                [{"rank": x.rank, "dot": x.dot, "known": x.known, "others": [{"token": t.decode(), "tf": w} for t, w in x.others.items()]} for x in index.scan(text)]
+                for text in as_bytes(batch.column("text"))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("path"), pa.array(passages, _PASSAGES)], ["doc_id", "path", "passages"])
+
+    scanned = cut(rows.mapInArrow(scan, f"doc_id long, path string, passages {PASSAGES}")).withColumn("row", F.monotonically_increasing_id())
+    near = scanned.select("row", F.posexplode("passages").alias("at", "p")).select("row", "at", "p.*")
+    others = near.select("row", "at", F.explode("others").alias("o")).select("row", "at", "o.*")
+    idf = F.log((1 + F.lit(total)) / (1 + F.col("n"))) + 1
+    known = cut(counted.join(others.select("token").distinct(), "token", "left_semi").select("token", idf.alias("idf")))
+    squares = others.join(known, "token").groupBy("row", "at").agg(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("open"))
+    cosine = F.col("dot") / F.sqrt(F.col("known") + F.coalesce("open", F.lit(0.0)))
+    scored = near.drop("others").join(squares, ["row", "at"], "left").withColumn("score", cosine).where(F.col("score") >= least)
+    order = F.struct((-F.round("score", 9)).alias("k"), "rank", "score")
+    name = F.element_at(F.array(*(F.lit(x) for x in index.names)), F.col("best.rank") + 1)
+    best = cut(scored.groupBy("row").agg(F.min(order).alias("best")).select("row", name.alias("direct"), "best.score"))
+    return scanned.drop("passages").join(best, "row", "left").select("doc_id", "path", "direct", "score")
 
 
 def inherit(scanned: DataFrame) -> DataFrame:

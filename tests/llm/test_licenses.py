@@ -101,3 +101,14 @@ def test_without_any_licence_repeated_rows_and_empty_table(spark):
     found = licenses.licence_scan(spark.createDataFrame([(*r, 1, 2) for r in given], SCHEMA + ", dir int, direct int")).collect()
     assert [(x["licence"], x["origin"]) for x in found] == [(None, "none")] * 3
     assert licenses.licence_scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_tokens_of_no_template_weigh_by_their_true_frequency(spark):
+    filler = [(k, f"d/{k}", "en on " + PROSE) for k in range(400)]
+    given = [*filler, (400, "e/a", "en on " + APACHE), (401, "e/b", "en " + MIT), (402, "e/c", "zyzzyva quux plover xyzzy en " + MIT)]
+    counts = Counter(t for _, _, x in given for t in set(re.findall("[a-z0-9]+", x.lower())))
+    found = {x["doc_id"]: x for x in licenses.scan_licences(spark.createDataFrame(given, SCHEMA)).collect()}
+    assert found[400]["direct"] == "Apache-2.0" and found[401]["direct"] == "MIT"
+    for doc in (400, 401):
+        assert found[doc]["score"] == pytest.approx(brute_scan(given[doc][2], counts, len(given))[1])
+    assert all(found[k]["direct"] is None for k in range(400))
