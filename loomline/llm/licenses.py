@@ -15,18 +15,38 @@ from pyspark.sql import functions as F
 from loomline.llm.common import as_bytes, slices
 from loomline.session import cut, ship
 
-#: Headers and notices by licence.
+_GNU = "This program is free software%s you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published by the Free Software Foundation%s either version %s of the License, or (at your option) any later version."
+_GNU_OPENING = "GNU %sGENERAL PUBLIC LICENSE Version %s Copyright (C) %s Free Software Foundation, Inc. %sEveryone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_OLD_HOME = "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA "
+_BSD_TERMS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+
+#: Notices, headers and whole texts by licence; the long texts (Apache, GNU, MPL, CC0) by their openings.
 TEMPLATES: dict[str, tuple[str, ...]] = {
-    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later", _GNU % (":", "Affero ", ",", "3"), _GNU_OPENING % ("AFFERO ", "3, 19 November 2007", "2007", "https://fsf.org/ ")),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "SPDX-License-Identifier: Apache-2.0",
+        _APACHE,
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
     ),
+    "BSD-2-Clause": (_BSD_TERMS + _BSD_DISCLAIMER, "SPDX-License-Identifier: BSD-2-Clause"),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "SPDX-License-Identifier: BSD-3-Clause",
+        _BSD_TERMS + _BSD_NAMES + _BSD_DISCLAIMER,
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-NC-4.0": (
@@ -36,20 +56,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-SA-4.0": (
         "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
     ),
-    "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"),
+    "CC0-1.0": (
+        "Dedicated to the public domain under CC0 1.0.",
+        "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES.",
+    ),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", _GNU % (";", "", ";", "2"), _GNU_OPENING % ("", "2, June 1991", "1989, 1991", _OLD_HOME)),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        _GNU_OPENING % ("", "3, 29 June 2007", "2007", "https://fsf.org/ "),
     ),
-    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    "LGPL-2.1": (_GNU.replace("program", "library") % (";", "Lesser ", ";", "2.1"), _GNU_OPENING % ("LESSER ", "2.1, February 1999", "1991, 1999", _OLD_HOME)),
+    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later", _GNU % (":", "Lesser ", ",", "3"), _GNU_OPENING % ("LESSER ", "3, 29 June 2007", "2007", "https://fsf.org/ ")),
     "MIT": (
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
         "SPDX-License-Identifier: MIT",
+        _MIT,
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
 }
 LEAST = 0.8
 #: Base names of files whose licence holds for their directory.
@@ -63,6 +89,7 @@ _PASSAGES = pa.list_(pa.struct([("rank", pa.int32()), ("dot", pa.float64()), ("k
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 else 10 if c == 10 else 32 for c in range(256))
 _SENTENCE = re.compile(rb"(?<=[.!?:;])[ \t]+")
+_WRAPPED = re.compile(rb"(?<=[.!?:;])\s+")
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -98,16 +125,24 @@ class Index:
         self.names: list[str] = []
         self.postings: dict[bytes, list[tuple[int, float]]] = {}
         self.prefix: set[bytes] = set()
+        #: Templates by prefix token; number of tokens and squared unit weights by token of each template.
+        self.led: dict[bytes, list[int]] = {}
+        self.sizes: list[int] = []
+        self.shares: list[dict[bytes, float]] = []
         for name, texts in templates.items():
             for text in texts:
-                weights = self.weights(tokens_of(text.encode()))
+                tokens = tokens_of(text.encode())
+                weights = self.weights(tokens)
                 norm = sqrt(sum(x * x for x in weights.values()))
                 rest = norm * norm
                 for token in sorted(weights, key=lambda x: (-weights[x], x)):
                     self.postings.setdefault(token, []).append((len(self.names), weights[token] / norm))
                     if rest >= (least * norm) ** 2 - 1e-9:
                         self.prefix.add(token)
+                        self.led.setdefault(token, []).append(len(self.names))
                     rest -= weights[token] ** 2
+                self.sizes.append(len(tokens))
+                self.shares.append({x: (y / norm) ** 2 for x, y in weights.items()})
                 self.names.append(name)
 
     def weight(self, token: bytes, n: int) -> float:
@@ -116,8 +151,8 @@ class Index:
     def weights(self, tokens: Iterable[bytes]) -> dict[bytes, float]:
         return {x: self.weight(x, n) for x, n in Counter(tokens).items()}
 
-    def stated(self, tokens: list[bytes]) -> Stated | None:
-        """The nearest template and what its cosine is made of, unless that can't reach the least; ties to the first name."""
+    def stated(self, tokens: list[bytes], only: int | None = None) -> Stated | None:
+        """The nearest template, or ``only``, and what its cosine is made of, unless that can't reach the least; ties to the first name."""
         if self.prefix.isdisjoint(tokens):
             return None
         known, dots, others = 0.0, Counter(), {}
@@ -129,28 +164,79 @@ class Index:
                     dots[k] += weight * other
             else:
                 others[token] = 1 + log(n)
-        k = min(dots, key=lambda x: (-round(dots[x], 9), self.names[x]))
+        k = min(dots, key=lambda x: (-round(dots[x], 9), self.names[x])) if only is None else only
         open_ = sum(x * x for x in others.values())
         most, surely = dots[k] / sqrt(known + open_), dots[k] / sqrt(known + open_ * (log((1 + self.total) / 2) + 1) ** 2)
         return Stated(self.names.index(self.names[k]), dots[k], known, others, most, surely) if most >= self.least else None
 
     def passages(self, text: bytes) -> Iterator[list[bytes]]:
-        """Tokens of the whole text, of its lines and of their sentences, where a prefix token is among them."""
+        """Tokens of the whole text, of its paragraphs and lines and of their sentences, where a prefix token is among them.
+
+        A paragraph ends at a line without a token, such as the bare mark of a comment.
+        """
         tokens = tokens_of(text)
         if self.prefix.isdisjoint(tokens):
             return
         yield tokens
-        for line in text.split(b"\n"):
+        block: list[bytes] = []
+        for line in [*text.split(b"\n"), b""]:
             own = tokens_of(line)
             if not self.prefix.isdisjoint(own):
                 yield own
                 yield from map(tokens_of, _SENTENCE.split(line))
+            if own:
+                block.append(line)
+                continue
+            if len(block) > 1:
+                whole = b"\n".join(block)
+                own = tokens_of(whole)
+                if not self.prefix.isdisjoint(own):
+                    yield own
+                    yield from map(tokens_of, _WRAPPED.split(whole))
+            block = []
+
+    def windows(self, tokens: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+        """Windows of the tokens that are as long as a template and may reach the least with it, wherever lines break.
+
+        A window has one of the template's prefix tokens, and the squared unit weights of the template's tokens that
+        it holds add up to the least's square: a cosine is at most the root of that sum.
+        """
+        places: dict[int, list[int]] = {}
+        for i, token in enumerate(tokens):
+            for k in self.led.get(token, ()):
+                places.setdefault(k, []).append(i)
+        for k, at in places.items():
+            size, shares, last = self.sizes[k], self.shares[k], -1
+            if size > len(tokens) or sum(shares[x] for x in shares.keys() & set(tokens)) < self.least**2 - 1e-9:
+                continue
+            spans: list[list[int]] = []  # stretches of the tokens whose windows hold a prefix token
+            for i in at:
+                if spans and i - size + 1 <= last:
+                    spans[-1][1] = min(i + size, len(tokens))
+                else:
+                    spans.append([max(0, i - size + 1), min(i + size, len(tokens))])
+                last = i + 1
+            for start, end in spans:
+                held: Counter = Counter()
+                for i in range(start, end):
+                    if tokens[i] in shares:
+                        held[tokens[i]] += 1
+                    if i - size >= start and (gone := tokens[i - size]) in shares:
+                        held[gone] -= 1
+                        if not held[gone]:
+                            del held[gone]
+                    if i - size + 1 >= start and sum(shares[x] for x in held) >= self.least**2 - 1e-9:
+                        yield k, tokens[i - size + 1 : i + 1]
 
     def scan(self, text: bytes) -> list[Stated]:
-        """The passages that may be the best of the text; all but one are left out where the counts so far decide."""
+        """The passages and windows that may be the best of the text; all but one are left out where the counts so far decide."""
+        tokens = tokens_of(text)
+        if self.prefix.isdisjoint(tokens):
+            return []
         found = [x for x in map(self.stated, self.passages(text)) if x]
+        found += [x for k, window in self.windows(tokens) if (x := self.stated(window, k))]
         surely = max((x.surely for x in found), default=0.0) - 1e-9
-        found = [x for x in found if x.most >= surely]
+        found = list({(x.rank, x.dot, x.known, tuple(x.others.items())): x for x in found if x.most >= surely}.values())
         if any(x.others for x in found):
             return found
         return sorted(found, key=lambda x: (-round(x.most, 9), x.rank))[:1]

@@ -103,12 +103,68 @@ def test_without_any_licence_repeated_rows_and_empty_table(spark):
     assert licenses.licence_scan(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def brute_windows(text, counts, total):
+    """The greatest cosine of a template and a window of its length."""
+    def vector(tokens):
+        return {t: (1 + math.log(n)) * (math.log((1 + total) / (1 + counts.get(t, 0))) + 1) for t, n in Counter(tokens).items()}
+
+    tokens, best = re.findall("[a-z0-9]+", text.lower()), 0
+    for example in (x for examples in licenses.TEMPLATES.values() for x in examples):
+        own = re.findall("[a-z0-9]+", example.lower())
+        w = vector(own)
+        for i in range(len(tokens) - len(own) + 1):
+            v = vector(tokens[i : i + len(own)])
+            dot = sum(x * w[t] for t, x in v.items() if t in w)
+            best = max(best, dot / math.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in w.values())))
+    return best
+
+
 def test_tokens_of_no_template_weigh_by_their_true_frequency(spark):
     filler = [(k, f"d/{k}", "en on " + PROSE) for k in range(400)]
-    given = [*filler, (400, "e/a", "en on " + APACHE), (401, "e/b", "en " + MIT), (402, "e/c", "zyzzyva quux plover xyzzy en " + MIT)]
+    inside = APACHE.replace("under", "en under on"), MIT.replace("under", "en under")
+    given = [*filler, *((400 + k, f"e/{k}", x) for k, x in enumerate(("en on " + APACHE, "en " + MIT, *inside, "zyzzyva quux plover xyzzy en " + MIT)))]
     counts = Counter(t for _, _, x in given for t in set(re.findall("[a-z0-9]+", x.lower())))
     found = {x["doc_id"]: x for x in licenses.scan_licences(spark.createDataFrame(given, SCHEMA)).collect()}
-    assert found[400]["direct"] == "Apache-2.0" and found[401]["direct"] == "MIT"
-    for doc in (400, 401):
-        assert found[doc]["score"] == pytest.approx(brute_scan(given[doc][2], counts, len(given))[1])
-    assert all(found[k]["direct"] is None for k in range(400))
+    assert [found[k]["direct"] for k in range(400, 405)] == ["Apache-2.0", "MIT", "Apache-2.0", "MIT", "MIT"]
+    for doc in range(400, 405):
+        want = brute_scan(given[doc][2], counts, len(given))
+        assert found[doc]["score"] == pytest.approx(max(want[1] if want else 0, brute_windows(given[doc][2], counts, len(given))))
+    assert 0.8 < found[402]["score"] < 1 and all(found[k]["direct"] is None for k in range(400))
+
+
+def wrapped(text, width, mark=""):
+    import textwrap
+
+    return "\n".join(mark + x if x else mark.rstrip() for part in text.split("\n") for x in textwrap.wrap(part, width))
+
+
+@pytest.mark.parametrize("width,mark", [(30, "// "), (60, " * "), (76, "")])
+def test_licences_that_are_wrapped_over_lines_are_found(spark, width, mark):
+    texts = {}
+    for name, examples in licenses.TEMPLATES.items():
+        for example in examples:
+            if len(example) > 60:
+                texts[len(texts)] = (name, f"{mark}Copyright (c) 2020 Someone, some street in some town\n" + wrapped(example, width, mark) + "\n\n" + PROSE * 60)
+    filler = [(1000 + k, f"d/{k}", PROSE + "Copyright (c) 2020 Someone") for k in range(200)]
+    given = [(k, f"e/{k}", text) for k, (_, text) in texts.items()]
+    found = {x["doc_id"]: x["direct"] for x in licenses.scan_licences(spark.createDataFrame(given + filler, SCHEMA)).collect()}
+    for k, (name, text) in texts.items():
+        assert found[k] == name, (name, found[k], text[:200])
+    assert all(found[1000 + k] is None for k in range(200))
+
+
+def test_windows_are_all_that_reach_the_least():
+    import random
+
+    rng = random.Random(4)
+    words = [x.decode() for x in licenses.tokens_of((MIT + APACHE + PROSE).encode())]
+    index = licenses.Index({"MIT": [MIT], "Apache-2.0": [APACHE]}, {b"the": 50, b"license": 40, b"under": 30}, 60, licenses.LEAST)
+    for _ in range(200):
+        tokens = [x.encode() for x in rng.choices(words, k=rng.randint(1, 40))]
+        at = rng.randrange(len(tokens))
+        tokens[at:at] = licenses.tokens_of(rng.choice([MIT, APACHE]).encode())
+        for k, size in enumerate(index.sizes):
+            every = [tokens[i : i + size] for i in range(len(tokens) - size + 1)]
+            want = [x for x in every if index.stated(x, k) and index.stated(x, k).most >= licenses.LEAST]
+            got = [x for j, x in index.windows(tokens) if j == k and index.stated(x, k)]
+            assert got == want
