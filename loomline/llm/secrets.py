@@ -72,8 +72,14 @@ ALLOWED = (
     "deadbeef",
     "loremipsum",
 )
-#: Text right before a candidate that marks it as a digest, an address or inline data.
-ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|224|256|384|512)[-:]|md5[-:]|integrity=[\"']?|://\S{0,200}|base64,|urn:uuid:)$", re.IGNORECASE)
+#: Text right before a candidate that marks it as a digest or inline data.
+ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|224|256|384|512)[-:]|md5[-:]|integrity=[\"']?|base64,|urn:uuid:)$", re.IGNORECASE)
+#: The same for the host or a plain path of an url: quotes, brackets, commas, ?, #, =, & and @ end it.
+ADDRESS = re.compile(r"://([\w.~:/%+*!-]{0,200})$")
+#: User info goes on to an @ ahead of the path.
+USER_INFO = re.compile(r"[^\s/?#\"'<>@]*@")
+#: Addresses whose paths are secrets.
+WEBHOOKS = re.compile(r"hooks\.slack\.com/|discord(?:app)?\.com/api/webhooks/|webhook\.office\.com/|api\.telegram\.org/bot", re.IGNORECASE)
 #: The same at the start of a candidate.
 ALLOWED_START = re.compile(r"(?:sha(?:1|224|256|384|512)|md5)[-=]", re.IGNORECASE)
 
@@ -131,13 +137,28 @@ def allowed(text: str, start: int, end: int) -> bool:
     return ALLOWED_BEFORE.search(text[max(0, start - 240) : start]) is not None
 
 
+def addressed(text: str, start: int, end: int) -> int:
+    """Where the part of a candidate ends that is host or path of an url and no secret; ``start`` if there is none.
+
+    What follows an equals sign is a value, as in a query; user info and the paths of webhooks are secrets.
+    """
+    before = ADDRESS.search(text[max(0, start - 240) : start])
+    if not before or "/" not in before[1] and USER_INFO.match(text, start):
+        return start
+    if WEBHOOKS.search(before[1] + text[start:end]):
+        return start
+    value = text.find("=", start, end)
+    return end if value < 0 else value + 1
+
+
 def entropy_spans(text: str) -> list[tuple[str, int, int]]:
     """Hot windows of all classes outside the allow-list, merged where they overlap."""
     found: list[tuple[int, int]] = []
     for of in CLASSES:
         for run in of.run.finditer(text):
             if not allowed(text, *run.span()):
-                found += [(run.start() + a, run.start() + b) for a, b in hot_windows(run[0], of.window, of.bits, of.needs)]
+                at = addressed(text, *run.span())
+                found += [(at + a, at + b) for a, b in hot_windows(text[at : run.end()], of.window, of.bits, of.needs)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a < merged[-1][1]:

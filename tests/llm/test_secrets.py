@@ -114,6 +114,36 @@ def test_secrets_are_found_and_the_allow_list_is_not():
     assert [x[0] for x in inside] == ["assign"]
 
 
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ('{"host":"https://api.x.org","auth":"', '"}'),
+        ("fetch('https://x.org/a',{k:'", "'})"),
+        ("https://x.org/a,", ""),
+        ("see(https://x.org/a)", ""),
+        ("https://x.org/a?sig=", "&x=1"),
+        ("https://x.org/a?", ""),
+        ("https://x.org/a#", ""),
+        ("https://x.org/a/b=", ""),
+        ("https://user:", "@x.org/a"),
+        ("https://", "@x.org/a"),
+        ("https://hooks.slack.com/services/T1/B1/", ""),
+        ("https://discord.com/api/webhooks/12/", ""),
+    ],
+)
+@pytest.mark.parametrize("secret", [TOKEN, "Zk3xT9+Lm2Vb8NwR5y-s7PdF1cGj4AuE8Q"])
+def test_only_the_plain_part_of_an_address_is_allowed(before, after, secret):
+    spans = secrets.spans_of(f"{before}{secret}{after}".encode())
+    found = [x for x in spans if x[0] == "entropy"]
+    assert found and found[0][1] <= len(before) and found[-1][2] >= len(before) + len(secret), spans
+
+
+@pytest.mark.parametrize("address", ["https://x.com/a/", "https://x.com:80/a/", "git://x.com/", "http://x.com/%20-~"])
+def test_hosts_and_paths_stay_allowed(address):
+    assert secrets.spans_of(f"{address}{TOKEN}".encode()) == []
+    assert secrets.spans_of(f"{address}{TOKEN}/x@1".encode()) == []
+
+
 def test_masking(spark):
     rows = [
         (1, f"my token={TOKEN} and deadbeef00112233445566778899 end", 99, "a"),
