@@ -27,6 +27,11 @@ BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
 HEADER_MOST = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+#: By which a record is checked; a revisit only by the last.
+DIGESTS = ("warc-payload-digest", "warc-block-digest")
+#: Content of a member that is kept; of more, the member is unpacked once more.
+HELD = 16 << 20
 
 
 def record(page: int | None, uri: str, payload: bytes, kind: str, refers: int | None) -> bytes:
@@ -106,13 +111,22 @@ class Found:
     reason: str = ""
 
 
+def claimed_end(data: bytes, at: int) -> int | None:
+    """Where the record at ``at`` ends by its content length; None without one."""
+    cut_at = data.find(b"\r\n\r\n", at)
+    length = re.search(rb"(?i)\r\ncontent-length:\s*([0-9]{1,18})\s*\r\n", data[at : cut_at + 4] if cut_at >= 0 else b"")
+    return cut_at + 4 + int(length[1]) + 4 if length else None
+
+
 def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     """Headers, block and end of the record at ``at``; or what is wrong with it."""
-    if not START.match(data, at) or data[at] != 0x57:
+    if not VERSION.match(data, at):
         return "no version line"
     cut_at = data.find(b"\r\n\r\n", at, at + HEADER_MOST)
     if cut_at < 0:
         return "no end of the header"
+    if VERSION.search(data, at + 1, cut_at + 2):
+        return "a version line within the header"
     lines = data[at:cut_at].decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
     if not re.fullmatch(r"[0-9]{1,18}", headers.get("content-length", "")):
@@ -120,7 +134,7 @@ def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     start, end = cut_at + 4, cut_at + 4 + int(headers["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         return "no end of the record where its length puts it"
-    return headers, data[start:end], end + 4
+    return headers, bytes(data[start:end]), end + 4
 
 
 def checked(headers: dict[str, str], block: bytes) -> bytes | str:
@@ -140,22 +154,157 @@ def checked(headers: dict[str, str], block: bytes) -> bytes | str:
     return payload
 
 
-def member(file: IO[bytes], at: int) -> tuple[bytes, int] | str:
-    """Content and end of the gzip member at ``at``, its checksum and length checked; or what is wrong with it."""
-    file.seek(at)
-    unpack, parts = zlib.decompressobj(wbits=31), []
-    read, step = at, CHUNK >> 5
-    while not unpack.eof:
-        chunk = file.read(step)
-        step = min(2 * step, CHUNK)
-        if not chunk:
-            return "a member cut short"
-        read += len(chunk)
-        try:
-            parts.append(unpack.decompress(chunk))
-        except zlib.error as e:
-            return f"a damaged member ({str(e)[:60]})"
-    return b"".join(parts), read - len(unpack.unused_data)
+def before_error(unpack, data: bytes, most: int) -> tuple[bytes, object, str]:
+    """At most ``most`` bytes that ``data`` unpacks to, up to an error; the unpacker, and the error."""
+    saved = unpack.copy()
+    try:
+        return unpack.decompress(data, most), unpack, ""
+    except zlib.error as e:
+        problem = f"a damaged member ({str(e)[:60]})"
+    parts, unpack = [], saved
+    while most > 1:
+        part, unpack, failed = before_error(unpack, data, max(1, most // 16))
+        parts.append(part)
+        data = unpack.unconsumed_tail
+        if failed or unpack.eof or not part and not data:
+            break
+    return b"".join(parts), saved if most == 1 else unpack, problem
+
+
+class Member:
+    """The gzip member at ``at``: its content in pieces, its size, where it ends or was found damaged, and how."""
+
+    def __init__(self, file: IO[bytes], at: int):
+        self.file, self.at, self.end, self.problem = file, at, at, ""
+        self._take(False)
+        if self.problem:
+            self._take(True)
+
+    def _bare(self) -> int:
+        """Where the member's deflated data begin, which can be unpacked whatever its checksum is."""
+        self.file.seek(self.at)
+        head = self.file.read(CHUNK)
+        flags, n = head[3] if len(head) > 3 else 0, 10
+        if flags & 4:
+            n += 2 + int.from_bytes(head[n : n + 2], "little")
+        for flag in (8, 16):
+            if flags & flag:
+                n = (head.find(b"\0", n) + 1) or len(head)
+        return self.at + n + (2 if flags & 2 else 0)
+
+    def _take(self, careful: bool) -> None:
+        self.size, self.held = 0, []
+        for piece in self._unpacked(careful):
+            self.size += len(piece)
+            if self.held is not None:
+                self.held = [*self.held, piece] if self.size <= HELD else None
+
+    def _unpacked(self, careful: bool) -> Iterator[bytes]:
+        unpack, read, step, tail = zlib.decompressobj(wbits=31), self.at, CHUNK >> 5, b""
+        if careful:
+            unpack, read = zlib.decompressobj(wbits=-15), self._bare()
+        while not unpack.eof:
+            data = tail
+            if not data:
+                self.file.seek(read)
+                data = self.file.read(step)
+                read, step = read + len(data), min(2 * step, CHUNK)
+            failed = ""
+            if careful:
+                piece, unpack, failed = before_error(unpack, data, CHUNK)
+            else:
+                try:
+                    piece = unpack.decompress(data, CHUNK)
+                except zlib.error as e:
+                    piece, failed = b"", f"a damaged member ({str(e)[:60]})"
+            if piece:
+                yield piece
+            tail = unpack.unconsumed_tail
+            if failed or not piece and not data and not unpack.eof:
+                self.end, self.problem = read, self.problem or failed or "a member cut short"
+                return
+        self.end = read - len(unpack.unused_data)
+
+    def pieces(self) -> Iterator[bytes]:
+        return iter(self.held) if self.held is not None else self._unpacked(bool(self.problem))
+
+    def reached(self, size: int) -> int:
+        """Where in the file the first ``size`` bytes of the content end, or a few bytes before."""
+        unpack, read, tail = zlib.decompressobj(wbits=-15), self._bare(), b""
+        while size:
+            data = tail
+            if not data:
+                self.file.seek(read)
+                data = self.file.read(CHUNK)
+                read += len(data)
+            size -= len(unpack.decompress(data, min(size, CHUNK)))
+            tail = unpack.unconsumed_tail
+        return max(self.at + 1, read - len(tail) - len(unpack.unused_data) - 8)
+
+
+def within(pieces: Iterator[bytes], size: int, damaged: bool) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """(start, end, headers, payload, reason) of the records and gaps in a member's content of ``size`` bytes.
+
+    After a record that fails a check the next version line that begins a valid one is searched. In a damaged member
+    only a digest tells that a record is right.
+    """
+    data, base, at, gap, why = bytearray(), 0, 0, -1, ""
+
+    def fill(n: int) -> bool:
+        while len(data) < n:
+            piece = next(pieces, b"")
+            if not piece:
+                return False
+            data.extend(piece)
+        return True
+
+    def one() -> tuple[dict[str, str], bytes, int] | str:
+        look = at
+        while data.find(b"\r\n\r\n", look) < 0 and VERSION.match(data, at):
+            look = max(at, len(data) - 3)
+            if not fill(len(data) + 1):
+                break
+        claimed = claimed_end(data, at)
+        if claimed is not None and (base + claimed > size or not fill(claimed)):
+            return "no end of the record where its length puts it"
+        got = parsed(data, at)
+        if isinstance(got, str):
+            return got
+        headers, block, end = got
+        payload = checked(headers, block)
+        if damaged and isinstance(payload, bytes) and not any(headers.get(x, "").lower().startswith("sha1:") for x in DIGESTS[headers.get("warc-type") == "revisit" :]):
+            return "no digest in a damaged member"
+        return payload if isinstance(payload, str) else (headers, payload, end)
+
+    while True:
+        if at > CHUNK:
+            del data[:at]
+            base, at = base + at, 0
+        if not fill(at + 10) and at >= len(data):
+            break
+        got = one()
+        if isinstance(got, str):
+            if gap < 0:
+                gap, why = base + at, got
+            at += 1
+            while not (hit := VERSION.search(data, at)):
+                at = max(at, len(data) - 9)
+                del data[:at]
+                base, at = base + at, 0
+                if not fill(len(data) + 1):
+                    at = len(data)
+                    break
+            else:
+                at = hit.start()
+            continue
+        if gap >= 0:
+            yield gap, base + at, None, b"", why
+            gap = -1
+        headers, payload, end = got
+        yield base + at, base + end, headers, payload, ""
+        at = end
+    if gap >= 0:
+        yield gap, base + at, None, b"", why
 
 
 def plain(file: IO[bytes], at: int, size: int) -> tuple[bytes, int] | str:
@@ -187,45 +336,55 @@ def next_start(file: IO[bytes], at: int, size: int) -> int:
 
 
 def salvage(file: IO[bytes], size: int) -> Iterator[Found]:
-    """Records and gaps of an archive in their order. Holds one record at a time.
+    """Records and gaps of an archive in their order. Holds one record, or HELD bytes, at a time.
 
     What fails a check is left at its start; from there the next member or version line is searched that holds a
-    valid record, and the bytes between are a gap. A member whose checksum is right and whose record is wrong is a
-    gap of its own, as its end is known.
+    valid record, and the bytes between are a gap. The content of a member is searched likewise. A record or gap
+    within a member has the member's offset and length; a gap's reason tells the bytes of the content. Of a damaged
+    member the records with right digests ahead of the damage are kept, and the gap begins after the last of them.
     """
     at, gap, why = 0, -1, ""
     while at < size:
         file.seek(at)
         head = file.read(10)
-        got = member(file, at) if head[:3] == b"\x1f\x8b\x08" else plain(file, at, size) if START.match(head) else "neither a member nor a version line"
-        found: list[Found] = []
-        if not isinstance(got, str):
-            data, end = got
-            inner, problem = 0, ""
-            while inner < len(data) and not problem:
-                one = parsed(data, inner)
-                if isinstance(one, str):
-                    problem = one
-                    break
-                headers, block, inner = one
-                payload = checked(headers, block)
-                if isinstance(payload, str):
-                    problem = payload
-                    break
-                found.append(Found(at, end - at, headers, payload))
-            if problem and not found and head[:3] != b"\x1f\x8b\x08":
-                got = problem
-            elif problem:
-                found.append(Found(at, end - at, None, b"", problem))
-        if isinstance(got, str):
+        kept = 0
+        if head[:3] == b"\x1f\x8b\x08":
+            member = Member(file, at)
+            end, wrong, lost = member.end, member.problem, None
+            for start, stop, headers, payload, reason in within(member.pieces(), member.size, bool(wrong)):
+                if headers is None:
+                    lost = Found(at, end - at, None, b"", f"{reason} (content {start} to {stop} of {member.size})")
+                    if wrong:
+                        continue  # a gap, if a record follows
+                if gap >= 0:
+                    yield Found(gap, at - gap, None, b"", why)
+                    gap = -1
+                if lost:
+                    yield lost
+                    lost = None
+                if headers is not None:
+                    yield Found(at, end - at, headers, payload)
+                    kept = stop
+        else:
+            got = plain(file, at, size) if START.match(head) else "neither a member nor a version line"
+            one = got if isinstance(got, str) else parsed(got[0], 0)
+            payload = one if isinstance(one, str) else checked(*one[:2])
+            wrong = payload if isinstance(payload, str) else ""
+            if not wrong:
+                end = got[1]
+                if gap >= 0:
+                    yield Found(gap, at - gap, None, b"", why)
+                    gap = -1
+                yield Found(at, end - at, one[0], payload)
+        if wrong:
+            rest = member.reached(kept) if kept else at
             if gap < 0:
-                gap, why = at, got
-            at = next_start(file, at + 1, size)
+                gap, why = rest, wrong
+            at = next_start(file, max(rest, at + 1), size)
             continue
-        if gap >= 0:
+        if gap >= 0:  # a member without content
             yield Found(gap, at - gap, None, b"", why)
             gap = -1
-        yield from found
         at = end
     if gap >= 0:
         yield Found(gap, size - gap, None, b"", why)

@@ -139,3 +139,53 @@ def test_large_record_spans_chunks():
     data = gz(warc.record(1, "u", body, "response", None)) + gz(warc.record(2, "u", b"", "response", None))
     found = list(warc.salvage(io.BytesIO(data), len(data)))
     assert found[0].payload == body and ids(found) == ["<urn:page:1>", "<urn:page:2>"]
+
+
+def held_ids(data):
+    return [int(x.split(":")[2][:-1]) for x in ids(warc.salvage(io.BytesIO(data), len(data)))]
+
+
+@pytest.mark.parametrize("held", [warc.HELD, 1000])
+def test_a_bad_record_within_a_member_costs_only_itself(monkeypatch, held):
+    monkeypatch.setattr(warc, "HELD", held)
+    monkeypatch.setattr(warc, "CHUNK", 1 << 12)
+    raw = records(40, 6, False)
+    for wrong in (raw[7].replace(b"HTTP/1.1", b"HTTP/1.2"), raw[7][:200], raw[7].replace(b"Content-Length: ", b"Content-Length: 9"), raw[7][10:], b"WARC/1.1\r\n"):
+        data = gz(b"".join([*raw[:7], wrong, *raw[8:]])) + gz(raw[7])
+        found = list(warc.salvage(io.BytesIO(data), len(data)))
+        assert held_ids(data) == [*range(7), *range(8, 40), 7]
+        assert len([x for x in found if x.headers is None]) == 1
+
+
+@pytest.mark.parametrize("held", [warc.HELD, 1000])
+@pytest.mark.parametrize("damage", ["flip", "cut", "checksum"])
+def test_records_ahead_of_damage_in_a_member_stay(monkeypatch, held, damage):
+    monkeypatch.setattr(warc, "HELD", held)
+    raw = records(40, 7, False)
+    whole = bytearray(gz(b"".join(raw)))
+    at = len(whole) * 3 // 4
+    if damage == "flip":
+        whole[at : at + 40] = bytes(40)
+    elif damage == "cut":
+        del whole[at:]
+    else:
+        whole[-6] ^= 0xFF
+    sizes = [0]
+    for x in raw:
+        sizes.append(sizes[-1] + len(x))
+    reached = len(zlib.decompressobj(wbits=31).decompress(bytes(whole[: at if damage != "checksum" else -8])))
+    before = max(k for k in range(41) if sizes[k] <= reached)
+    data = bytes(whole) + gz(raw[0]) + gz(raw[1])
+    found = list(warc.salvage(io.BytesIO(data), len(data)))
+    assert before >= 28 and held_ids(data) == [*range(before), 0, 1]
+    gaps = [x for x in found if x.headers is None]
+    assert len(gaps) == 1 and gaps[0].offset + gaps[0].length == len(whole)
+    assert gaps[0].length <= len(whole) - at + 3100 if damage != "checksum" else gaps[0].length < 100
+
+
+def test_without_a_digest_a_damaged_member_proves_nothing():
+    bare = b"WARC/1.1\r\nContent-Length: 4\r\n\r\nbody\r\n\r\n"
+    whole = gz(bare * 3)
+    assert len([x for x in warc.salvage(io.BytesIO(whole), len(whole)) if x.headers is not None]) == 3
+    data = whole[:-6] + b"zz" + whole[-4:]
+    assert [x.headers for x in warc.salvage(io.BytesIO(data), len(data))] == [None]
