@@ -17,7 +17,7 @@ from loomline.llm.tokens import count_tokens, named, write_tokens
 from loomline.llm.topk import top_k
 from loomline.llm.urls import DEFAULT_RULES, base_verdicts, url_filter
 from loomline.llm.vocabularies import BYTE_BPE, BYTE_BPE_RANKS, PIECES
-from loomline.llm.warc import read_warc, record_digest, write_warc
+from loomline.llm.warc import all_read, read_warc, record_digest, write_warc
 from loomline.session import cut, fresh_dir, table
 
 
@@ -44,8 +44,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_dir(spark, "warc")
-    found = cut(record_digest(read_warc(write_warc(table(spark, sf_dir, "pages"), folder))))
+    files = write_warc(table(spark, sf_dir, "pages"), folder)
+    found = cut(record_digest(read_warc(files)))
     remove(folder)
+    all_read(files, found)
     return found
 
 

@@ -24,7 +24,6 @@ ARCHIVE_BYTES = 256 << 20
 LEVEL = 3
 CHUNK = 1 << 18
 BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
-HEADER_MOST = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -122,7 +121,7 @@ def parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
     """Headers, block and end of the record at ``at``; or what is wrong with it."""
     if not VERSION.match(data, at):
         return "no version line"
-    cut_at = data.find(b"\r\n\r\n", at, at + HEADER_MOST)
+    cut_at = data.find(b"\r\n\r\n", at)
     if cut_at < 0:
         return "no end of the header"
     if VERSION.search(data, at + 1, cut_at + 2):
@@ -310,12 +309,17 @@ def within(pieces: Iterator[bytes], size: int, damaged: bool) -> Iterator[tuple[
 def plain(file: IO[bytes], at: int, size: int) -> tuple[bytes, int] | str:
     """The bytes that the record at ``at`` of an archive without compression claims, and their end."""
     file.seek(at)
-    head = file.read(HEADER_MOST)
-    cut_at = head.find(b"\r\n\r\n")
-    length = re.search(rb"(?i)\r\ncontent-length:\s*([0-9]{1,18})\s*\r\n", head[: cut_at + 4] if cut_at >= 0 else b"")
-    if not length:
+    head = bytearray(file.read(CHUNK >> 2))
+    while (cut_at := head.find(b"\r\n\r\n", max(0, len(head) - CHUNK - 3))) < 0:
+        # only lines of a header are read on
+        more = file.read(CHUNK) if all(b":" in x for x in head.split(b"\r\n")[1:-1]) else b""
+        if not more:
+            return "no end of the header"
+        head += more
+    claimed = claimed_end(head, 0)
+    if claimed is None:
         return "no content length"
-    end = at + cut_at + 4 + int(length[1]) + 4
+    end = at + claimed
     if end > size:
         return "a record cut short"
     file.seek(at)
@@ -450,3 +454,10 @@ def record_digest(records: DataFrame) -> DataFrame:
         head("warc-type").alias("record_type"),
         F.when(revisit, page("warc-refers-to")).alias("refers_to"),
     )
+
+
+def all_read(files: DataFrame, found: DataFrame) -> None:
+    """Fails unless ``found`` has as many rows as records were written to ``files``."""
+    written, read = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], found.count()
+    if written != read:
+        raise ValueError(f"{written} records were written and {read} read")

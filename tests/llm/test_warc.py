@@ -189,3 +189,22 @@ def test_without_a_digest_a_damaged_member_proves_nothing():
     assert len([x for x in warc.salvage(io.BytesIO(whole), len(whole)) if x.headers is not None]) == 3
     data = whole[:-6] + b"zz" + whole[-4:]
     assert [x.headers for x in warc.salvage(io.BytesIO(data), len(data))] == [None]
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_headers_of_any_length_are_read(compress):
+    long = "data:text/html," + "x" * 1_000_000
+    raw = [warc.record(k, long if k == 1 else "u" * 65_000 * k, b"body", "response", None) for k in range(4)]
+    data = b"".join(gz(x) if compress else x for x in raw)
+    found = list(warc.salvage(io.BytesIO(data), len(data)))
+    assert ids(found) == [f"<urn:page:{k}>" for k in range(4)] and found[1].headers["warc-target-uri"] == long
+
+
+def test_a_page_with_a_long_url_stays_and_a_lost_one_fails(spark):
+    rows = [(1, "data:," + "y" * 200_000, "a"), (2, "u", "b")]
+    records, files = round_trip(spark, rows)
+    found = warc.record_digest(records)
+    assert sorted(x["page_id"] for x in found.collect()) == [1, 2]
+    warc.all_read(files, found)
+    with pytest.raises(ValueError, match="2 records were written and 1 read"):
+        warc.all_read(files, found.where("page_id = 1"))
