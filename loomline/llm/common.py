@@ -47,24 +47,37 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
-
-
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """Columns ``key`` and ``mark``, never null, that tell all rows apart but repeated ones."""
-    return [F.coalesce(F.col(id_col).cast("string"), F.lit("none")).alias("key"), F.xxhash64(F.col(text_col)).alias("mark")]
-
-
-def picked(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose key and mark are in ``keep``, with its further columns; repeated rows once.
-
-    ``keep`` has each pair of key and mark once, its further columns start with an underscore.
+def unused(names: Iterable[str], name: str) -> str:
+    """``name`` after so many underscores that no column of ``names`` is called so."""
+    taken = {x.lower() for x in names}
+    name = "_" + name
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def row_hash(df: DataFrame) -> Column:
+    """128 bits of a row's columns, as a struct of two numbers: equal for repeated rows, and for no others."""
+    columns = []
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        # maps and variants have no hash, and those of arrays and structs leave out nulls
+        columns.append(F.to_json(F.struct(column)) if field.dataType.typeName() in ("array", "struct", "map", "variant") else column)
+    nulls = F.concat(*(x.isNull().cast("int").cast("string") for x in columns))
+    return F.struct(F.xxhash64(*columns, nulls).alias("h"), F.xxhash64(F.lit("again"), nulls, *columns).alias("g"))
+
+
+def picked(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """(row, and the further columns of ``keep``) of the rows of ``docs``, as structs, whose hash is in ``keep``.
+
+    ``keep`` has each hash once, as (h, g). Repeated rows come once.
     """
-    keyed = docs.select("*", *(c.alias(f"_{k}") for k, c in enumerate(row_key(id_col, text_col))))
-    again = docs.select(*row_key(id_col, text_col)).groupBy("key", "mark").count().where("count > 1")
-    found = keyed.join(keep.withColumnsRenamed({"key": "_0", "mark": "_1"}), ["_0", "_1"])
+    hashed = docs.select(F.struct(*(F.col(f"`{x}`") for x in docs.columns)).alias("row"), row_hash(docs).alias("of")).select("row", "of.*")
+    found = hashed.join(keep, ["h", "g"])
+    again = docs.select(row_hash(docs).alias("of")).groupBy("of").count().where("count > 1")
     if not again.isEmpty():
-        found = found.dropDuplicates(["_0", "_1"])
-    return found.drop("_0", "_1")
+        found = found.dropDuplicates(["h", "g"])
+    return found.drop("h", "g")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomline.llm.common import as_bytes, map_batches, picked, row_key
+from loomline.llm.common import as_bytes, map_batches, picked, row_hash
 from loomline.session import cut
 
 #: Most times that a document may be taken; the k-th time costs k, so that every source takes new words first.
@@ -132,7 +132,7 @@ def word_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, key, mark, sources (array), size, source_size, target and taken.
+    """Per row of ``docs``: doc_id, h and g (its hash), sources (array), size, source_size, target and taken.
 
     ``sources_col`` is a string or an array of strings; null is a source of its own, the last, and an empty array
     counts as null. A document of several sources counts in full for each of them. ``weights`` go round the sources in
@@ -141,24 +141,22 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     order of md5(seed, id). Where that leaves a gap to the flow, one document more or less is taken if its size comes
     closer. source_size and target are those of the row's first source.
 
-    A null or empty text has size zero and is never taken. Rows without an id order by the hash of none; repeated
-    rows count as often as they come, with ties of the seeded order taken in the order of their sizes. An empty table
-    gives an empty result. Only sizes by set of sources come to the driver, MAX_SETS rows at most.
+    A null or empty text has size zero and is never taken; a text of any length is counted whole and taken whole. Rows
+    without an id order by their hash; repeated rows count as often as they come, with ties of the seeded order taken
+    in the order of their sizes. Further columns have no part, whatever their names. An empty table gives an empty
+    result. Only sizes by set of sources come to the driver, MAX_SETS rows at most.
     """
     kind = docs.schema[sources_col].dataType.typeName()
     members = F.col(sources_col) if kind == "array" else F.array(F.col(sources_col).cast("string"))
     members = F.when(F.coalesce(F.size(members), F.lit(0)) < 1, F.array(F.lit(None).cast("string"))).otherwise(
         F.array_sort(F.array_distinct(members))
     )
-    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        *row_key(id_col, text_col),
-        drawn.alias("drawn"),
-        members.alias("sources"),
-        F.col(text_col).alias("text"),
-    )
-    sized = map_batches(rows, word_counts, "id long, key string, mark long, drawn string, sources array<string>, size long")
+        F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("of"), members.alias("sources"), F.col(text_col).alias("text")
+    ).select("id", "of.*", "sources", "text")
+    named = F.coalesce(F.col("id").cast("string"), F.concat_ws(":", "h", "g"))
+    rows = rows.withColumn("drawn", F.md5(F.concat_ws(":", F.lit(str(seed)), named)))
+    sized = map_batches(rows, word_counts, "id long, h long, g long, sources array<string>, drawn string, size long")
     sized = cut(sized.withColumn("row", F.monotonically_increasing_id()))
 
     sets = sized.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_SETS + 1).collect()
@@ -221,8 +219,8 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
     done = first.join(F.broadcast(turned), "row", "left")
     return done.select(
         F.col("id").alias("doc_id"),
-        "key",
-        "mark",
+        "h",
+        "g",
         "sources",
         "size",
         "source_size",
@@ -233,12 +231,16 @@ def mixed(docs: DataFrame, sources_col: str = "source", weights: Sequence[float]
 
 def mix_sources(docs: DataFrame, *args, **kwargs) -> DataFrame:
     """``mixed`` with doc_id, sources, size, source_size, target and taken alone."""
-    return mixed(docs, *args, **kwargs).drop("key", "mark")
+    return mixed(docs, *args, **kwargs).drop("h", "g")
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; repeated rows as often as all of them together."""
-    taken = mixed(docs, id_col=id_col, text_col=text_col, **how).where("taken > 0").groupBy("key", "mark")
-    times = cut(taken.agg(F.sum(F.expr("taken div size")).cast("int").alias("_times")))
-    found = picked(docs, times, id_col, text_col)
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    Rows that differ in any column are rows of their own, also where id and text are the same; repeated rows come as
+    often as the mix takes all of them together. Null ids, null, empty and very long texts, ties and empty tables are as
+    in ``mixed``; columns of ``docs`` may have any names.
+    """
+    taken = mixed(docs, id_col=id_col, text_col=text_col, **how).where("taken > 0").groupBy("h", "g")
+    times = cut(taken.agg(F.sum(F.expr("taken div size")).cast("int").alias("times")))
+    return picked(docs, times).select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import as_bytes, components, map_batches, picked, row_key
+from loomline.llm.common import as_bytes, components, map_batches, picked, row_hash
 from loomline.session import cut, ship
 
 SHINGLE = 3
@@ -50,7 +50,7 @@ def fingerprint(text: bytes) -> int:
 def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
     prints = np.array([fingerprint(x) for x in as_bytes(batch.column("text"))], np.uint64)
     return pa.RecordBatch.from_arrays(
-        [*(batch.column(x) for x in ("id", "key", "mark")), pa.array(prints.view(np.int64))], ["id", "key", "mark", "fp"]
+        [*(batch.column(x) for x in ("id", "h", "g")), pa.array(prints.view(np.int64))], ["id", "h", "g", "fp"]
     )
 
 
@@ -142,9 +142,9 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(id, key, mark, fp) of each row and (fp, root, component_id) of each fingerprint, both written."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
-    prints = cut(map_batches(rows, _fingerprints, "id long, key string, mark long, fp long"))
+    """(id, h, g, fp) of each row, h and g its hash, and (fp, root, component_id) of each fingerprint, both written."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_hash(docs).alias("of"))
+    prints = cut(map_batches(rows.select("id", "text", "of.*"), _fingerprints, "id long, h long, g long, fp long"))
     first = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(near_links(first.select("fp"))).select(F.col("node").alias("fp"), "root")
     both = cut(first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
@@ -155,9 +155,11 @@ def grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Row by row: doc_id, fingerprint (16 hex digits) and component_id (smallest id that links reach).
 
-    A null or empty text has fingerprint zero and links like any other. Rows without an id get a fingerprint
-    and a component, whose id is null if no row of it has one. Repeated rows come back as often as they came in;
-    equal fingerprints are compared once, so exact copies cost nothing. An empty table gives an empty result.
+    A null or empty text has fingerprint zero and links like any other; a text of any length is shingled whole. Rows
+    without an id get a fingerprint and a component, whose id is null if no row of it has one. Repeated rows come back
+    as often as they came in; equal fingerprints are compared once, so exact copies cost nothing. A shingle hash bit
+    that is set in just half the shingles is 0. Further columns have no part, whatever their names. An empty table gives
+    an empty result.
     """
     prints, named = grouped(docs, id_col, text_col)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -165,11 +167,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component: that of the smallest id, or of none where no row has one.
+    """One row of ``docs`` for each component: that of the smallest id, or one without an id where no row has one.
 
-    Of rows that share this id, the one with the smallest hash of the text; of repeated rows, one.
+    Of rows that share this id, the one with the smallest hash of all its columns stays; of repeated rows, one. Null and
+    empty texts are copies of each other. Texts of any length, ties, empty tables and further columns are as in
+    ``simhash_components``; all columns are kept.
     """
     prints, named = grouped(docs, id_col, text_col)
-    order = F.struct(F.col("id").isNull().alias("no"), "id", "mark", "key").alias("row")
+    order = F.struct(F.col("id").isNull().alias("no"), "id", "h", "g").alias("row")
     stays = prints.join(named, "fp").groupBy("root").agg(F.min(order).alias("row"))
-    return picked(docs, cut(stays.select("row.key", "row.mark")), id_col, text_col).select(docs.columns)
+    return picked(docs, cut(stays.select("row.h", "row.g"))).select("row.*")

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomline.llm import mixing
 
@@ -98,11 +99,41 @@ def test_flow_is_largest_and_cheapest(seed):
 
 
 def test_overlapping_sources(spark):
-    rows = [(k, "w " * 10, s) for k, s in enumerate([["a"], ["b"], ["a", "b"], ["b", "a", "a"], [], None] * 5)]
+    rng = random.Random(3)
+    kinds = [["a"], ["b"], ["a", "b"], ["b", "a", "a"], [], None]
+    rows = [(k, "w " * rng.randint(1, 20), kinds[k % 6]) for k in range(240)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
-    found = mixing.mix_sources(docs).collect()
-    assert len(found) == 30 and {len(x["sources"]) for x in found} == {1, 2}
-    assert all(0 <= x["taken"] <= 30 for x in found)
+    found = {x["doc_id"]: x for x in mixing.mix_sources(docs).collect()}
+    assert len(found) == len(rows)
+    capacities, taken, most = Counter(), Counter(), Counter()
+    for doc, text, sources in rows:
+        of = tuple(sorted(set(sources or []))) or (None,)
+        size = len(text.split())
+        assert found[doc]["size"] == size and tuple(found[doc]["sources"]) == of
+        assert found[doc]["taken"] in {0, size, 2 * size, 3 * size}
+        capacities[of] += size
+        taken[of] += found[doc]["taken"]
+        most[of] = max(most[of], size)
+    sizes = {s: sum(n for of, n in capacities.items() if s in of) for s in ("a", "b", None)}
+    targets = mixing.targets_of(sizes, {"a": 1, "b": 2, None: 3})
+    assert all(x["target"] == targets[x["sources"][0]] and x["source_size"] == sizes[x["sources"][0]] for x in found.values())
+    # each set gives what the flow takes from it, to half of one of its documents; the flow itself has a brute force above
+    flowed = mixing.flow(capacities, {s: round(t) for s, t in targets.items()})
+    assert all(abs(taken[of] - flowed[of]) <= most[of] / 2 for of in capacities)
+    assert abs(sum(taken.values()) - sum(targets.values())) <= sum(most.values()) / 2 + 2
+
+
+def test_rows_of_equal_id_and_text_are_taken_from_their_own_source(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a"), (1, text, "b"), (2, "x " * 40, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"_0": F.lit(1), "times": F.lit(2), "row": F.lit("r")})
+    want = Counter()
+    for x in mixing.mixed(docs).where("taken > 0").collect():
+        want[x["doc_id"], x["sources"][0]] += x["taken"] // x["size"]
+    taken = mixing.take_mix(docs)
+    assert taken.columns == docs.columns
+    assert Counter((x["doc_id"], x["source"]) for x in taken.collect()) == want
+    assert want[1, "a"] <= 1 and want[1, "b"] == 3
 
 
 def test_edge_cases(spark):
