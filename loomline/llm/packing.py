@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomline.llm.common import as_texts, map_batches
+from loomline.llm.common import as_texts, map_batches, unused
 from loomline.session import cut
 
 CAPACITY = 1024
@@ -26,7 +26,10 @@ STEP = 0.002
 CLIP = 10
 #: Share of the best price by which a configuration may miss it and still be taken.
 SLACK = 0.01
-#: Groups over which the pieces of each length are dealt to be numbered.
+#: Shares of the program's solution that the rounding tries to keep.
+SHARES = (1.0, 0.9, 0.5, 0.0)
+#: Pieces for each group over which the pieces of a length are dealt to be numbered, and the fewest groups.
+GROUP_ROWS = 1 << 20
 GROUPS = 256
 
 Config = tuple[int, ...]  # lengths that share a sequence, longest first
@@ -35,29 +38,31 @@ Config = tuple[int, ...]  # lengths that share a sequence, longest first
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-˿‐-‧]*")
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A run without spaces that the fast encoder would have to merge as one word.
-LONG_RUN = re.compile(r"\S{4096}")
+LONG_RUN = r"\S{4096}"
 
 
 @lru_cache(maxsize=2)
 def _encoders(vocabulary: str, ranks: str):
+    """The vocabulary's own encoder, the fast one, and a pattern for what only the first treats as it should."""
     import tiktoken
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(vocabulary)
-    exact.encode_special_tokens = True
+    added = [x.content for x in exact.get_added_tokens_decoder().values()]
     with open(ranks, "rb") as lines:
         table = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return exact, tiktoken.Encoding("same vocabulary", pat_str=GPT_PATTERN, mergeable_ranks=table, special_tokens={})
+    fast = tiktoken.Encoding("same vocabulary", pat_str=GPT_PATTERN, mergeable_ranks=table, special_tokens={})
+    return exact, fast, re.compile("|".join([LONG_RUN, *map(re.escape, added)]))
 
 
 def token_ids(text: str, vocabulary: str, ranks: str) -> np.ndarray:
-    """Ids of ``vocabulary`` without special tokens, as unsigned 32-bit numbers.
+    """Ids of ``vocabulary`` as its own encoder gives them without adding special tokens, unsigned 32-bit numbers.
 
-    ``ranks`` holds the same vocabulary for a faster encoder, which takes texts of plain characters; all others go
-    to the vocabulary's own.
+    ``ranks`` holds the same vocabulary for a faster encoder, which takes texts of plain characters; all others, and
+    those that spell an added token of the vocabulary, go to the vocabulary's own.
     """
-    exact, fast = _encoders(vocabulary, ranks)
-    if PLAIN.fullmatch(text) and not LONG_RUN.search(text):
+    exact, fast, odd = _encoders(vocabulary, ranks)
+    if PLAIN.fullmatch(text) and not odd.search(text):
         return fast.encode_to_numpy(text, disallowed_special=())
     return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -176,24 +181,68 @@ def best_fit(histogram: Mapping[int, int], capacity: int) -> Counter[Config]:
     return total
 
 
-def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> Counter[Config]:
-    """How many sequences have which configuration, so that every length of ``histogram`` is held by its count.
+def fullest(left: Mapping[int, int], capacity: int) -> Config:
+    """The longest of ``left`` with those that fill its sequence best, by sums that subsets reach; long ones before short."""
+    lengths = sorted(left, reverse=True)
+    room = capacity - lengths[0]
+    reach, within, seen = 1, (1 << (room + 1)) - 1, []
+    for length in lengths:
+        n, times = min(left[length] - (length == lengths[0]), room // length), 1
+        while n > 0 and not reach >> room & 1:
+            times = min(times, n)
+            seen.append((length, times, reach))
+            reach |= (reach << (length * times)) & within
+            n, times = n - times, 2 * times
+    at, held = reach.bit_length() - 1, [lengths[0]]
+    for length, times, before in reversed(seen):
+        if not before >> at & 1:
+            at -= length * times
+            held += [length] * times
+    return tuple(sorted(held, reverse=True))
+
+
+def filled(histogram: Mapping[int, int], capacity: int) -> Counter[Config]:
+    """One fullest configuration after the other, each as often as its lengths are left: one of them is used up each time."""
+    left, total = dict(histogram), Counter()
+    while left:
+        config = fullest(left, capacity)
+        held = Counter(config)
+        times = min(left[x] // n for x, n in held.items())
+        total[config] += times
+        left = {x: n - held[x] * times for x, n in left.items() if n > held[x] * times}
+    return total
 
-    The program's solution is rounded with the remainder carried to the next configuration, in the order of their
-    longest lengths, and trimmed to what there is. What stays over is packed best fit.
-    """
-    left, chosen, carry = Counter({x: n for x, n in histogram.items() if n}), Counter(), 0.0
-    if not left:
-        return chosen
-    for config, times in sorted(fractional(left, capacity).items(), reverse=True):
+
+def rounded(solution: Mapping[Config, float], histogram: Mapping[int, int], share: float) -> tuple[Counter[Config], dict[int, int]]:
+    """Whole sequences of ``share`` of the program's solution, and the lengths that stay over."""
+    left, chosen = Counter(histogram), Counter()
+    for config, times in sorted(solution.items(), reverse=True):
         held = Counter(config)
-        whole = min(int(times + carry + 1e-9), *(left[x] // n for x, n in held.items()))
-        carry = min(times + carry - whole, 1.0)
+        whole = min(int(share * times + 1e-9), *(left[x] // n for x, n in held.items()))
         if whole > 0:
             chosen[config] += whole
             left.subtract({x: n * whole for x, n in held.items()})
-    chosen.update(best_fit({x: n for x, n in left.items() if n}, capacity))
-    return chosen
+    return chosen, {x: n for x, n in left.items() if n}
+
+
+def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> Counter[Config]:
+    """How many sequences have which configuration, so that every length of ``histogram`` is held by its count.
+
+    The program's solution is rounded down, as a whole and by SHARES of it; what stays over is packed best fit, or
+    with the fullest configurations. The rounding of the fewest sequences is the plan. A share of nothing leaves all
+    to best fit, so that no plan needs more sequences than that.
+    """
+    wanted = {x: n for x, n in histogram.items() if n}
+    if not wanted:
+        return Counter()
+    solution, best = fractional(wanted, capacity), None
+    for share in SHARES:
+        chosen, left = rounded(solution, wanted, share)
+        for rest in (filled, best_fit):
+            now = chosen + rest(left, capacity)
+            if best is None or now.total() < best.total():
+                best = now
+    return best
 
 
 class Slots:
@@ -221,38 +270,48 @@ class Slots:
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with ``length`` from 1 to ``capacity``) with sequence_id and offset.
 
-    Only the histogram, of ``capacity`` rows at most, comes to the driver. Pieces of a length are numbered within
-    groups that a hash deals out, so that no length, however common, meets in one task. Repeated rows are packed
-    as often as they come; an empty table gives an empty result.
+    A piece that fills a sequence has one of its own, a negative number, and is neither counted nor shuffled. Only the
+    histogram of the others, of ``capacity`` rows at most, comes to the driver. Pieces of a length are numbered within
+    groups that a hash deals out, as many as the pieces ask for, so that no length, however common, meets in one task.
+    Repeated rows are packed as often as they come, whatever their order; an empty table gives an empty result.
     """
-    pieces = cut(pieces.withColumn("_group", F.pmod(F.xxhash64(*pieces.columns, F.monotonically_increasing_id()), F.lit(GROUPS))))
-    counted = pieces.groupBy("length", "_group").count().collect()  # capacity x GROUPS rows at most
-    totals, before = Counter(), {}
-    for length, group, n in sorted(counted):
-        before[length, group] = totals[length]
-        totals[length] += n
+    names = pieces.columns
+    length, row, group, number, start = (unused(names, x) for x in ("length", "row", "group", "number", "start"))
+    pieces = cut(pieces.withColumn(row, F.monotonically_increasing_id()))
+    shorter = pieces.where(F.col("length") < capacity)
+    totals = {x["length"]: x["count"] for x in shorter.groupBy("length").count().collect()}
     slots = Slots(plan(totals, capacity))
-    starts = np.zeros((capacity + 1, GROUPS), np.int64)
-    for (length, group), n in before.items():
-        starts[length, group] = n
-    order = Window.partitionBy("length", "_group").orderBy("doc_id", "piece")
-    numbered = pieces.withColumn("_number", F.row_number().over(order))
-    names = pieces.columns[:-1]
+    groups = max(GROUPS, -(-sum(totals.values()) // GROUP_ROWS))
+    dealt = shorter.withColumn(group, F.pmod(F.xxhash64(F.col(row)), F.lit(groups)))
+    # one row for each length and group
+    before = Window.partitionBy("length").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("length", group).count().select(
+        F.col("length").alias(length), group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(start)
+    )
+    order = Window.partitionBy("length", group).orderBy(row)
+    numbered = dealt.withColumn(number, F.row_number().over(order)).withColumnRenamed("length", length)
+    numbered = numbered.join(starts, [length, group]).withColumnRenamed(length, "length")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        length, group, number = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("length", "_group", "_number"))
-        sequence, offset = slots.place(length, starts[length, group] + number - 1)
+        lengths, before, numbers = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("length", start, number))
+        sequence, offset = slots.place(lengths, before + numbers - 1)
         return pa.RecordBatch.from_arrays(
             [*(batch.column(x) for x in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"]
         )
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes[:-1]) + ", sequence_id long, offset long"
-    return map_batches(numbered, work, schema)
+    placed = map_batches(numbered.select(*names, start, number), work, schema)
+    alone = pieces.where(F.col("length") >= capacity).select(
+        *names, (-1 - F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    )
+    return placed.unionByName(alone)
 
 
 def best_fit_packing(docs: DataFrame, vocabulary: str, ranks: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is a document of the end token alone. Null ids and repeated rows are packed like others.
+    A null or empty text is a document of the end token alone; a text of any length is encoded whole and cut into as many
+    pieces as it takes. Null ids and repeated rows are packed like others, ties of length in any order, and further
+    columns of ``docs`` have no part, whatever their names.
     """
     return pack(tokenised(docs, vocabulary, ranks, capacity, id_col, text_col), capacity)
