@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from math import log2
 
@@ -29,7 +30,7 @@ BASE = KINDS[:3]
 class CharClass:
     """A character class: its runs of at least ``window`` characters are candidates.
 
-    A window is hot with at least ``bits`` of Shannon entropy and a character of each of ``needs``.
+    A window is hot with at least ``bits`` of Shannon entropy and ``least`` characters of each of ``needs``.
     """
 
     name: str
@@ -37,27 +38,24 @@ class CharClass:
     window: int
     bits: float
     needs: tuple[str, ...]
+    least: int = 1
 
 
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Keys in one case (base32, base36) need digits; short ones, which names may resemble, two of each kind.
 CLASSES = (
-    CharClass("hex", re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}(?![0-9A-Za-z])"), 24, 3.0, ("0123456789", "abcdefABCDEF")),
-    CharClass(
-        "alphanumeric",
-        re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{24,}"),
-        24,
-        3.9,
-        ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    ),
-    CharClass(
-        "base64",
-        re.compile(r"(?<![0-9A-Za-z+/=_-])[0-9A-Za-z+/=_-]{32,}"),
-        32,
-        4.3,
-        ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    ),
+    CharClass("hex", re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}(?![0-9A-Za-z])"), 24, 3.0, (DIGITS, "abcdefABCDEF")),
+    CharClass("alphanumeric", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{24,}"), 24, 3.9, (DIGITS, LOWER, UPPER)),
+    CharClass("base64", re.compile(r"(?<![0-9A-Za-z+/=_-])[0-9A-Za-z+/=_-]{32,}"), 32, 4.3, (DIGITS, LOWER, UPPER)),
+    CharClass("lower case", re.compile(r"(?<![0-9A-Za-z])[0-9a-z]{24,}(?![0-9A-Za-z])"), 24, 3.9, (DIGITS, LOWER), 2),
+    CharClass("upper case", re.compile(r"(?<![0-9A-Za-z])[0-9A-Z]{24,}(?![0-9A-Za-z])"), 24, 3.9, (DIGITS, UPPER), 2),
+    CharClass("short", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{16,23}(?![0-9A-Za-z])"), 16, 3.6, (DIGITS, LOWER, UPPER), 2),
 )
+#: Runs that hold the candidates of all classes.
+WIDE = re.compile(r"[0-9A-Za-z+/=_-]{16,}")
+DIGIT = re.compile("[0-9]")
 
-#: Candidates that contain one of these (letters in either case) are placeholders or public digests, not secrets.
+#: Placeholders (letters in either case): a window with a character of one, however often its last one repeats, is none.
 ALLOWED = (
     "example",
     "sample",
@@ -72,21 +70,23 @@ ALLOWED = (
     "deadbeef",
     "loremipsum",
 )
-#: Text right before a candidate that marks it as a digest or inline data.
-ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|224|256|384|512)[-:]|md5[-:]|integrity=[\"']?|base64,|urn:uuid:)$", re.IGNORECASE)
-#: The same for the host or a plain path of an url: quotes, brackets, commas, ?, #, =, & and @ end it.
-ADDRESS = re.compile(r"://([\w.~:/%+*!-]{0,200})$")
+_PLACEHOLDER = re.compile("|".join(f"{x}{x[-1]}*" for x in ALLOWED), re.IGNORECASE)
+#: Bytes of public digests. What follows the name of one is allowed as far as the digest goes, in hex or base64.
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
+_DIGEST = re.compile(rf"({'|'.join(DIGEST_BYTES)})[-:=]([0-9A-Za-z+/_=-]*)", re.IGNORECASE)
+#: Inline data and identifiers.
+_PUBLIC = re.compile(r"base64,[0-9A-Za-z+/=_-]*|urn:uuid:[0-9a-f-]{36}", re.IGNORECASE)
+#: The host and the plain path of an url: quotes, brackets, commas, ?, #, =, & and @ end it.
+ADDRESS = re.compile(r"://([\w.~:/%+*!-]*)")
 #: User info goes on to an @ ahead of the path.
 USER_INFO = re.compile(r"[^\s/?#\"'<>@]*@")
 #: Addresses whose paths are secrets.
 WEBHOOKS = re.compile(r"hooks\.slack\.com/|discord(?:app)?\.com/api/webhooks/|webhook\.office\.com/|api\.telegram\.org/bot", re.IGNORECASE)
-#: The same at the start of a candidate.
-ALLOWED_START = re.compile(r"(?:sha(?:1|224|256|384|512)|md5)[-=]", re.IGNORECASE)
 
 _TERM = [0.0] + [n * log2(n) for n in range(1, 257)]
 
 
-def hot_windows(run: str, window: int, bits: float, needs: Sequence[str]) -> Iterator[tuple[int, int]]:
+def hot_windows(run: str, window: int, bits: float, needs: Sequence[str], least: int = 1) -> Iterator[tuple[int, int]]:
     """Merged windows of ``run`` that are hot. Counts change by one character in and one out at each step.
 
     Entropy is log2(window) - sum(c log2 c) / window over the counts c of the window's characters.
@@ -110,7 +110,7 @@ def hot_windows(run: str, window: int, bits: float, needs: Sequence[str]) -> Ite
             if gone in group:
                 held[group[gone]] -= 1
         at = i - window + 1
-        if at >= 0 and total <= most and all(held):
+        if at >= 0 and total <= most and min(held) >= least:
             if at > end:
                 if start >= 0:
                     yield start, end
@@ -130,35 +130,66 @@ def base_spans(text: str, raw: bytes) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
-def allowed(text: str, start: int, end: int) -> bool:
-    low = text[start:end].lower()
-    if ALLOWED_START.match(low) or any(word in low for word in ALLOWED):
-        return True
-    return ALLOWED_BEFORE.search(text[max(0, start - 240) : start]) is not None
+def allowed(text: str) -> list[tuple[int, int]]:
+    """Stretches of ``text`` that are no secrets whatever they look like, by their start and without overlap.
 
+    They are digests after their name, inline data, and hosts and plain paths of urls. User info, what follows a path,
+    and the paths of webhooks are not among them.
+    """
+    found = [m.span() for m in _PUBLIC.finditer(text)]
+    for m in _DIGEST.finditer(text):
+        n = DIGEST_BYTES[m[1].lower()]
+        hexed = re.match(r"(?i)[0-9a-f]{%d}" % (2 * n), m[2])
+        found.append((m.start(), min(m.end(), m.start(2) + (2 * n if hexed else 4 * -(-n // 3)))))
+    for m in ADDRESS.finditer(text):
+        if not USER_INFO.match(text, m.start(1)) and not WEBHOOKS.search(m[1]):
+            found.append(m.span(1))
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    return merged
 
-def addressed(text: str, start: int, end: int) -> int:
-    """Where the part of a candidate ends that is host or path of an url and no secret; ``start`` if there is none.
 
-    What follows an equals sign is a value, as in a query; user info and the paths of webhooks are secrets.
-    """
-    before = ADDRESS.search(text[max(0, start - 240) : start])
-    if not before or "/" not in before[1] and USER_INFO.match(text, start):
-        return start
-    if WEBHOOKS.search(before[1] + text[start:end]):
-        return start
-    value = text.find("=", start, end)
-    return end if value < 0 else value + 1
+def after(spans: Sequence[tuple[int, int]], at: int) -> Iterator[tuple[int, int]]:
+    """Those of ``spans``, which are in order, that end after ``at``."""
+    return (spans[k] for k in range(bisect_right(spans, at, key=lambda x: x[1]), len(spans)))
+
+
+def without(start: int, end: int, holes: Iterable[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What ``holes``, by their start, leave of a stretch."""
+    for a, b in holes:
+        if a >= end:
+            break
+        if b > start:
+            if a > start:
+                yield start, a
+            start = b
+    if start < end:
+        yield start, end
 
 
 def entropy_spans(text: str) -> list[tuple[str, int, int]]:
-    """Hot windows of all classes outside the allow-list, merged where they overlap."""
+    """Hot windows of all classes, merged where they overlap. A window has no character that is allow-listed."""
     found: list[tuple[int, int]] = []
-    for of in CLASSES:
-        for run in of.run.finditer(text):
-            if not allowed(text, *run.span()):
-                at = addressed(text, *run.span())
-                found += [(at + a, at + b) for a, b in hot_windows(text[at : run.end()], of.window, of.bits, of.needs)]
+    holes: list[tuple[int, int]] | None = None
+    for wide in WIDE.finditer(text):
+        if not DIGIT.search(text, *wide.span()):  # all classes need one
+            continue
+        holes = allowed(text) if holes is None else holes
+        free = [
+            part for a, b in without(*wide.span(), after(holes, wide.start())) for part in without(a, b, (m.span() for m in _PLACEHOLDER.finditer(text, a, b)))
+        ]
+        for of in CLASSES:
+            for run in of.run.finditer(text, *wide.span()):
+                for a, b in after(free, run.start()):
+                    if a >= run.end():
+                        break
+                    at, end = max(a, run.start()), min(b, run.end())
+                    if end - at >= of.window:
+                        found += [(at + x, at + y) for x, y in hot_windows(text[at:end], of.window, of.bits, of.needs, of.least)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a < merged[-1][1]:
@@ -183,7 +214,9 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and spans of each row: array of (kind, start, end), by start, then kind as in KINDS.
 
-    Null and empty texts have none. Rows are independent: null ids, repeated rows and empty tables need no rule.
+    Null and empty texts have none; a text of any length is scanned whole, and a stretch of any length is allowed or not
+    as a whole. Of spans that start together the one of the earlier kind comes first, then the shorter one. Rows are
+    independent: null ids, repeated rows and empty tables need no rule. Further columns have no part, whatever their names.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -219,7 +252,11 @@ def masked(text: str, spans: Sequence[tuple[str, int, int]], mask: str = "[SECRE
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """All rows of ``docs``, with the secrets in their texts masked and ``chars_col``, if there is one, counted anew."""
+    """All rows of ``docs``, with the secrets in their texts masked and ``chars_col``, if there is one, counted anew.
+
+    Rows without a secret stay as they are, null and empty texts too; texts of any length are masked whole. Rows are
+    independent, so that null ids, repeated rows and empty tables need no rule, and all columns are kept as they are.
+    """
     text = docs.columns.index(text_col)
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
 

@@ -69,12 +69,12 @@ def test_base_spans_stay_and_follow_the_contract(spark):
         assert [int(x.split(":")[1]) for x in listed] == sorted(int(x.split(":")[1]) for x in listed)
 
 
-def brute_hot(run, window, bits, needs):
+def brute_hot(run, window, bits, needs, least=1):
     hot = set()
     for i in range(len(run) - window + 1):
         part = run[i : i + window]
         entropy = -sum(n / window * math.log2(n / window) for n in Counter(part).values())
-        if entropy >= bits - 1e-9 and all(set(part) & set(group) for group in needs):
+        if entropy >= bits - 1e-9 and all(sum(c in group for c in part) >= least for group in needs):
             hot.update(range(i, i + window))
     spans = []
     for i in sorted(hot):
@@ -89,14 +89,15 @@ def brute_hot(run, window, bits, needs):
 def test_windows_are_those_counted_anew(seed):
     rng = random.Random(seed)
     run = "".join(rng.choices("abcABC0123456789"[: rng.randint(4, 16)] + "x" * rng.randint(0, 20), k=rng.randint(5, 200)))
-    found = list(secrets.hot_windows(run, 12, 2.6, ("0123456789", "abcx")))
+    least = 1 + seed % 3
+    found = list(secrets.hot_windows(run, 12, 2.6, ("0123456789", "abcx"), least))
     merged = []
     for a, b in found:  # windows that touch are one stretch
         if merged and merged[-1][1] == a:
             merged[-1] = (merged[-1][0], b)
         else:
             merged.append((a, b))
-    assert merged == brute_hot(run, 12, 2.6, ("0123456789", "abcx"))
+    assert merged == brute_hot(run, 12, 2.6, ("0123456789", "abcx"), least)
 
 
 def test_secrets_are_found_and_the_allow_list_is_not():
@@ -104,7 +105,12 @@ def test_secrets_are_found_and_the_allow_list_is_not():
     for text in (
         f"sha256-{TOKEN}",
         f"https://x.com/{TOKEN}",
-        f"EXAMPLE{TOKEN}",
+        f"{TOKEN[:15]}EXAMPLE{TOKEN[15:]}",
+        "integrity=sha384-oqVuAfXRKap7fdgcCY5uykM6+R9GqQ8K/uxy9rx7HNQlGYl1kPzQho1wx4JwY8wC",
+        f"data:image/png;base64,{TOKEN * 300}",
+        f"https://x.com/{'a/' * 500}{TOKEN}",
+        f"https://x.com/{TOKEN * 50}",
+        "internationalisation2024conference getUserByIdAndName handleRequest2Json",
         "a" * 100,
         "Donaudampfschifffahrtselektrizitätenhauptbetriebswerk",
         "word " * 50,
@@ -144,6 +150,31 @@ def test_hosts_and_paths_stay_allowed(address):
     assert secrets.spans_of(f"{address}{TOKEN}/x@1".encode()) == []
 
 
+@pytest.mark.parametrize("before", ["xxxxxx", "EXAMPLE", f"https://h.org/{'x/' * 300}?key=", "https://h/x?key=", "sha256:" + "0f" * 32 + "Q"])
+def test_windows_beyond_what_is_allowed_are_judged_alone(before):
+    key = "q7Zk3xT9Lm2Vb8NwR5ys7PdF1cGj4AuE8QhW6oKi0BtXeYrC"
+    spans = [x for x in secrets.spans_of(f"{before}{key} end".encode()) if x[0] == "entropy"]
+    assert spans and spans[-1][2] == len(before) + len(key) and spans[0][1] <= len(before)
+
+
+@pytest.mark.parametrize("key", ["JBSWY3DPEHPK3PXPGEZTKNRXHA4TQ2LW", "k3j9x0q2m7v5b8n1c4z6a9s2d7f0", "aB3dE5gH7jK9mN2p"])
+def test_keys_of_one_case_and_short_ones(key):
+    assert [x[0] for x in secrets.spans_of(f"see {key}.".encode())] == ["entropy"]
+
+
+def test_what_is_allowed_has_no_length(spark):
+    pad = "p/" * 200_000
+    assert secrets.spans_of(f"https://x.com/{pad}{TOKEN}".encode()) == []
+    inside = secrets.spans_of(f"https://x.com/{pad}?k={TOKEN}".encode())
+    assert inside and inside[0][1] >= len(pad)
+
+
+def test_clashing_columns_do_not_matter(spark):
+    rows = [(1, f"key {TOKEN}", "s", 1, "k")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", spans string, start int, kind string")
+    assert secrets.span_digest(secrets.secret_spans(docs)).first()["spans"] == "entropy:4:36"
+
+
 def test_masking(spark):
     rows = [
         (1, f"my token={TOKEN} and deadbeef00112233445566778899 end", 99, "a"),
