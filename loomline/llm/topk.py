@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,9 +13,11 @@ from loomline.session import cut, ship
 SCALE = 256
 TOP = 5
 EVERY = 50
-#: Rows of an index block, and queries that meet a block in one task.
+#: Rows of an index block, and queries that meet a block in one task: a row is sent once for each QUERY_ROWS queries.
 BLOCK_ROWS = 1 << 13
-QUERY_ROWS = 1 << 10
+QUERY_ROWS = 1 << 13
+#: Attributes whose slices are cut at a time.
+ATTRIBUTES = 64
 
 
 class BitSliced:
@@ -24,15 +25,18 @@ class BitSliced:
     the rows. Attributes are stored less their minimum, so that all slices count up."""
 
     def __init__(self, values: np.ndarray):
-        self.rows = len(values)
-        self.low = values.min(0) if self.rows else np.zeros(values.shape[1], np.int64)
-        self.bits = int((values - self.low).max(initial=0)).bit_length()
-        padded = np.zeros((-(-self.rows // 64) * 64, values.shape[1]), np.int64)
-        padded[: self.rows] = values - self.low
-        bits = (padded[:, :, None] >> np.arange(self.bits)) & 1
-        packed = np.packbits(bits.astype(np.uint8).transpose(1, 2, 0), axis=-1, bitorder="little")
-        self.slices = np.ascontiguousarray(packed).view(np.uint64)  # attribute, bit, words
-        self.words = len(padded) // 64
+        self.rows, width = values.shape
+        self.low = values.min(0) if self.rows else np.zeros(width, np.int64)
+        high = values.max(0) if self.rows else self.low
+        self.bits = int(max((int(b) - int(a) for a, b in zip(self.low, high, strict=True)), default=0)).bit_length()
+        self.words = -(-self.rows // 64)
+        self.slices = np.zeros((width, self.bits, self.words), np.uint64)  # attribute, bit, words
+        for at in range(0, width, ATTRIBUTES):
+            some = np.zeros((min(ATTRIBUTES, width - at), self.words * 64), np.int64)
+            some[:, : self.rows] = (values[:, at : at + ATTRIBUTES] - self.low[at : at + ATTRIBUTES]).T
+            for b in range(self.bits):
+                plane = ((some >> b) & 1).astype(np.uint8)
+                self.slices[at : at + ATTRIBUTES, b] = np.packbits(plane, axis=-1, bitorder="little").view(np.uint64)
         self.all = np.packbits(np.arange(self.words * 64) < self.rows, bitorder="little").view(np.uint64)
 
     def sums(self, query: np.ndarray) -> list[np.ndarray]:
@@ -111,46 +115,66 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return sound.select(F.col(id_col).cast("long").alias("id"), x.alias("q"))
 
 
-def _meet(key: tuple, index: pd.DataFrame, asked: pd.DataFrame, top: int) -> pd.DataFrame:
-    out: dict[str, list] = {"query": [], "number": [], "id": [], "score": []}
-    for width in index["q"].map(len).unique():
-        own = index[index["q"].map(len) == width].sort_values("id", kind="stable")
-        ids, values = own["id"].to_numpy(), np.array(own["q"].tolist(), np.int64).reshape(len(own), width)
+def _vectors(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length of the vectors: numbers of the rows of ``table``, and their vectors as a matrix."""
+    q = table.column("q").combine_chunks()
+    if isinstance(q, pa.ChunkedArray):
+        q = q.chunk(0) if q.num_chunks else pa.array([], q.type)
+    widths, flat, starts = q.value_lengths().to_numpy(zero_copy_only=False), q.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(q.value_lengths().to_numpy(zero_copy_only=False))]
+    out = {}
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        at = starts[rows]
+        whole = len(rows) == len(widths)
+        out[width] = rows, flat.reshape(len(rows), width) if whole else flat[at[:, None] + np.arange(width)]
+    return out
+
+
+def _meet(index: pa.Table, asked: pa.Table, top: int) -> pa.Table:
+    out: dict[str, list[np.ndarray]] = {"query": [], "number": [], "id": [], "score": []}
+    index = index.sort_by([("id", "ascending"), ("row", "ascending")])
+    ids, numbers = (index.column(x).to_numpy() for x in ("id", "row"))
+    queries = _vectors(asked)
+    for width, (rows, values) in _vectors(index).items():
+        if width not in queries:
+            continue
         block = BitSliced(values)
-        for query, number, q in asked[asked["q"].map(len) == width][["query", "number", "q"]].itertuples(index=False):
-            q = np.asarray(q, np.int64)
-            same = np.arange(*np.searchsorted(ids, [query, query + 1]))
-            itself = next((int(r) for r in same if np.array_equal(values[r], q)), None)
-            rows = block.top(q, top, itself)
-            out["query"] += [query] * len(rows)
-            out["number"] += [number] * len(rows)
-            out["id"] += ids[rows].tolist()
-            out["score"] += (values[rows] @ q).tolist()
-    return pd.DataFrame(out, dtype=np.int64)
+        place = {int(n): k for k, n in enumerate(numbers[rows].tolist())}
+        of, vectors = queries[width]
+        for query, number, q in zip(asked.column("query").to_numpy()[of], asked.column("number").to_numpy()[of], vectors, strict=True):
+            best = block.top(q, top, place.get(int(number)))
+            out["query"].append(np.full(len(best), query))
+            out["number"].append(np.full(len(best), number))
+            out["id"].append(ids[rows[best]])
+            out["score"].append(values[best] @ q)
+    return pa.table({k: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for k, x in out.items()})
 
 
 def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row whose id is divisible by ``every``, the ``k`` other
     rows of the largest integer inner products, ties to the smaller id.
 
-    Rows are dealt to blocks by their id's hash, queries to groups, and each group meets each block in a task of
+    Rows are dealt evenly to blocks, whatever their ids, queries to groups, and each group meets each block in a task of
     its own. A repeated row is a candidate for its copies, and a repeated query is answered as often as it comes.
     Rows without an id, without a vector, or with a null or non-finite component take no part; vectors of other
-    lengths than the query's are no candidates. A table of one row or none gives an empty result.
+    lengths than the query's are no candidates, and those of any length are compared whole. Further columns have no part,
+    whatever their names. A table of one row or none gives an empty result. Components so large that a score may not fit
+    64 bits are an error.
     """
     ship(vectors.sparkSession)
-    rows = cut(quantised(vectors, id_col, vector_col))
-    n = rows.count()
+    rows = cut(quantised(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()))
+    size = F.array_max(F.transform("q", lambda x: F.abs(x.cast("double"))))
+    n, most, width = rows.agg(F.count("*"), F.max(size), F.max(F.size("q"))).first()
+    if (most or 0) ** 2 * (width or 0) >= 2**62:
+        raise ValueError(f"inner products of {width} components up to {most} may not fit 64 bits")
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-n // (every * query_rows)))
-    number = F.row_number().over(Window.partitionBy("id").orderBy("q"))
-    queries = rows.where(F.col("id") % every == 0).withColumn("number", number).withColumnRenamed("id", "query")
+    queries = rows.where(F.col("id") % every == 0)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = rows.select("id", "q", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), each(groups).alias("group"))
-    asked = queries.select(
-        "query", "number", "q", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int").alias("group"), each(blocks).alias("block")
-    )
+    dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
+    index = rows.select("id", "row", "q", dealt(blocks).alias("block"), each(groups).alias("group"))
+    asked = queries.select(F.col("id").alias("query"), F.col("row").alias("number"), "q", dealt(groups).alias("group"), each(blocks).alias("block"))
     met = index.groupBy("block", "group").cogroup(asked.groupBy("block", "group"))
-    found = met.applyInPandas(lambda key, a, b: _meet(key, a, b, k), "query long, number int, id long, score long")
-    best = F.row_number().over(Window.partitionBy("query", "number").orderBy(F.desc("score"), "id"))
+    found = met.applyInArrow(lambda a, b: _meet(a, b, k), "query long, number long, id long, score long")
+    best = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), "id"))
     ranked = found.withColumn("rank", best).where(F.col("rank") <= k)
     return ranked.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")

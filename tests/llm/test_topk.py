@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -85,3 +86,27 @@ def test_sums_of_slices_are_inner_products(seed):
     assert sorted(block.top(query, k).tolist()) == sorted(best)
     own = int(rng.integers(0, len(values)))
     assert own not in block.top(query, k, own).tolist()
+
+
+def test_one_id_on_a_third_of_the_rows(spark):
+    rng = random.Random(4)
+    rows = [(50 if k % 3 == 0 else k, [rng.uniform(-1, 1) for _ in range(4)]) for k in range(90)]
+    assert run(spark, rows, block_rows=16, query_rows=4) == brute(rows)
+
+
+def test_components_beyond_64_bit_scores_are_an_error(spark):
+    with pytest.raises(ValueError, match="64 bits"):
+        run(spark, [(50, [1e30]), (1, [1.0])])
+
+
+def test_an_index_of_many_attributes_is_little_more_than_its_rows():
+    values = np.random.default_rng(1).integers(-256, 256, (topk.BLOCK_ROWS, 1536))
+    tracemalloc.start()
+    block = topk.BitSliced(values)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert block.slices.nbytes <= 9 * values.size / 8 + 1 and most < 64 << 20
+    best = block.top(values[7], 5, 7)
+    scores = values @ values[7]
+    scores[7] = scores.min()
+    assert sorted(best.tolist()) == sorted(np.argsort(-scores, kind="stable")[:5].tolist())
