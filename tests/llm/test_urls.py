@@ -110,11 +110,78 @@ def test_pattern_rules(spark, url, verdict, pattern):
 
 
 def test_rarest_token_and_rules_without_one():
-    rules = [urls.Rule("a", "block", "common rare", ("common", "rare")), urls.Rule("b", "block", ".*", ())]
+    rules = [urls.Rule("a", "block", "/common/rare/"), urls.Rule("b", "block", ".*")]
     index, always = urls.rarest(rules, {"common": 10, "rare": 1})
     assert index == {"rare": [0]} and always == [1]
 
 
+@pytest.mark.parametrize(
+    ("pattern", "tokens"),
+    [
+        ("ads", ()),  # may lie within a longer token
+        ("^ads", ()),
+        ("^ads$", ("ads",)),
+        ("/ads/", ("ads",)),
+        ("/ads[/?]", ("ads",)),
+        ("/ads[/0]", ()),
+        ("/ads/?x", ("ads",)[:0]),
+        ("/ads(?:/x)?/", ("ads",)),
+        ("/ads(?:x/)?/", ()),
+        ("^(?:[^?]*[.])?Example[.]org", ("example",)),
+        ("/(?:a|b)c/", ()),
+        ("/a{2}/", ()),
+        (r"\.co\.uk\?", ("co", "uk")),
+        ("(?i)/ads/", ()),
+        ("(?ai)/ADS/", ("ads",)),
+        (r"/ads\b", ()),
+        ("/x(?=/)/y/", ("x", "y")),
+    ],
+)
+def test_tokens_come_from_the_pattern(pattern, tokens):
+    assert urls.literal_tokens(pattern) == tokens
+
+
+def test_tokens_of_a_pattern_are_in_every_match():
+    rng = random.Random(5)
+    parts = ["a", "x", "/", "/", "-", ".*", "[^a-z]", "[a-z]", "(?:/a)?", "(?:a/)?", "(?:x|/a)", "^", "$", "a+", "7"]
+    texts = ["".join(rng.choices("ax7///-", k=rng.randint(1, 12))) for _ in range(600)]
+    seen = 0
+    for _ in range(1500):
+        pattern = "".join(rng.choices(parts, k=rng.randint(1, 6)))
+        tokens = urls.literal_tokens(pattern)
+        for text in texts if tokens else ():
+            if re.search(pattern, text):
+                seen += 1
+                assert set(tokens) <= urls.url_tokens(text), (pattern, text)
+    assert seen > 500
+
+
+def test_filter_lists(spark):
+    lines = ["[Adblock Plus 2.0]", "! comment", "||ads.example.com^", "@@||ads.example.com/ok/", "/banner/*", "|http://start.net/x", "-promo.gif|", "##.ad", "||opt.com^$third-party", ""]
+    rules = urls.read_rules(lines)
+    assert [r.verdict for r in rules] == ["block", "allow", "block", "block", "block"]
+    assert rules[0].tokens == ("ads", "example", "com") and rules[2].tokens == ("banner",)
+    cases = {
+        "http://ads.example.com/": "block",
+        "http://ADS.example.com": "block",
+        "http://x.ads.example.com/a": "block",
+        "http://ads.example.com/ok/a": "allow",
+        "http://bads.example.com/": "allow",
+        "http://ads.example.community/": "allow",
+        "http://h.org/a/Banner/x": "block",
+        "http://h.org/a/banners/x": "allow",
+        "http://start.net/xy": "block",
+        "http://a.start.net/xy": "allow",
+        "http://h.org/a-promo.gif": "block",
+        "http://h.org/a-promo.gif.html": "allow",
+        "http://opt.com/": "allow",
+    }
+    found = urls.url_filter(spark.createDataFrame(list(enumerate(cases)), SCHEMA), rules).collect()
+    assert {list(cases)[x["page_id"]]: x["verdict"] for x in found} == cases
+    with pytest.raises(ValueError, match="regular expression"):
+        urls.read_rules(["/ads[0-9]+/"])
+
+
 def test_empty_table_long_url_and_clashing_columns(spark):
     assert urls.url_filter(spark.createDataFrame([], SCHEMA)).count() == 0
     row = urls.url_filter(spark.createDataFrame([(1, "http://x.org/" + "a/" * 200_000, 5, 6)], SCHEMA + ", host int, rule int")).first()
