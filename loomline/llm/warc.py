@@ -13,7 +13,6 @@ from typing import IO
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loomline.llm.common import slices
 from loomline.llm.files import attempt_name, create, open_at
@@ -56,8 +55,10 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     """Archives of one gzip member per row below ``folder``; returns (path, records) of each, written already.
 
     Of rows with equal payloads of at least REVISIT_LEAST bytes the one with the largest id is a response and the
-    others revisit it; of several rows with that id, one. All other rows, and so null and empty texts, are
-    responses. A null id is smaller than any other. An empty table has no archives.
+    others revisit it; of several rows with that id, one with the first url. All other rows, and so null and empty texts,
+    are responses. A null id is smaller than any other, and a null url is an empty one. Urls and texts are written whole,
+    whatever their length, and are read back whole. Further columns have no part, whatever their names. An empty table
+    has no archives.
     """
     ship(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit(""))
@@ -68,9 +69,16 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     joined = rows.join(copies, F.col("digest") == F.col("copied"), "left").withColumn("first", F.col("page").eqNullSafe(F.col("top")))
     again = rows.where("digest is not null").groupBy("digest", "page").count().where("count > 1")
     if not again.isEmpty():
+        # of those with the first url, which are all the same, one
         tops = joined.where("copied is not null and first")
-        numbered = tops.withColumn("first", F.row_number().over(Window.partitionBy("digest").orderBy("uri")) == 1)
-        joined = numbered.unionByName(joined.where("copied is null or not first"))
+        least = tops.groupBy("digest").agg(F.min("uri").alias("least")).withColumnRenamed("digest", "of")
+        told = tops.join(cut(least), F.col("digest") == F.col("of")).drop("of")
+        same = told.where("uri = least").groupBy("digest").agg(
+            F.count("*").alias("n"), *(F.first(x).alias(x) for x in joined.columns if x not in ("digest", "first"))
+        )
+        one = same.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumn("first", F.col("k") == 1)
+        others = told.where("uri <> least").withColumn("first", F.lit(False))
+        joined = one.select(joined.columns).unionByName(others.select(joined.columns)).unionByName(joined.where("copied is null or not first"))
     kinds = joined.select(
         "page", "uri", "html", F.when(F.col("copied").isNotNull() & ~F.col("first"), "revisit").otherwise("response").alias("kind"), "top"
     )

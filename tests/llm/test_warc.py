@@ -62,6 +62,21 @@ def test_repeated_rows_have_one_response(spark):
     assert {x[4] for x in found if x[3] == "revisit"} == {5}
 
 
+def test_copies_without_an_id_have_one_response(spark):
+    rows = [(None, f"u{k % 7}", "z" * 2000) for k in range(40)] + [(None, None, "z" * 2000)] * 3 + [(None, "u", "short")] * 2
+    found = [tuple(x) for x in warc.record_digest(round_trip(spark, rows)[0]).collect()]
+    assert sorted(x[3] for x in found) == ["response"] * 3 + ["revisit"] * 42
+    assert all(x[0] is None and x[4] is None for x in found)
+
+
+def test_clashing_columns(spark):
+    rows = [(k, "u", "z" * 2000, "d", "x", 1, 2, "c") for k in (1, 2)]
+    names = ", digest string, uri string, top int, n int, copied string"
+    files = warc.write_warc(spark.createDataFrame(rows, SCHEMA + names), fresh_dir(spark, "warc"))
+    found = warc.record_digest(warc.read_warc(files)).collect()
+    assert sorted((x["page_id"], x["record_type"], x["refers_to"]) for x in found) == [(1, "revisit", 2), (2, "response", None)]
+
+
 def test_empty_table(spark):
     assert round_trip(spark, [])[0].count() == 0
 
