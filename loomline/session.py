@@ -30,11 +30,14 @@ def local_session(app: str = "loomline", cores: str = "*", partitions: int = 8)
 def shared_dir(spark: SparkSession) -> str:
     """The folder of the session's ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the cluster names none (tests, one machine) a temporary folder becomes the checkpoint folder.
+    Where none is named a temporary folder becomes the checkpoint folder, but only on one machine (tests): elsewhere it
+    would be another folder on each, so that this is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='loomline-checkpoint-')}")
     return sc.getCheckpointDir()
 
@@ -50,6 +53,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Removes a folder of any file system that Spark knows; one that isn't there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*cuts: DataFrame) -> None:
+    """Removes the files of results of ``cut`` that nothing reads any more."""
+    for df in cuts:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            remove_dir(df.sparkSession, file.get())
+
+
 #: Arrow batches between the JVM and Python, where the session has Spark's defaults: a batch of long texts takes its
 #: size several times over, in both processes and for each core.
 BATCHES = {
