@@ -13,7 +13,7 @@ from loomline.llm.quality import keep_quality
 from loomline.llm.secrets import mask_secrets
 from loomline.llm.simhash import drop_near_copies
 from loomline.llm.vocabularies import BYTE_BPE, BYTE_BPE_RANKS, PIECES
-from loomline.session import fresh_dir, table
+from loomline.session import fresh_dir, remove_dir, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,9 +50,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn on ``documents``, each result written to the shared folder and read again."""
-    docs, folder = table(spark, sf_dir, "documents"), fresh_dir(spark, "pipeline")
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+    """The stages in turn on ``documents``, each result written to the shared folder and read again.
+
+    What a stage has read is removed when its own result is written, so that one copy of the documents is left, which the
+    last stage reads.
+    """
+    docs, read = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        folder = fresh_dir(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+        if read:
+            remove_dir(spark, read)
+        read = folder
     return STAGES[-1][1](spark, docs, sf_dir)
