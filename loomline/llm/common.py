@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.session import cut, ship
+from loomline.session import cut, discard, ship
 
 #: Words of all contracts: runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 #: bytes.split() without arguments splits at exactly these six.
@@ -93,8 +93,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        discard(now, least)
         least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(large, least)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

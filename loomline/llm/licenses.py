@@ -28,6 +28,9 @@ IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC = _ISC_GRANT + """
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
@@ -60,6 +63,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Dedicated to the public domain under CC0 1.0.",
         "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES.",
     ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+        'Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT"). ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT\'S ACCEPTANCE OF THIS AGREEMENT.',
+    ),
     "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", _GNU % (";", "", ";", "2"), _GNU_OPENING % ("", "2, June 1991", "1989, 1991", _OLD_HOME)),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -67,6 +75,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: GPL-3.0-or-later",
         _GNU_OPENING % ("", "3, 29 June 2007", "2007", "https://fsf.org/ "),
     ),
+    "ISC": (_ISC, _ISC_GRANT, "SPDX-License-Identifier: ISC"),
     "LGPL-2.1": (_GNU.replace("program", "library") % (";", "Lesser ", ";", "2.1"), _GNU_OPENING % ("LESSER ", "2.1, February 1999", "1991, 1999", _OLD_HOME)),
     "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later", _GNU % (":", "Lesser ", ",", "3"), _GNU_OPENING % ("LESSER ", "3, 29 June 2007", "2007", "https://fsf.org/ ")),
     "MIT": (
@@ -76,6 +85,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         _MIT,
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
 }
 LEAST = 0.8
 #: Base names of files whose licence holds for their directory.
@@ -335,7 +349,9 @@ def inherit(scanned: DataFrame) -> DataFrame:
 def licence_scan(files: DataFrame, **how) -> DataFrame:
     """doc_id, path, licence, score (cosine, of a file's own text), origin and from_dir of each file.
 
-    A null or empty text states no licence; a null path is a file in the root directory. Null ids and repeated rows
-    are scanned like any other; an empty table gives an empty result.
+    A null or empty text states no licence; a null path is a file in the root directory. Texts of any length are scanned
+    whole. Of equally near licences the first by name is stated, and the first of equally near ones in a directory is
+    handed down. Null ids and repeated rows are scanned like any other; further columns have no part, whatever their
+    names. An empty table gives an empty result.
     """
     return inherit(scan_licences(files, **how))

@@ -35,12 +35,15 @@ class Band:
     floor: float = 1.0  # times ENTROPY_FLOOR
 
 
-#: By language tag, then by script. Scripts that the vocabulary spells in bytes have other bands than Latin.
+#: By language tag.
 BANDS: Mapping[str, Band] = {
     "en": Band((1.5, 6.0), 0.12),
     "de": Band((1.5, 6.0), 0.12),
     "fr": Band((1.3, 6.0), 0.12),
     "es": Band((1.3, 6.0), 0.12),
+}
+#: By script, for texts of other languages. Scripts that the vocabulary spells in bytes have other bands than Latin.
+SCRIPT_BANDS: Mapping[str, Band] = {
     "latin": Band((1.1, 6.5), 0.25, 0.95),
     "cyrillic": Band((1.0, 5.5), 0.25, 0.95),
     "greek": Band((0.7, 4.0), 0.40, 0.9),
@@ -143,7 +146,7 @@ def fits(band: Band, n: int, chars: float, fallback: float, bits: float) -> bool
     return n < MIN_TOKENS or band.chars[0] <= chars <= band.chars[1] and fallback <= band.fallback and bits >= band.floor * floor_of(n)
 
 
-def judge(texts: list[bytes], langs: list[str], path: str, bands: Mapping[str, Band]) -> list[tuple]:
+def judge(texts: list[bytes], langs: list[str], path: str, bands: Mapping[str, Band] = BANDS, scripts: Mapping[str, Band] = SCRIPT_BANDS) -> list[tuple]:
     """A tuple in the order of COLUMNS for each text."""
     model, fallback = vocabulary_model(path)
     out = []
@@ -152,38 +155,44 @@ def judge(texts: list[bytes], langs: list[str], path: str, bands: Mapping[str, B
         base = base_counts(text)
         measured = fertility(np.array(model.encode(whole, num_threads=1), np.int64), fallback, base[1])
         failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEATED * base[0]
-        band = lang if lang in bands else script_of(whole)
-        out.append((*base, failed, not failed and fits(bands[band], *measured), band, *measured))
+        name = lang if lang in bands else script_of(whole)
+        band = bands[lang] if lang in bands else scripts[name]
+        out.append((*base, failed, not failed and fits(band, *measured), name, *measured))
     return out
 
 
 COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, band string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double"
 
 
-def quality_rules(docs: DataFrame, vocabulary: str, bands: Mapping[str, Band] = BANDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def quality_rules(docs: DataFrame, vocabulary: str, bands: Mapping[str, Band] = BANDS, scripts: Mapping[str, Band] = SCRIPT_BANDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id and COLUMNS for each row of ``docs``; ``vocabulary`` is the path of a public sentencepiece model.
 
     Null and empty texts have no words and fail the base rule. A null or unknown language takes the band of the
-    text's main script. Rows with null ids and repeated rows are judged like any other, row by row; an empty table
-    gives an empty result. Texts are measured whole, whatever their length.
+    text's main script, of equally common scripts the first by name. Rows with null ids and repeated rows are judged like
+    any other, row by row; an empty table gives an empty result. Texts are measured whole, whatever their length. Further
+    columns have no part, whatever their names.
     """
     names = [x.split()[0] for x in COLUMNS.split(", ")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = judge(as_bytes(batch.column("text")), as_texts(batch.column("lang")), vocabulary, bands)
+        rows = judge(as_bytes(batch.column("text")), as_texts(batch.column("lang")), vocabulary, bands, scripts)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in zip(*rows, strict=True))], ["doc_id", *names])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     return map_batches(rows, work, f"doc_id long, {COLUMNS}")
 
 
-def keep_quality(docs: DataFrame, vocabulary: str, bands: Mapping[str, Band] = BANDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns as they are."""
+def keep_quality(docs: DataFrame, vocabulary: str, bands: Mapping[str, Band] = BANDS, scripts: Mapping[str, Band] = SCRIPT_BANDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns as they are.
+
+    Null and empty texts go. Rows are judged one by one, on their whole texts: null ids, repeated rows, of which all or
+    none stay, and empty tables need no rule, and other columns may hold nulls and have any names.
+    """
     text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
     kept = [x.split()[0] for x in COLUMNS.split(", ")].index("kept")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = judge(as_bytes(batch.column(text)), as_texts(batch.column(lang)), vocabulary, bands)
+        rows = judge(as_bytes(batch.column(text)), as_texts(batch.column(lang)), vocabulary, bands, scripts)
         return batch.filter(pa.array([x[kept] for x in rows]))
 
     return map_batches(docs, work, docs.schema)

@@ -138,6 +138,12 @@ def wrapped(text, width, mark=""):
     return "\n".join(mark + x if x else mark.rstrip() for part in text.split("\n") for x in textwrap.wrap(part, width))
 
 
+def test_equal_and_very_long_texts(spark):
+    given = [(1, "a/x", PROSE * 40_000 + MIT), (2, "b/LICENSE", APACHE + "\n" + APACHE), (3, "b/LICENSE", MIT), (4, "b/LICENSE", MIT), (5, "b/y", None)]
+    found = {x["doc_id"]: (x["licence"], x["origin"]) for x in licenses.licence_scan(spark.createDataFrame(given, SCHEMA)).collect()}
+    assert found == {1: ("MIT", "header"), 2: ("Apache-2.0", "file"), 3: ("MIT", "file"), 4: ("MIT", "file"), 5: ("Apache-2.0", "inherited")}
+
+
 @pytest.mark.parametrize("width,mark", [(30, "// "), (60, " * "), (76, "")])
 def test_licences_that_are_wrapped_over_lines_are_found(spark, width, mark):
     texts = {}

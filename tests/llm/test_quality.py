@@ -106,6 +106,11 @@ def test_scripts(text, script):
     assert quality.script_of(text) == script
 
 
+def test_tags_that_are_names_of_scripts_take_the_band_of_the_text(spark):
+    docs = spark.createDataFrame([(k, prose(7), lang) for k, lang in enumerate(["other", "han", "xx", "", None])], SCHEMA)
+    assert {x["band"] for x in quality.quality_rules(docs, PIECES).collect()} == {"latin"}
+
+
 def test_repeated_junk_goes_and_rows_keep_their_columns(spark):
     junk = " ".join(f"{a} {b}" for a in "abcdefgh" for b in "ijklmnop") + " " + " ".join("zz yy xx".split() * 3)
     docs = spark.createDataFrame(
