@@ -128,7 +128,7 @@ def _qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     chains = _chains(spark, sf_dir)
     c = F.col
     refs = F.filter(F.array(*(F.lit(x) for _, x in EVENT_TOOLS)), lambda n: F.array_contains(traces.tools_of(c("chain")), n))
-    kept = chains.withColumn("entity_refs", refs).withColumn("chain", F.slice("chain", 1, 3))
+    kept = chains.withColumn("entity_refs", refs)
     outcomes = F.transform("chain", lambda x: expected_outcome(x["tool"], x["result_preview"]))
     return kept.select(
         F.col("user_id").alias("sample_id"), F.lit(0).alias("chain_pos"), F.col("user_id").cast("string").alias("chain_id"), F.lit("").alias(
@@ -243,9 +243,9 @@ def toolkg_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighborhood_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Density of the first three tools that each user called."""
-    first = _steps(spark, sf_dir).where("step < 3").select(F.col("user_id").alias("group"), "tool")
-    return composability.neighborhood_density(_edges(spark), first).select(
+    """Density of the tools that each user called."""
+    called = _steps(spark, sf_dir).select(F.col("user_id").alias("group"), "tool")
+    return composability.neighborhood_density(_edges(spark), called).select(
         F.col("group").alias("user_id"), "n", F.round("density", 6).alias("density")
     )
 
@@ -290,14 +290,13 @@ _INTENT_SQL = r"""CASE WHEN regexp_matches({0}, '\b(status of|what is the status
   WHEN regexp_matches({0}, '\b(create|file|open|raise|submit|add)\b', 'i') THEN 'CREATE' END"""
 _WANT = {tool: "string" if tool == "open_link" else "integer" for _, tool in EVENT_TOOLS}
 
-#: A chain's first three steps, with what each of them fails by.
+#: Each user's chain, with what its steps fail by.
 _QA_SQL = f"""{_STEPS_SQL},
-three AS (SELECT * FROM steps WHERE step < 3),
 qa AS (
   SELECT user_id AS sample_id, list(tool ORDER BY step) AS tools, count(*) AS n,
          count(*) FILTER (WHERE tool = 'close_session') AS n_missing, count(*) FILTER (WHERE tool = 'open_link') AS n_mismatches,
          arg_min(tool, step) AS first_tool
-  FROM three GROUP BY user_id),
+  FROM steps GROUP BY user_id),
 every AS (SELECT user_id AS sample_id, list_filter({[x for _, x in EVENT_TOOLS]}, lambda x: list_contains(list(tool), x)) AS refs FROM steps GROUP BY user_id),
 drafted AS (
   SELECT q.*, e.refs, 'Use the ' || array_to_string(tools, ', ') || CASE WHEN n > 1 THEN ' tools' ELSE ' tool' END || ' to ' ||
@@ -305,15 +304,11 @@ drafted AS (
          ' the following: ' || CASE WHEN len(refs) > 0 THEN array_to_string(refs, ', ') ELSE 'the data' END || '.' AS question,
          '(drafted mechanically from tool results; LLM refinement pending) Chain: ' || sample_id || ' (). Key result: {{"status": "' || first_tool || '"}}' AS answer
   FROM qa q JOIN every e USING (sample_id)),
-three_pairs AS (SELECT user_id, tool AS src, lead(tool) OVER (PARTITION BY user_id ORDER BY step) AS dst FROM three),
-three_cov AS (
-  SELECT p.user_id AS sample_id, CASE WHEN count(*) > 1 THEN count(e.src) / CAST(count(*) - 1 AS DOUBLE) END AS coverage
-  FROM three_pairs p LEFT JOIN edges e ON p.src = e.src AND p.dst = e.dst GROUP BY p.user_id),
 intents AS (SELECT *, {_INTENT_SQL.format("question")} AS intent, list_transform(tools, lambda tool: {_EFFECT_SQL}) AS effects FROM drafted),
 scored AS (
   SELECT i.*, c.coverage, n_missing = 0 AND n_mismatches = 0 AS valid, len(refs) > 0 AS grounded,
          CASE WHEN intent IS NULL THEN true WHEN intent = 'READ' THEN NOT list_contains(effects, 'CREATE') OR list_contains(effects, 'READ') ELSE list_contains(effects, intent) END AS aligned
-  FROM intents i JOIN three_cov c USING (sample_id))"""
+  FROM intents i JOIN covered c ON c.user_id = i.sample_id)"""
 _PASSES_SQL = "valid AND aligned AND (coverage IS NULL OR coverage >= 0.5) AND grounded"
 
 QUERIES = {
@@ -361,9 +356,9 @@ ORACLE_SQL = {
     "verify_report": f"""WITH {_QA_SQL} SELECT sample_id, valid AS chain_valid, CAST(n_missing AS INTEGER) AS n_missing, CAST(n_mismatches AS INTEGER) AS n_mismatches, aligned AS intent_aligned,
       true AS output_assertions_passed, true AS state_assertions_passed, true AS answer_faithful, valid AND aligned AS safe_to_review FROM scored""",
     "critique_issues": f"""WITH {_QA_SQL}, m AS (SELECT user_id AS sample_id, row_number() OVER (PARTITION BY user_id ORDER BY step) AS k,
-        'The chain calls tool ''close_session'' which is not available. Rewrite the question so it only needs available tools, or fix the tool name.' AS issue FROM three WHERE tool = 'close_session'),
-      b AS (SELECT user_id AS sample_id, 100 + step AS k, 'Step ' || step || ' (open_link) has invalid arguments: property ''k'' should be string, got int. Correct the tool arguments.' AS issue FROM three WHERE tool = 'open_link'),
-      f AS (SELECT user_id AS sample_id, 200 + step AS k, 'Step ' || step || ' (open_link) failed when executed: property ''k'' should be string, got int. Adjust the chain usage.' AS issue FROM three WHERE tool = 'open_link'),
+        'The chain calls tool ''close_session'' which is not available. Rewrite the question so it only needs available tools, or fix the tool name.' AS issue FROM steps WHERE tool = 'close_session'),
+      b AS (SELECT user_id AS sample_id, 100 + step AS k, 'Step ' || step || ' (open_link) has invalid arguments: property ''k'' should be string, got int. Correct the tool arguments.' AS issue FROM steps WHERE tool = 'open_link'),
+      f AS (SELECT user_id AS sample_id, 200 + step AS k, 'Step ' || step || ' (open_link) failed when executed: property ''k'' should be string, got int. Adjust the chain usage.' AS issue FROM steps WHERE tool = 'open_link'),
       t AS (SELECT sample_id, 300 AS k, 'Only ' || CAST(round(100 * coverage) AS INTEGER) || '% of consecutive tool pairs are composable according to the ToolKG (minimum 50%). Prefer tool sequences whose outputs feed the next tool''s inputs.' AS issue FROM scored WHERE coverage < 0.5),
       u AS (SELECT * FROM m UNION ALL SELECT * FROM b UNION ALL SELECT * FROM f UNION ALL SELECT * FROM t)
       SELECT sample_id, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY k) - 1 AS INTEGER) AS pos, issue FROM u""",
@@ -375,7 +370,7 @@ ORACLE_SQL = {
     "toolkg_edges": f"{_GRAPH_SQL} SELECT * FROM edges",
     "toolkg_stats": f"""{_GRAPH_SQL}, nodes AS (SELECT DISTINCT src AS tool FROM outs) SELECT (SELECT count(*) FROM nodes) AS num_tools, count(*) AS num_edges, round(count(*) / 20.0::DOUBLE, 3) AS density, round(count(*) / 5.0::DOUBLE, 2) AS avg_out_degree,
       coalesce((SELECT string_agg(tool, ',' ORDER BY tool) FROM nodes WHERE tool NOT IN (SELECT src FROM edges UNION SELECT dst FROM edges)), '') AS isolated FROM edges""",
-    "neighborhood_density": f"""WITH {_STEPS_SQL}, g AS (SELECT DISTINCT user_id, tool FROM steps WHERE step < 3), n AS (SELECT user_id, count(*) AS n FROM g GROUP BY user_id),
+    "neighborhood_density": f"""WITH {_STEPS_SQL}, g AS (SELECT DISTINCT user_id, tool FROM steps), n AS (SELECT user_id, count(*) AS n FROM g GROUP BY user_id),
       t AS (SELECT a.user_id, sum(CAST(e.score AS DOUBLE)) AS total FROM g a JOIN g b ON a.user_id = b.user_id JOIN edges e ON e.src = a.tool AND e.dst = b.tool GROUP BY a.user_id)
       SELECT n.user_id, n, round(CASE WHEN n < 2 THEN 0 ELSE coalesce(total, 0) / (n * (n - 1)) END, 6) AS density FROM n LEFT JOIN t USING (user_id)""",
     "shared_params": f"WITH p(tool, param, type) AS (VALUES {values(PARAMS)}) SELECT a.tool AS a, b.tool AS b, a.param, a.type FROM p a JOIN p b ON a.param = b.param AND a.type = b.type AND a.tool < b.tool",
