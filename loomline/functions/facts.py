@@ -27,7 +27,7 @@ MUTATING_VERBS = (
     "submit",
     "cancel",
 )
-#: Verbs of a request by the tool's verb.
+# Verbs of a request by the tool's verb, and the answer where none was drafted.
 REQUEST_VERBS = {
     "create": "create", "open": "open", "add": "add", "file": "file", "get": "look up", "fetch": "fetch", "retrieve": "retrieve",
     "search": "search", "find": "find", "list": "list", "lookup": "look up", "update": "update", "modify": "modify",

@@ -187,6 +187,9 @@ def refine(rows: DataFrame, catalog: DataFrame, edges: DataFrame | None, entitie
 
     def gated(df: DataFrame) -> DataFrame:
         scored = score(df, catalog, edges, entities, **how).withColumn("kept", passes(config))
+        if keep is None:
+            return cut(scored.withColumn("accepted", F.col("kept")))
+        scored = cut(scored)
         good = semantic_filter(scored.where("kept"), keep)
         return cut(good.unionByName(scored.where("not kept").withColumn("accepted", F.lit(False))))
 

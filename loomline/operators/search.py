@@ -59,9 +59,6 @@ def agreement(judged: DataFrame) -> DataFrame:
             "latency_max"
         ),
     )
-    # the upper median: the value at place n div 2 from 0 on, from counts by value, so that no list is built
-    counts = judged.groupBy("latency_ms").agg(F.count("*").alias("k"))
-    upto = counts.withColumn("upto", F.sum("k").over(Window.orderBy("latency_ms")))
-    size = judged.agg(F.count("*").alias("size"))
-    median = upto.join(F.broadcast(size)).where("upto > size div 2").agg(F.min("latency_ms").alias("latency_p50"))
-    return found.join(median)
+    # the upper median: the value at place n div 2 from 0 on
+    upper = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY latency_ms DESC)").cast(judged.schema["latency_ms"].dataType)
+    return found.join(judged.agg(upper.alias("latency_p50")))

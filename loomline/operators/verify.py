@@ -25,34 +25,37 @@ ACCEPTED = {
 VALUE_NAMES = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "VOID": "NoneType"}
 
 
-def value_name(json: Column, key: Column) -> Column:
-    """What kind of value a JSON object has under a key."""
-    raw = F.call_function("try_variant_get", F.try_parse_json(json), F.concat(F.lit('$["'), key, F.lit('"]')), F.lit("variant"))
-    kind = F.schema_of_variant(raw)
+def value_name(kind: Column) -> Column:
+    """What a JSON value is called, by its variant's schema."""
     named = F.create_map(*(F.lit(x) for pair in VALUE_NAMES.items() for x in pair))
     return F.when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "dict").when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float").otherwise(
         F.coalesce(F.try_element_at(named, kind), F.lit("NoneType"))
     )
 
 
-def schema_problems(tool_input: Column, schema: Column) -> Column:
+def declared(schema: Column) -> tuple[Column, Column]:
+    """The required properties of a JSON schema, and its properties' types by name; once for each tool."""
+    parsed = F.from_json(schema, "required array<string>, properties map<string, struct<type:string>>")
+    types = F.transform_values(parsed["properties"], lambda _, x: x["type"])
+    return F.coalesce(parsed["required"], F.array().cast("array<string>")), F.coalesce(types, F.create_map().cast("map<string,string>"))
+
+
+def schema_problems(tool_input: Column, required: Column, types: Column) -> Column:
     """What is wrong with an input: required properties it lacks, then values of another type than declared."""
     keys = F.json_object_keys(tool_input)
-    required = F.coalesce(F.from_json(F.get_json_object(schema, "$.required"), "array<string>"), F.array().cast("array<string>"))
     missing = F.transform(
         F.filter(required, lambda x: ~F.array_contains(keys, x)), lambda x: F.concat(F.lit("missing required property '"), x, F.lit("'"))
     )
-
-    def wrong(key: Column) -> Column:
-        want = F.call_function("get_json_object", schema, F.concat(F.lit("$.properties['"), key, F.lit("'].type")))
-        got = value_name(tool_input, key)
-        bad = F.lit(False)
-        for kind, names in ACCEPTED.items():
-            bad = bad | ((want == kind) & ~got.isin(*names))
-        return F.when(bad, F.concat(F.lit("property '"), key, F.lit("' should be "), want, F.lit(", got "), got))
-
-    types = F.filter(F.transform(keys, wrong), lambda x: x.isNotNull())
-    return F.when(keys.isNull(), F.array(F.lit("tool_input is not an object"))).otherwise(F.concat(missing, types))
+    accepted = F.create_map(*(x for kind, names in ACCEPTED.items() for x in (F.lit(kind), F.array(*map(F.lit, names)))))
+    # the input is parsed once, each value's type is taken once
+    values = F.map_entries(F.from_json(tool_input, "map<string, variant>"))
+    kinds = F.transform(values, lambda x: F.struct(x["key"].alias("key"), F.schema_of_variant(x["value"]).alias("kind")))
+    named = F.transform(kinds, lambda x: F.struct(x["key"].alias("key"), F.try_element_at(types, x["key"]).alias("want"), value_name(x["kind"]).alias("got")))
+    wrong = F.filter(named, lambda x: ~F.coalesce(F.array_contains(F.try_element_at(accepted, x["want"]), x["got"]), F.lit(True)))
+    told = F.transform(wrong, lambda x: F.concat(F.lit("property '"), x["key"], F.lit("' should be "), x["want"], F.lit(", got "), x["got"]))
+    return F.when(keys.isNull(), F.array(F.lit("tool_input is not an object"))).otherwise(
+        F.concat(missing, F.coalesce(told, F.array().cast("array<string>")))
+    )
 
 
 def explode_steps(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,10 +69,12 @@ def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: Da
     executed. Execution is looked up in ``replay`` (tool, tool_input, error: null if it went well) or tried with the
     functions of ``registry``; with neither, it counts as well. A failed step doesn't stop later ones.
     """
-    steps = explode_steps(rows, keys).join(catalog.select("tool", "input_schema", F.lit(True).alias("known")), "tool", "left")
+    required, types = declared(F.col("input_schema"))
+    known = catalog.select("tool", required.alias("required"), types.alias("types"), F.lit(True).alias("known"))
+    steps = explode_steps(rows, keys).join(known, "tool", "left")
     checked = steps.withColumn("missing", F.col("known").isNull()).withColumn(
         "problems",
-        F.when(F.col("missing"), F.array().cast("array<string>")).otherwise(schema_problems(F.col("tool_input"), F.col("input_schema"))),
+        F.when(F.col("missing"), F.array().cast("array<string>")).otherwise(schema_problems(F.col("tool_input"), F.col("required"), F.col("types"))),
     )
     if replay is not None:
         ran = checked.join(replay.select("tool", "tool_input", F.col("error").alias("ran")), ["tool", "tool_input"], "left")

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from loomline.functions import redaction
 from loomline.functions.text import canon, clipped, estimate_tokens, normalize_question, truncate
 from loomline.operators import corpus, credentials, metrics, mix, release, search, traces
-from loomline.session import table
+from loomline.session import cut, table
 
 SEED = 42
+#: Runs of words of the benchmark (8 bytes each) that are sent to all tasks; more are joined by a shuffle.
+HELD_GRAMS = 1 << 21
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +152,9 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share a run of eight words with a benchmark item."""
     grams = lambda df, key: df.select(key, F.split(canon(F.col("text")), " ").alias("w")).select(key, F.explode(F.when(F.size("w") >= 8, F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 7, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(8)), " "))))).alias("gram"))
-    held = grams(table(spark, sf_dir, "benchmark"), "item_id").select("gram").distinct()
+    held = cut(grams(table(spark, sf_dir, "benchmark"), "item_id").select("gram").distinct())
+    if held.count() <= HELD_GRAMS:  # then the documents' runs need no shuffle
+        held = F.broadcast(held)
     return grams(_docs(spark, sf_dir), "doc_id").join(held, "gram", "left_semi").select("doc_id").distinct()
 
 
@@ -160,9 +164,9 @@ def holdout_leak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def release_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the documents that pass the gate, without those that leak, and one with them."""
-    passed = _judged(spark, sf_dir).where(mix.passes_cutoffs(mix.MixConfig(min_coverage=0.5))).select(F.col("doc_id").alias("id"))
+    passed = cut(_judged(spark, sf_dir).where(mix.passes_cutoffs(mix.MixConfig(min_coverage=0.5))).select(F.col("doc_id").alias("id")))
     toxic = table(spark, sf_dir, "labels").agg(F.count_if(F.col("toxic") == 1).alias("n_failure_variants"))
-    leaks = _leaks(spark, sf_dir).select(F.col("doc_id").alias("id"))
+    leaks = cut(_leaks(spark, sf_dir).select(F.col("doc_id").alias("id")))
     n_valid = mix.valid_count(F.col("n_accepted"), 0.1)
 
     def facts(accepted: DataFrame, name: str) -> DataFrame:

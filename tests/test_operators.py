@@ -306,7 +306,7 @@ TYPED = '{"properties": {"s": {"type": "string"}, "i": {"type": "integer"}, "n":
 )
 def test_schema_problems(spark, given, problems):
     df = spark.createDataFrame([(given, TYPED)], "i string, s string")
-    assert df.select(verify.schema_problems(F.col("i"), F.col("s"))).first()[0] == problems
+    assert df.select(verify.schema_problems(F.col("i"), *verify.declared(F.col("s")))).first()[0] == problems
 
 
 def qa(
