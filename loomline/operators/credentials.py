@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # What is looked for, by kind.
 KINDS = (
@@ -24,6 +25,22 @@ def findings(texts: DataFrame, path_col: str = "path", text_col: str = "text") -
 
 
 def scan_files(spark, folder: str) -> DataFrame:
-    """Findings in the text files of a folder, those below it included."""
-    files = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
-    return findings(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    """Findings in the text files of a folder, those below it included; files and lines of any length, line by line.
+
+    Spark reads a file in blocks, and a line's place in its block comes with the row: so the lines of each block are
+    counted, and only those with a finding are kept. Parquet files are left out, as they are no text.
+    """
+    files = spark.read.option("recursiveFileLookup", True).text(folder).where(~F.col("_metadata.file_name").endswith(".parquet"))
+    kinds = F.filter(F.array(*(F.when(F.col("value").rlike(p), kind) for kind, p in KINDS)), lambda x: x.isNotNull())
+    lines = files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), kinds.alias("kinds")
+    )
+    blocks = lines.groupBy("path", "block").agg(
+        F.count("*").alias("n"),
+        F.min("id").alias("first"),
+        F.collect_list(F.when(F.size("kinds") > 0, F.struct("id", "kinds"))).alias("found"),
+    )
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    told = blocks.withColumn("before", before).select("path", "before", "first", F.explode("found").alias("x"))
+    number = F.col("before") + F.col("x.id") - F.col("first") + 1
+    return told.select("path", number.cast("long").alias("line_no"), F.explode("x.kinds").alias("kind"))

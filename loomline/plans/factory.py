@@ -228,6 +228,15 @@ class FactoryRun:
         key = F.concat_ws("/", "sample_id", "chain_pos")
         return self.table("kept").withColumn("key", key).withColumn("ord", key)
 
+    def _credentials(self) -> DataFrame:
+        """Findings in all that the run has written: its text files by line, and its tables by row, as JSON."""
+        found = credentials.scan_files(self.spark, self.workdir)
+        for name in documents.names(self.spark, self.path("tables")):
+            rows = self.table(name)
+            texts = rows.select(F.lit(self.path("tables", name)).alias("path"), F.to_json(F.struct(*rows.columns)).alias("text"))
+            found = found.unionByName(credentials.findings(texts).withColumn("line_no", F.lit(0).cast("long")))
+        return found
+
     def run_package(self) -> dict:
         q, o = self.config.quality, self.config.output
         config = mix.MixConfig(
@@ -241,7 +250,7 @@ class FactoryRun:
         for part in ("train", "valid"):
             sinks.write_jsonl(rows.where(F.col("split") == part).select("messages", "provenance"), self.path("sft_mix", part))
         self.found["mix"] = report
-        found = [x.asDict() for x in credentials.scan_files(self.spark, self.path("sft_mix")).limit(100).collect()]
+        found = [x.asDict() for x in self._credentials().orderBy("path", "line_no", "kind").limit(100).collect()]
         if found:
             raise RunFailed("credentials in the outputs: " + ", ".join(f"{x['kind']}@{x['path']}:{x['line_no']}" for x in found[:5]))
         return {"num_train": report["n_train"], "num_valid": report["n_valid"], "secret_scan_clean": True}

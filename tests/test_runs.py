@@ -88,6 +88,36 @@ def test_a_failed_run_says_why_and_is_not_resumed_as_done(spark, folder):
     assert FactoryRun(spark, config).checkpoint("generate") is None
 
 
+def test_credentials_in_any_file_of_the_run_fail_it(spark, folder):
+    (folder / "out").mkdir()
+    (folder / "out" / "leak.txt").write_text("one\ntwo\n" + 'aws_key = "AKIA' + "Q" * 16 + '"\n')
+    with pytest.raises(RunFailed, match=r"leak.txt:3"):
+        FactoryRun(spark, run_config(folder)).run()
+    (folder / "out" / "leak.txt").unlink()
+    tools = [TOOLS[0] | {"description": "Returns AKIA" + "C" * 16}, *TOOLS[1:]]
+    (folder / "catalog.json").write_text(json.dumps(tools))
+    with pytest.raises(RunFailed, match="aws_access_key@.*kg_context.json|aws_access_key@.*catalog"):
+        FactoryRun(spark, run_config(folder)).run()
+    report = json.loads((folder / "out" / "run_report.json").read_text())
+    assert report["status"] == "failed" and report["failed_stage"] == "package"
+
+
+def test_lines_are_numbered_over_the_blocks_of_a_file(spark, tmp_path):
+    from loomline.operators import credentials
+
+    key = "AKIA" + "Z" * 16
+    lines = [f"line {k} " + "x" * (k % 50) + (key if k % 97 == 5 else "") for k in range(4000)]
+    (tmp_path / "a.md").write_text("\n".join(lines))
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "b.json").write_text(key)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = sorted((x["path"].rpartition("/")[2], x["line_no"], x["kind"]) for x in credentials.scan_files(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [("a.md", k + 1, "aws_access_key") for k in range(4000) if k % 97 == 5] + [("b.json", 1, "aws_access_key")]
+
+
 def test_credentials_fail_a_run(spark, folder):
     leaky = json.loads(json.dumps(SAMPLE).replace("a@b.org", "AKIA" + "B" * 16))
     (folder / "samples" / "s0.json").write_text(json.dumps(leaky))
