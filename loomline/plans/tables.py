@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from loomline.operators import probe
 from loomline.session import cut, table
 
-#: Profiled columns and the key by table.
+#: The columns of the profiled tables, all of them, and those that are not numbers.
 PROFILED = {
-    "orders": ["o_orderstatus", "o_totalprice", "o_orderpriority"],
-    "customer": ["c_nationkey", "c_acctbal", "c_mktsegment"],
-    "part": ["p_brand", "p_type", "p_size", "p_retailprice"],
-    "lineitem": ["l_quantity", "l_discount", "l_returnflag", "l_linestatus"],
-}
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+}
+CATEGORIES = ("o_orderstatus", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment", "p_name", "p_brand", "p_type", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
 def _profile(name: str, columns: list[str]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = probe.profile(table(spark, sf_dir, name).select(columns), columns)
+        found = probe.profile(table(spark, sf_dir, name), columns)
         shown = F.array_join(F.transform("top_values", lambda x: F.concat_ws(":", x["value"], x["count"].cast("string"))), ",")
         return found.select(
             "pos",
@@ -38,15 +41,13 @@ def _profile(name: str, columns: list[str]):
 
 
 def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = probe.profile(table(spark, sf_dir, "orders").select("o_orderpriority"))
-    return found.select(F.posexplode("top_values").alias("place", "x")).select("place", "x.value", "x.count")
+    """The most frequent values of all columns that are not numbers."""
+    found = probe.profile(table(spark, sf_dir, "orders"))
+    return found.select("name", F.posexplode("top_values").alias("place", "x")).select("name", "place", "x.value", "x.count")
 
 
 def auto_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-    return probe.auto_targets(probe.profile(table(spark, sf_dir, "part").select(names), names), most=30).select(
-        "pos", "name", "cardinality"
-    )
+    return probe.auto_targets(probe.profile(table(spark, sf_dir, "part")), most=30).select("pos", "name", "cardinality")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,8 +126,8 @@ QUERIES = {f"column_profile_{name}": _profile(name, columns) for name, columns i
 def _profile_sql(name: str, columns: list[str]) -> str:
     parts = []
     for k, c in enumerate(columns):
-        text = c in ("o_orderstatus", "o_orderpriority", "c_mktsegment", "p_brand", "p_type", "l_returnflag", "l_linestatus")
-        value = f"nullif(trim({c}), '')" if text else c
+        text = c in CATEGORIES
+        value = f"nullif(trim(CAST({c} AS VARCHAR)), '')" if text else c
         top = f"(SELECT string_agg(v || ':' || n, ',' ORDER BY n DESC, v) FROM (SELECT {value} AS v, count(*) AS n FROM {name} WHERE {value} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5))" if text else "''"
         low, high, mean = ("CAST(NULL AS DOUBLE)",) * 3 if text else (
             f"CAST(min({c}) AS DOUBLE)", f"CAST(max({c}) AS DOUBLE)", f"round(avg({c}), 2)"
@@ -146,8 +147,14 @@ whole AS (SELECT arg_min(t, (-k, t)) AS p FROM (SELECT t, sum(k) AS k FROM c GRO
 _TRAIN = "(SELECT * FROM folds WHERE fold = 'train')"
 
 ORACLE_SQL = {f"column_profile_{name}": _profile_sql(name, columns) for name, columns in PROFILED.items()} | {
-    "top_values": "SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS INTEGER) AS place, o_orderpriority AS value, count(*) AS count FROM orders GROUP BY o_orderpriority ORDER BY place LIMIT 5",
-    "auto_targets": "SELECT * FROM (SELECT 0 AS pos, 'p_name' AS name, count(DISTINCT p_name) AS cardinality FROM part UNION ALL SELECT 1, 'p_brand', count(DISTINCT p_brand) FROM part UNION ALL SELECT 2, 'p_type', count(DISTINCT p_type) FROM part) WHERE cardinality BETWEEN 2 AND 30",
+    "top_values": " UNION ALL ".join(
+        f"(SELECT '{c}' AS name, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS INTEGER) AS place, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM orders WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY place LIMIT 5)"
+        for c in PROFILED["orders"]
+        if c in CATEGORIES
+    ),
+    "auto_targets": "SELECT * FROM ("
+    + " UNION ALL ".join(f"SELECT {k} AS pos, '{c}' AS name, count(DISTINCT {c}) AS cardinality FROM part" for k, c in enumerate(PROFILED["part"]) if c in CATEGORIES)
+    + ") WHERE cardinality BETWEEN 2 AND 30",
     "majority_baseline": "SELECT round(max(n) / CAST(sum(n) AS DOUBLE), 4) AS baseline FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderpriority)",
     "memorising_probe": f"WITH {_ORDERS_SQL}, {_FIT_SQL.format(_TRAIN)} SELECT count(*) AS n_test, round(avg(CAST(grade = coalesce(best.p, whole.p) AS INTEGER)), 4) AS score FROM folds CROSS JOIN whole LEFT JOIN best ON o_orderstatus = best.v WHERE fold = 'test'",
     "permutation_importance": f"""WITH {_ORDERS_SQL}, {_FIT_SQL.format(_TRAIN)}, t AS (SELECT * FROM folds WHERE fold = 'test'),
