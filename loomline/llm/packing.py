@@ -38,12 +38,12 @@ Config = tuple[int, ...]  # lengths that share a sequence, longest first
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-˿‐-‧]*")
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A run without spaces that the fast encoder would have to merge as one word.
-LONG_RUN = r"\S{4096}"
+LONG_RUN = 4096
 
 
 @lru_cache(maxsize=2)
 def _encoders(vocabulary: str, ranks: str):
-    """The vocabulary's own encoder, the fast one, and a pattern for what only the first treats as it should."""
+    """The vocabulary's own encoder, the fast one, and the added tokens, which only the first knows."""
     import tiktoken
     from tokenizers import Tokenizer
 
@@ -52,7 +52,7 @@ def _encoders(vocabulary: str, ranks: str):
     with open(ranks, "rb") as lines:
         table = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("same vocabulary", pat_str=GPT_PATTERN, mergeable_ranks=table, special_tokens={})
-    return exact, fast, re.compile("|".join([LONG_RUN, *map(re.escape, added)]))
+    return exact, fast, added
 
 
 def token_ids(text: str, vocabulary: str, ranks: str) -> np.ndarray:
@@ -61,8 +61,8 @@ def token_ids(text: str, vocabulary: str, ranks: str) -> np.ndarray:
     ``ranks`` holds the same vocabulary for a faster encoder, which takes texts of plain characters; all others, and
     those that spell an added token of the vocabulary, go to the vocabulary's own.
     """
-    exact, fast, odd = _encoders(vocabulary, ranks)
-    if PLAIN.fullmatch(text) and not odd.search(text):
+    exact, fast, added = _encoders(vocabulary, ranks)
+    if PLAIN.fullmatch(text) and not any(x in text for x in added) and max(map(len, text.split()), default=0) < LONG_RUN:
         return fast.encode_to_numpy(text, disallowed_special=())
     return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
