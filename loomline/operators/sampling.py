@@ -93,4 +93,4 @@ def uniform_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     size = rows.count()
     if not 0 < n <= size:
         raise ValueError(f"the number of rows should be between 1 and {size}, got {n}")
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)

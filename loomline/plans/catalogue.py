@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.plans import chains, documents, graphs, tables
+from loomline.plans import chains, documents, graphs, samples, tables
 
-MODULES = (chains, documents, graphs, tables)
+MODULES = (chains, documents, graphs, samples, tables)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
