@@ -19,6 +19,14 @@ class RunFailed(LoomlineError):
     """A stage failed; the report says which."""
 
 
+class TooFewSamples(LoomlineError):
+    """Generation stayed below its floor; ``found`` says what was made and what failed."""
+
+    def __init__(self, message: str, found: dict):
+        super().__init__(message)
+        self.found = found
+
+
 class ModelError(LoomlineError):
     """A text model failed for good."""
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+import asyncio
+import inspect
+import json
+import queue
+import threading
+from collections.abc import Awaitable, Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +17,9 @@ from loomline.functions.intent import intent_aligned
 from loomline.operators.traces import consecutive, tools_of
 from loomline.session import ship
 
+#: Seconds that a tool's function may take.
+CALL_SECONDS = 60.0
+
 # How a JSON value of each type is called, and which values a schema's type takes. A boolean passes as an
 # integer and as a number.
 ACCEPTED = {
@@ -62,12 +70,12 @@ def explode_steps(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.posexplode("chain").alias("step", "s")).select(*keys, "step", "s.tool", "s.tool_input")
 
 
-def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: DataFrame | None = None, registry: Mapping[str, Callable] | None = None) -> DataFrame:
+def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: DataFrame | None = None, registry: Mapping[str, Callable] | None = None, seconds: float = CALL_SECONDS) -> DataFrame:
     """(keys, step, tool, missing, problems, ok, error) of each step.
 
     A step fails if the catalog (tool, input_schema) lacks its tool, else if its input has problems, else if it can't be
     executed. Execution is looked up in ``replay`` (tool, tool_input, error: null if it went well) or tried with the
-    functions of ``registry``; with neither, it counts as well. A failed step doesn't stop later ones.
+    functions of ``registry``, ``seconds`` each at most; with neither, it counts as well. A failed step doesn't stop later ones.
     """
     required, types = declared(F.col("input_schema"))
     known = catalog.select("tool", required.alias("required"), types.alias("types"), F.lit(True).alias("known"))
@@ -81,7 +89,7 @@ def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: Da
     elif registry is not None:
         sound = ~F.col("missing") & (F.size("problems") == 0)
         # only steps that passed the gates are executed
-        ran = checked.where(sound).withColumn("ran", executed(registry)("tool", "tool_input")).unionByName(
+        ran = checked.where(sound).withColumn("ran", executed(registry, seconds)("tool", "tool_input")).unionByName(
             checked.where(~sound).withColumn("ran", F.lit(None).cast("string"))
         )
     else:
@@ -92,20 +100,44 @@ def check_steps(rows: DataFrame, catalog: DataFrame, keys: list[str], replay: Da
     return ran.select(*keys, "step", "tool", "missing", "problems", error.isNull().alias("ok"), error.alias("error"))
 
 
-def executed(registry: Mapping[str, Callable]) -> Callable[..., Column]:
-    """A column function: the error of calling a tool's function with its input, null if there is none."""
-    import json
+def tried(call: Callable, given: Mapping, seconds: float = CALL_SECONDS) -> str | None:
+    """The error of a call, null if there is none. What a function returns to be awaited is awaited.
+
+    A call that takes longer is an error; its thread is left behind and ends with its worker.
+    """
+    ended: queue.SimpleQueue = queue.SimpleQueue()
 
-    def call(tool: str, tool_input: str) -> str | None:
+    async def awaited(value: Awaitable) -> None:
+        await value
+
+    def run() -> None:
         try:
-            registry[tool](**json.loads(tool_input))
-        except Exception as e:  # the error is the result
-            return f"{type(e).__name__}: {e}"
-        return None
+            value = call(**given)
+            if inspect.isawaitable(value):
+                asyncio.run(awaited(value))
+        except BaseException as e:  # the error is the result
+            ended.put(f"{type(e).__name__}: {e}")
+        else:
+            ended.put(None)
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        return ended.get(timeout=seconds)
+    except queue.Empty:
+        return f"TimeoutError: no result after {seconds:g} s"
+
+
+def executed(registry: Mapping[str, Callable], seconds: float = CALL_SECONDS) -> Callable[..., Column]:
+    """A column function: the error of calling a tool's function with its input, null if there is none."""
+
+    def one(tool: str, tool_input: str) -> str | None:
+        if tool not in registry:
+            return f"KeyError: {tool!r}"
+        return tried(registry[tool], json.loads(tool_input), seconds)
 
     def calls(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for tools, inputs in batches:
-            yield pd.Series([call(t, i) for t, i in zip(tools, inputs, strict=True)], dtype=object)
+            yield pd.Series([one(t, i) for t, i in zip(tools, inputs, strict=True)], dtype=object)
 
     return F.pandas_udf(calls, "string")
 
@@ -177,7 +209,7 @@ def verify(rows: DataFrame, catalog: DataFrame, keys: list[str], **how) -> DataF
     return joined.withColumn("verification", report).select(*rows.columns, "verification")
 
 
-def verify_with(rows: DataFrame, catalog: DataFrame, keys: list[str], registry: Mapping[str, Callable]) -> DataFrame:
-    """``verify`` that executes the steps with functions by tool name."""
+def verify_with(rows: DataFrame, catalog: DataFrame, keys: list[str], registry: Mapping[str, Callable], seconds: float = CALL_SECONDS) -> DataFrame:
+    """``verify`` that executes the steps with functions by tool name, plain or to be awaited, for ``seconds`` each at most."""
     ship(rows.sparkSession)
-    return verify(rows, catalog, keys, registry=registry)
+    return verify(rows, catalog, keys, registry=registry, seconds=seconds)

@@ -19,7 +19,9 @@ from loomline.errors import RunFailed
 from loomline.functions.redaction import PATTERNS, with_redaction
 from loomline.operators import composability, credentials, graph, metrics, mix, probe, refine, traces
 from loomline.operators.corpus import corpus_graph
+from loomline.plans import generation
 from loomline.plans.config import RunConfig, fingerprint
+from loomline.session import remove_dir
 from loomline.sources import documents, readers, sinks
 
 STAGES = ("discover", "kg", "toolkg", "generate", "refine", "package", "eval")
@@ -43,7 +45,8 @@ class FactoryRun:
     """One run below a folder that driver and executors share.
 
     ``connector(catalog) -> list of tools`` asks servers, ``generate(run) -> samples frame`` makes samples; without them
-    catalogs come from files and samples from generation.samples_dir. ``model`` drafts and refines texts, ``registry``
+    catalogs come from files and samples from generation.samples_dir. ``make_chain(seed, count) -> sample`` makes one
+    sample instead; its calls are capped and its failures recorded. ``model`` drafts and refines texts, ``registry``
     executes tools by name, ``keep`` is the semantic filter. Each stage's tables are Parquet with a checkpoint beside
     them that says how the stage ended, and by which code.
     """
@@ -58,8 +61,10 @@ class FactoryRun:
         generate: Callable | None = None,
         registry: dict[str, Callable] | None = None,
         keep: Callable[[dict], bool] | None = None,
+        make_chain: generation.Maker | None = None,
     ):
         self.spark, self.config, self.model, self.connector, self.generate, self.registry, self.keep = spark, config, model, connector, generate, registry, keep
+        self.make_chain = make_chain
         self.workdir = (workdir or config.output.dir).rstrip("/")
         self.summaries: dict[str, dict] = {}
         self.found: dict[str, Any] = {}
@@ -175,8 +180,14 @@ class FactoryRun:
         return composability.graph_stats(tools, edges).first().asDict()
 
     def run_generate(self) -> dict:
-        g = self.config.generation
-        if self.generate is not None:
+        g, made = self.config.generation, {}
+        if self.make_chain is not None:
+            folder = self.path("samples")
+            # files of an earlier attempt, of other seeds, would be read as this one's
+            remove_dir(self.spark, folder)
+            made = generation.generate_samples(self.spark, self.make_chain, folder, g.num_chains, g.seed, g.max_llm_calls, g.min_samples)
+            samples = readers.read_samples(self.spark, folder) if made["num_samples"] else self.spark.createDataFrame([], f"sample_id string, {traces.SAMPLE_SCHEMA}")
+        elif self.generate is not None:
             samples = self.generate(self)
         elif g.samples_dir:
             samples = readers.read_samples(self.spark, g.samples_dir)
@@ -186,7 +197,7 @@ class FactoryRun:
         n = samples.count()
         if n < g.min_samples:
             raise RunFailed(f"{n} samples; at least {g.min_samples} are required")
-        return {"num_samples": n, "requested": g.num_chains}
+        return {**made, "num_samples": n, "requested": g.num_chains}
 
     def _context(self) -> tuple[dict, DataFrame]:
         context = documents.read_json(self.spark, self.path("kg_context.json"))

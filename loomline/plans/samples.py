@@ -203,6 +203,42 @@ def assembled_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([row], ", ".join(f"{x} long" for x in names) + ", n_generated long")
 
 
+def _few_words(row: dict) -> bool:
+    """A filter on rows; it fails on texts without a space, and rows that it fails on stay."""
+    return len(row["question"].split(" ", 40)) <= 40 if " " in row["question"] else 1 / 0
+
+
+def semantic_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which turns a predicate on their rows accepts."""
+    rows = _turns(spark, sf_dir).select("conv_id", "turn", F.coalesce("question", F.lit("")).alias("question"), F.coalesce("answer", F.lit("")).alias("answer"))
+    return refine.semantic_filter(rows, _few_words).select("conv_id", "turn", F.md5("question").alias("question"), F.md5("answer").alias("answer"), "accepted")
+
+
+def _decider(request: dict) -> dict:
+    """A decision model that trusts coverage, gives no probability but an odd number of it for none, and fails without entities."""
+    scores = request["state"]["keyless_scores"]
+    if scores["entity_refs"] == ["src0"]:
+        raise ValueError("no opinion")
+    p = scores["coverage"] * (0.9 if scores["chain_valid"] else 0.4)
+    return {"answers": {"verdict": {"probabilities": {"accept": p if p > 0 else 2.0}}, "grounded": {"noul": p} if scores["chain_valid"] else None}}
+
+
+def model_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a decision model, or the gates where it fails, says about the documents that are labelled."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rows = table(spark, sf_dir, "documents").join(labels, "doc_id").select(
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("question"),
+        F.lit("").alias("answer_draft"),
+        F.array().cast(f"array<{traces.STEP}>").alias("chain"),
+        F.struct((F.col("quality") == 1).alias("chain_valid"), F.lit(True).alias("intent_aligned")).alias("verification"),
+        F.when(F.col("toxic") == 1, 0.25).when(F.col("doc_id") % 7 > 0, 1.0).alias("coverage"),
+        F.array(F.coalesce("source", F.lit(""))).alias("entity_refs"),
+        (F.col("lang") == "en").alias("entity_grounded"),
+    )
+    return refine.decide(rows, _decider, 0.5).select("doc_id", "decision.*")
+
+
 def redacted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as question, answer and result of a row, redacted, by their hashes; the input stays."""
     text = F.coalesce("text", F.lit(""))
@@ -282,7 +318,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         extracted_chains, drafted_pairs, generation_counts, chain_texts, tool_lines, request_verbs, parsed_replies, parsed_extractions, normalized_tools, merged_catalogs, training_records,
-        assembled_mix, assembled_report, redacted_pairs, critique_blocks, spec_nodes, spec_edges, united_nodes, united_edges, uniform_parts, walk_invariants,
+        assembled_mix, assembled_report, semantic_filtered, model_decisions, redacted_pairs, critique_blocks, spec_nodes, spec_edges, united_nodes, united_edges, uniform_parts, walk_invariants,
     )
 }
 
@@ -358,6 +394,14 @@ ORACLE_SQL = {
         count(*) FILTER (WHERE source = 'generated') AS gen, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'valid') AS valid FROM s)
       SELECT (SELECT count(*) FROM pairs) AS n_in, (SELECT count(*) FROM pairs WHERE valid) AS n_after_cutoffs, ext AS n_external_in, (SELECT count(*) FROM pairs WHERE valid) - gen AS n_dupes_removed,
         total AS n_records_total, train AS n_train, valid AS n_valid, gen AS n_generated FROM n""",
+    "semantic_filtered": f"""WITH {_TURNS_SQL}, t AS (SELECT conv_id, turn, coalesce(question, '') AS question, coalesce(answer, '') AS answer FROM turns)
+      SELECT conv_id, turn, md5(question) AS question, md5(answer) AS answer, length(question) - length(replace(question, ' ', '')) < 40 OR NOT contains(question, ' ') AS accepted FROM t""",
+    "model_decisions": """WITH l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+      r AS (SELECT doc_id, quality = 1 AS valid, CASE WHEN toxic = 1 THEN 0.25::DOUBLE WHEN doc_id % 7 > 0 THEN 1.0::DOUBLE END AS coverage, coalesce(source, '') AS ref, lang = 'en' AS known FROM documents JOIN l USING (doc_id)),
+      p AS (SELECT *, coalesce(coverage, 0) * CASE WHEN valid THEN 0.9::DOUBLE ELSE 0.4::DOUBLE END AS p, valid AND coalesce(coverage >= 0.5, true) AND coalesce(known, false) AS gates FROM r)
+      SELECT doc_id, CASE WHEN CASE WHEN ref = 'src0' OR p = 0 THEN gates ELSE p >= 0.5 END THEN 'accept' ELSE 'reject' END AS verdict, CASE WHEN ref <> 'src0' AND p > 0 THEN p END AS confidence,
+        CASE WHEN ref <> 'src0' AND p > 0 AND valid THEN p END AS grounded, CASE WHEN ref = 'src0' OR p = 0 THEN 'heuristic_fallback' ELSE 'model' END AS source,
+        CASE WHEN ref = 'src0' THEN 'ValueError: no opinion' WHEN p = 0 THEN 'ValueError: probability out of range: 2.0' END AS error FROM p""",
     "redacted_pairs": f"""WITH r AS (SELECT doc_id, md5({_redacted_sql()[0]}) AS h FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))
       SELECT doc_id, h AS question, h AS answer, h AS result, '{{"k": "a@example.org"}}' AS input FROM r""",
     "critique_blocks": "SELECT doc_id, '" + refine.CRITIQUE_HEAD + "' || array_to_string(list_transform(list_filter([source, lang], lambda x: x IS NOT NULL), lambda x: '- ' || x), chr(10)) || chr(10) AS block FROM documents",

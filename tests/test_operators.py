@@ -1,6 +1,7 @@
 import math
 import random
 import statistics
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -342,6 +343,18 @@ def test_verification(spark):
     tried = verify.verify_with(qa(spark, [[good], [("get_ticket", '{"id": "0"}', "ok")]]), catalog(spark), ["sample_id", "chain_pos"], calls).orderBy("chain_pos").collect()
     assert [x["verification"]["chain_valid"] for x in tried] == [True, False]
     assert tried[1]["verification"]["executed_steps"][0]["error"].startswith("ZeroDivisionError")
+    async def awaited(id):
+        return 1 / int(id)
+
+    def slow(id):
+        time.sleep(30 * int(id))
+
+    keys, both = ["sample_id", "chain_pos"], qa(spark, [[good], [("get_ticket", '{"id": "0"}', "ok")]])
+    for call, seconds, errors in ((awaited, 60.0, [None, "ZeroDivisionError: division by zero"]), (slow, 0.5, ["TimeoutError: no result after 0.5 s", None])):
+        ran = verify.verify_with(both, catalog(spark), keys, {"get_ticket": call}, seconds).orderBy("chain_pos").collect()
+        assert [x["verification"]["executed_steps"][0]["error"] for x in ran] == errors
+    unknown = verify.verify_with(both, catalog(spark), keys, {}).orderBy("chain_pos").first()
+    assert unknown["verification"]["executed_steps"][0]["error"] == "KeyError: 'get_ticket'"
     replay = spark.createDataFrame([("get_ticket", '{"id": "1"}', "TimeoutError: slow")], "tool string, tool_input string, error string")
     assert not verify.verify(qa(spark, [[good]]), catalog(spark), ["sample_id", "chain_pos"], replay=replay).first()["verification"][
         "chain_valid"

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomline import cli
-from loomline.errors import BudgetExceeded, ConfigError, ModelError, RunFailed, TransientModelError
+from loomline.errors import BudgetExceeded, ConfigError, ModelError, RunFailed, TooFewSamples, TransientModelError
 from loomline.plans import config as configs
 from loomline.plans.factory import FactoryRun
+from loomline.plans.generation import generate_samples
 from loomline.plans.model import ModelClient
 from loomline.sources import documents, readers, sinks
 from loomline.streaming import events
@@ -153,6 +154,35 @@ def test_models_connectors_and_other_graphs(spark, folder):
     assert spec.run()["stages"]["kg"]["node_count"] == 2
 
 
+def test_chains_are_made_under_a_cap_and_failures_are_recorded(spark, folder):
+    seeds = []
+
+    def make(seed, count):
+        seeds.append(seed)
+        count()
+        count()
+        if seed == 43:
+            raise ValueError("x" * 900)
+        return None if seed == 44 else SAMPLE
+
+    asked = {"num_chains": 10, "seed": 42, "max_llm_calls": 7, "min_samples": 2}
+    found = generate_samples(spark, make, f"{folder}/made", 10, 42, 7, 2)
+    assert seeds == [42, 43, 44, 45] and (found["num_samples"], found["llm_calls"], found["chains"]) == (2, 8, 4)  # the fourth crosses the cap and is kept
+    assert [(x["chain"], x["seed"], x["error_type"], len(x["error"])) for x in found["failures"]] == [
+        (1, 43, "ValueError", 500), (2, 44, "NoWorkflow", len("the chain made no workflow"))
+    ]
+    assert sorted(x.name for x in (folder / "made").glob("*.json")) == ["seed=42.json", "seed=45.json"]
+    with pytest.raises(TooFewSamples) as few:
+        generate_samples(spark, make, f"{folder}/few", 3, 43, min_samples=2)
+    assert few.value.found["num_samples"] == 1 and len(few.value.found["failures"]) == 2
+
+    config = run_config(folder, generation=asked)
+    config.generation.samples_dir = ""
+    report = FactoryRun(spark, config, f"{folder}/out6", make_chain=make).run()
+    made = report["stages"]["generate"]
+    assert report["status"] == "ok" and made["num_samples"] == 2 and made["llm_calls"] == 8 and len(made["failures"]) == 2
+
+
 def test_config_lists_every_problem():
     with pytest.raises(ConfigError) as found:
         configs.from_dict(
