@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +12,8 @@ from loomline.functions.facts import ANSWER_FALLBACK, REQUEST_VERBS, request_ver
 from loomline.operators import composability, corpus, graph, mix, refine, sampling, traces
 from loomline.plans.chains import _STEPS_SQL, _steps, random_walk_sample
 from loomline.plans.documents import _NORM_SQL, _SPLIT_SQL, _TURNS_SQL, _redacted_sql, _turns
+from loomline.plans.graphs import ORACLE_SQL as GRAPHS_SQL
+from loomline.plans.graphs import kg_budget_prefix
 from loomline.plans.literals import EDGES, EVENT_TOOLS, relation, values
 from loomline.session import cut, table
 from loomline.sources.readers import merge_catalogs
@@ -296,6 +300,34 @@ def united_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_graphs(spark, sf_dir)[1]
 
 
+def rendered_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported context within its budget, as text."""
+    return graph.render(kg_budget_prefix(spark, sf_dir))
+
+
+def _ends(prompt: str) -> str:
+    """A text model that finds the first and the last word of a text, and that one comes before the other."""
+    words = prompt[len(corpus.PROMPT) :].split(" ")
+    found = {
+        "entities": [{"name": words[0], "type": "word", "description": "opens a text"}],
+        "relations": [{"head": words[0], "relation": "before", "tail": words[-1], "description": ""}],
+    }
+    return f"Found: {json.dumps(found)}"
+
+
+def corpus_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.corpus_graph(_files(spark, sf_dir), _ends)[0]
+
+
+def corpus_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.corpus_graph(_files(spark, sf_dir), _ends)[1]
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's items as files; the operator's own cap bounds how many of their chunks a model sees."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("path"), "text")
+
+
 def uniform_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts drawn with equal chances; the number is the operator's."""
     return sampling.uniform_sample(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", SAMPLE_ROWS, 42)
@@ -318,7 +350,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         extracted_chains, drafted_pairs, generation_counts, chain_texts, tool_lines, request_verbs, parsed_replies, parsed_extractions, normalized_tools, merged_catalogs, training_records,
-        assembled_mix, assembled_report, semantic_filtered, model_decisions, redacted_pairs, critique_blocks, spec_nodes, spec_edges, united_nodes, united_edges, uniform_parts, walk_invariants,
+        assembled_mix, assembled_report, semantic_filtered, model_decisions, redacted_pairs, critique_blocks, spec_nodes, spec_edges, united_nodes, united_edges, rendered_context, corpus_nodes, corpus_edges, uniform_parts, walk_invariants,
     )
 }
 
@@ -355,6 +387,9 @@ mixed AS (
   SELECT key AS doc_id, 'generated' AS source, 3 AS n_messages FROM uniq
   UNION ALL SELECT 'x' || conv_id, 'external', CAST(count(*) AS INTEGER) FROM conversations GROUP BY conv_id)"""
 _LINES_SQL = r"array_to_string(list_transform(regexp_split_to_array({0}, '\r\n|\n|\r'), lambda x: trim(x)), ' ')"
+#: The first and the last word of the chunks that the model sees; items are short enough to be chunks of their own.
+_WORDS_SQL = f"""w AS (SELECT item_id, split_part(text, ' ', 1) AS a, split_part(text, ' ', -1) AS b FROM benchmark WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> '' ORDER BY item_id LIMIT {corpus.MAX_CHUNKS}),
+l AS (SELECT least(a, b) AS x, greatest(a, b) AS y, arg_min(a, item_id) AS src, arg_min(b, item_id) AS dst FROM w WHERE a <> b AND a <> '' AND b <> '' GROUP BY 1, 2)"""
 _SIZE_SQL = "CAST(p_partkey % 5 AS INTEGER)"
 
 ORACLE_SQL = {
@@ -411,6 +446,12 @@ ORACLE_SQL = {
     "united_nodes": """SELECT n_name AS id, n_name AS entity_name, 'market+nation' AS entity_type, 'a market of some size' AS description FROM nation
       UNION ALL SELECT r_name, r_name, 'region', r_name FROM region""",
     "united_edges": "SELECT n_name AS src, r_name AS dst, 'lies in' AS relation, n_name || ' lies in ' || r_name AS description FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "rendered_context": f"""WITH k AS ({GRAPHS_SQL["kg_budget_prefix"]}),
+      h AS (SELECT section, rank, line FROM k UNION ALL VALUES (0, 0, 'Domain entities:'), (1, 0, chr(10) || 'Key relationships:'), (2, 0, chr(10) || 'Topic clusters:'))
+      SELECT string_agg(line, chr(10) ORDER BY section, rank) AS text FROM h""",
+    "corpus_nodes": f"""WITH {_WORDS_SQL} SELECT a AS id, a AS entity_name, 'word' AS entity_type, 'opens a text' AS description FROM (SELECT DISTINCT a FROM w WHERE a <> '')
+      UNION ALL SELECT b, b, 'concept', b FROM (SELECT DISTINCT b FROM w WHERE a <> '' AND b <> '' AND b NOT IN (SELECT a FROM w))""",
+    "corpus_edges": f"WITH {_WORDS_SQL} SELECT src, dst, 'before' AS relation, src || ' before ' || dst AS description FROM l",
     "uniform_parts": f"SELECT p_partkey, p_name FROM part ORDER BY md5(p_partkey || ':42'), p_partkey LIMIT {SAMPLE_ROWS}",
     "walk_invariants": "SELECT CAST(3 AS BIGINT) AS n, CAST(3 AS BIGINT) AS tools, 2 AS last, count(DISTINCT user_id) AS walks, CAST(0 AS BIGINT) AS unknown FROM events",
 }
