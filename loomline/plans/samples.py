@@ -219,7 +219,7 @@ def semantic_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decider(request: dict) -> dict:
-    """A decision model that trusts coverage, gives no probability but an odd number of it for none, and fails without entities."""
+    """A decision model that trusts coverage: it answers 2 where there is none, which is no probability, and fails on src0."""
     scores = request["state"]["keyless_scores"]
     if scores["entity_refs"] == ["src0"]:
         raise ValueError("no opinion")
