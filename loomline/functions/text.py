@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ TYPE_NAMES = {
 }
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is taken once for each row, however often the body names it, within lambdas too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def estimate_tokens(text: Column) -> Column:
     """A quarter of the code points, one at least; null counts as empty."""
     return F.greatest(F.lit(1).cast("long"), F.floor(F.coalesce(F.length(text), F.lit(0)) / CHARS_PER_TOKEN))

@@ -195,3 +195,12 @@ def test_outcomes(spark):
         ("get_ticket completed with the recorded result", "some text", None),
     ]
     assert one(spark, "get_x", facts.request_verb) == "look up" and one(spark, "frob", facts.request_verb) == "use"
+
+
+def test_outcomes_take_each_value_once(spark):
+    df = spark.createDataFrame([("get_x", '{"k\'s": "abc"}')], "t string, p string")
+    found = df.select(facts.expected_outcome(F.col("t"), F.col("p")).alias("o"))
+    assert found.first()["o"]["assertion"] == "abc"  # a key that a path can't name
+    plan = found._jdf.queryExecution().analyzed().toString()
+    # the check that it parses, its own values, and what lies below if those tell nothing (its texts, then their values)
+    assert plan.count("parse_json") == 1 and plan.count("from_json") == 3 and "get_json_object" not in plan
