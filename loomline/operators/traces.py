@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomline.functions.facts import ANSWER_FALLBACK, expected_outcome, request_verb
-from loomline.functions.text import clipped, filled
+from loomline.functions.text import bound, clipped, filled
 from loomline.session import ship
 
 #: A sample as JSON: dynamic keys as a map, each step a pair of an action and a result as they are written.
@@ -38,23 +38,25 @@ def extract_chains(samples: DataFrame) -> DataFrame:
     pairs = samples.select("sample_id", F.posexplode(F.map_entries("api_use_chains")).alias("chain_pos", "entry"))
 
     def step(pair: Column) -> Column:
-        action = F.from_json(F.get(pair, 0), ACTION_SCHEMA)
-        given = F.when(F.ltrim(action["tool_input"]).startswith("{"), action["tool_input"]).otherwise("{}")
-        return F.struct(
-            action["tool"].alias("tool"),
-            given.alias("tool_input"),
-            clipped(F.coalesce(F.get(pair, 1), F.lit("null")), PREVIEW_CHARS).alias("result_preview"),
-        )
+        result = clipped(F.coalesce(F.get(pair, 1), F.lit("null")), PREVIEW_CHARS)
+
+        def told(action: Column) -> Column:
+            given = F.when(F.ltrim(action["tool_input"]).startswith("{"), action["tool_input"]).otherwise("{}")
+            return F.struct(action["tool"].alias("tool"), given.alias("tool_input"), result.alias("result_preview"))
+
+        return bound(F.from_json(F.get(pair, 0), ACTION_SCHEMA), told)
 
     steps = F.filter(F.transform(F.col("entry.value.intermediate_steps"), step), lambda x: F.coalesce(x["tool"], F.lit("")) != "")
-    rows = pairs.select(
+    # a chain is taken from an array of one, which is empty where the chain is: a filter on it would be pushed below, and
+    # parse all actions once more
+    filled_ones = F.filter(F.array(steps.cast(f"array<{STEP}>")), lambda x: F.size(x) > 0)
+    return pairs.select(
         "sample_id",
         "chain_pos",
         F.col("entry.key").alias("chain_id"),
         F.coalesce("entry.value.description", F.lit("")).alias("description"),
-        steps.cast(f"array<{STEP}>").alias("chain"),
+        F.explode(filled_ones).alias("chain"),
     )
-    return rows.where(F.size("chain") > 0)
 
 
 def tools_of(chain: Column) -> Column:
@@ -78,10 +80,8 @@ def ground_entities(chains: DataFrame, entities: DataFrame, chain_col: str = "ch
     names = entities.where(F.coalesce("name", F.lit("")) != "").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("_names")
     )
-    found = F.filter("_names", lambda n: F.contains(F.col("_hay"), F.lower(n)))
-    return chains.join(F.broadcast(names)).withColumn("_hay", haystack(F.col(chain_col))).withColumn("entity_refs", found).drop(
-        "_names", "_hay"
-    )
+    found = bound(haystack(F.col(chain_col)), lambda hay: F.filter("_names", lambda n: F.contains(hay, F.lower(n))))
+    return chains.join(F.broadcast(names)).withColumn("entity_refs", found).drop("_names")
 
 
 def grounded(refs: Column, names: Column, question: Column) -> Column:
