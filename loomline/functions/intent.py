@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomline.functions.text import bound
+
 # Verbs by effect, and the phrases of each intent in the order in which they are tried.
 EFFECT_VERBS = {
     "READ": ("get", "fetch", "search", "find", "list", "lookup", "read", "retrieve", "show"),
@@ -42,12 +44,17 @@ def intent_label(question: Column) -> Column:
 
 def intent_aligned(question: Column, tools: Column) -> Column:
     """Whether an array of tools does what the question asks for; true where it asks for nothing that is known."""
-    intent = question_intent(question)
-    effects = F.transform(F.filter(F.coalesce(tools, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != "")), tool_effect)
-    has = lambda effect: F.array_contains(effects, effect)
-    return (
-        F.when(intent.isNull(), True)
-        .when(F.size(effects) == 0, False)
-        .when(intent == "READ", ~has("CREATE") | has("READ"))
-        .otherwise(F.when(intent == "CREATE", has("CREATE")).otherwise(has("DELETE")))
-    )
+    named = F.filter(F.coalesce(tools, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
+
+    def judged(intent: Column, effects: Column) -> Column:
+        has = lambda effect: F.array_contains(effects, effect)
+        return (
+            F.when(intent.isNull(), True)
+            .when(F.size(effects) == 0, False)
+            .when(intent == "READ", ~has("CREATE") | has("READ"))
+            .otherwise(F.when(intent == "CREATE", has("CREATE")).otherwise(has("DELETE")))
+        )
+
+    # each tool's effect is taken once, and each of them is looked at
+    effects = F.transform(F.array_distinct(named), tool_effect)
+    return bound(question_intent(question), lambda intent: bound(effects, lambda found: judged(intent, found)))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.intent import intent_aligned
+from loomline.functions.text import bound
 from loomline.operators.traces import consecutive, tools_of
 from loomline.session import ship
 
@@ -160,27 +161,27 @@ def coverage(rows: DataFrame, edges: DataFrame | None, keys: list[str]) -> DataF
     return counted.select(*keys, F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, None).otherwise(share).alias("coverage"))
 
 
-def business_checks(rows: DataFrame, completed: Column) -> dict[str, Column]:
+def business_checks(rows: DataFrame) -> dict[str, Column]:
     """The checks apart from execution, by name. ``rows`` has question, answer_draft, chain and expected_outcomes, and
     may have policy_ids."""
     outcomes = F.coalesce("expected_outcomes", F.array().cast(rows.schema["expected_outcomes"].dataType))
     previews = F.array_join(F.transform("chain", lambda x: F.coalesce(x["result_preview"], F.lit(""))), " ")
     claim = lambda x: F.coalesce(F.nullif(x["assertion"], F.lit("")), x["description"], F.lit(""))
+    # what a step's own result shows needs no search through all results; of the rest each claim is looked for once
+    own = lambda k: F.coalesce(F.get(F.col("chain"), k)["result_preview"], F.lit(""))
+    elsewhere = F.array_distinct(F.transform(F.filter(outcomes, lambda x, k: ~F.contains(own(k), claim(x))), claim))
+    shown_all = bound(elsewhere, lambda claims: (F.size(claims) == 0) | bound(previews, lambda all_: F.forall(claims, lambda x: F.contains(all_, x))))
     stated = F.filter(outcomes, lambda x: x["state_after"].isNotNull())
     answer = F.coalesce("answer_draft", F.lit(""))
     shown = F.filter("chain", lambda x: F.coalesce(x["result_preview"], F.lit("")) != "")
     policies = F.coalesce(F.size("policy_ids"), F.lit(0)) <= 0 if "policy_ids" in rows.columns else F.lit(True)
-    checks = {
+    return {
         "intent_aligned": intent_aligned(F.col("question"), tools_of(F.col("chain"))),
-        "output_assertions_passed": (F.size(outcomes) > 0) & F.forall(outcomes, lambda x: F.contains(previews, claim(x))),
+        "output_assertions_passed": (F.size(outcomes) > 0) & shown_all,
         "state_assertions_passed": (F.size(stated) > 0) & F.forall(stated, lambda x: x["state_after"] != ""),
         "policy_checks_passed": policies,
         "answer_faithful": (answer != "") & F.exists(shown, lambda x: F.contains(answer, F.substring(x["result_preview"], 1, 80))),
     }
-    safe = completed
-    for check in checks.values():
-        safe = safe & check
-    return checks | {"safe_to_review": safe}
 
 
 def verify(rows: DataFrame, catalog: DataFrame, keys: list[str], **how) -> DataFrame:
@@ -197,16 +198,22 @@ def verify(rows: DataFrame, catalog: DataFrame, keys: list[str], **how) -> DataF
         F.array_sort(F.collect_list(record)).alias("executed_steps"),
     )
     joined = rows.join(per, keys, "left").withColumn("_done", F.coalesce("all_ok", F.lit(False)))
-    checks = [c.alias(name) for name, c in business_checks(joined, F.col("_done")).items()]
+    checks = business_checks(joined)
+    # as columns of their own, so that the summary does not evaluate them again
+    judged = joined.withColumns({f"_{name}": check for name, check in checks.items()})
+    safe = F.col("_done")
+    for name in checks:
+        safe = safe & F.col(f"_{name}")
     report = F.struct(
         F.col("_done").alias("chain_valid"),
         F.col("_done").alias("execution_completed"),
         "missing_tools",
         "schema_mismatches",
         "executed_steps",
-        *checks,
+        *(F.col(f"_{name}").alias(name) for name in checks),
+        safe.alias("safe_to_review"),
     )
-    return joined.withColumn("verification", report).select(*rows.columns, "verification")
+    return judged.withColumn("verification", report).select(*rows.columns, "verification")
 
 
 def verify_with(rows: DataFrame, catalog: DataFrame, keys: list[str], registry: Mapping[str, Callable], seconds: float = CALL_SECONDS) -> DataFrame:

@@ -204,3 +204,8 @@ def test_outcomes_take_each_value_once(spark):
     plan = found._jdf.queryExecution().analyzed().toString()
     # the check that it parses, its own values, and what lies below if those tell nothing (its texts, then their values)
     assert plan.count("parse_json") == 1 and plan.count("from_json") == 3 and "get_json_object" not in plan
+
+
+def test_intents_search_a_question_once(spark):
+    df = spark.createDataFrame([("Show me it", ["get_x", None, "", "create_y"])], "q string, t array<string>").select(intent.intent_aligned(F.col("q"), F.col("t")).alias("x"))
+    assert df.first()[0] is True and df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 3
