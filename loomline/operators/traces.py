@@ -86,10 +86,8 @@ def ground_entities(chains: DataFrame, entities: DataFrame, chain_col: str = "ch
 
 def grounded(refs: Column, names: Column, question: Column) -> Column:
     """Whether there are references, all of them are known, and the question names one."""
-    asked = F.lower(F.coalesce(question, F.lit("")))
-    return (F.size(F.coalesce(refs, F.array().cast("array<string>"))) > 0) & F.forall(refs, lambda r: F.array_contains(names, r)) & F.exists(
-        refs, lambda r: F.contains(asked, F.lower(r))
-    )
+    asks = bound(F.lower(F.coalesce(question, F.lit(""))), lambda asked: F.exists(refs, lambda r: F.contains(asked, F.lower(r))))
+    return (F.size(F.coalesce(refs, F.array().cast("array<string>"))) > 0) & F.forall(refs, lambda r: F.array_contains(names, r)) & asks
 
 
 def template_question(chain: Column, refs: Column) -> Column:
